@@ -2,13 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# One row in this many becomes a cut point inside a day, so one task sees about this many rows of a day.
+# One row in this many becomes a cut point inside a day, so a window sees about this many rows of a day.
 CUT_EVERY = 1 << 20
 
 
+def cut_days(
+    rows: DataFrame, keys: list[str], day: str, order: list[str], cut_every: int = CUT_EVERY, where: Column | None = None
+) -> DataFrame:
+    """Adds ``_slot``, the part of its day a row belongs to, in the order of the ``order`` columns.
+
+    Days are cut at some of their own values of these columns, picked by a hash so that every attempt of a
+    task picks the same.  Rows with the same values stay together.  Most days have no cut and are one slot.
+    """
+    value = F.struct(*order)
+    hit = F.pmod(F.xxhash64(value), F.lit(cut_every)) == 0
+    picked = F.when(hit if where is None else where & hit, value)
+    cuts = rows.groupBy(*keys, day).agg(F.collect_set(picked).alias("_cuts")).filter(F.size("_cuts") > 0)
+    slot = F.coalesce(F.size(F.filter("_cuts", lambda c: c < value)), F.lit(0))
+    return (
+        rows.join(cuts, [*keys, day], "left")
+        .withColumn("_slot", F.when(F.col("_cuts").isNull(), 0).otherwise(slot))
+        .drop("_cuts")
+    )
+
+
 def running_total(
     rows: DataFrame, keys: list[str], day: str, order: list[str], amounts: dict[str, str], cut_every: int = CUT_EVERY
 ) -> DataFrame:
@@ -16,21 +36,12 @@ def running_total(
 
     ``amounts`` maps each input column to its output column.  A window over the whole key would put, say,
     a cash account with a third of the ledger into one task.  Here the rows of a key are cut by day, and a
-    large day is cut again at some of its own ``order[0]`` values, picked by a hash so that every attempt of
-    a task picks the same.  The totals of the slices (as many per key as there are days and cuts) are summed
+    large day is cut again.  The totals of the slices (as many per key as there are days and cuts) are summed
     up first; each slice then starts from what came before it.  Cut points decide only where slices end,
     never the result.  ``day`` must not be NULL.
     """
-    first = F.col(order[0])
     moves = F.greatest(*(F.abs(F.col(c)) for c in amounts), F.lit(0)) > 0
-    picked = F.when(moves & (F.pmod(F.xxhash64(first), F.lit(cut_every)) == 0), first)
-    cuts = (
-        rows.groupBy(*keys, day)
-        .agg(F.collect_set(picked).alias("_cuts"))
-        .filter(F.size("_cuts") > 0)
-    )
-    slot = F.coalesce(F.size(F.filter("_cuts", lambda c: c < first)), F.lit(0))
-    sliced = rows.join(cuts, [*keys, day], "left").withColumn("_slot", F.when(F.col("_cuts").isNull(), 0).otherwise(slot))
+    sliced = cut_days(rows, keys, day, order, cut_every, moves)
     slice_key = [*keys, day, "_slot"]
 
     earlier = Window.partitionBy(*keys).orderBy(day, "_slot").rowsBetween(Window.unboundedPreceding, -1)
@@ -43,5 +54,5 @@ def running_total(
     return (
         sliced.join(carried, slice_key)
         .withColumns({out: F.col(f"_before_{c}") + F.sum(c).over(inside) for c, out in amounts.items()})
-        .drop("_cuts", "_slot", *(f"_before_{c}" for c in amounts))
+        .drop("_slot", *(f"_before_{c}" for c in amounts))
     )

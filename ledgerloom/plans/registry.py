@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import normalize_dim, sanitize_cells, with_total_row
 from ledgerloom.functions.predicates import filter_spec
-from ledgerloom.operators import atp, counters, export, fulfilment, gl, parties, pricing, sales, stock, vouchers
+from ledgerloom.operators import atp, counters, export, fulfilment, gl, parties, pricing, sales, stock, valuation, vouchers
 from ledgerloom.plans import accounts, customers, items
 from ledgerloom.plans import stock as stock_reports
 from ledgerloom.sources.tables import Tables
@@ -151,6 +151,7 @@ OPERATORS: dict[str, Callable[[Tables], DataFrame]] = {
     "clean_incoterm_costs": lambda t: vouchers.clean_incoterm_costs(t).select(
         "name", "freight_account", "freight_amount", "freight_exchange_rate", "inspection_account", "inspection_amount",
         "inspection_exchange_rate", "transport_amount", "clearance_amount", "foreign_bank_charges_amount", "local_bank_charges_amount"),
+    "moving_average_valuation": lambda t: _doubled(valuation.moving_average_valuation(t), 6, "valuation_rate"),
     "remark_propagation": lambda t: vouchers.remark_propagation(t).select("account", "voucher_type", "voucher_no", "debit", "credit", "remarks"),
     "order_line_changes": lambda t: fulfilment.order_line_changes(t, t.order_line_change),
     "line_margin_discount": lambda t: fulfilment.line_margin_discount(t.sales_order_item).select(
