@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import normalize_dim, sanitize_cells, with_total_row
@@ -12,7 +13,9 @@ from ledgerloom.functions.predicates import filter_spec
 from ledgerloom.operators import atp, counters, export, fulfilment, gl, parties, pricing, sales, stock, valuation, vouchers
 from ledgerloom.plans import accounts, customers, items
 from ledgerloom.plans import stock as stock_reports
+from ledgerloom.session import checkpoint_dir
 from ledgerloom.sources.tables import Tables
+from ledgerloom.streaming.price_metrics import PriceLog, price_metrics_stream
 
 FROM, TO = "1997-01-01", "1999-12-31"
 PRICE_FILTER = '[["Item Price","price_list","=","Standard Selling"],["selling","=",1],["price_list_rate",">",905],["packing_unit","in",[0,4]]]'
@@ -167,3 +170,14 @@ OPERATORS: dict[str, Callable[[Tables], DataFrame]] = {
     "stock_entry_totals": fulfilment.stock_entry_totals,
     "stock_entry_lines": fulfilment.stock_entry_lines,
 }
+
+
+def streamed_price_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw line table read as a stream of ledger changes, price rows refreshed for all items in it."""
+    schema = spark.read.parquet(f"{sf_dir}/lineitem.parquet").schema
+    lines = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
+    touched = lines.select(F.concat(F.lit("I-"), F.col("l_partkey").cast("string")).alias("item_code"))
+    root = f"{checkpoint_dir(spark)}/price-metrics-{uuid.uuid4().hex}"
+    log = PriceLog(spark, f"{root}/log")
+    price_metrics_stream(touched, lambda: Tables.from_star_schema(spark, sf_dir), log, f"{root}/checkpoint", once=True).awaitTermination()
+    return _doubled(log.latest().select("name", "item_code", "production_year", *pricing.METRICS), 6, "stock_valuation_rate")

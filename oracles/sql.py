@@ -561,6 +561,9 @@ SELECT t.customer, CASE WHEN t.payment_terms IS NULL THEN 'no terms' ELSE 'overd
 FROM q_terms t LEFT JOIN q_owed o ON t.customer = o.customer WHERE t.payment_terms IS NULL OR (o.outstanding > 0 AND t.bypass_overdue_check <> 1)""",
     "price_metrics_refresh": f"""WITH {METRICS} SELECT name, item_code, production_year, {R('stock_valuation_rate', 6)} AS stock_valuation_rate,
 {D('stock_qty')} AS stock_qty, {D('available_qty')} AS available_qty FROM q_ip""",
+    "price_metrics_stream": f"""WITH {METRICS} SELECT name, item_code, production_year, {R('stock_valuation_rate', 6)} AS stock_valuation_rate,
+{D('stock_qty')} AS stock_qty, {D('available_qty')} AS available_qty FROM q_ip
+WHERE item_code IN (SELECT 'I-' || CAST(l_partkey AS VARCHAR) FROM lineitem)""",
     "price_floor_violations": price_floor("sales_order_item", "sales_order", True, "valuation_rate", ""),
     "invoice_price_violations": price_floor("sales_invoice_item", "sales_invoice", False, "incoming_rate", "AND o.is_return = 0"),
     "price_increase": f"""WITH {METRICS} SELECT name, {D('ceil(round(CAST(stock_valuation_rate AS DECIMAL(28,9)) * 1.15, 6))')} AS price_list_rate
