@@ -110,11 +110,14 @@ def translate_voucher_type(df: DataFrame, t: Tables, language: str = "ar") -> Da
     )
 
 
-def running_balance(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Debit minus credit up to each row by (date, number, remark); rows without a date come first."""
+def running_balance(rows: DataFrame, keys: list[str], ledger: DataFrame) -> DataFrame:
+    """Debit minus credit up to each row by (date, number, remark); rows without a date come first.
+
+    ``ledger`` is what the rows were summed from; its row counts show which keys are large.
+    """
     day = F.coalesce("posting_date", F.lit(_BEFORE_ALL).cast("date"))
     rows = rows.withColumns({"_day": day, "_move": F.col("debit") - F.col("credit")})
-    return running_total(rows, keys, "_day", ["voucher_no", "remarks"], {"_move": "balance"}).drop("_day", "_move")
+    return running_total(rows, keys, "_day", ["voucher_no", "remarks"], {"_move": "balance"}, ledger).drop("_day", "_move")
 
 
 def statement_total(

@@ -1,58 +1,78 @@
-"""Running totals per key that do not need a key's rows in one task."""
+"""Running totals per key that do not need all rows of a large key in one task."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# One row in this many becomes a cut point inside a day, so a window sees about this many rows of a day.
+# Keys with more rows than this are cut by day; one window sorts at most this many rows of a smaller key.
+HOT_ROWS = 1 << 22
+# One row in this many becomes a cut point inside a day of a large key.
 CUT_EVERY = 1 << 20
 
 
-def cut_days(
-    rows: DataFrame, keys: list[str], day: str, order: list[str], cut_every: int = CUT_EVERY, where: Column | None = None
-) -> DataFrame:
+def large_keys(rows: DataFrame, keys: list[str], more_than: int) -> DataFrame:
+    """Keys with more than ``more_than`` rows; there is at most one for so many rows."""
+    return rows.groupBy(*keys).count().filter(F.col("count") > more_than).select(*keys)
+
+
+def cut_days(rows: DataFrame, keys: list[str], day: str, order: list[str], cut_every: int, where: Column) -> DataFrame:
     """Adds ``_slot``, the part of its day a row belongs to, in the order of the ``order`` columns.
 
     Days are cut at some of their own values of these columns, picked by a hash so that every attempt of a
     task picks the same.  Rows with the same values stay together.  Most days have no cut and are one slot.
+    There is one cut in ``cut_every`` rows, which bounds what is broadcast.
     """
     value = F.struct(*order)
-    hit = F.pmod(F.xxhash64(value), F.lit(cut_every)) == 0
-    picked = F.when(hit if where is None else where & hit, value)
-    cuts = rows.groupBy(*keys, day).agg(F.collect_set(picked).alias("_cuts")).filter(F.size("_cuts") > 0)
-    slot = F.coalesce(F.size(F.filter("_cuts", lambda c: c < value)), F.lit(0))
+    picked = rows.filter(where & (F.pmod(F.xxhash64(value), F.lit(cut_every)) == 0))
+    cuts = picked.groupBy(*keys, day).agg(F.collect_set(value).alias("_cuts"))
+    slot = F.size(F.filter("_cuts", lambda c: c < value))
     return (
-        rows.join(cuts, [*keys, day], "left")
+        rows.join(F.broadcast(cuts), [*keys, day], "left")
         .withColumn("_slot", F.when(F.col("_cuts").isNull(), 0).otherwise(slot))
         .drop("_cuts")
     )
 
 
 def running_total(
-    rows: DataFrame, keys: list[str], day: str, order: list[str], amounts: dict[str, str], cut_every: int = CUT_EVERY
+    rows: DataFrame, keys: list[str], day: str, order: list[str], amounts: dict[str, str], sizes: DataFrame,
+    hot_rows: int = HOT_ROWS, cut_every: int = CUT_EVERY,
 ) -> DataFrame:
     """Adds, per ``keys``, the sums of ``amounts`` over all rows up to (``day``, ``order``), ties included.
 
-    ``amounts`` maps each input column to its output column.  A window over the whole key would put, say,
-    a cash account with a third of the ledger into one task.  Here the rows of a key are cut by day, and a
-    large day is cut again.  The totals of the slices (as many per key as there are days and cuts) are summed
-    up first; each slice then starts from what came before it.  Cut points decide only where slices end,
-    never the result.  ``day`` must not be NULL.
+    ``amounts`` maps each input column to its output column; ``day`` must not be NULL.  ``sizes`` is what the
+    rows of each key are counted on: the rows themselves or, cheaper, a table with at least as many.  The
+    count runs at once.  If no key has more than ``hot_rows`` rows, one window per key does.  Otherwise such
+    keys, say a cash account with a third of the ledger, are cut into slices (see ``sliced_total``).
     """
-    moves = F.greatest(*(F.abs(F.col(c)) for c in amounts), F.lit(0)) > 0
-    sliced = cut_days(rows, keys, day, order, cut_every, moves)
-    slice_key = [*keys, day, "_slot"]
+    large = large_keys(sizes, keys, hot_rows)
+    if large.isEmpty():
+        window = Window.partitionBy(*keys).orderBy(day, *order)
+        return rows.withColumns({out: F.sum(c).over(window) for c, out in amounts.items()})
+    flagged = rows.join(F.broadcast(large.withColumn("_hot", F.lit(True))), keys, "left")
+    totals = sliced_total(flagged, keys, day, order, amounts, cut_every, F.coalesce("_hot", F.lit(False)))
+    return totals.drop("_hot")
+
 
-    earlier = Window.partitionBy(*keys).orderBy(day, "_slot").rowsBetween(Window.unboundedPreceding, -1)
+def sliced_total(
+    rows: DataFrame, keys: list[str], day: str, order: list[str], amounts: dict[str, str], cut_every: int, is_hot: Column
+) -> DataFrame:
+    """The running totals with the keys for which ``is_hot`` cut by day, and their large days cut again.
+
+    The totals of the slices are summed up first, and each slice starts from what came before it.  Cuts
+    decide only where slices end, never the result.
+    """
+    sliced = cut_days(rows, keys, day, order, cut_every, is_hot).withColumn("_from", F.when(is_hot, F.col(day)))
+    slice_key = [*keys, "_from", "_slot"]
+    earlier = Window.partitionBy(*keys).orderBy("_from", "_slot").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        sliced.groupBy(*slice_key)
+        sliced.filter(is_hot).groupBy(*slice_key)
         .agg(*(F.sum(c).alias(f"_{c}") for c in amounts))
-        .select(*slice_key, *(F.coalesce(F.sum(f"_{c}").over(earlier), F.lit(0)).alias(f"_before_{c}") for c in amounts))
+        .select(*slice_key, *(F.sum(f"_{c}").over(earlier).alias(f"_before_{c}") for c in amounts))
     )
-    inside = Window.partitionBy(*slice_key).orderBy(*order)
+    inside = Window.partitionBy(*slice_key).orderBy(day, *order)
     return (
-        sliced.join(carried, slice_key)
-        .withColumns({out: F.col(f"_before_{c}") + F.sum(c).over(inside) for c, out in amounts.items()})
-        .drop("_slot", *(f"_before_{c}" for c in amounts))
+        sliced.join(carried, slice_key, "left")
+        .withColumns({out: F.coalesce(f"_before_{c}", F.lit(0)) + F.sum(c).over(inside) for c, out in amounts.items()})
+        .drop("_from", "_slot", *(f"_before_{c}" for c in amounts))
     )

@@ -103,12 +103,18 @@ def selling_price(t: Tables) -> DataFrame:
     )
 
 
-def item_years(t: Tables) -> DataFrame:
-    """Items with the production years seen in live ledger rows; an item without any gets the blank year."""
-    seen = normalize_dim(live(t.stock_ledger_entry)).select(*ITEM_YEAR).distinct()
-    return normalize_dim(t.item.drop("item_code").join(seen.withColumnRenamed("item_code", "name"), "name", "left")).withColumn(
-        "item_code", F.col("name")
+def item_years(t: Tables, as_of: str | None = None) -> DataFrame:
+    """Items with the production years seen in live ledger rows; an item without any gets the blank year.
+
+    ``actual_qty`` is the quantity on hand at ``as_of`` where that is positive, found in the same pass.
+    """
+    in_time = F.lit(True) if as_of is None else F.col("posting_date") <= F.lit(as_of).cast("date")
+    seen = (
+        normalize_dim(live(t.stock_ledger_entry)).groupBy(*ITEM_YEAR)
+        .agg(F.sum(F.when(in_time, F.col("actual_qty"))).alias("_qty"))
+        .select(F.col("item_code").alias("name"), "production_year", F.when(F.col("_qty") > 0, F.col("_qty")).alias("actual_qty"))
     )
+    return normalize_dim(t.item.join(seen, "name", "left").withColumn("item_code", F.col("name")))
 
 
 def cogs_by_item(t: Tables, from_date: str, to_date: str) -> DataFrame:
@@ -139,12 +145,13 @@ def stock_movements(t: Tables, from_date: str, to_date: str) -> DataFrame:
     opening_docs = submitted(t.stock_reconciliation).filter("purpose = 'Opening Stock'").select(
         F.col("name").alias("voucher_no"), F.date_sub("posting_date", 1).alias("_opening_date")
     )
-    rows = live(t.stock_ledger_entry).join(opening_docs, "voucher_no", "left")
+    # Whatever counts was posted by the end of the period, openings included.
+    rows = up_to(live(t.stock_ledger_entry), to_date).join(opening_docs, "voucher_no", "left")
     date, kind, qty = F.col("posting_date"), F.col("voucher_type"), F.col("actual_qty")
     in_period = date.between(first, last)
     return rows.groupBy("item_code").agg(
         F.sum(F.when(F.coalesce("_opening_date", date) < first, qty)).alias("opening_stock"),
         F.sum(F.when(in_period & kind.isin(*PURCHASE_VOUCHERS), qty)).alias("purchases"),
         F.sum(F.when(in_period & kind.isin(*SALES_VOUCHERS), -qty)).alias("sales"),
-        F.sum(F.when(date <= last, qty)).alias("ending_stock"),
+        F.sum(qty).alias("ending_stock"),
     )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import ratio, year_or_blank
 from ledgerloom.functions.predicates import live
-from ledgerloom.operators.running import cut_days, running_total
+from ledgerloom.operators.running import cut_days, large_keys, sliced_total
 from ledgerloom.session import checkpoint_dir
 from ledgerloom.sources.tables import Tables
 
@@ -119,7 +119,7 @@ def moving_average_valuation(t: Tables, rows_per_slice: int = ROWS_PER_SLICE) ->
     ledger = _ledger(t)
     zero = F.lit(0.0)
     # At most one long chain per rows_per_slice ledger rows.
-    long_chains = ledger.groupBy(*KEYS).count().filter(F.col("count") > rows_per_slice).select(*KEYS)
+    long_chains = large_keys(ledger, KEYS, rows_per_slice)
     if long_chains.isEmpty():
         return _folded(_for_fold(ledger, zero, zero, zero, F.lit(0)))
     checkpoint_dir(ledger.sparkSession)
@@ -134,12 +134,12 @@ def moving_average_valuation(t: Tables, rows_per_slice: int = ROWS_PER_SLICE) ->
 def _slices(rows: DataFrame, rows_per_slice: int) -> DataFrame:
     """Rows with the quantity before them and the number of their slice."""
     tie_break = ["voucher_no", "name"]
-    resets = F.col("_set_to").isNotNull()
+    resets, all_rows = F.col("_set_to").isNotNull(), F.lit(True)
     rows = rows.withColumns({"_reset": resets.cast("int"), "_move": F.coalesce("_set_to", "actual_qty")})
-    rows = running_total(rows, KEYS, "posting_date", tie_break, {"_reset": "_segment"})
-    rows = running_total(rows, [*KEYS, "_segment"], "posting_date", tie_break, {"_move": "_after"})
+    rows = sliced_total(rows, KEYS, "posting_date", tie_break, {"_reset": "_segment"}, rows_per_slice, all_rows)
+    rows = sliced_total(rows, [*KEYS, "_segment"], "posting_date", tie_break, {"_move": "_after"}, rows_per_slice, all_rows)
     rows = rows.withColumn("_before", F.when(resets, F.lit(0)).otherwise(F.col("_after") - F.col("_move")))
-    parts = cut_days(rows, KEYS, "posting_date", tie_break, rows_per_slice)
+    parts = cut_days(rows, KEYS, "posting_date", tie_break, rows_per_slice, all_rows)
     part = [*KEYS, "posting_date", "_slot"]
     earlier = Window.partitionBy(*KEYS).orderBy("posting_date", "_slot").rowsBetween(Window.unboundedPreceding, -1)
     counts = parts.groupBy(*part).agg(F.count("*").alias("_n"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import doubles, or_zero
-from ledgerloom.functions.predicates import live, only, up_to
+from ledgerloom.functions.predicates import live, only, up_to, within
 from ledgerloom.operators import gl as G
 from ledgerloom.sources.tables import Tables
 
@@ -41,7 +41,7 @@ def _lines(t: Tables, ledger: DataFrame, keys: list[str], key_list: DataFrame, f
         F.lit(None).cast("string").alias("remarks"),
     )
     rows = opening.withColumn("row_kind", F.lit(G.OPENING_ROW)).unionByName(period.withColumn("row_kind", F.lit(G.PERIOD_ROW)))
-    lines = G.translate_voucher_type(G.running_balance(rows, keys), t)
+    lines = G.translate_voucher_type(G.running_balance(rows, keys, within(live(ledger), from_date, to_date)), t)
     if not totals:
         return lines
     total = G.statement_total(period, total_ledger or ledger, keys, to_date, key_list).select(

@@ -110,7 +110,7 @@ def item_ledger(t: Tables, from_date: str, to_date: str, items: list[str] | None
         {"_day": F.coalesce("posting_date", F.lit("0001-01-01").cast("date")), "_move": F.col("qty_in") - F.col("qty_out")}
     )
     # Ordered by date and number only: the rows of one voucher share the balance after it.
-    lines = running_total(rows, ["item_code"], "_day", ["voucher_no"], {"_move": "balance"})
+    lines = running_total(rows, ["item_code"], "_day", ["voucher_no"], {"_move": "balance"}, within(ledger, from_date, to_date))
     names = t.item.select(F.col("name").alias("item_code"), "item_name")
     lines = G.translate_voucher_type(lines, t).join(names, "item_code", "left")
     return doubles(lines, "qty_in", "qty_out", "balance").select(

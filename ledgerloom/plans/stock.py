@@ -125,12 +125,11 @@ def stock_balance_prices(
 ) -> DataFrame:
     """Stock, reservations, expected goods and price; with ``minimum_qty`` at most 0 also items without stock."""
     wanted = [b.strip() for b in brands or [] if b.strip()]
-    items = S.item_years(t).filter("is_stock_item = 1")
+    items = S.item_years(t, as_of).filter("is_stock_item = 1")
     if wanted:
         items = items.filter(F.col("brand").isin(wanted))
     rows = (
-        items.join(S.stock_qty(t, as_of, positive=True), S.ITEM_YEAR, "left")
-        .join(S.reserved_qty(t, as_of), S.ITEM_YEAR, "left")
+        items.join(S.reserved_qty(t, as_of), S.ITEM_YEAR, "left")
         .join(S.virtual_receipt_qty(t), S.ITEM_YEAR, "left")
         .withColumns({c: or_zero(c) for c in ("actual_qty", "qty_to_deliver", "qty_to_receive")})
         .withColumn("available_qty", F.col("actual_qty") - F.col("qty_to_deliver"))

@@ -47,6 +47,12 @@ class Tables:
 
     @classmethod
     def from_star_schema(cls, spark: SparkSession, sf_dir: str) -> Tables:
-        """The business views over ``sf_dir/*.parquet``."""
-        raw = {t: f"parquet.`{sf_dir}/{t}.parquet`" for t in erp_views.RAW_TABLES}
-        return cls(lambda name: spark.sql(f"{erp_views.with_clause([name], raw)}\nSELECT * FROM {name}"))
+        """The business views over ``sf_dir/*.parquet``.  Each raw file is looked up once for all views."""
+        raw = cls(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+
+        def view(name: str) -> DataFrame:
+            text = erp_views.with_clause([name], {table: f"{{{table}}}" for table in erp_views.RAW_TABLES})
+            used = {table: getattr(raw, table) for table in erp_views.RAW_TABLES if f"{{{table}}}" in text}
+            return spark.sql(f"{text}\nSELECT * FROM {name}", **used)
+
+        return cls(view)

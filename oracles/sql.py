@@ -101,7 +101,7 @@ MOVES = f"""q_moves AS (
     sum(e.actual_qty) FILTER (WHERE e.posting_date <= {TO}) AS ending_stock
   FROM stock_ledger_entry e LEFT JOIN (SELECT name, posting_date - 1 AS d FROM stock_reconciliation
     WHERE docstatus = 1 AND purpose = 'Opening Stock') r ON e.voucher_no = r.name
-  WHERE e.is_cancelled = 0 GROUP BY 1)"""
+  WHERE e.is_cancelled = 0 AND e.posting_date <= {TO} GROUP BY 1)"""
 ITEM_MOVES = f"""{MOVES}, q_im AS (
   SELECT i.*, coalesce(m.opening_stock, 0) AS o, coalesce(m.purchases, 0) AS p, coalesce(m.sales, 0) AS s, coalesce(m.ending_stock, 0) AS e
   FROM item i LEFT JOIN q_moves m ON i.name = m.item_code
