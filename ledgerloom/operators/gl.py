@@ -14,8 +14,8 @@ OPENING = "Opening"
 TOTAL_LABEL = "الإجمالي"
 OPENING_REMARK = ("رصيد إفتتاحي - عميل (", ")")
 OPENING_ROW, PERIOD_ROW, TOTAL_ROW = 0, 1, 2
-# Stands for "before every date", since the opening row has no date of its own.
-_BEFORE_ALL = "0001-01-01"
+# Stand for "before every date" and "after every date", since opening and total rows have no date of their own.
+_BEFORE_ALL, _AFTER_ALL = "0001-01-01", "9999-12-31"
 
 
 def custom_voucher_map(t: Tables, from_date: str | None = None, to_date: str | None = None) -> DataFrame:
@@ -110,14 +110,77 @@ def translate_voucher_type(df: DataFrame, t: Tables, language: str = "ar") -> Da
     )
 
 
-def running_balance(rows: DataFrame, keys: list[str], ledger: DataFrame) -> DataFrame:
-    """Debit minus credit up to each row by (date, number, remark); rows without a date come first.
+def key_balances(
+    ledger: DataFrame, keys: list[str], from_date: str, to_date: str, key_list: DataFrame, own: Column | None = None
+) -> DataFrame:
+    """Opening debit and credit and the closing balance of every key in one pass; see ``opening_balance``.
+
+    ``own`` narrows the opening, not the closing balance, to some of the rows.
+    """
+    opening = _is_opening(from_date) if own is None else own & _is_opening(from_date)
+    closing = F.col("posting_date") <= F.lit(to_date).cast("date")
+    debit, credit = F.col("debit"), F.col("credit")
+    rows = live(ledger).filter(opening | closing).select(
+        *keys, F.when(opening, debit).alias("debit"), F.when(opening, credit).alias("credit"),
+        F.when(closing, debit - credit).alias("closing"),
+    )
+    nothing = key_list.select(*keys, *(F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields if f.name not in keys))
+    sums = {c: F.sum(c) for c in ("debit", "credit", "closing")}
+    return rows.unionByName(nothing).groupBy(*keys).agg(
+        *(F.coalesce(sums[c], F.lit(0)).alias(c) for c in ("debit", "credit")), sums["closing"].alias("closing")
+    )
+
+
+def statement_lines(
+    balances: DataFrame, period: DataFrame, keys: list[str], ledger: DataFrame, totals: bool = True
+) -> DataFrame:
+    """Opening, period and total rows of every key, with the balance after each.
 
-    ``ledger`` is what the rows were summed from; its row counts show which keys are large.
+    The opening row comes before every date and the total row after it, so that one running pass gives the
+    balances and, at the total row, the sums of the period (NULL without period rows).  The total's balance is
+    the closing balance of the ledger, found independently.  ``ledger`` is what the period was summed from; its
+    row counts show which keys are large.
     """
-    day = F.coalesce("posting_date", F.lit(_BEFORE_ALL).cast("date"))
-    rows = rows.withColumns({"_day": day, "_move": F.col("debit") - F.col("credit")})
-    return running_total(rows, keys, "_day", ["voucher_no", "remarks"], {"_move": "balance"}, ledger).drop("_day", "_move")
+    amount = "decimal(38,6)"
+    no_date, no_text = F.lit(None).cast("date"), F.lit(None).cast("string")
+
+    def mark(kind: int, day: str, label: Column, debit: Column, credit: Column, closing: Column) -> Column:
+        return F.struct(
+            F.lit(kind).alias("row_kind"), F.lit(day).cast("date").alias("_day"), no_date.alias("posting_date"),
+            label.alias("voucher_type"), no_text.alias("voucher_no"), debit.cast(amount).alias("debit"),
+            credit.cast(amount).alias("credit"), no_text.alias("remarks"), closing.cast(amount).alias("closing"),
+        )
+
+    nothing = F.lit(None)
+    marks = [mark(OPENING_ROW, _BEFORE_ALL, F.lit(OPENING), F.col("debit"), F.col("credit"), nothing)]
+    if totals:
+        marks.append(mark(TOTAL_ROW, _AFTER_ALL, no_text, F.lit(0), F.lit(0), F.col("closing")))
+    movements = period.select(
+        *keys, F.lit(PERIOD_ROW).alias("row_kind"), F.col("posting_date").alias("_day"), "posting_date", "voucher_type", "voucher_no",
+        F.col("debit").cast(amount).alias("debit"), F.col("credit").cast(amount).alias("credit"), "remarks",
+        nothing.cast(amount).alias("closing"),
+    )
+    rows = balances.select(*keys, F.inline(F.array(*marks))).unionByName(movements)
+    moved, total = F.col("row_kind") == PERIOD_ROW, F.col("row_kind") == TOTAL_ROW
+    zero = F.lit(0).cast(amount)
+    rows = rows.withColumns(
+        {
+            "_move": F.col("debit") - F.col("credit"), "_debit": F.when(moved, F.col("debit")).otherwise(zero),
+            "_credit": F.when(moved, F.col("credit")).otherwise(zero), "_n": moved.cast("long"),
+        }
+    )
+    sums = {"_move": "_balance", "_debit": "_period_debit", "_credit": "_period_credit", "_n": "_rows"}
+    summed = running_total(rows, keys, "_day", ["voucher_no", "remarks"], sums if totals else {"_move": "_balance"}, ledger)
+    shown = {"balance": F.col("_balance")}
+    if totals:
+        any_row = F.col("_rows") > 0
+        shown = {
+            "balance": F.when(total, F.col("closing")).otherwise(F.col("_balance")),
+            "debit": F.when(total, F.when(any_row, F.col("_period_debit"))).otherwise(F.col("debit")),
+            "credit": F.when(total, F.when(any_row, F.col("_period_credit"))).otherwise(F.col("credit")),
+        }
+    columns = [*keys, "row_kind", "posting_date", "voucher_type", "voucher_no", "debit", "credit", "balance", "remarks"]
+    return summed.withColumns(shown).select(*columns)
 
 
 def statement_total(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import doubles, or_zero
@@ -27,29 +27,17 @@ def account_balances(t: Tables, as_of: str) -> DataFrame:
     return report.orderBy("parent_account", "account_number")
 
 
-def _lines(t: Tables, ledger: DataFrame, keys: list[str], key_list: DataFrame, from_date: str, to_date: str, by_remarks: bool = True,
-           total_ledger: DataFrame | None = None, totals: bool = True) -> DataFrame:
-    """Opening, period and total rows of every key with the running balance."""
-    period = G.period_transactions(ledger, t, keys, from_date, to_date, by_remarks)
-    wide = "decimal(38,6)"
-    period = period.withColumns({c: F.col(c).cast(wide) for c in ("debit", "credit")})
-    opening = G.opening_balance(ledger, keys, from_date, key_list).select(
-        *keys,
-        F.lit(None).cast("date").alias("posting_date"), F.lit(G.OPENING).alias("voucher_type"),
-        F.lit(None).cast("string").alias("voucher_no"),
-        F.col("debit").cast(wide).alias("debit"), F.col("credit").cast(wide).alias("credit"),
-        F.lit(None).cast("string").alias("remarks"),
-    )
-    rows = opening.withColumn("row_kind", F.lit(G.OPENING_ROW)).unionByName(period.withColumn("row_kind", F.lit(G.PERIOD_ROW)))
-    lines = G.translate_voucher_type(G.running_balance(rows, keys, within(live(ledger), from_date, to_date)), t)
-    if not totals:
-        return lines
-    total = G.statement_total(period, total_ledger or ledger, keys, to_date, key_list).select(
-        *keys, F.lit(None).cast("date").alias("posting_date"), F.lit(None).cast("string").alias("voucher_type"),
-        F.lit(None).cast("string").alias("voucher_no"), *_AMOUNTS, F.lit(None).cast("string").alias("remarks"),
-        F.lit(G.TOTAL_ROW).alias("row_kind"), F.lit(G.TOTAL_LABEL).alias("translated_voucher_type"),
-    )
-    return lines.unionByName(total)
+def _lines(
+    t: Tables, ledger: DataFrame, keys: list[str], key_list: DataFrame, from_date: str, to_date: str, by_remarks: bool = True,
+    own: Column | None = None, totals: bool = True,
+) -> DataFrame:
+    """Opening, period and total rows of every key; ``own`` narrows all but the closing balance."""
+    narrowed = ledger if own is None else ledger.filter(own)
+    balances = G.key_balances(ledger, keys, from_date, to_date, key_list, own)
+    period = G.period_transactions(narrowed, t, keys, from_date, to_date, by_remarks)
+    lines = G.statement_lines(balances, period, keys, within(live(narrowed), from_date, to_date), totals)
+    label = F.when(F.col("row_kind") == G.TOTAL_ROW, F.lit(G.TOTAL_LABEL)).otherwise(F.col("translated_voucher_type"))
+    return G.translate_voucher_type(lines, t).withColumn("translated_voucher_type", label)
 
 
 def _accounts(t: Tables, accounts: list[str] | None) -> DataFrame:
@@ -88,10 +76,8 @@ def customer_statement(t: Tables, from_date: str, to_date: str, customers: list[
     """The statement of each customer, with the sales order behind each invoice."""
     named = only(t.customer_master, "name", customers).select(F.col("name").alias("customer"), "customer_name")
     by_party = only(t.gl_entry, "party", customers).filter("party IS NOT NULL").withColumnRenamed("party", "customer")
-    lines = _lines(
-        t, by_party.filter("party_type = 'Customer'"), ["customer"], named, from_date, to_date, by_remarks=False,
-        total_ledger=by_party,
-    )
+    is_customer = F.col("party_type") == "Customer"
+    lines = _lines(t, by_party, ["customer"], named, from_date, to_date, by_remarks=False, own=is_customer)
     links = G.invoice_order_link(t, from_date, to_date).select(
         F.lit("Sales Invoice").alias("voucher_type"), F.col("sales_invoice").alias("voucher_no"), "sales_order"
     )
