@@ -14,7 +14,7 @@ from ledgerloom.sources.tables import Tables
 FACETS = {
     "sales_order": ("delivery_status", "billing_status", "reservation_status"),
     "sales_invoice": ("is_return",),
-    "delivery_note": (),
+    "delivery_note": ("billing_status",),
     "stock_entry": ("stock_entry_type",),
     "purchase_receipt": ("virtual_receipt",),
     "receipt_voucher": (),
@@ -37,6 +37,16 @@ def document_counters(t: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, [counted(n, f) for n, f in FACETS.items()])
 
 
+def master_counters(t: Tables) -> DataFrame:
+    """How many accounts that everybody may see, and how many customers, are enabled or disabled."""
+    state = F.when(F.coalesce("disabled", F.lit(0)) == 1, "disabled").otherwise("enabled").alias("state")
+    accounts = t.account.filter("is_group = 0 AND restrict_account_view = 'No'")
+    return (
+        accounts.groupBy(F.lit("account").alias("document"), state).agg(F.count("*").alias("n"))
+        .unionByName(t.customer_master.groupBy(F.lit("customer").alias("document"), state).agg(F.count("*").alias("n")))
+    )
+
+
 def receipts_by_year(t: Tables) -> DataFrame:
     """Number, quantity and amount of receipts per year, submitted ones and expected ones."""
     qty = not_cancelled(t.purchase_receipt_item).groupBy(F.col("parent").alias("name")).agg(F.sum("qty").alias("_qty"))
@@ -46,8 +56,3 @@ def receipts_by_year(t: Tables) -> DataFrame:
         F.count("*").alias("receipts"), F.coalesce(F.sum("_qty"), F.lit(0)).cast("double").alias("qty"),
         F.sum("base_grand_total").cast("double").alias("amount"),
     )
-
-
-def visible_accounts(t: Tables) -> DataFrame:
-    """Counted accounts: ledgers that everybody may see."""
-    return t.account.filter("is_group = 0 AND restrict_account_view = 'No'").agg(F.count("*").alias("n"))

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.columns import or_zero, percent, percent_text
 from ledgerloom.functions.predicates import submitted, within
+from ledgerloom.operators.stock import cogs_by_item
 from ledgerloom.sources.tables import Tables
 
 
@@ -19,3 +21,10 @@ def sales_by(t: Tables, key: str, from_date: str, to_date: str) -> DataFrame:
     return (
         lines.join(invoices, "parent").groupBy(key).agg(F.sum("qty").alias("qty"), F.sum("net_amount").alias("net_amount"))
     )
+
+
+def item_markup(t: Tables, from_date: str, to_date: str) -> DataFrame:
+    """Markup on cost of each item sold or issued in the period, as a number and as text (NULL without cost)."""
+    both = sales_by(t, "item_code", from_date, to_date).join(cogs_by_item(t, from_date, to_date), "item_code", "full")
+    value = percent(or_zero("net_amount") - or_zero("cost"), or_zero("cost"))
+    return both.select("item_code", value.alias("markup_percent"), percent_text(value).alias("markup"))

@@ -42,6 +42,12 @@ def _period(t: Tables) -> DataFrame:
     return gl.period_transactions(t.gl_entry, t, ["account"], FROM, TO)
 
 
+def _running_balance(t: Tables) -> DataFrame:
+    balances = gl.key_balances(t.gl_entry, ["account"], FROM, TO, _account_key(t))
+    lines = gl.statement_lines(balances, _period(t), ["account"], t.gl_entry, totals=False)
+    return lines.select("account", "row_kind", "posting_date", "voucher_no", "remarks", "balance")
+
+
 def _priced(t: Tables) -> DataFrame:
     return pricing.price_metrics_refresh(t)
 
@@ -76,6 +82,8 @@ OPERATORS: dict[str, Callable[[Tables], DataFrame]] = {
     "opening_balance": lambda t: gl.opening_balance(t.gl_entry, ["account"], FROM, _account_key(t)),
     "period_transactions": _period,
     "statement_total": lambda t: gl.statement_total(_period(t), t.gl_entry, ["account"], TO, _account_key(t)),
+    "running_balance": _running_balance,
+    "translate_voucher_type": lambda t: gl.translate_voucher_type(_period(t), t).select("account", "voucher_type", "voucher_no", "translated_voucher_type"),
     "against_party": gl.against_party,
     "invoice_order_link": gl.invoice_order_link,
     "party_balance": lambda t: parties.party_balance(t, TO),
@@ -88,6 +96,8 @@ OPERATORS: dict[str, Callable[[Tables], DataFrame]] = {
     "cogs_by_item": lambda t: stock.cogs_by_item(t, FROM, TO),
     "cogs_by_customer": lambda t: stock.cogs_by_customer(t, FROM, TO),
     "movement_sums": lambda t: stock.stock_movements(t, FROM, TO),
+    "opening_stock_reclass": lambda t: stock.stock_movements(t, FROM, TO).select("item_code", "opening_stock"),
+    "markup_text": lambda t: sales.item_markup(t, FROM, TO),
     "with_total_row": _total_row,
     # reports
     "account_balances": lambda t: accounts.account_balances(t, TO),
@@ -161,6 +171,7 @@ OPERATORS: dict[str, Callable[[Tables], DataFrame]] = {
         "name", "margin_type", "margin_rate_or_amount", "rate_with_margin", "discount_percentage", "discount_amount"),
     "adjustment_lines": fulfilment.adjustment_lines,
     "document_counters": counters.document_counters,
+    "master_counters": counters.master_counters,
     "receipts_by_year": counters.receipts_by_year,
     "filter_spec": lambda t: filter_spec(t.item_price, PRICE_FILTER).select("name", "price_list_rate", "packing_unit"),
     "receipt_list": fulfilment.receipt_list,

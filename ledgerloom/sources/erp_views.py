@@ -44,7 +44,8 @@ FROM {part} WHERE p_size < 45""",
     "customer_master": """
 SELECT 'C-' || cast(c_custkey AS string) AS name, c_name AS customer_name, c_mktsegment AS customer_group,
   CASE WHEN c_nationkey % 5 = 0 THEN NULL ELSE 'T' || cast(c_nationkey % 5 * 30 AS string) END AS payment_terms,
-  CASE WHEN c_custkey % 10 = 0 THEN 1 ELSE 0 END AS bypass_overdue_check
+  CASE WHEN c_custkey % 10 = 0 THEN 1 ELSE 0 END AS bypass_overdue_check,
+  CASE WHEN c_acctbal < -900 THEN 1 ELSE 0 END AS disabled
 FROM {customer}""",
     "payment_terms_detail": """
 SELECT 'T30' AS parent, 30 AS credit_days UNION ALL SELECT 'T60', 60 UNION ALL SELECT 'T60', 45
@@ -133,7 +134,8 @@ FROM {{lineitem}}""",
 SELECT 'DN-' || cast(o_orderkey AS string) AS name, 'C-' || cast(o_custkey AS string) AS customer,
   cast(o_orderdate AS date) + 7 AS posting_date,
   CASE WHEN o_orderkey % 30 = 0 THEN 2 WHEN o_orderkey % 30 = 13 THEN 0 ELSE 1 END AS docstatus,
-  'WH-' || cast(o_orderkey % 3 AS string) AS set_warehouse
+  'WH-' || cast(o_orderkey % 3 AS string) AS set_warehouse,
+  CASE o_orderstatus WHEN 'F' THEN 'Fully Billed' WHEN 'P' THEN 'Partly Billed' ELSE 'Not Billed' END AS billing_status
 FROM {{orders}} WHERE NOT ({_UPDATES_STOCK})""",
     "delivery_note_item": f"""
 SELECT 'DNI-' || {_LINE} AS name, 'DN-' || cast(l_orderkey AS string) AS parent,
@@ -213,12 +215,12 @@ SELECT DISTINCT 'SR-' || cast(p_partkey % 5 AS string) AS name, DATE '1997-01-01
 FROM {part}""",
     "account": """
 SELECT 'A-1000' AS name, '1000' AS account_number, 'Cash' AS account_name, 'Assets' AS parent_account, 0 AS is_group,
-  'No' AS restrict_account_view, 'Cash' AS account_type
-UNION ALL SELECT 'A-1100', '1100', 'Receivable', 'Assets', 0, 'No', 'Receivable'
-UNION ALL SELECT 'A-4000', '4000', 'Sales', 'Income', 0, 'No', 'Income'
-UNION ALL SELECT 'A-5000', '5000', 'Unused', 'Expenses', 0, 'No', 'Expense'
-UNION ALL SELECT 'A-9000', '9000', 'Hidden', 'Income', 0, 'Yes', NULL
-UNION ALL SELECT 'A-1', '1', 'Assets', NULL, 1, 'No', NULL""",
+  'No' AS restrict_account_view, 'Cash' AS account_type, 0 AS disabled
+UNION ALL SELECT 'A-1100', '1100', 'Receivable', 'Assets', 0, 'No', 'Receivable', 0
+UNION ALL SELECT 'A-4000', '4000', 'Sales', 'Income', 0, 'No', 'Income', 0
+UNION ALL SELECT 'A-5000', '5000', 'Unused', 'Expenses', 0, 'No', 'Expense', 1
+UNION ALL SELECT 'A-9000', '9000', 'Hidden', 'Income', 0, 'Yes', NULL, 0
+UNION ALL SELECT 'A-1', '1', 'Assets', NULL, 1, 'No', NULL, 0""",
     "singles": """
 SELECT 'Selling Settings' AS doctype, 'selling_price_list' AS field, 'Standard Selling' AS value
 UNION ALL SELECT 'Buying Settings', 'buying_price_list', 'Buying'""",

@@ -22,7 +22,7 @@ TABLES: dict[str, str] = {
     "item": "name string, item_code string, item_name string, brand string, item_group string, country_of_origin string, "
     "tire_size string, ply_rating int, is_stock_item int, description string",
     "tire_size": "name string, sorting_code string",
-    "customer_master": "name string, customer_name string, customer_group string, payment_terms string, bypass_overdue_check int",
+    "customer_master": "name string, customer_name string, customer_group string, payment_terms string, bypass_overdue_check int, disabled int",
     "payment_terms_detail": "parent string, credit_days int",
     "customer_credit_limit": f"parent string, parenttype string, credit_limit {_MONEY}",
     "sales_order": f"name string, customer string, transaction_date date, docstatus int, status string, reservation_status string, "
@@ -38,7 +38,7 @@ TABLES: dict[str, str] = {
     "sales_invoice_item": f"name string, parent string, docstatus int, item_code string, sales_order string, production_year string, "
     f"qty {_QTY}, net_amount {_MONEY}, rate double, net_rate double, incoming_rate double, so_detail string, dn_detail string, "
     "delivery_note string",
-    "delivery_note": "name string, customer string, posting_date date, docstatus int, set_warehouse string",
+    "delivery_note": "name string, customer string, posting_date date, docstatus int, set_warehouse string, billing_status string",
     "delivery_note_item": f"name string, parent string, docstatus int, item_code string, production_year string, qty {_QTY}, "
     f"billed_qty {_QTY}, rate double, price_list_rate double, so_detail string, against_sales_order string",
     "purchase_receipt": f"name string, title string, posting_date date, docstatus int, is_return int, virtual_receipt int, "
@@ -67,7 +67,7 @@ TABLES: dict[str, str] = {
     "price_list": "name string, selling int",
     "singles": "doctype string, field string, value string",
     "account": "name string, account_number string, account_name string, parent_account string, is_group int, "
-    "restrict_account_view string, account_type string",
+    "restrict_account_view string, account_type string, disabled int",
     "payment_entry": f"name string, docstatus int, posting_date date, party string, unallocated_amount {_MONEY}, "
     "custom_voucher_type string, custom_voucher_no string",
     "journal_entry": "name string, docstatus int, posting_date date, custom_voucher_type string, custom_voucher_no string, "

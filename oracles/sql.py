@@ -365,7 +365,7 @@ def counter(table: str, *facets: str) -> str:
 
 COUNTERS = " UNION ALL ".join([
     counter("sales_order", "delivery_status", "billing_status", "reservation_status"), counter("sales_invoice", "is_return"),
-    counter("delivery_note"), counter("stock_entry", "stock_entry_type"), counter("purchase_receipt", "virtual_receipt"),
+    counter("delivery_note", "billing_status"), counter("stock_entry", "stock_entry_type"), counter("purchase_receipt", "virtual_receipt"),
     counter("receipt_voucher"), counter("payment_voucher"), counter("transfer_voucher"), counter("clearing_voucher"),
     counter("debt_voucher"), counter("sales_adjustment_request"),
 ])
@@ -396,6 +396,10 @@ WHERE i.docstatus = 1 AND o.docstatus = 1 AND o.status NOT IN ('Completed', 'Clo
 {D('debit')} AS debit, {D('credit')} AS credit FROM q_period""",
     "statement_total": f"""WITH {statement('gl_entry', 'account', _ACCOUNT_KEYS, True, 'gl_entry')}
 SELECT account, {D('debit')} AS debit, {D('credit')} AS credit, {D('balance')} AS balance FROM q_lines WHERE row_kind = 2""",
+    "running_balance": f"""WITH {statement('gl_entry', 'account', _ACCOUNT_KEYS)}
+SELECT account, row_kind, posting_date, voucher_no, remarks, {D('balance')} AS balance FROM q_lines""",
+    "translate_voucher_type": f"""WITH {period('gl_entry', 'account')}, {WORDS}
+SELECT account, voucher_type, voucher_no, coalesce(w.word, voucher_type) AS translated_voucher_type FROM q_period LEFT JOIN q_words w ON voucher_type = w.source_text""",
     "against_party": """SELECT 'Transfer Voucher' AS voucher_type, name AS voucher_no, paid_to AS against FROM transfer_voucher WHERE docstatus = 1
 UNION ALL SELECT 'Payment Voucher', name, CASE WHEN party_type IS NOT NULL AND party_type <> '' THEN party_name ELSE paid_to END FROM payment_voucher WHERE docstatus = 1
 UNION ALL SELECT 'Receipt Voucher', name, CASE WHEN party_type IS NOT NULL AND party_type <> '' THEN party_name ELSE paid_from END FROM receipt_voucher WHERE docstatus = 1
@@ -415,6 +419,17 @@ WHERE i.docstatus = 1 AND s.docstatus = 1 AND i.qty > 0 AND s.is_return = 0 AND
 {D('ending_stock')} AS ending_stock FROM q_moves""",
 }
 
+ORACLES |= {
+    "opening_stock_reclass": f"WITH {MOVES} SELECT item_code, {D('opening_stock')} AS opening_stock FROM q_moves",
+    "markup_text": f"""WITH {sales('i.item_code')}, {COGS_ITEM}, q_m AS (
+  SELECT coalesce(s.item_code, c.item_code) AS item_code, coalesce(s.net_amount, 0) AS a, coalesce(c.cost, 0) AS c
+  FROM q_sales s FULL JOIN q_cogs c ON s.item_code = c.item_code)
+SELECT item_code, {R(f"{ratio('a - c', 'c')} * 100", 1)} AS markup_percent, {percent_text('a - c', 'c')} AS markup FROM q_m""",
+    "master_counters": """SELECT 'account' AS document, CASE WHEN disabled = 1 THEN 'disabled' ELSE 'enabled' END AS state, count(*) AS n
+FROM account WHERE is_group = 0 AND restrict_account_view = 'No' GROUP BY 1, 2
+UNION ALL SELECT 'customer', CASE WHEN disabled = 1 THEN 'disabled' ELSE 'enabled' END, count(*) FROM customer_master GROUP BY 1, 2""",
+}
+
 _ACCOUNT_BALANCES = f"""SELECT a.account_number, a.account_name, a.parent_account,
   {D('CASE WHEN coalesce(g.d, 0) > coalesce(g.c, 0) THEN g.d - g.c ELSE 0 END')} AS debit,
   {D('CASE WHEN coalesce(g.c, 0) > coalesce(g.d, 0) THEN g.c - g.d ELSE 0 END')} AS credit
