@@ -9,26 +9,40 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1 << 22
 # One row in this many becomes a cut point inside a day of a large key.
 CUT_EVERY = 1 << 20
+# Tables of keys and cuts are broadcast up to this many rows and joined by shuffle beyond.
+BROADCAST_ROWS = 1 << 20
+
+
+def _small(df: DataFrame, rows: float) -> DataFrame:
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
 def large_keys(rows: DataFrame, keys: list[str], more_than: int) -> DataFrame:
-    """Keys with more than ``more_than`` rows; there is at most one for so many rows."""
-    return rows.groupBy(*keys).count().filter(F.col("count") > more_than).select(*keys)
+    """Keys with more than ``more_than`` rows and how many; there is at most one for so many rows."""
+    return rows.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > more_than)
+
 
+def size_of(large: DataFrame) -> tuple[int, int]:
+    """How many large keys there are and how many rows they have together; runs at once."""
+    found = large.agg(F.count("*"), F.coalesce(F.sum("_rows"), F.lit(0))).first()
+    return found[0], found[1]
 
-def cut_days(rows: DataFrame, keys: list[str], day: str, order: list[str], cut_every: int, where: Column) -> DataFrame:
+
+def cut_days(
+    rows: DataFrame, keys: list[str], day: str, order: list[str], cut_every: int, where: Column, n_rows: int
+) -> DataFrame:
     """Adds ``_slot``, the part of its day a row belongs to, in the order of the ``order`` columns.
 
     Days are cut at some of their own values of these columns, picked by a hash so that every attempt of a
     task picks the same.  Rows with the same values stay together.  Most days have no cut and are one slot.
-    There is one cut in ``cut_every`` rows, which bounds what is broadcast.
+    Of the ``n_rows`` rows for which ``where`` holds about one in ``cut_every`` becomes a cut.
     """
     value = F.struct(*order)
     picked = rows.filter(where & (F.pmod(F.xxhash64(value), F.lit(cut_every)) == 0))
     cuts = picked.groupBy(*keys, day).agg(F.collect_set(value).alias("_cuts"))
     slot = F.size(F.filter("_cuts", lambda c: c < value))
     return (
-        rows.join(F.broadcast(cuts), [*keys, day], "left")
+        rows.join(_small(cuts, n_rows / cut_every), [*keys, day], "left")
         .withColumn("_slot", F.when(F.col("_cuts").isNull(), 0).otherwise(slot))
         .drop("_cuts")
     )
@@ -46,23 +60,25 @@ def running_total(
     keys, say a cash account with a third of the ledger, are cut into slices (see ``sliced_total``).
     """
     large = large_keys(sizes, keys, hot_rows)
-    if large.isEmpty():
+    n_keys, n_rows = size_of(large)
+    if n_keys == 0:
         window = Window.partitionBy(*keys).orderBy(day, *order)
         return rows.withColumns({out: F.sum(c).over(window) for c, out in amounts.items()})
-    flagged = rows.join(F.broadcast(large.withColumn("_hot", F.lit(True))), keys, "left")
-    totals = sliced_total(flagged, keys, day, order, amounts, cut_every, F.coalesce("_hot", F.lit(False)))
+    flagged = rows.join(_small(large.select(*keys, F.lit(True).alias("_hot")), n_keys), keys, "left")
+    totals = sliced_total(flagged, keys, day, order, amounts, cut_every, F.coalesce("_hot", F.lit(False)), n_rows)
     return totals.drop("_hot")
 
 
 def sliced_total(
-    rows: DataFrame, keys: list[str], day: str, order: list[str], amounts: dict[str, str], cut_every: int, is_hot: Column
+    rows: DataFrame, keys: list[str], day: str, order: list[str], amounts: dict[str, str], cut_every: int, is_hot: Column,
+    n_rows: int,
 ) -> DataFrame:
     """The running totals with the keys for which ``is_hot`` cut by day, and their large days cut again.
 
-    The totals of the slices are summed up first, and each slice starts from what came before it.  Cuts
-    decide only where slices end, never the result.
+    ``n_rows`` is how many rows such keys have.  The totals of the slices are summed up first, and each slice
+    starts from what came before it.  Cuts decide only where slices end, never the result.
     """
-    sliced = cut_days(rows, keys, day, order, cut_every, is_hot).withColumn("_from", F.when(is_hot, F.col(day)))
+    sliced = cut_days(rows, keys, day, order, cut_every, is_hot, n_rows).withColumn("_from", F.when(is_hot, F.col(day)))
     slice_key = [*keys, "_from", "_slot"]
     earlier = Window.partitionBy(*keys).orderBy("_from", "_slot").rowsBetween(Window.unboundedPreceding, -1)
     carried = (

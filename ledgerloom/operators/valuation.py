@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import ratio, year_or_blank
 from ledgerloom.functions.predicates import live
-from ledgerloom.operators.running import cut_days, large_keys, sliced_total
+from ledgerloom.operators.running import cut_days, large_keys, size_of, sliced_total
 from ledgerloom.session import checkpoint_dir
 from ledgerloom.sources.tables import Tables
 
@@ -120,26 +120,27 @@ def moving_average_valuation(t: Tables, rows_per_slice: int = ROWS_PER_SLICE) ->
     zero = F.lit(0.0)
     # At most one long chain per rows_per_slice ledger rows.
     long_chains = large_keys(ledger, KEYS, rows_per_slice)
-    if long_chains.isEmpty():
+    n_chains, n_rows = size_of(long_chains)
+    if n_chains == 0:
         return _folded(_for_fold(ledger, zero, zero, zero, F.lit(0)))
     checkpoint_dir(ledger.sparkSession)
-    long_chains = long_chains.checkpoint()
+    long_chains = long_chains.select(*KEYS).checkpoint()
     short = _for_fold(ledger.join(long_chains, KEYS, "left_anti"), zero, zero, zero, F.lit(0))
-    sliced = _slices(ledger.join(long_chains, KEYS), rows_per_slice).checkpoint()
+    sliced = _slices(ledger.join(long_chains, KEYS), rows_per_slice, n_rows).checkpoint()
     entries = _settle(sliced, _first_guess(sliced))
     long_rows = _for_fold(sliced.join(entries, SLICE), F.col("_entry_qty"), F.col("_entry"), F.col("_entry_value"), F.col("_slice"))
     return _folded(short.unionByName(long_rows))
 
 
-def _slices(rows: DataFrame, rows_per_slice: int) -> DataFrame:
+def _slices(rows: DataFrame, rows_per_slice: int, n_rows: int) -> DataFrame:
     """Rows with the quantity before them and the number of their slice."""
     tie_break = ["voucher_no", "name"]
     resets, all_rows = F.col("_set_to").isNotNull(), F.lit(True)
     rows = rows.withColumns({"_reset": resets.cast("int"), "_move": F.coalesce("_set_to", "actual_qty")})
-    rows = sliced_total(rows, KEYS, "posting_date", tie_break, {"_reset": "_segment"}, rows_per_slice, all_rows)
-    rows = sliced_total(rows, [*KEYS, "_segment"], "posting_date", tie_break, {"_move": "_after"}, rows_per_slice, all_rows)
+    rows = sliced_total(rows, KEYS, "posting_date", tie_break, {"_reset": "_segment"}, rows_per_slice, all_rows, n_rows)
+    rows = sliced_total(rows, [*KEYS, "_segment"], "posting_date", tie_break, {"_move": "_after"}, rows_per_slice, all_rows, n_rows)
     rows = rows.withColumn("_before", F.when(resets, F.lit(0)).otherwise(F.col("_after") - F.col("_move")))
-    parts = cut_days(rows, KEYS, "posting_date", tie_break, rows_per_slice, all_rows)
+    parts = cut_days(rows, KEYS, "posting_date", tie_break, rows_per_slice, all_rows, n_rows)
     part = [*KEYS, "posting_date", "_slot"]
     earlier = Window.partitionBy(*KEYS).orderBy("posting_date", "_slot").rowsBetween(Window.unboundedPreceding, -1)
     counts = parts.groupBy(*part).agg(F.count("*").alias("_n"))

@@ -14,6 +14,7 @@ from ledgerloom.operators import atp, counters, export, fulfilment, gl, parties,
 from ledgerloom.plans import accounts, customers, items
 from ledgerloom.plans import stock as stock_reports
 from ledgerloom.session import checkpoint_dir
+from ledgerloom.sources.erp_views import RAW_TABLES
 from ledgerloom.sources.tables import Tables
 from ledgerloom.streaming.price_metrics import PriceLog, price_metrics_stream
 
@@ -185,8 +186,7 @@ OPERATORS: dict[str, Callable[[Tables], DataFrame]] = {
 
 def streamed_price_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw line table read as a stream of ledger changes, price rows refreshed for all items in it."""
-    schema = spark.read.parquet(f"{sf_dir}/lineitem.parquet").schema
-    lines = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
+    lines = spark.readStream.schema(RAW_TABLES["lineitem"]).option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
     touched = lines.select(F.concat(F.lit("I-"), F.col("l_partkey").cast("string")).alias("item_code"))
     root = f"{checkpoint_dir(spark)}/price-metrics-{uuid.uuid4().hex}"
     log = PriceLog(spark, f"{root}/log")

@@ -47,8 +47,8 @@ class Tables:
 
     @classmethod
     def from_star_schema(cls, spark: SparkSession, sf_dir: str) -> Tables:
-        """The business views over ``sf_dir/*.parquet``.  Each raw file is looked up once for all views."""
-        raw = cls(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+        """The business views over ``sf_dir/*.parquet``.  Each raw file is listed once for all views."""
+        raw = cls(lambda table: spark.read.schema(erp_views.RAW_TABLES[table]).parquet(f"{sf_dir}/{table}.parquet"))
 
         def view(name: str) -> DataFrame:
             text = erp_views.with_clause([name], {table: f"{{{table}}}" for table in erp_views.RAW_TABLES})

@@ -42,9 +42,19 @@ def test_cuts_do_not_change_running_totals(spark, hot_rows, cut_every):
     assert sorted(str(tuple(r)) for r in out.select("k", "d", "v", "x", "t").collect()) == expected(rows)
 
 
+def test_totals_without_broadcast(spark, monkeypatch):
+    from ledgerloom.operators import running
+
+    monkeypatch.setattr(running, "BROADCAST_ROWS", 0)
+    rows = ledger(9)
+    df = spark.createDataFrame(rows, "k string, d date, v string, x long")
+    out = running_total(df, ["k"], "d", ["v"], {"x": "t"}, df, 50, 4)
+    assert sorted(str(tuple(r)) for r in out.select("k", "d", "v", "x", "t").collect()) == expected(rows)
+
+
 def test_large_days_are_cut_and_ties_stay_together(spark):
     df = spark.createDataFrame(ledger(3), "k string, d date, v string, x long")
-    parts = cut_days(df, ["k"], "d", ["v"], 3, F.lit(True))
+    parts = cut_days(df, ["k"], "d", ["v"], 3, F.lit(True), df.count())
     per_day = parts.filter("k = 'hot'").groupBy("d").agg(F.countDistinct("_slot").alias("n")).collect()
     assert max(r["n"] for r in per_day) > 3
     assert parts.groupBy("k", "d", "v").agg(F.countDistinct("_slot").alias("n")).filter("n > 1").isEmpty()
