@@ -203,6 +203,14 @@ def adjustment_lines(t: Tables) -> DataFrame:
     )
 
 
+def empty_adjustments(t: Tables) -> DataFrame:
+    """Adjustment requests without any line, which may not be submitted."""
+    requests = t.sales_adjustment_request.withColumnRenamed("name", "parent")
+    for details in (t.sales_adjustment_increase, t.sales_adjustment_decrease):
+        requests = requests.join(details.select("parent"), "parent", "left_anti")
+    return requests.select(F.col("parent").alias("request"), "sales_invoice", "docstatus")
+
+
 def receipt_list(t: Tables) -> DataFrame:
     """Receipts that are not cancelled: drafts first, then the latest; only submitted ones show a date."""
     rows = not_cancelled(t.purchase_receipt).orderBy("docstatus", F.desc("posting_date"))

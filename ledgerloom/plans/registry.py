@@ -171,6 +171,7 @@ OPERATORS: dict[str, Callable[[Tables], DataFrame]] = {
     "line_margin_discount": lambda t: fulfilment.line_margin_discount(t.sales_order_item).select(
         "name", "margin_type", "margin_rate_or_amount", "rate_with_margin", "discount_percentage", "discount_amount"),
     "adjustment_lines": fulfilment.adjustment_lines,
+    "empty_adjustments": fulfilment.empty_adjustments,
     "document_counters": counters.document_counters,
     "master_counters": counters.master_counters,
     "receipts_by_year": counters.receipts_by_year,

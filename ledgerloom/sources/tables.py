@@ -36,6 +36,12 @@ class Tables:
         """``root/<table>`` parquet folders read with the declared schema, without inference."""
         return cls(lambda name: spark.read.schema(schemas.struct(name)).parquet(f"{root}/{name}"))
 
+    @classmethod
+    def from_csv(cls, spark: SparkSession, root: str, **options: str) -> Tables:
+        """``root/<table>`` CSV folders with a header line, read with the declared schema."""
+        reader = lambda name: spark.read.schema(schemas.struct(name)).option("header", True).options(**options)
+        return cls(lambda name: reader(name).csv(f"{root}/{name}"))
+
     @classmethod
     def from_frames(cls, **frames: DataFrame) -> Tables:
         def read(name: str) -> DataFrame:

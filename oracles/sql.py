@@ -714,6 +714,8 @@ SELECT parent, name, item_code, production_year, {D('qty')} AS qty, rate, price_
 FROM {table} d JOIN sales_adjustment_request r ON d.parent = r.name JOIN sales_invoice s ON r.sales_invoice = s.name WHERE r.docstatus = 1"""
         for doc, table, sign in (("Sales Order", "sales_adjustment_increase", 1), ("Delivery Note", "sales_adjustment_increase", 1),
                                  ("Sales Invoice", "sales_adjustment_decrease", -1))),
+    "empty_adjustments": """SELECT name AS request, sales_invoice, docstatus FROM sales_adjustment_request
+WHERE name NOT IN (SELECT parent FROM sales_adjustment_increase) AND name NOT IN (SELECT parent FROM sales_adjustment_decrease)""",
     "document_counters": COUNTERS,
     "receipts_by_year": f"""WITH q_q AS (SELECT parent, sum(qty) AS q FROM purchase_receipt_item WHERE docstatus <> 2 GROUP BY 1)
 SELECT CAST(year(r.posting_date) AS INT) AS year, CASE WHEN r.docstatus = 1 THEN 'submitted' ELSE 'future' END AS state, count(*) AS receipts,

@@ -213,3 +213,14 @@ def test_counters(tables):
 def test_delivery_status(table, status, docstatus, done, want):
     df = table("sales_order", {"name": "O", "status": status, "docstatus": docstatus, "per_delivered": done})
     assert fulfilment.delivery_status(df).first()["indicator"] == want
+
+
+def test_tables_from_files(spark, tables, tmp_path):
+    t = tables(sales_order=[{"name": "O", "transaction_date": "2024-05-06", "docstatus": 1, "total": 12.5}])
+    t.sales_order.write.parquet(f"{tmp_path}/parquet/sales_order")
+    t.sales_order.write.option("header", True).csv(f"{tmp_path}/csv/sales_order")
+    want = t.sales_order.collect()
+    assert Tables.from_parquet(spark, f"{tmp_path}/parquet").sales_order.collect() == want
+    assert Tables.from_csv(spark, f"{tmp_path}/csv").sales_order.collect() == want
+    with pytest.raises(KeyError):
+        Tables.from_frames(sales_order=t.sales_order).item
