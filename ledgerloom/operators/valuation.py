@@ -133,14 +133,18 @@ def moving_average_valuation(t: Tables, rows_per_slice: int = ROWS_PER_SLICE) ->
 
 
 def _slices(rows: DataFrame, rows_per_slice: int, n_rows: int) -> DataFrame:
-    """Rows with the quantity before them and the number of their slice."""
+    """Rows with the quantity before them and the number of their slice.
+
+    Each step reads its input several times, so the input of each is written to the checkpoint folder first.
+    """
     tie_break = ["voucher_no", "name"]
     resets, all_rows = F.col("_set_to").isNotNull(), F.lit(True)
     rows = rows.withColumns({"_reset": resets.cast("int"), "_move": F.coalesce("_set_to", "actual_qty")})
-    rows = sliced_total(rows, KEYS, "posting_date", tie_break, {"_reset": "_segment"}, rows_per_slice, all_rows, n_rows)
-    rows = sliced_total(rows, [*KEYS, "_segment"], "posting_date", tie_break, {"_move": "_after"}, rows_per_slice, all_rows, n_rows)
+    rows = sliced_total(rows.checkpoint(), KEYS, "posting_date", tie_break, {"_reset": "_segment"}, rows_per_slice, all_rows, n_rows)
+    in_segment = [*KEYS, "_segment"]
+    rows = sliced_total(rows.checkpoint(), in_segment, "posting_date", tie_break, {"_move": "_after"}, rows_per_slice, all_rows, n_rows)
     rows = rows.withColumn("_before", F.when(resets, F.lit(0)).otherwise(F.col("_after") - F.col("_move")))
-    parts = cut_days(rows, KEYS, "posting_date", tie_break, rows_per_slice, all_rows, n_rows)
+    parts = cut_days(rows.checkpoint(), KEYS, "posting_date", tie_break, rows_per_slice, all_rows, n_rows)
     part = [*KEYS, "posting_date", "_slot"]
     earlier = Window.partitionBy(*KEYS).orderBy("posting_date", "_slot").rowsBetween(Window.unboundedPreceding, -1)
     counts = parts.groupBy(*part).agg(F.count("*").alias("_n"))
