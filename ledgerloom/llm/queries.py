@@ -5,13 +5,26 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ledgerloom.llm.bpe_count import token_counts
 from ledgerloom.llm.common import table
 from ledgerloom.llm.decontaminate import leaks
+from ledgerloom.llm.html_paths import extract
 from ledgerloom.llm.mixing import mix, mix_sql
+from ledgerloom.llm.multi_index import search
 from ledgerloom.llm.quality_fm import quality
 
 
+#: Name of the vocabulary file whose tokens op6 counts.
+VOCABULARY = "byte_bpe_50k.json"
+
+
+def op1_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of all documents takes from each."""
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -22,12 +35,25 @@ def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents."""
+    import public_tokenizers  # vocabulary files are not part of this repository
+
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+
+
 def op7_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents."""
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth."""
+    return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_source_mix, op5_benchmark_leaks, op7_quality_scores)
+    f.__name__: f
+    for f in (op1_page_text, op3_source_mix, op5_benchmark_leaks, op6_token_counts, op7_quality_scores, op8_nearest_vectors)
 }
 ORACLES: dict[str, str] = {"op3_source_mix": mix_sql()}
