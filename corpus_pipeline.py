@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import DOCUMENT, table
 from ledgerloom.llm.decontaminate import leaks
+from ledgerloom.llm.line_dedup import without_repeated_lines
 from ledgerloom.llm.mixing import mix
 from ledgerloom.llm.quality_fm import THRESHOLD, score, train
 from ledgerloom.session import checkpoint_dir
@@ -21,6 +22,13 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return docs.select(*DOCUMENT).where(score(model, F.col("text")) >= THRESHOLD)
 
 
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that occurred before, alike or nearly so; n_chars follows the text where it changed."""
+    before = docs.select(*DOCUMENT).withColumn("n_before", F.length("text"))
+    after = without_repeated_lines(before)
+    return after.withColumn("n_chars", F.when(F.length("text").eqNullSafe(F.col("n_before")), F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(*DOCUMENT)
+
+
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item. Documents without doc_id stay."""
     found = leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
@@ -34,6 +42,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality classifier", quality_stage),
+    ("line dedup", line_stage),
     ("benchmark decontamination", decontamination_stage),
     ("source mixing", mixing_stage),
 ]

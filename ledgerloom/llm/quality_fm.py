@@ -92,8 +92,8 @@ def features(texts: list[str | None]) -> Features:
     line = np.unique((l_doc.astype(np.uint64) << np.uint64(40)) | (t.hashes(l_start, l_end) >> np.uint64(24)))
     d_lines = _count((line >> np.uint64(40)).astype(np.int64), n)
     of = np.repeat(np.arange(n) * 8, t.lengths + 1)
-    shares = np.bincount(of + _CLASS[t.buffer], minlength=8 * n).reshape(n, 8)
-    outside = np.bincount(of[((t.buffer >= 128) & (t.buffer < 192))] // 8, minlength=n)
+    shares = np.bincount(of + _CLASS[t.symbols], minlength=8 * n).reshape(n, 8)
+    outside = np.bincount(of[((t.symbols >= 128) & (t.symbols < 192))] // 8, minlength=n)
     chars, some = np.maximum(1, t.lengths - outside), np.maximum(1, n_words)
     symbols, marks, bars, capitals, digits, stops, rest = (shares[:, k] for k in range(1, 8))
     stats = (np.log2(some), chars / some, distinct / some, repeated / some, (symbols + bars) / chars, marks / chars, bars / some, capitals / chars,

@@ -11,6 +11,7 @@ from ledgerloom.llm.bpe_count import token_counts
 from ledgerloom.llm.common import table
 from ledgerloom.llm.decontaminate import leaks
 from ledgerloom.llm.html_paths import extract
+from ledgerloom.llm.line_dedup import deduplicated_lines
 from ledgerloom.llm.mixing import mix, mix_sql
 from ledgerloom.llm.multi_index import search
 from ledgerloom.llm.quality_fm import quality
@@ -52,8 +53,13 @@ def op8_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op9_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that each document loses because they, or lines like them, occurred before."""
+    return deduplicated_lines(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_page_text, op3_source_mix, op5_benchmark_leaks, op6_token_counts, op7_quality_scores, op8_nearest_vectors)
+    for f in (op1_page_text, op3_source_mix, op5_benchmark_leaks, op6_token_counts, op7_quality_scores, op8_nearest_vectors, op9_repeated_lines)
 }
 ORACLES: dict[str, str] = {"op3_source_mix": mix_sql()}
