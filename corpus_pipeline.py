@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.chosen_path import near_duplicates
 from ledgerloom.llm.common import DOCUMENT, table
 from ledgerloom.llm.decontaminate import leaks
 from ledgerloom.llm.line_dedup import without_repeated_lines
@@ -29,6 +30,16 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return after.withColumn("n_chars", F.when(F.length("text").eqNullSafe(F.col("n_before")), F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(*DOCUMENT)
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-copies: five-word shingles, similarity 0.8. Blank texts and rows without doc_id stay."""
+    found = near_duplicates(docs, size=5)
+    groups = found.where("kept and n_shingles > 0").groupBy(F.col("component_id").alias("k_id")).agg(F.min("copy").alias("k_copy"))
+    blank = found.where("n_shingles = 0 and doc_id is not null").select(F.col("doc_id").alias("k_id"), F.col("copy").alias("k_copy")).distinct()
+    rows = docs.select(*DOCUMENT).withColumn("copy", F.xxhash64("text"))
+    chosen = rows.join(groups.unionByName(blank), (F.col("doc_id") == F.col("k_id")) & (F.col("copy") == F.col("k_copy")))
+    return chosen.dropDuplicates(["doc_id", "copy"]).select(*DOCUMENT).unionByName(docs.select(*DOCUMENT).where(F.col("doc_id").isNull()))
+
+
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item. Documents without doc_id stay."""
     found = leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
@@ -43,6 +54,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality classifier", quality_stage),
     ("line dedup", line_stage),
+    ("MinHash near-dedup", near_duplicate_stage),
     ("benchmark decontamination", decontamination_stage),
     ("source mixing", mixing_stage),
 ]

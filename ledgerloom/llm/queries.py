@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.bpe_count import token_counts
+from ledgerloom.llm.chosen_path import near_duplicates
 from ledgerloom.llm.common import table
 from ledgerloom.llm.decontaminate import leaks
 from ledgerloom.llm.html_paths import extract
@@ -58,8 +59,16 @@ def op9_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicated_lines(table(spark, sf_dir, "documents"))
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by components of near-copies."""
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_page_text, op3_source_mix, op5_benchmark_leaks, op6_token_counts, op7_quality_scores, op8_nearest_vectors, op9_repeated_lines)
+    for f in (
+        op1_page_text, op3_source_mix, op5_benchmark_leaks, op6_token_counts, op7_quality_scores, op8_nearest_vectors, op9_repeated_lines,
+        op10_near_duplicates,
+    )
 }
 ORACLES: dict[str, str] = {"op3_source_mix": mix_sql()}
