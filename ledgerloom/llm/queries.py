@@ -16,6 +16,7 @@ from ledgerloom.llm.line_dedup import deduplicated_lines
 from ledgerloom.llm.mixing import mix, mix_sql
 from ledgerloom.llm.multi_index import search
 from ledgerloom.llm.quality_fm import quality
+from ledgerloom.llm.suffix_dedup import without_repeats
 
 
 #: Name of the vocabulary file whose tokens op6 counts.
@@ -32,6 +33,11 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without strings that occur elsewhere."""
+    return without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, word by word or with other numbers and names."""
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -67,7 +73,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_page_text, op3_source_mix, op5_benchmark_leaks, op6_token_counts, op7_quality_scores, op8_nearest_vectors, op9_repeated_lines,
+        op1_page_text, op3_source_mix, op4_repeated_bytes, op5_benchmark_leaks, op6_token_counts, op7_quality_scores, op8_nearest_vectors, op9_repeated_lines,
         op10_near_duplicates,
     )
 }
