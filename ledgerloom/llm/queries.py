@@ -12,6 +12,7 @@ from ledgerloom.llm.chosen_path import near_duplicates
 from ledgerloom.llm.common import table
 from ledgerloom.llm.decontaminate import leaks
 from ledgerloom.llm.html_paths import extract
+from ledgerloom.llm.licenses import licence_matches
 from ledgerloom.llm.line_dedup import deduplicated_lines
 from ledgerloom.llm.mixing import mix, mix_sql
 from ledgerloom.llm.multi_index import search
@@ -28,6 +29,11 @@ def op1_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op2_licence_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences that documents name, in text order."""
+    return licence_matches(table(spark, sf_dir, "documents"))
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of all documents takes from each."""
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -73,7 +79,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_page_text, op3_source_mix, op4_repeated_bytes, op5_benchmark_leaks, op6_token_counts, op7_quality_scores, op8_nearest_vectors, op9_repeated_lines,
+        op1_page_text, op2_licence_matches, op3_source_mix, op4_repeated_bytes, op5_benchmark_leaks, op6_token_counts, op7_quality_scores, op8_nearest_vectors, op9_repeated_lines,
         op10_near_duplicates,
     )
 }
