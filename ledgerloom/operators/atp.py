@@ -11,6 +11,8 @@ from ledgerloom.operators.stock import open_order_lines, virtual_receipt_lines
 from ledgerloom.sources.tables import Tables
 
 _PARTS = ("stock", "expected", "reserved_now", "reserved_future")
+# Stands for all years of an item.
+_ANY = "any year"
 
 
 def available_to_promise(t: Tables, any_year: bool = False) -> DataFrame:
@@ -41,7 +43,10 @@ def available_to_promise(t: Tables, any_year: bool = False) -> DataFrame:
             )
         )
     )
-    sums = parts.groupBy(*keys).agg(*(F.sum(p).alias(p) for p in _PARTS))
+    return _promised(parts.groupBy(*keys).agg(*(F.sum(p).alias(p) for p in _PARTS)))
+
+
+def _promised(sums: DataFrame) -> DataFrame:
     excess = F.greatest(F.col("reserved_future") - F.col("expected"), F.lit(0))
     return sums.withColumns(
         {
@@ -51,16 +56,25 @@ def available_to_promise(t: Tables, any_year: bool = False) -> DataFrame:
     )
 
 
-def order_shortages(t: Tables, any_year: bool = False) -> DataFrame:
-    """Lines of open orders whose item cannot be promised, with the missing quantity."""
-    keys = ["item_code", "warehouse"] if any_year else ["item_code", "production_year", "warehouse"]
+def order_shortages(t: Tables, any_year: bool = False, reserves_future: bool = True) -> DataFrame:
+    """Lines of open orders whose item cannot be promised, with the missing quantity.
+
+    A line with a production year needs goods of that year, a line without one (with ``any_year``, every line) goods of any.
+    Orders against future receipts count expected goods too, if the user has the role for it (``reserves_future``).
+    """
+    keys = ["item_code", "production_year", "warehouse"]
     orders = open_orders(t.sales_order).select(
         F.col("name").alias("parent"), "customer", "reservation_status", F.col("set_warehouse").alias("warehouse")
     )
     lines = normalize_dim(submitted(t.sales_order_item)).select("parent", "name", "item_code", "production_year", "qty")
-    promise = available_to_promise(t, any_year).select(*keys, "actual_available", "future_available")
-    checked = lines.join(orders, "parent").join(promise, keys, "left")
-    is_future = F.coalesce(F.col("reservation_status") == FUTURE_RESERVATION, F.lit(False))
+    # The figures of each year of an item and warehouse, and their sums over all years.
+    by_year = available_to_promise(t).select(*keys, *_PARTS)
+    both = by_year.withColumn("_year", F.explode(F.array("production_year", F.lit(_ANY))))
+    promise = _promised(both.groupBy("item_code", "warehouse", "_year").agg(*(F.sum(p).alias(p) for p in _PARTS)))
+    promise = promise.select("item_code", "warehouse", "_year", "actual_available", "future_available")
+    year = F.when(F.lit(any_year) | (F.col("production_year") == ""), F.lit(_ANY)).otherwise(F.col("production_year"))
+    checked = lines.withColumn("_year", year).join(orders, "parent").join(promise, ["item_code", "warehouse", "_year"], "left")
+    is_future = F.lit(reserves_future) & F.coalesce(F.col("reservation_status") == FUTURE_RESERVATION, F.lit(False))
     available = or_zero(F.when(is_future, F.col("future_available")).otherwise(F.col("actual_available")))
     return (
         checked.withColumn("shortage", -available)

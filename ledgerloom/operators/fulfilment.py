@@ -70,11 +70,12 @@ def delivery_billing_status(t: Tables) -> DataFrame:
 
 
 def orders_to_close(t: Tables) -> DataFrame:
-    """Orders with nothing left to do: all lines billed by quantity, or fully delivered and partly billed."""
+    """Orders, not closed yet, with nothing left to do: all lines billed by quantity, or fully delivered and partly billed."""
     lines = t.sales_order_item.groupBy(F.col("parent").alias("name")).agg(
         F.bool_and(F.col("qty").eqNullSafe(F.col("billed_qty"))).alias("_all_billed")
     )
-    orders = submitted(t.sales_order).select("name", "per_billed", "billing_status", "delivery_status")
+    still_open = submitted(t.sales_order).filter("status IS NULL OR status <> 'Closed'")
+    orders = still_open.select("name", "per_billed", "billing_status", "delivery_status")
     by_lines = F.coalesce(F.col("_all_billed") & (F.col("per_billed") < 100), F.lit(False))
     by_status = (F.col("billing_status") == "Partly Billed") & (F.col("delivery_status") == "Fully Delivered")
     reason = F.when(by_lines, "all lines billed").when(by_status, "delivered, partly billed")
@@ -217,7 +218,8 @@ def receipt_list(t: Tables) -> DataFrame:
     done = F.col("docstatus") == 1
     return rows.select(
         F.col("name").alias("purchase_receipt"), F.col("title").alias("shipment_name"), "virtual_receipt",
-        F.col("base_grand_total").cast("double").alias("grand_total"), F.when(done, F.col("posting_date")).alias("posting_date"),
+        F.col("total_qty").cast("double").alias("total_qty"), "currency", F.col("grand_total").cast("double").alias("grand_total"),
+        F.col("base_grand_total").cast("double").alias("base_grand_total"), F.when(done, F.col("posting_date")).alias("posting_date"),
         F.when(done, 1).otherwise(0).alias("actual_receipt"),
     )
 

@@ -132,14 +132,13 @@ def key_balances(
 
 
 def statement_lines(
-    balances: DataFrame, period: DataFrame, keys: list[str], ledger: DataFrame, totals: bool = True
+    balances: DataFrame, period: DataFrame, keys: list[str], totals: bool = True
 ) -> DataFrame:
     """Opening, period and total rows of every key, with the balance after each.
 
     The opening row comes before every date and the total row after it, so that one running pass gives the
     balances and, at the total row, the sums of the period (NULL without period rows).  The total's balance is
-    the closing balance of the ledger, found independently.  ``ledger`` is what the period was summed from; its
-    row counts show which keys are large.
+    the closing balance of the ledger, found independently.
     """
     amount = "decimal(38,6)"
     no_date, no_text = F.lit(None).cast("date"), F.lit(None).cast("string")
@@ -170,7 +169,7 @@ def statement_lines(
         }
     )
     sums = {"_move": "_balance", "_debit": "_period_debit", "_credit": "_period_credit", "_n": "_rows"}
-    summed = running_total(rows, keys, "_day", ["voucher_no", "remarks"], sums if totals else {"_move": "_balance"}, ledger)
+    summed = running_total(rows, keys, "_day", ["voucher_no", "remarks"], sums if totals else {"_move": "_balance"})
     shown = {"balance": F.col("_balance")}
     if totals:
         any_row = F.col("_rows") > 0

@@ -64,8 +64,13 @@ def price_floor_violations(
 
 
 def order_price_violations(t: Tables, bypass_list: bool = False) -> DataFrame:
-    """Order lines below their floors; the value check runs if the company asks for it."""
-    checks = t.company.agg(F.max("validate_selling_price_so").alias("_check"))
+    """Order lines below their floors; the value check runs if the default company asks for it.
+
+    The default company is that of the settings, or else the first by name.
+    """
+    default = t.singles.filter("doctype = 'Global Defaults' AND field = 'default_company'").agg(F.max("value"))
+    by_choice = F.struct(F.col("name") != F.coalesce(default.scalar(), F.lit("")), F.col("name"))
+    checks = t.company.agg(F.min_by("validate_selling_price_so", by_choice).alias("_check"))
     orders = not_cancelled(t.sales_order).select(F.col("name").alias("parent"), F.col("selling_price_list").alias("price_list"))
     lines = not_cancelled(t.sales_order_item).join(orders, "parent")
     # The company flag becomes part of the value floor: without it there is none.
@@ -158,7 +163,9 @@ def price_upsert(t: Tables, changes: DataFrame, price_list: str | None = None) -
     A known name with another price is updated, an unknown or missing name becomes a new row in
     ``price_list`` (default: the selling list of the settings).  ``action`` says what happened to a row.
     """
-    known = changes.filter("name IS NOT NULL").groupBy("name").agg(F.max("price").alias("_price"))
+    # Of several changes of a row the last counts: by idx where the list has one, else the highest price.
+    position = "idx" if "idx" in changes.columns else "price"
+    known = changes.filter("name IS NOT NULL").groupBy("name").agg(F.max_by("price", position).alias("_price"))
     updated = t.item_price.join(known, "name", "left")
     differs = F.col("_price").isNotNull() & ~F.col("_price").eqNullSafe(F.col("price_list_rate"))
     updated = (
@@ -166,6 +173,8 @@ def price_upsert(t: Tables, changes: DataFrame, price_list: str | None = None) -
         .withColumn("price_list_rate", F.when(differs, F.col("_price")).otherwise(F.col("price_list_rate")))
         .drop("_price")
     )
+    if "item_code" not in changes.columns:  # a list of updates only
+        return updated
     added = changes.join(t.item_price.select("name"), "name", "left_anti").select(
         "name", "item_code", "item_name", "production_year", F.col("price").alias("price_list_rate"),
         (F.lit(price_list) if price_list else _default_list(t).scalar()).alias("price_list"), F.lit("insert").alias("action"),
@@ -174,9 +183,14 @@ def price_upsert(t: Tables, changes: DataFrame, price_list: str | None = None) -
 
 
 def import_price_sheet(sheet: DataFrame) -> DataFrame:
-    """A price sheet as a change list: the row's name is its first column and the price its fifth."""
+    """A price sheet (columns as ``export_prices`` writes them) as a change list of updates, in the order of its ``idx`` if it has one.
+
+    The row's name is its first column and the price its fifth; rows without a name are left out, as a sheet adds no prices.
+    """
     name, price = sheet.columns[0], sheet.columns[4]
-    return sheet.select(F.col(name).alias("name"), F.col(price).cast("decimal(21,3)").alias("price"))
+    order = ["idx"] if "idx" in sheet.columns else []
+    rows = sheet.select(F.nullif(F.col(name), F.lit("")).alias("name"), F.col(price).cast("decimal(21,3)").alias("price"), *order)
+    return rows.filter("name IS NOT NULL")
 
 
 def _selling_lists(t: Tables) -> DataFrame:
@@ -226,6 +240,7 @@ def price_attribute_sync(t: Tables) -> DataFrame:
 
 def duplicate_prices(t: Tables) -> DataFrame:
     """Groups of price rows that differ in nothing a buyer could choose by."""
+    # What a buyer could choose by.
     text = ("uom", "valid_from", "valid_upto", "customer", "supplier", "batch_no", "production_year")
     normal = t.item_price.select(
         "item_code", "price_list", *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in text),

@@ -5,90 +5,41 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Keys with more rows than this are cut by day; one window sorts at most this many rows of a smaller key.
-HOT_ROWS = 1 << 22
-# One row in this many becomes a cut point inside a day of a large key.
-CUT_EVERY = 1 << 20
-# Tables of keys and cuts are broadcast up to this many rows and joined by shuffle beyond.
-BROADCAST_ROWS = 1 << 20
-
-
-def _small(df: DataFrame, rows: float) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
 
 def large_keys(rows: DataFrame, keys: list[str], more_than: int) -> DataFrame:
     """Keys with more than ``more_than`` rows and how many; there is at most one for so many rows."""
     return rows.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > more_than)
 
 
-def size_of(large: DataFrame) -> tuple[int, int]:
-    """How many large keys there are and how many rows they have together; runs at once."""
-    found = large.agg(F.count("*"), F.coalesce(F.sum("_rows"), F.lit(0))).first()
-    return found[0], found[1]
-
-
-def cut_days(
-    rows: DataFrame, keys: list[str], day: str, order: list[str], cut_every: int, where: Column, n_rows: int
-) -> DataFrame:
+def cut_days(rows: DataFrame, keys: list[str], day: str, order: list[str], cut_every: int) -> DataFrame:
     """Adds ``_slot``, the part of its day a row belongs to, in the order of the ``order`` columns.
 
-    Days are cut at some of their own values of these columns, picked by a hash so that every attempt of a
-    task picks the same.  Rows with the same values stay together.  Most days have no cut and are one slot.
-    Of the ``n_rows`` rows for which ``where`` holds about one in ``cut_every`` becomes a cut.
+    Days are cut at some of their own values of these columns, about one row in ``cut_every``, picked by a hash so that
+    every attempt of a task picks the same.  Rows with the same values stay together.  Most days have no cut and are one slot.
     """
     value = F.struct(*order)
-    picked = rows.filter(where & (F.pmod(F.xxhash64(value), F.lit(cut_every)) == 0))
+    picked = rows.filter(F.pmod(F.xxhash64(value), F.lit(cut_every)) == 0)
     cuts = picked.groupBy(*keys, day).agg(F.collect_set(value).alias("_cuts"))
     slot = F.size(F.filter("_cuts", lambda c: c < value))
-    return (
-        rows.join(_small(cuts, n_rows / cut_every), [*keys, day], "left")
-        .withColumn("_slot", F.when(F.col("_cuts").isNull(), 0).otherwise(slot))
-        .drop("_cuts")
-    )
+    return rows.join(cuts, [*keys, day], "left").withColumn("_slot", F.when(F.col("_cuts").isNull(), 0).otherwise(slot)).drop("_cuts")
 
 
-def running_total(
-    rows: DataFrame, keys: list[str], day: str, order: list[str], amounts: dict[str, str], sizes: DataFrame,
-    hot_rows: int = HOT_ROWS, cut_every: int = CUT_EVERY,
-) -> DataFrame:
+def running_total(rows: DataFrame, keys: list[str], day: str, order: list[str], amounts: dict[str, str]) -> DataFrame:
     """Adds, per ``keys``, the sums of ``amounts`` over all rows up to (``day``, ``order``), ties included.
 
-    ``amounts`` maps each input column to its output column; ``day`` must not be NULL.  ``sizes`` is what the
-    rows of each key are counted on: the rows themselves or, cheaper, a table with at least as many.  The
-    count runs at once.  If no key has more than ``hot_rows`` rows, one window per key does.  Otherwise such
-    keys, say a cash account with a third of the ledger, are cut into slices (see ``sliced_total``).
+    ``amounts`` maps each input column to its output column; ``day`` must not be NULL.  A NULL amount adds nothing, and the sum
+    is NULL until the first amount that is not.  Every key is cut by day, whatever its size, so a cash account with a third of
+    the ledger is as many tasks as it has days: the totals of days are summed up first, and each day starts from what came
+    before it.  The rows of one key and day are sorted in one task.
     """
-    large = large_keys(sizes, keys, hot_rows)
-    n_keys, n_rows = size_of(large)
-    if n_keys == 0:
-        window = Window.partitionBy(*keys).orderBy(day, *order)
-        return rows.withColumns({out: F.sum(c).over(window) for c, out in amounts.items()})
-    flagged = rows.join(_small(large.select(*keys, F.lit(True).alias("_hot")), n_keys), keys, "left")
-    totals = sliced_total(flagged, keys, day, order, amounts, cut_every, F.coalesce("_hot", F.lit(False)), n_rows)
-    return totals.drop("_hot")
-
+    in_key = Window.partitionBy(*keys).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
+    days = rows.groupBy(*keys, day).agg(*(F.sum(c).alias(f"_{c}") for c in amounts))
+    days = days.select(*keys, day, *(F.sum(f"_{c}").over(in_key).alias(f"_before_{c}") for c in amounts))
+    in_day = Window.partitionBy(*keys, day).orderBy(*order)
 
-def sliced_total(
-    rows: DataFrame, keys: list[str], day: str, order: list[str], amounts: dict[str, str], cut_every: int, is_hot: Column,
-    n_rows: int,
-) -> DataFrame:
-    """The running totals with the keys for which ``is_hot`` cut by day, and their large days cut again.
+    def total(c: str) -> Column:
+        before, own = F.col(f"_before_{c}"), F.sum(c).over(in_day)
+        return F.coalesce(before + own, before, own)
 
-    ``n_rows`` is how many rows such keys have.  The totals of the slices are summed up first, and each slice
-    starts from what came before it.  Cuts decide only where slices end, never the result.
-    """
-    sliced = cut_days(rows, keys, day, order, cut_every, is_hot, n_rows).withColumn("_from", F.when(is_hot, F.col(day)))
-    slice_key = [*keys, "_from", "_slot"]
-    earlier = Window.partitionBy(*keys).orderBy("_from", "_slot").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        sliced.filter(is_hot).groupBy(*slice_key)
-        .agg(*(F.sum(c).alias(f"_{c}") for c in amounts))
-        .select(*slice_key, *(F.sum(f"_{c}").over(earlier).alias(f"_before_{c}") for c in amounts))
-    )
-    inside = Window.partitionBy(*slice_key).orderBy(day, *order)
-    return (
-        sliced.join(carried, slice_key, "left")
-        .withColumns({out: F.coalesce(f"_before_{c}", F.lit(0)) + F.sum(c).over(inside) for c, out in amounts.items()})
-        .drop("_from", "_slot", *(f"_before_{c}" for c in amounts))
-    )
+    totals = {out: total(c) for c, out in amounts.items()}
+    return rows.join(days, [*keys, day]).withColumns(totals).drop(*(f"_before_{c}" for c in amounts))

@@ -11,14 +11,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.columns import ratio, year_or_blank
+from ledgerloom.functions.columns import or_zero, ratio, year_or_blank
 from ledgerloom.functions.predicates import live
-from ledgerloom.operators.running import cut_days, large_keys, size_of, sliced_total
+from ledgerloom.operators.running import cut_days, large_keys, running_total
 from ledgerloom.session import checkpoint_dir
 from ledgerloom.sources.tables import Tables
 
 KEYS = ["item_code", "warehouse"]
-ORDER = ["posting_date", "voucher_no", "name"]
+# Rows of one day in posting order; rows without a time come first, by voucher and row name.
+ORDER = ["posting_date", "posting_datetime", "voucher_no", "name"]
 SLICE = [*KEYS, "_slice"]
 # About how many ledger rows of one item and warehouse one task folds.
 ROWS_PER_SLICE = 1 << 18
@@ -26,7 +27,7 @@ ROWS_PER_SLICE = 1 << 18
 _CENTS, _THOUSANDTHS = 100.0, 1000
 
 _ROWS = (
-    "name string, item_code string, warehouse string, posting_date date, voucher_no string, actual_qty double, "
+    "name string, item_code string, warehouse string, posting_date date, posting_datetime timestamp, voucher_no string, actual_qty double, "
     "qty_after double, valuation_rate double, stock_value double, stock_value_difference double"
 )
 _EXITS = "item_code string, warehouse string, _slice long, _exit double, _exit_value double"
@@ -76,7 +77,7 @@ def _fold(batches: Iterator[pd.DataFrame], exits: bool) -> Iterator[pd.DataFrame
             if ended:
                 yield pd.DataFrame(ended, columns=[*SLICE, "_exit", "_exit_value"])
         else:
-            kept = pdf[["name", *KEYS, "posting_date", "voucher_no", "actual_qty"]]
+            kept = pdf[["name", *KEYS, "posting_date", "posting_datetime", "voucher_no", "actual_qty"]]
             yield kept.assign(qty_after=after, valuation_rate=rates, stock_value=values, stock_value_difference=changes)
     if exits and current is not None:
         yield pd.DataFrame([(*current, rate, value)], columns=[*SLICE, "_exit", "_exit_value"])
@@ -88,11 +89,11 @@ def _folded(rows: DataFrame, exits: bool = False) -> DataFrame:
 
 
 def _ledger(t: Tables) -> DataFrame:
-    """Live ledger rows; a reconciliation without a year sets quantity and rate anew."""
+    """Live ledger rows; a reconciliation without a year sets quantity and rate anew, a missing quantity moves nothing."""
     resets = (F.col("voucher_type") == "Stock Reconciliation") & (year_or_blank() == "") & F.col("qty_after_transaction").isNotNull()
     paid = ratio(F.col("stock_value_difference"), F.col("actual_qty"))
     return live(t.stock_ledger_entry).select(
-        "name", *KEYS, "posting_date", "voucher_no", "actual_qty",
+        "name", *KEYS, "posting_date", "posting_datetime", "voucher_no", or_zero("actual_qty").alias("actual_qty"),
         F.when(resets, F.col("qty_after_transaction")).alias("_set_to"),
         F.coalesce(F.when(resets, F.col("valuation_rate").cast("double")).otherwise(paid), F.lit(0.0)).alias("_incoming"),
     )
@@ -100,7 +101,7 @@ def _ledger(t: Tables) -> DataFrame:
 
 def _for_fold(rows: DataFrame, entry_qty: Column, entry: Column, entry_value: Column, slice_no: Column) -> DataFrame:
     return rows.select(
-        "name", *KEYS, "posting_date", "voucher_no", F.col("actual_qty").cast("double").alias("actual_qty"),
+        "name", *KEYS, "posting_date", "posting_datetime", "voucher_no", F.col("actual_qty").cast("double").alias("actual_qty"),
         F.col("_set_to").cast("double").alias("_set_to"), "_incoming", slice_no.cast("long").alias("_slice"),
         entry_qty.cast("double").alias("_entry_qty"), entry.alias("_entry"), entry_value.alias("_entry_value"),
     )
@@ -120,31 +121,30 @@ def moving_average_valuation(t: Tables, rows_per_slice: int = ROWS_PER_SLICE) ->
     zero = F.lit(0.0)
     # At most one long chain per rows_per_slice ledger rows.
     long_chains = large_keys(ledger, KEYS, rows_per_slice)
-    n_chains, n_rows = size_of(long_chains)
-    if n_chains == 0:
-        return _folded(_for_fold(ledger, zero, zero, zero, F.lit(0)))
+    if long_chains.isEmpty():
+        return _folded(_for_fold(ledger, zero, zero, zero, F.lit(0))).drop("posting_datetime")
     checkpoint_dir(ledger.sparkSession)
     long_chains = long_chains.select(*KEYS).checkpoint()
     short = _for_fold(ledger.join(long_chains, KEYS, "left_anti"), zero, zero, zero, F.lit(0))
-    sliced = _slices(ledger.join(long_chains, KEYS), rows_per_slice, n_rows).checkpoint()
+    sliced = _slices(ledger.join(long_chains, KEYS), rows_per_slice).checkpoint()
     entries = _settle(sliced, _first_guess(sliced))
     long_rows = _for_fold(sliced.join(entries, SLICE), F.col("_entry_qty"), F.col("_entry"), F.col("_entry_value"), F.col("_slice"))
-    return _folded(short.unionByName(long_rows))
+    return _folded(short.unionByName(long_rows)).drop("posting_datetime")
 
 
-def _slices(rows: DataFrame, rows_per_slice: int, n_rows: int) -> DataFrame:
+def _slices(rows: DataFrame, rows_per_slice: int) -> DataFrame:
     """Rows with the quantity before them and the number of their slice.
 
     Each step reads its input several times, so the input of each is written to the checkpoint folder first.
     """
-    tie_break = ["voucher_no", "name"]
-    resets, all_rows = F.col("_set_to").isNotNull(), F.lit(True)
+    tie_break = ORDER[1:]
+    resets = F.col("_set_to").isNotNull()
     rows = rows.withColumns({"_reset": resets.cast("int"), "_move": F.coalesce("_set_to", "actual_qty")})
-    rows = sliced_total(rows.checkpoint(), KEYS, "posting_date", tie_break, {"_reset": "_segment"}, rows_per_slice, all_rows, n_rows)
+    rows = running_total(rows.checkpoint(), KEYS, "posting_date", tie_break, {"_reset": "_segment"})
     in_segment = [*KEYS, "_segment"]
-    rows = sliced_total(rows.checkpoint(), in_segment, "posting_date", tie_break, {"_move": "_after"}, rows_per_slice, all_rows, n_rows)
+    rows = running_total(rows.checkpoint(), in_segment, "posting_date", tie_break, {"_move": "_after"})
     rows = rows.withColumn("_before", F.when(resets, F.lit(0)).otherwise(F.col("_after") - F.col("_move")))
-    parts = cut_days(rows.checkpoint(), KEYS, "posting_date", tie_break, rows_per_slice, all_rows, n_rows)
+    parts = cut_days(rows.checkpoint(), KEYS, "posting_date", tie_break, rows_per_slice)
     part = [*KEYS, "posting_date", "_slot"]
     earlier = Window.partitionBy(*KEYS).orderBy("posting_date", "_slot").rowsBetween(Window.unboundedPreceding, -1)
     counts = parts.groupBy(*part).agg(F.count("*").alias("_n"))

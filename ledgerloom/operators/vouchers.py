@@ -169,7 +169,7 @@ def unbalanced_vouchers(lines: DataFrame) -> DataFrame:
 def cash_invoice_lines(t: Tables) -> DataFrame:
     """Receipt or refund lines of paid invoices, and write-off lines where another amount was paid.
 
-    ``problem`` marks invoices whose paid amount is not below the invoice; their write-off is left out.
+    An invoice whose paid amount is not below the invoice is rejected as a whole: one row with its ``problem`` and no line.
     """
     company = t.company.select(F.col("name").alias("company"), "write_off_account")
     other = (F.col("custom_payment_value_is_different") == 1) & (or_zero("custom_payment_value") != 0)
@@ -195,11 +195,15 @@ def cash_invoice_lines(t: Tables) -> DataFrame:
         F.when(write_off & back, _line(JOURNAL_ENTRY, F.col("write_off_account"), one, None, rest, part="write-off")),
         F.when(write_off & back, _line(JOURNAL_ENTRY, debtor, one, rest, None, *customer, part="write-off")),
     ]
-    problem = F.when(too_much, "payment is not below the invoice")
+    rejected = F.coalesce(too_much, F.lit(False))
+    problem = F.when(rejected, "payment is not below the invoice")
+    # A rejected invoice has one empty line, so that its row stays.
+    empty = F.slice(F.array(F.when(F.lit(False), lines[0])), 1, 1)
+    made = F.when(rejected, empty).otherwise(F.array_compact(F.array(*lines)))
     return rows.select(
         F.lit("Sales Invoice").alias("custom_voucher_type"), F.col("name").alias("custom_voucher_no"), "posting_date",
-        problem.alias("problem"), F.inline(F.array_compact(F.array(*lines))),
-    )
+        problem.alias("problem"), F.explode(made).alias("_line"),
+    ).select("custom_voucher_type", "custom_voucher_no", "posting_date", "problem", "_line.*")
 
 
 # The kinds of landed cost, with their column prefix and whether a zero amount still makes a row.

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import doubles, or_zero
-from ledgerloom.functions.predicates import live, only, up_to, within
+from ledgerloom.functions.predicates import live, only, up_to
 from ledgerloom.operators import gl as G
 from ledgerloom.sources.tables import Tables
 
@@ -35,7 +35,7 @@ def _lines(
     narrowed = ledger if own is None else ledger.filter(own)
     balances = G.key_balances(ledger, keys, from_date, to_date, key_list, own)
     period = G.period_transactions(narrowed, t, keys, from_date, to_date, by_remarks)
-    lines = G.statement_lines(balances, period, keys, within(live(narrowed), from_date, to_date), totals)
+    lines = G.statement_lines(balances, period, keys, totals)
     label = F.when(F.col("row_kind") == G.TOTAL_ROW, F.lit(G.TOTAL_LABEL)).otherwise(F.col("translated_voucher_type"))
     return G.translate_voucher_type(lines, t).withColumn("translated_voucher_type", label)
 

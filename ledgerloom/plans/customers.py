@@ -13,8 +13,12 @@ from ledgerloom.sources.tables import Tables
 
 # The choices of the balances report.
 ALL = "All Balances"
-DEBIT_WITHOUT, CREDIT_WITHOUT, ZERO_WITHOUT = (f"{s} Balances (w/o Orders)" for s in ("Debit", "Credit", "Zero"))
-DEBIT_WITH, CREDIT_WITH, ZERO_WITH = (f"{s} Balances (w Orders)" for s in ("Debit", "Credit", "Zero"))
+DEBIT_WITHOUT = "Debit Balances (w/o Orders)"
+CREDIT_WITHOUT = "Credit Balances (w/o Orders)"
+ZERO_WITHOUT = "Zero Balances (w/o Orders)"
+DEBIT_WITH = "Debit Balances (w Orders)"
+CREDIT_WITH = "Credit Balances (w Orders)"
+ZERO_WITH = "Zero Balances (w Orders)"
 OVERDUE = "Overdue Balances"
 OVER_CREDIT = "Over-credit Balances"
 

@@ -45,14 +45,10 @@ def _period(t: Tables) -> DataFrame:
 
 def _running_balance(t: Tables) -> DataFrame:
     balances = gl.key_balances(t.gl_entry, ["account"], FROM, TO, _account_key(t))
-    lines = gl.statement_lines(balances, _period(t), ["account"], t.gl_entry, totals=False)
+    lines = gl.statement_lines(balances, _period(t), ["account"], totals=False)
     return lines.select("account", "row_kind", "posting_date", "voucher_no", "remarks", "balance")
 
 
-def _priced(t: Tables) -> DataFrame:
-    return pricing.price_metrics_refresh(t)
-
-
 def _total_row(t: Tables) -> DataFrame:
     return with_total_row(accounts.account_balances(t, TO), "account_name", ["debit", "credit"])
 
@@ -61,10 +57,6 @@ def _doubled(df: DataFrame, places: int, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c).cast("decimal(28,9)"), places).cast("double") for c in columns})
 
 
-def _worksheet(t: Tables) -> DataFrame:
-    return pricing.receipt_pricing_worksheet(t)
-
-
 _RATES = ("receipt_valuation_rate", "stock_valuation_rate")
 
 OPERATORS: dict[str, Callable[[Tables], DataFrame]] = {
@@ -134,18 +126,18 @@ OPERATORS: dict[str, Callable[[Tables], DataFrame]] = {
     "unvirtualize_check": atp.unvirtualize_check,
     "customer_credit_status": lambda t: _doubled(parties.customer_credit_status(t, TO), 4, "unbilled"),
     "overdue_blocks": lambda t: parties.overdue_blocks(t, TO),
-    "price_metrics_refresh": lambda t: _doubled(_priced(t).select("name", "item_code", "production_year", *pricing.METRICS), 6, "stock_valuation_rate"),
+    "price_metrics_refresh": lambda t: _doubled(pricing.price_metrics_refresh(t).select("name", "item_code", "production_year", *pricing.METRICS), 6, "stock_valuation_rate"),
     "price_floor_violations": lambda t: _doubled(pricing.order_price_violations(t), 6, "net_rate", "floor"),
     "invoice_price_violations": lambda t: _doubled(pricing.invoice_price_violations(t), 6, "net_rate", "floor"),
-    "price_increase": lambda t: pricing.price_increase(_priced(t), 15, '[["selling","=",1]]').select("name", "price_list_rate"),
-    "receipt_pricing_worksheet": lambda t: _doubled(_worksheet(t), 4, *_RATES),
-    "proposed_price": lambda t: pricing.proposed_price(_worksheet(t), 20).select("purchase_receipt", "item_code", "production_year", "proposed_price"),
+    "price_increase": lambda t: pricing.price_increase(pricing.price_metrics_refresh(t), 15, '[["selling","=",1]]').select("name", "price_list_rate"),
+    "receipt_pricing_worksheet": lambda t: _doubled(pricing.receipt_pricing_worksheet(t), 4, *_RATES),
+    "proposed_price": lambda t: pricing.proposed_price(pricing.receipt_pricing_worksheet(t), 20).select("purchase_receipt", "item_code", "production_year", "proposed_price"),
     "price_upsert": lambda t: pricing.price_upsert(t, t.price_change).select("name", "item_code", "production_year", "price_list", "price_list_rate", "action"),
-    "price_grid_completion": lambda t: pricing.price_grid_completion(t, t.purchase_receipt_item).drop("item_description"),
-    "item_price_defaults": lambda t: pricing.item_price_defaults(t).drop("item_description"),
+    "price_grid_completion": lambda t: pricing.price_grid_completion(t, t.purchase_receipt_item),
+    "item_price_defaults": pricing.item_price_defaults,
     "price_attribute_sync": lambda t: pricing.price_attribute_sync(t).select("name", "item_name", "brand", "item_description"),
     "duplicate_prices": lambda t: pricing.duplicate_prices(t).select("item_code", "price_list", "production_year", "packing_unit", "n", "first_name"),
-    "price_segments": lambda t: pricing.price_segments(_priced(t)).select("name", "in_stock", "available", "non_priced", "non_profitable"),
+    "price_segments": lambda t: pricing.price_segments(pricing.price_metrics_refresh(t)).select("name", "in_stock", "available", "non_priced", "non_profitable"),
     "price_lookup": lambda t: pricing.price_lookup(t, t.sales_invoice_item).select("name", "item_code", "production_year", "list_price", "return_price"),
     "pending_delivery_lines": fulfilment.pending_delivery_lines,
     "pending_billing_lines": fulfilment.pending_billing_lines,
@@ -177,7 +169,7 @@ OPERATORS: dict[str, Callable[[Tables], DataFrame]] = {
     "receipts_by_year": counters.receipts_by_year,
     "filter_spec": lambda t: filter_spec(t.item_price, PRICE_FILTER).select("name", "price_list_rate", "packing_unit"),
     "receipt_list": fulfilment.receipt_list,
-    "export_prices": lambda t: _doubled(export.export_prices(_priced(t)), 6, "stock_valuation_rate"),
+    "export_prices": lambda t: _doubled(export.export_prices(pricing.price_metrics_refresh(t)), 6, "stock_valuation_rate"),
     "export_receipts": export.export_receipts,
     "sanitize_cells": lambda t: sanitize_cells(t.item.select("name", F.concat(F.lit("<b>"), "item_name", F.lit("</b>\x01 "), "description").alias("description")), ["description"]),
     "stock_entry_totals": fulfilment.stock_entry_totals,

@@ -70,7 +70,7 @@ UNION ALL SELECT DISTINCT c_mktsegment, 'Customer Group', cast(1000 AS decimal(1
 SELECT 'SO-' || cast(o_orderkey AS string) AS name, 'C-' || cast(o_custkey AS string) AS customer,
   cast(o_orderdate AS date) AS transaction_date,
   CASE WHEN o_orderkey % 20 = 0 THEN 2 WHEN o_orderkey % 20 = 1 THEN 0 ELSE 1 END AS docstatus,
-  CASE o_orderstatus WHEN 'F' THEN 'Completed' WHEN 'P' THEN 'To Bill' ELSE
+  CASE o_orderstatus WHEN 'F' THEN 'Completed' WHEN 'P' THEN CASE WHEN o_orderkey % 9 = 4 THEN 'Closed' ELSE 'To Bill' END ELSE
     CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'On Hold' ELSE 'To Deliver and Bill' END END AS status,
   CASE WHEN o_orderkey % 7 = 0 THEN 'Reserve against Future Receipts' WHEN o_orderkey % 7 = 1 THEN NULL
     ELSE 'Reserve with Delivery' END AS reservation_status,
@@ -160,7 +160,9 @@ SELECT CASE l_linenumber WHEN 6 THEN 'Purchase Invoice' WHEN 7 THEN 'Stock Entry
   CASE l_linenumber WHEN 6 THEN 'PI-' WHEN 7 THEN 'SE-' ELSE 'PR-' END || cast(l_suppkey AS string) AS voucher_no,
   'R-' || {_LINE} AS name,
   'I-' || cast(l_partkey AS string) AS item_code, {_YEAR} AS production_year,
-  'WH-' || cast(l_orderkey % 3 AS string) AS warehouse, cast(l_shipdate AS date) - 60 AS posting_date, {_QTY} AS actual_qty,
+  'WH-' || cast(l_orderkey % 3 AS string) AS warehouse, cast(l_shipdate AS date) - 60 AS posting_date,
+  CASE WHEN l_suppkey % 3 = 0 THEN NULL ELSE cast(cast(l_shipdate AS date) - 60 - cast(l_suppkey % 2 AS int) AS timestamp) END AS posting_datetime,
+  {_QTY} AS actual_qty,
   cast({_PRICE} * cast(0.5 AS decimal(2,1)) AS decimal(18,3)) AS stock_value_difference,
   CASE WHEN l_orderkey % 25 = 0 THEN 1 ELSE 0 END AS is_cancelled,
   cast(NULL AS decimal(18,3)) AS qty_after_transaction, cast(NULL AS decimal(21,9)) AS valuation_rate
@@ -168,11 +170,11 @@ FROM {{lineitem}}
 UNION ALL SELECT CASE WHEN {_UPDATES_STOCK} THEN 'Sales Invoice' ELSE 'Delivery Note' END,
   CASE WHEN {_UPDATES_STOCK} THEN 'SI-' ELSE 'DN-' END || cast(l_orderkey AS string),
   'D-' || {_LINE}, 'I-' || cast(l_partkey AS string), {_YEAR}, 'WH-' || cast(l_orderkey % 3 AS string),
-  cast(o_orderdate AS date) + 7, -{_QTY}, cast({_PRICE} * cast(-0.5 AS decimal(2,1)) AS decimal(18,3)),
+  cast(o_orderdate AS date) + 7, cast(cast(o_orderdate AS date) + 7 AS timestamp), -{_QTY}, cast({_PRICE} * cast(-0.5 AS decimal(2,1)) AS decimal(18,3)),
   CASE WHEN l_orderkey % 30 = 0 THEN 1 ELSE 0 END, NULL, NULL
 FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey WHERE l_returnflag <> 'R'
 UNION ALL SELECT 'Stock Reconciliation', 'SR-' || cast(p_partkey % 5 AS string), 'O-' || cast(p_partkey AS string),
-  'I-' || cast(p_partkey AS string), NULL, 'WH-0', DATE '1997-01-01', cast(10 AS decimal(18,3)),
+  'I-' || cast(p_partkey AS string), NULL, 'WH-0', DATE '1997-01-01', cast(NULL AS timestamp), cast(10 AS decimal(18,3)),
   cast(cast(p_retailprice AS decimal(18,2)) * cast(10 AS decimal(2,0)) AS decimal(18,3)), 0,
   cast(10 AS decimal(18,3)), cast(cast(p_retailprice AS decimal(18,2)) AS decimal(21,9))
 FROM {{part}} WHERE p_type = 'ECONOMY'""",
@@ -232,7 +234,8 @@ UNION ALL SELECT 'A-9000', '9000', 'Hidden', 'Income', 0, 'Yes', NULL, 0
 UNION ALL SELECT 'A-1', '1', 'Assets', NULL, 1, 'No', NULL, 0""",
     "singles": """
 SELECT 'Selling Settings' AS doctype, 'selling_price_list' AS field, 'Standard Selling' AS value
-UNION ALL SELECT 'Buying Settings', 'buying_price_list', 'Buying'""",
+UNION ALL SELECT 'Buying Settings', 'buying_price_list', 'Buying'
+UNION ALL SELECT 'Global Defaults', 'default_company', 'Main Company'""",
     "item_price": """
 SELECT 'IP-' || cast(p_partkey AS string) || '-' || y AS name, 'I-' || cast(p_partkey AS string) AS item_code,
   nullif(y, '1998') AS production_year, 'Standard Selling' AS price_list, 1 AS selling,
@@ -267,7 +270,8 @@ SELECT 'PR-' || cast(s_suppkey AS string) AS name, s_name AS title,
   CASE WHEN s_suppkey % 3 = 0 THEN 0 WHEN s_suppkey % 20 = 1 THEN 2 ELSE 1 END AS docstatus,
   CASE WHEN s_suppkey % 40 = 7 THEN 1 ELSE 0 END AS is_return,
   CASE WHEN s_suppkey % 6 = 0 THEN 1 ELSE 0 END AS virtual_receipt,
-  cast(1000000 + s_suppkey AS decimal(18,2)) AS base_grand_total, 'Supplier ' || cast(s_suppkey AS string) AS supplier,
+  cast(1000000 + s_suppkey AS decimal(18,2)) AS base_grand_total, cast(200000 + s_suppkey AS decimal(18,2)) AS grand_total,
+  CASE WHEN s_suppkey % 4 = 0 THEN 'EUR' ELSE 'USD' END AS currency, cast(s_suppkey % 90 AS decimal(18,3)) AS total_qty, 'Supplier ' || cast(s_suppkey AS string) AS supplier,
   'A-6000' AS freight_account, 'USD' AS freight_account_currency,
   CASE WHEN s_nationkey < 5 THEN cast(0 AS decimal(18,2)) ELSE cast(s_suppkey * 10 + 1 AS decimal(18,2)) END AS freight_amount,
   cast(4.85 AS decimal(18,4)) AS freight_exchange_rate,
@@ -384,7 +388,8 @@ SELECT 'DV-' || cast(o_orderkey AS string) AS name, 1 AS docstatus, cast(o_order
   CASE WHEN o_orderkey % 9 = 0 THEN 'USD' ELSE 'LYD' END AS account_currency, 'debt ' || o_orderpriority AS remark
 FROM {orders} WHERE o_orderpriority = '5-LOW' AND o_orderstatus = 'P'""",
     "company": """
-SELECT 'Main Company' AS name, 'A-8100' AS write_up_account, 'A-8200' AS write_off_account, 1 AS validate_selling_price_so""",
+SELECT 'Main Company' AS name, 'A-8100' AS write_up_account, 'A-8200' AS write_off_account, 1 AS validate_selling_price_so
+UNION ALL SELECT 'Another Company', 'A-8101', 'A-8201', 0""",
     "sales_adjustment_request": """
 SELECT 'SAR-' || cast(o_orderkey AS string) AS name, 'SI-' || cast(o_orderkey AS string) AS sales_invoice,
   'C-' || cast(o_custkey AS string) AS customer, 1 AS docstatus

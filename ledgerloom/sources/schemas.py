@@ -16,7 +16,7 @@ TABLES: dict[str, str] = {
     "gl_entry": f"account string, party_type string, party string, posting_date date, voucher_type string, voucher_no string, "
     f"debit {_MONEY}, credit {_MONEY}, is_opening string, is_cancelled int, remarks string",
     "stock_ledger_entry": f"name string, voucher_type string, voucher_no string, item_code string, production_year string, "
-    f"warehouse string, posting_date date, actual_qty {_QTY}, stock_value_difference {_MONEY}, is_cancelled int, "
+    f"warehouse string, posting_date date, posting_datetime timestamp, actual_qty {_QTY}, stock_value_difference {_MONEY}, is_cancelled int, "
     f"qty_after_transaction {_QTY}, valuation_rate {_RATE}",
     "bin": f"item_code string, warehouse string, actual_qty {_QTY}, stock_value {_MONEY}",
     "item": "name string, item_code string, item_name string, brand string, item_group string, country_of_origin string, "
@@ -42,7 +42,7 @@ TABLES: dict[str, str] = {
     "delivery_note_item": f"name string, parent string, docstatus int, item_code string, production_year string, qty {_QTY}, "
     f"billed_qty {_QTY}, rate double, price_list_rate double, so_detail string, against_sales_order string",
     "purchase_receipt": f"name string, title string, posting_date date, docstatus int, is_return int, virtual_receipt int, "
-    f"base_grand_total {_MONEY}, supplier string, freight_account string, freight_account_currency string, freight_amount {_MONEY}, "
+    f"base_grand_total {_MONEY}, grand_total {_MONEY}, currency string, total_qty {_QTY}, supplier string, freight_account string, freight_account_currency string, freight_amount {_MONEY}, "
     f"freight_exchange_rate {_RATE}, inspection_account string, inspection_account_currency string, inspection_amount {_MONEY}, "
     f"inspection_exchange_rate {_RATE}, clearance_account string, clearance_amount {_MONEY}, transport_account string, "
     f"transport_amount {_MONEY}, foreign_bank_charges_account string, foreign_bank_charges_account_currency string, "

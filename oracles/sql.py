@@ -253,6 +253,11 @@ LEFT JOIN q_virtual v ON i.name = v.item_code AND i.production_year = v.producti
 LEFT JOIN q_price p ON i.name = p.item_code AND i.production_year = p.production_year WHERE i.is_stock_item = 1"""
 
 
+#: The flag of the default company, or of the first one by name.
+CHECKED = """(SELECT validate_selling_price_so FROM company
+  ORDER BY name <> coalesce((SELECT max(value) FROM singles WHERE doctype = 'Global Defaults' AND field = 'default_company'), ''), name LIMIT 1) = 1"""
+
+
 def price_floor(line_table: str, order_table: str, match_year: bool, value: str, order_filter: str) -> str:
     exact = "CASE WHEN coalesce(l.production_year, '') = '' THEN f.r ELSE e.r END" if match_year else "f.r"
     return f"""WITH q_any AS (SELECT item_code, price_list, min(price_list_rate) AS r FROM item_price GROUP BY 1, 2),
@@ -321,9 +326,9 @@ VOUCHER_LINES = " UNION ALL ".join([
 def cash_line(document: str, part: str, account: str, rate: str, debit: str, credit: str, where: str, party: bool = False) -> str:
     p = ("'Customer'", "customer") if party else ("NULL", "NULL")
     return f"""SELECT 'Sales Invoice' AS custom_voucher_type, name AS custom_voucher_no, posting_date,
-  CASE WHEN other AND rest <= 0 THEN 'payment is not below the invoice' END AS problem, '{document}' AS document, '{part}' AS part,
+  CAST(NULL AS VARCHAR) AS problem, '{document}' AS document, '{part}' AS part,
   {account} AS account, CAST({p[0]} AS VARCHAR) AS party_type, CAST({p[1]} AS VARCHAR) AS party, {D(rate)} AS exchange_rate,
-  {D(debit)} AS debit, {D(credit)} AS credit FROM q_si WHERE {where}"""
+  {D(debit)} AS debit, {D(credit)} AS credit FROM q_si WHERE NOT coalesce(other AND rest <= 0, FALSE) AND {where}"""
 
 
 CASH = f"""WITH q_si AS (
@@ -340,6 +345,8 @@ CASH = f"""WITH q_si AS (
     cash_line("Journal Entry", "write-off", "write_off_account", "1", "rest", "0", "other AND rest > 0 AND is_return = 0"),
     cash_line("Journal Entry", "write-off", "write_off_account", "1", "0", "rest", "other AND rest > 0 AND is_return = 1"),
     cash_line("Journal Entry", "write-off", "debit_to", "1", "rest", "0", "other AND rest > 0 AND is_return = 1", True),
+    """SELECT 'Sales Invoice', name, posting_date, 'payment is not below the invoice', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+  FROM q_si WHERE other AND rest <= 0""",
 ])
 
 
@@ -548,12 +555,18 @@ FROM q_rate b JOIN item i ON b.item_code = i.name JOIN q_age a ON b.item_code =
         f"{_PRICE_JOIN} LEFT JOIN q_rate v ON s.item_code = v.item_code", "i.is_stock_item = 1"),
     "available_to_promise": atp_out("item_code, production_year, warehouse"),
     "available_to_promise_any_year": atp_out("item_code, warehouse"),
-    "order_shortages": f"""WITH {atp('item_code, production_year, warehouse')}, q_need AS (
+    "order_shortages": f"""WITH {atp('item_code, production_year, warehouse')}, q_line AS (
   SELECT l.parent, l.name, o.customer, l.item_code, coalesce(l.production_year, '') AS production_year, o.set_warehouse AS warehouse, l.qty,
-    CASE WHEN o.reservation_status = 'Reserve against Future Receipts' THEN a.future_available ELSE a.actual_available END AS available
+    o.reservation_status = 'Reserve against Future Receipts' AS later
   FROM sales_order_item l JOIN sales_order o ON l.parent = o.name
-  LEFT JOIN q_atp a ON l.item_code = a.item_code AND coalesce(l.production_year, '') = a.production_year AND o.set_warehouse = a.warehouse
-  WHERE l.docstatus = 1 AND o.docstatus = 1 AND o.status NOT IN ('Completed', 'Closed'))
+  WHERE l.docstatus = 1 AND o.docstatus = 1 AND o.status NOT IN ('Completed', 'Closed')
+), q_years AS (
+  SELECT n.name, sum(a.stock) AS s, sum(a.expected) AS e, sum(a.reserved_now) AS n, sum(a.reserved_future) AS f, any_value(n.later) AS later
+  FROM q_line n JOIN q_atp a ON n.item_code = a.item_code AND n.warehouse = a.warehouse AND (n.production_year = '' OR n.production_year = a.production_year)
+  GROUP BY n.name
+), q_need AS (
+  SELECT l.*, CASE WHEN y.later THEN y.s + y.e - y.n - y.f ELSE y.s - y.n - greatest(y.f - y.e, 0) END AS available
+  FROM q_line l JOIN q_years y ON l.name = y.name)
 SELECT parent, name, customer, item_code, production_year, warehouse, {D('qty')} AS qty, {D('-available')} AS shortage FROM q_need WHERE available < 0""",
     "unvirtualize_check": f"""WITH {atp('item_code, production_year, warehouse')}
 SELECT l.parent, l.name, l.item_code, coalesce(l.production_year, '') AS production_year, l.warehouse, {D('l.qty')} AS qty,
@@ -579,7 +592,7 @@ FROM q_terms t LEFT JOIN q_owed o ON t.customer = o.customer WHERE t.payment_ter
     "price_metrics_stream": f"""WITH {METRICS} SELECT name, item_code, production_year, {R('stock_valuation_rate', 6)} AS stock_valuation_rate,
 {D('stock_qty')} AS stock_qty, {D('available_qty')} AS available_qty FROM q_ip
 WHERE item_code IN (SELECT 'I-' || CAST(l_partkey AS VARCHAR) FROM lineitem)""",
-    "price_floor_violations": price_floor("sales_order_item", "sales_order", True, "valuation_rate", ""),
+    "price_floor_violations": price_floor("sales_order_item", "sales_order", True, "valuation_rate", "").replace("net_rate < value", f"net_rate < value AND {CHECKED}"),
     "invoice_price_violations": price_floor("sales_invoice_item", "sales_invoice", False, "incoming_rate", "AND o.is_return = 0"),
     "price_increase": f"""WITH {METRICS} SELECT name, {D('ceil(round(CAST(stock_valuation_rate AS DECIMAL(28,9)) * 1.15, 6))')} AS price_list_rate
 FROM q_ip WHERE selling = 1""",
@@ -594,10 +607,10 @@ FROM item_price p LEFT JOIN price_change c ON p.name = c.name
 UNION ALL SELECT c.name, c.item_code, c.production_year, 'Standard Selling', {D('c.price')}, 'insert' FROM price_change c
 WHERE c.name IS NULL OR c.name NOT IN (SELECT name FROM item_price)""",
     "price_grid_completion": f"""WITH q_want AS (SELECT DISTINCT item_code, {YEAR} AS y FROM purchase_receipt_item)
-SELECT w.item_code, l.name AS price_list, w.y AS production_year, 0::DOUBLE AS price_list_rate, 1 AS selling, i.item_name, i.brand
+SELECT w.item_code, l.name AS price_list, w.y AS production_year, 0::DOUBLE AS price_list_rate, 1 AS selling, i.item_name, i.brand, i.description AS item_description
 FROM q_want w CROSS JOIN price_list l LEFT JOIN item i ON w.item_code = i.name
 WHERE l.selling = 1 AND NOT EXISTS (SELECT 1 FROM item_price p WHERE p.item_code = w.item_code AND p.price_list = l.name AND coalesce(p.production_year, '') = w.y)""",
-    "item_price_defaults": """SELECT i.name AS item_code, l.name AS price_list, 0::DOUBLE AS price_list_rate, 1 AS selling, i.item_name, i.brand
+    "item_price_defaults": """SELECT i.name AS item_code, l.name AS price_list, 0::DOUBLE AS price_list_rate, 1 AS selling, i.item_name, i.brand, i.description AS item_description
 FROM item i CROSS JOIN price_list l WHERE l.selling = 1 AND NOT EXISTS (SELECT 1 FROM item_price p WHERE p.item_code = i.name AND p.price_list = l.name)""",
     "price_attribute_sync": """SELECT p.name, CASE WHEN l.selling = 1 THEN i.item_name ELSE p.item_name END AS item_name,
   CASE WHEN l.selling = 1 THEN i.brand ELSE p.brand END AS brand, CASE WHEN l.selling = 1 THEN i.description END AS item_description
@@ -631,7 +644,7 @@ SELECT parent AS delivery_note, CASE WHEN b = 0 THEN 0 WHEN b > 0 AND b < q THEN
     "orders_to_close": """WITH q_l AS (SELECT parent, bool_and(qty = billed_qty) AS done FROM sales_order_item GROUP BY 1)
 SELECT o.name, CASE WHEN l.done AND o.per_billed < 100 THEN 'all lines billed' ELSE 'delivered, partly billed' END AS reason
 FROM sales_order o LEFT JOIN q_l l ON o.name = l.parent
-WHERE o.docstatus = 1 AND ((coalesce(l.done, FALSE) AND o.per_billed < 100) OR (o.billing_status = 'Partly Billed' AND o.delivery_status = 'Fully Delivered'))""",
+WHERE o.docstatus = 1 AND o.status <> 'Closed' AND ((coalesce(l.done, FALSE) AND o.per_billed < 100) OR (o.billing_status = 'Partly Billed' AND o.delivery_status = 'Fully Delivered'))""",
     "delivery_status": """SELECT name, CASE WHEN status IN ('On Hold', 'Closed') THEN status WHEN docstatus <> 1 THEN NULL WHEN per_delivered = 0 THEN 'Not Delivered'
   WHEN per_delivered < 100 THEN 'Partly Delivered' WHEN per_delivered = 100 THEN 'Fully Delivered' END AS indicator FROM sales_order""",
     "reconciliation_candidates": f"""WITH q_p AS (SELECT party, sum(unallocated_amount) AS a FROM payment_entry WHERE docstatus = 1 AND unallocated_amount > 0 GROUP BY 1),
@@ -669,7 +682,7 @@ SELECT custom_voucher_type, custom_voucher_no, part, {D('d')} AS base_debit, {D(
 FROM purchase_invoice""",
     "moving_average_valuation": f"""WITH RECURSIVE q_o AS (
   SELECT name, item_code, warehouse, posting_date, voucher_no, actual_qty, CAST(actual_qty AS DOUBLE) AS a,
-    row_number() OVER (PARTITION BY item_code, warehouse ORDER BY posting_date, voucher_no, name) AS n,
+    row_number() OVER (PARTITION BY item_code, warehouse ORDER BY posting_date, posting_datetime NULLS FIRST, voucher_no, name) AS n,
     voucher_type = 'Stock Reconciliation' AND {YEAR} = '' AND qty_after_transaction IS NOT NULL AS reset, qty_after_transaction AS given,
     CASE WHEN voucher_type = 'Stock Reconciliation' AND {YEAR} = '' AND qty_after_transaction IS NOT NULL THEN CAST(valuation_rate AS DOUBLE)
       ELSE coalesce({ratio('stock_value_difference', 'actual_qty')}, 0) END AS p
@@ -723,7 +736,8 @@ SELECT CAST(year(r.posting_date) AS INT) AS year, CASE WHEN r.docstatus = 1 THEN
 FROM purchase_receipt r LEFT JOIN q_q q ON r.name = q.parent WHERE r.docstatus <> 2 AND r.is_return = 0 GROUP BY 1, 2""",
     "filter_spec": f"""SELECT name, {D('price_list_rate')} AS price_list_rate, packing_unit FROM item_price
 WHERE price_list = 'Standard Selling' AND selling = 1 AND price_list_rate > 905 AND packing_unit IN (0, 4)""",
-    "receipt_list": f"""SELECT name AS purchase_receipt, title AS shipment_name, virtual_receipt, {D('base_grand_total')} AS grand_total,
+    "receipt_list": f"""SELECT name AS purchase_receipt, title AS shipment_name, virtual_receipt, {D('total_qty')} AS total_qty, currency,
+  {D('grand_total')} AS grand_total, {D('base_grand_total')} AS base_grand_total,
   CASE WHEN docstatus = 1 THEN posting_date END AS posting_date, CASE WHEN docstatus = 1 THEN 1 ELSE 0 END AS actual_receipt
 FROM purchase_receipt WHERE docstatus <> 2""",
     "export_prices": f"""WITH {METRICS} SELECT name, item_code, item_name, brand, {D('price_list_rate')} AS price_list_rate, {R('stock_valuation_rate', 6)} AS stock_valuation_rate,

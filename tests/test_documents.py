@@ -165,13 +165,15 @@ def test_cash_invoices(tables):
                 "conversion_rate": 1}
 
     t = tables(company=[{"name": "M", "write_off_account": "OFF"}],
-               sales_invoice=[invoice("sale"), invoice("less", other=1, value=7), invoice("back", is_return=1), invoice("more", other=1, value=12), invoice("open", paid=0)])
+               sales_invoice=[invoice("sale"), invoice("less", other=1, value=7), invoice("back", is_return=1), invoice("more", other=1, value=12), invoice("open", paid=0),
+                                invoice("unpaid", other=1, value=10, paid=0), invoice("partly", other=1, value=4, paid=0)])
     got = rows(vouchers.cash_invoice_lines(t), "custom_voucher_no", "part", "account", "debit", "credit", "problem")
     bad = "payment is not below the invoice"
     assert got == sorted([
         ("sale", "main", "P", 10.0, 0.0, None), ("sale", "main", "D", 0.0, 10.0, None), ("less", "main", "P", 7.0, 0.0, None),
         ("less", "main", "D", 0.0, 7.0, None), ("less", "write-off", "D", 0.0, 3.0, None), ("less", "write-off", "OFF", 3.0, 0.0, None),
-        ("back", "main", "P", 0.0, 10.0, None), ("back", "main", "D", 10.0, 0.0, None), ("more", "main", "P", 12.0, 0.0, bad), ("more", "main", "D", 0.0, 12.0, bad),
+        ("back", "main", "P", 0.0, 10.0, None), ("back", "main", "D", 10.0, 0.0, None), ("more", None, None, None, None, bad), ("unpaid", None, None, None, None, bad),
+        ("partly", "write-off", "D", 0.0, 6.0, None), ("partly", "write-off", "OFF", 6.0, 0.0, None),
     ], key=str)
 
 
@@ -224,3 +226,27 @@ def test_tables_from_files(spark, tables, tmp_path):
     assert Tables.from_csv(spark, f"{tmp_path}/csv").sales_order.collect() == want
     with pytest.raises(KeyError):
         Tables.from_frames(sales_order=t.sales_order).item
+
+
+def test_price_sheet_from_file_to_price_table(spark, tables, tmp_path):
+    t = tables(item_price=[{"name": "p1", "item_code": "A", "price_list_rate": 5}, {"name": "p2", "item_code": "B", "price_list_rate": 7}])
+    (tmp_path / "sheet.csv").write_text("name,item_code,item_name,brand,price_list_rate,idx\np1,A,a,x,9,1\np1,A,a,x,6,2\n,C,c,x,1,3\np2,B,b,x,7,4\n")
+    sheet = spark.read.option("header", True).schema("name string, item_code string, item_name string, brand string, price_list_rate string, idx int").csv(str(tmp_path))
+    got = rows(pricing.price_upsert(t, pricing.import_price_sheet(sheet)), "name", "price_list_rate", "action")
+    assert got == [("p1", 6.0, "update"), ("p2", 7.0, "keep")]
+
+
+@pytest.mark.parametrize("setting, flags, checked", [("B", (0, 1), True), ("A", (0, 1), False), (None, (1, 0), True), (None, (0, 1), False), ("gone", (1, 0), True)])
+def test_the_default_company_decides_on_the_value_check(tables, setting, flags, checked):
+    t = tables(
+        company=[{"name": n, "validate_selling_price_so": f} for n, f in zip("AB", flags)],
+        singles=[{"doctype": "Global Defaults", "field": "default_company", "value": setting}] if setting else [],
+        sales_order=[{"name": "o", "docstatus": 1, "selling_price_list": "L"}],
+        sales_order_item=[{"name": "l", "parent": "o", "docstatus": 1, "item_code": "A", "net_rate": 3.0, "valuation_rate": 4.0}],
+    )
+    assert (pricing.order_price_violations(t).count() == 1) == checked
+
+
+def test_closed_orders_are_not_closed_again(tables):
+    orders = [{"name": n, "docstatus": 1, "status": s, "per_billed": 40.0, "billing_status": "Partly Billed", "delivery_status": "Fully Delivered"} for n, s in (("a", "To Bill"), ("b", "Closed"), ("c", None))]
+    assert rows(fulfilment.orders_to_close(tables(sales_order=orders)), "name") == [("a",), ("c",)]

@@ -180,3 +180,23 @@ def test_filter_lists(spark, spec, names):
 def test_unknown_filter_operator(spark):
     with pytest.raises(ValueError):
         filter_spec(spark.range(1), '[["id","like","x"]]')
+
+
+def test_lines_without_a_year_may_take_any_year(tables):
+    def order(name, status="Reserve with Delivery"):
+        return {"name": name, "docstatus": 1, "status": "To Deliver", "reservation_status": status, "set_warehouse": "W", "customer": "C"}
+
+    def line(name, parent, year, qty):
+        return {"name": name, "parent": parent, "docstatus": 1, "item_code": "A", "production_year": year, "qty": qty, "delivered_qty": 0}
+
+    stock = [{"name": "s", "item_code": "A", "production_year": "2024", "warehouse": "W", "actual_qty": 50, "is_cancelled": 0, "posting_date": "2024-01-01"}]
+    t = tables(item=[{"name": "A", "is_stock_item": 1}], stock_ledger_entry=stock, sales_order=[order("o")], sales_order_item=[line("any", "o", None, 5)])
+    assert atp.order_shortages(t).isEmpty()
+    t = tables(item=[{"name": "A", "is_stock_item": 1}], stock_ledger_entry=stock, sales_order=[order("o")], sales_order_item=[line("any", "o", None, 5), line("old", "o", "2020", 3), line("new", "o", "2024", 4)])
+    assert key(atp.order_shortages(t), "name", "shortage") == [("old", 3.0)]
+    assert atp.order_shortages(t, any_year=True).isEmpty()
+    receipts = {"purchase_receipt": [{"name": "r", "docstatus": 0, "virtual_receipt": 1}],
+                "purchase_receipt_item": [{"name": "x", "parent": "r", "docstatus": 0, "item_code": "A", "production_year": "2024", "warehouse": "W", "qty": 20}]}
+    t = tables(item=[{"name": "A", "is_stock_item": 1}], stock_ledger_entry=stock, sales_order=[order("o", "Reserve against Future Receipts")], sales_order_item=[line("l", "o", "2024", 60)], **receipts)
+    assert atp.order_shortages(t).isEmpty()
+    assert atp.order_shortages(t, reserves_future=False).isEmpty() and atp.available_to_promise(t).first().actual_available == 10
