@@ -18,7 +18,7 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     if base not in _POWERS or len(_POWERS[base][0]) < n:
         both = []
         for factor in (base, pow(base, -1, 1 << 64)):
-            p = np.full(max(n, 1 << 20), np.uint64(factor), dtype=np.uint64)
+            p = np.full(max(n, 1 << 18), np.uint64(factor), dtype=np.uint64)
             p[0] = 1
             both.append(np.cumprod(p, dtype=np.uint64))
         _POWERS[base] = (both[0], both[1])
@@ -77,7 +77,7 @@ class Texts:
         return np.searchsorted(self.starts, start, side="right") - 1, start, end
 
 
-def chunks(texts: list[str | None], most_chars: int = 1 << 20):
+def chunks(texts: list[str | None], most_chars: int = 1 << 18):
     """(first index, texts) in pieces of about ``most_chars`` characters, one text at least."""
     first, size = 0, 0
     for k, t in enumerate(texts):

@@ -28,7 +28,7 @@ LEAST_CHARS = 24
 SMALL_GROUP = 48
 BLOCK = 4_096
 #: Lines a task remembers, not to send keys of the same line again; when there are more, it begins anew.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 
 def edit_distance(a: str, b: str, most: int) -> int:

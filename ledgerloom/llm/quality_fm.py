@@ -12,11 +12,11 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.common import slices
 from ledgerloom.llm.hashing import Texts, chunks
 
 #: Buckets of hashed words.
@@ -109,7 +109,7 @@ def features(texts: list[str | None]) -> Features:
 def score_texts(model: Model, texts: list[str | None]) -> np.ndarray:
     """Scores in (0, 1), each computed from its own text alone."""
     out = np.empty(len(texts))
-    for at, some in chunks(texts, 1 << 19):
+    for at, some in chunks(texts):
         f = features(some)
         v = model.factors[f.index] * f.value[:, None]
         sums = lambda x: np.add.reduceat(x, f.starts[:-1], axis=0)  # noqa: E731, B023
@@ -187,9 +187,9 @@ def train(documents: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -
 def score(model: Model, text: Column) -> Column:
     """Quality score of a text column; NULL counts as empty."""
 
-    @F.pandas_udf("double")
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series(score_texts(model, texts.tolist()))
+    @F.arrow_udf("double")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array(np.concatenate([score_texts(model, t.to_pylist()) for t in slices(texts)] or [np.zeros(0)]))
 
     return run(text)
 
