@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import cut, small_batches
+from ledgerloom.llm.common import cut, small_batches, tasks_for
 from ledgerloom.llm.hashing import Texts, chunks, mixed
 
 #: A link: 100 * intersection >= PERCENT * union.
@@ -28,7 +28,9 @@ TREES = 16
 #: Minhash functions of a signature, and how many must agree for a candidate: four standard deviations below 0.8 * 128.
 FUNCTIONS, AGREE = 128, 84
 #: Branches of so many sets are compared; larger ones branch again, LEVELS times at most, and are then compared in a grid of blocks.
-LEAF, LEVELS, BLOCK = 64, 10, 1_024
+LEAF, LEVELS, BLOCK = 64, 10, 512
+#: Rows of small tables per task.
+ROWS_PER_TASK = 20_000
 #: Candidate clusters of so many sets send all pairs at once.
 CLUSTER = 8
 
@@ -81,11 +83,11 @@ def _describe(size: int):
 def _candidates(sign: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
     """Matrix of agreeing functions; 0 where sizes rule a link out or too few agree."""
     agree = np.zeros((len(n), len(n)), dtype=np.int16)
-    for f in range(0, sign.shape[1], 16):
-        agree += (sign[:, None, f : f + 16] == sign[None, :, f : f + 16]).sum(axis=2, dtype=np.int16)
-    least = AGREE * percent // PERCENT
-    sizes = 100 * np.minimum(n[:, None], n[None, :]) >= percent * np.maximum(n[:, None], n[None, :])
-    agree[(agree < least) | ~sizes] = 0
+    for f in range(sign.shape[1]):
+        agree += sign[:, f, None] == sign[None, :, f]
+    agree[agree < AGREE * percent // PERCENT] = 0
+    for k in range(len(n)):
+        agree[k][100 * np.minimum(n[k], n) < percent * np.maximum(n[k], n)] = 0
     np.fill_diagonal(agree, 0)
     return agree
 
@@ -194,19 +196,19 @@ def components(links: DataFrame) -> DataFrame:
     Every node is linked to its smallest neighbour, first from the larger side, then from the smaller, until nothing changes. Rows
     stay as many as the links, and rounds grow with the logarithm of a component's width.
     """
-    edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
+    edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), ROWS_PER_TASK)
     before = None
     while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+        if now == before or now[0] == 0:
+            break
+        before, tasks = now, tasks_for(now[0], ROWS_PER_TASK)
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).coalesce(tasks)
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(tasks)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        edges = cut(small.select("e.*").where("u <> v").distinct())
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if now == before:
-            break
-        before = now
+        edges = cut(small.select("e.*").where("u <> v").coalesce(tasks).distinct(), ROWS_PER_TASK)
     roots = edges.select(F.col("v").alias("node")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("part")).unionByName(roots.select("node", F.col("node").alias("part")))
 
@@ -214,17 +216,17 @@ def components(links: DataFrame) -> DataFrame:
 def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs whose full sets make a link; texts has node and text."""
 
-    @F.pandas_udf("boolean")
-    def linked(a: pd.Series, b: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(a, b, strict=True):
-            p, q = shingle_sets([x, y], size)
-            both = len(np.intersect1d(p, q, assume_unique=True))
-            out.append(100 * both >= percent * (len(p) + len(q) - both))
-        return pd.Series(out)
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "text_a", 2 << 20):
+            keep = []
+            for x, y in zip(batch.column("text_a"), batch.column("text_b"), strict=True):
+                p, q = shingle_sets([x.as_py(), y.as_py()], size)
+                both = len(np.intersect1d(p, q, assume_unique=True))
+                keep.append(100 * both >= percent * (len(p) + len(q) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     left = pairs.join(texts.withColumnsRenamed({"node": "a", "text": "text_a"}), "a")
-    return left.join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b").where(linked("text_a", "text_b")).select("a", "b")
+    return left.join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b").select("a", "b", "text_a", "text_b").mapInArrow(linked, "a long, b long")
 
 
 def _described(documents: DataFrame, size: int) -> DataFrame:
@@ -242,9 +244,9 @@ def near_duplicates(documents: DataFrame, size: int = 2, percent: int = PERCENT)
     that id; rows without doc_id can link others, have their component's id or NULL, and are never kept. Other columns are
     ignored. Very long texts are read whole, and equal sets are one node however many rows have them.
     """
-    docs = cut(_described(documents, size))
+    docs = cut(_described(documents, size), ROWS_PER_TASK)
     some = docs.where("n_shingles > 0")
-    nodes = cut(some.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "copy")).alias("at"), *[F.first(c).alias(c) for c in ("n_shingles", "sign", "tops")]))
+    nodes = cut(some.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "copy")).alias("at"), *[F.first(c).alias(c) for c in ("n_shingles", "sign", "tops")]), ROWS_PER_TASK)
     signs = nodes.select("node", "n_shingles", "sign")
 
     # Trees: paths of minwise tokens.
@@ -252,7 +254,7 @@ def near_duplicates(documents: DataFrame, size: int = 2, percent: int = PERCENT)
     leaves = None
     for level in range(LEVELS):
         counts = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        rows = cut(rows.join(counts, "path"))
+        rows = cut(rows.join(counts, "path"), ROWS_PER_TASK)
         leaf = rows.where(F.col("n") <= LEAF).select("path", "node")
         leaves = leaf if leaves is None else leaves.unionByName(leaf)
         rows = rows.where(F.col("n") > LEAF)
@@ -272,29 +274,29 @@ def near_duplicates(documents: DataFrame, size: int = 2, percent: int = PERCENT)
     grid = rows.withColumn("n_blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
     grid = grid.select("path", "node", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q")).join(signs, "node")
     from_grid = grid.groupBy("path", "p", "q").applyInArrow(_block_first(percent), schema)
-    met = cut(first.unionByName(from_grid))
-    tested = cut(met.where("a is not null").select("a", "b").distinct())
-    crowds = cut(met.where("path is not null").select("path", "node").distinct().join(signs, "node"))
+    met = cut(first.unionByName(from_grid), ROWS_PER_TASK)
+    tested = cut(met.where("a is not null").select("a", "b").distinct(), ROWS_PER_TASK)
+    crowds = cut(met.where("path is not null").select("path", "node").distinct().join(signs, "node"), ROWS_PER_TASK)
 
     wanted = tested.select(F.explode(F.array("a", "b")).alias("node")).unionByName(crowds.select("node")).distinct()
     at = wanted.join(nodes.select("node", "at.*"), "node")
     whole = documents.select("doc_id", F.xxhash64("text").alias("copy"), "text")
     same = whole["doc_id"].eqNullSafe(at["doc_id"]) & (whole["copy"] == at["copy"])
-    texts = cut(whole.join(at, same).select("node", "text").dropDuplicates(["node"]))
+    texts = cut(whole.join(at, same).select("node", "text").dropDuplicates(["node"]), ROWS_PER_TASK)
 
-    links = cut(_confirm(tested, texts, size, percent))
-    parts = cut(components(links))
+    links = cut(_confirm(tested, texts, size, percent), ROWS_PER_TASK)
+    parts = cut(components(links), ROWS_PER_TASK)
     for best_only in (True, False):
         if crowds.isEmpty():
             break
         apart = crowds.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
         new = apart.groupBy("path").applyInArrow(_apart(percent, best_only), "a long, b long").distinct().join(tested, ["a", "b"], "left_anti")
-        new = cut(new)
+        new = cut(new, ROWS_PER_TASK)
         if new.isEmpty():
             continue
-        links = links.unionByName(cut(_confirm(new, texts, size, percent)))
+        links = links.unionByName(cut(_confirm(new, texts, size, percent), ROWS_PER_TASK))
         tested = tested.unionByName(new)
-        parts = cut(components(links))
+        parts = cut(components(links), ROWS_PER_TASK)
 
     ids = nodes.select("node", "least_id").join(parts, "node").groupBy("part").agg(F.min("least_id").alias("linked_id"))
     linked = parts.join(ids, "part").select("node", "linked_id")

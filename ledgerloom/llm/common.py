@@ -20,10 +20,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows, computed once and kept in the shared checkpoint folder, so that a lost executor loses nothing."""
+def cut(df: DataFrame, rows_per_task: int | None = None) -> DataFrame:
+    """The rows, computed once and kept in the shared checkpoint folder, so that a lost executor loses nothing.
+
+    With ``rows_per_task`` they are counted, and read again by no more tasks than it takes for so many rows each: every task of
+    a later shuffle writes files of its own, so many tasks with a few rows cost more disk than the rows.
+    """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    kept = df.checkpoint(eager=True)
+    return kept.coalesce(tasks_for(kept.count(), rows_per_task)) if rows_per_task else kept
+
+
+def tasks_for(rows: int, rows_per_task: int) -> int:
+    return max(1, -(-rows // rows_per_task))
 
 
 def words(text: Column) -> Column:
@@ -31,6 +40,13 @@ def words(text: Column) -> Column:
     return F.when(text.isNull(), 0).otherwise(F.regexp_count(text, F.lit(WORD)))
 
 
+def slices(column: pa.Array, most_bytes: int = 4 << 20) -> Iterator[pa.Array]:
+    """A column in pieces of about ``most_bytes`` at most, one value at least."""
+    step = max(1, int(len(column) * most_bytes / max(1, column.nbytes)))
+    for start in range(0, len(column), step):
+        yield column.slice(start, step)
+
+
 def small_batches(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The batches in slices whose column holds about ``most_bytes`` at most (one row at least), so that memory stays bounded."""
     for batch in batches:
