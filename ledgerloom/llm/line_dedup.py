@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import cut, small_batches
+from ledgerloom.llm.common import cut, slices, small_batches
 from ledgerloom.llm.hashing import Spans, Texts, chunks, mixed
 
 EDITS = 2
@@ -316,10 +316,15 @@ def without_repeated_lines(documents: DataFrame, edits: int = EDITS) -> DataFram
     marks = marks.withColumnsRenamed({"doc_id": "m_doc_id", "copy": "m_copy", "gone": "m_gone"})
     joined = documents.join(marks, (F.col("doc_id") == F.col("m_doc_id")) & (F.xxhash64("text") == F.col("m_copy")), "left")
 
-    @F.pandas_udf("string")
-    def keep(text: pd.Series, gone: pd.Series) -> pd.Series:
-        goes = (set(g.tolist()) for g in gone)
-        return pd.Series(["\n".join(line for k, line in enumerate(t.split("\n")) if k not in g) for t, g in zip(text.fillna(""), goes, strict=True)], dtype=object)
+    @F.arrow_udf("string")
+    def keep(text: pa.Array, gone: pa.Array) -> pa.Array:
+        out, at = [pa.array([], pa.string())], 0
+        for some in slices(text):
+            lines = ((t.as_py() or "").split("\n") for t in some)
+            goes = (set(g.as_py() or ()) for g in gone.slice(at, len(some)))
+            out.append(pa.array(["\n".join(x for k, x in enumerate(t) if k not in g) for t, g in zip(lines, goes, strict=True)], pa.string()))
+            at += len(some)
+        return pa.concat_arrays(out)
 
     text: Column = F.when(F.col("m_gone").isNull(), F.col("text")).otherwise(keep(F.col("text"), F.coalesce("m_gone", F.array().cast("array<int>"))))
     kept = joined.withColumn("text", text).where(F.col("m_gone").isNull() | (F.trim(F.translate("text", "\n\t\r", "   ")) != ""))
