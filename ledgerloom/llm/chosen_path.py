@@ -4,8 +4,9 @@ Every distinct shingle set is a node of a graph. Independent trees branch the se
 where a branch is still large (with a second branch for one in four, so that a similar pair stays together somewhere); small
 branches are compared exhaustively by their minhash signatures, and candidate pairs are confirmed on the full sets.
 
-Only what connects is confirmed: a small cluster of candidates sends all its pairs, a crowd first a spanning forest, then the best
-pair between parts that are still apart, then all remaining pairs between such parts. Pairs inside a part cannot change it.
+Only what connects is confirmed: a small cluster of candidates sends all its pairs, a crowd first a spanning forest. Crowds that
+are then still in parts get their members' full texts, confirm all candidate pairs between parts in one block, and send as many
+links as it takes to join them. Pairs inside a part cannot change it.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -174,18 +174,47 @@ def _block_first(percent: int):
     return run
 
 
-def _apart(percent: int, best_only: bool):
+def _common(sets: list[np.ndarray], width: int = 4_096) -> np.ndarray:
+    """Sizes of the intersections of all sets of a block, by products of membership matrices of ``width`` shingles each."""
+    both = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    shingle, column = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    by = np.argsort(column, kind="stable")
+    row, column = row[by], column[by]
+    for first in range(0, len(shingle), width):
+        a, z = np.searchsorted(column, [first, first + width])
+        member = np.zeros((len(sets), width), dtype=np.float32)
+        member[row[a:z], column[a:z] - first] = 1
+        both += member @ member.T
+    return both.astype(np.int64)
+
+
+def _links_apart(size: int, percent: int):
     def run(crowd: pa.Table) -> pa.Table:
-        """Candidate pairs between different parts: the best of each two parts, or all."""
+        """Links between different parts of a crowd, as many as it takes to join the parts; all candidate pairs are confirmed."""
         node, sign, n = _arrays(crowd)
         part = crowd.column("part").to_numpy()
         agree = _candidates(sign, n, percent)
         agree[part[:, None] == part[None, :]] = 0
-        a, b = np.nonzero(np.triu(agree))
-        pairs = pd.DataFrame({"a": np.minimum(node[a], node[b]), "b": np.maximum(node[a], node[b]), "p": np.minimum(part[a], part[b]), "q": np.maximum(part[a], part[b]), "agree": agree[a, b]})
-        if best_only:
-            pairs = pairs.sort_values(["agree", "a", "b"], ascending=[False, True, True]).drop_duplicates(["p", "q"])
-        return pa.table({"a": pairs["a"].to_numpy(), "b": pairs["b"].to_numpy()})
+        some = np.flatnonzero(agree.any(axis=1))
+        out: list[tuple[int, int]] = []
+        if len(some):
+            sets = shingle_sets(crowd.column("text").take(pa.array(some)).to_pylist(), size)
+            both, n = _common(sets), n[some]
+            linked = (agree[np.ix_(some, some)] > 0) & (100 * both >= percent * (n[:, None] + n[None, :] - both))
+            root: dict[int, int] = {}
+
+            def find(x: int) -> int:
+                while root.get(x, x) != x:
+                    x = root[x]
+                return x
+
+            for i, j in zip(*np.nonzero(np.triu(linked)), strict=True):
+                p, q = find(int(part[some[i]])), find(int(part[some[j]]))
+                if p != q:
+                    root[max(p, q)] = min(p, q)
+                    out.append((int(node[some[i]]), int(node[some[j]])))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([x for _, x in out], pa.int64())})
 
     return run
 
@@ -286,17 +315,12 @@ def near_duplicates(documents: DataFrame, size: int = 2, percent: int = PERCENT)
 
     links = cut(_confirm(tested, texts, size, percent), ROWS_PER_TASK)
     parts = cut(components(links), ROWS_PER_TASK)
-    for best_only in (True, False):
-        if crowds.isEmpty():
-            break
+    if not crowds.isEmpty():
         apart = crowds.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
-        new = apart.groupBy("path").applyInArrow(_apart(percent, best_only), "a long, b long").distinct().join(tested, ["a", "b"], "left_anti")
-        new = cut(new, ROWS_PER_TASK)
-        if new.isEmpty():
-            continue
-        links = links.unionByName(cut(_confirm(new, texts, size, percent), ROWS_PER_TASK))
-        tested = tested.unionByName(new)
-        parts = cut(components(links), ROWS_PER_TASK)
+        open_cells = apart.groupBy("path").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q").select("path")
+        rest = apart.join(open_cells, "path", "left_semi").join(texts, "node")
+        more = rest.groupBy("path").applyInArrow(_links_apart(size, percent), "a long, b long")
+        parts = cut(components(links.unionByName(cut(more.distinct(), ROWS_PER_TASK))), ROWS_PER_TASK)
 
     ids = nodes.select("node", "least_id").join(parts, "node").groupBy("part").agg(F.min("least_id").alias("linked_id"))
     linked = parts.join(ids, "part").select("node", "linked_id")
