@@ -24,9 +24,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that occurred before, alike or nearly so; n_chars follows the text where it changed."""
+    """Documents without the lines that occurred before, alike (at any length) or nearly so; n_chars follows the text where it changed."""
     before = docs.select(*DOCUMENT).withColumn("n_before", F.length("text"))
-    after = without_repeated_lines(before)
+    after = without_repeated_lines(before, least_copy=1)
     return after.withColumn("n_chars", F.when(F.length("text").eqNullSafe(F.col("n_before")), F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(*DOCUMENT)
 
 

@@ -22,7 +22,7 @@ from ledgerloom.llm.common import cut, slices, small_batches
 from ledgerloom.llm.hashing import Spans, Texts, chunks, mixed
 
 EDITS = 2
-#: Shorter lines (in code points) are never compared nor removed.
+#: Shorter lines (in code points) are never compared with different ones: two edits in a short line make another line.
 LEAST_CHARS = 24
 #: Up to so many entries under one key, pairs are made at once; more are dealt out in blocks of BLOCK.
 SMALL_GROUP = 48
@@ -100,28 +100,33 @@ def line_keys(spans: Spans, start: np.ndarray, length: np.ndarray, edits: int) -
     return out
 
 
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compared lines of documents: their place, two hashes, length and parity signature."""
-    for batch in small_batches(batches, "text", 4 << 20):
-        ids, copies, texts = (batch.column(c) for c in ("doc_id", "copy", "text"))
-        for at, some in chunks(texts.to_pylist()):
-            t = Texts(some, wide=True)
-            doc, start, end = t.lines()
-            first = np.searchsorted(doc, np.arange(len(some)))
-            number = np.arange(len(doc)) - first[doc]
-            chosen = np.flatnonzero(end - start >= LEAST_CHARS)
-            bit = (t.symbols.astype(np.uint64) * np.uint64(0x9E3779B1)) >> np.uint64(20) & np.uint64(127)
-            one = np.uint64(1) << (bit & np.uint64(63))
-            signs = [np.bitwise_xor.reduceat(np.where(bit >> np.uint64(6) == half, one, np.uint64(0)), start)[chosen] if len(start) else one[:0] for half in (0, 1)]
-            doc, start, end, number = doc[chosen], start[chosen], end[chosen], number[chosen]
-            take = pa.array(at + doc)
-            line = t.hashes(start, end) >> np.uint64(1)
-            check = Spans(t.symbols, second=True).hashes(start, end)
-            yield pa.record_batch(
-                [ids.take(take), copies.take(take), pa.array(number, pa.int32()), pa.array(line.astype(np.int64)), pa.array(check.view(np.int64)),
-                 pa.array((end - start).astype(np.int32)), *(pa.array(s.view(np.int64)) for s in signs)],
-                names=["doc_id", "copy", "line_no", "line", "check", "chars", "sign_a", "sign_b"],
-            )
+def _occurrences(least_copy: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Compared lines of documents, and shorter ones that count as copies: their place, two hashes, length and parity signature."""
+        for batch in small_batches(batches, "text", 4 << 20):
+            ids, copies, texts = (batch.column(c) for c in ("doc_id", "copy", "text"))
+            for at, some in chunks(texts.to_pylist()):
+                t = Texts(some, wide=True)
+                doc, start, end = t.lines()
+                first = np.searchsorted(doc, np.arange(len(some)))
+                number = np.arange(len(doc)) - first[doc]
+                dark = (t.symbols != 32) & ((t.symbols < 9) | (t.symbols > 13))
+                dark = np.logical_or.reduceat(dark, start) if len(start) else dark[:0]
+                chosen = np.flatnonzero((end - start >= LEAST_CHARS) | ((end - start >= least_copy) & dark))
+                bit = (t.symbols.astype(np.uint64) * np.uint64(0x9E3779B1)) >> np.uint64(20) & np.uint64(127)
+                one = np.uint64(1) << (bit & np.uint64(63))
+                signs = [np.bitwise_xor.reduceat(np.where(bit >> np.uint64(6) == half, one, np.uint64(0)), start)[chosen] if len(start) else one[:0] for half in (0, 1)]
+                doc, start, end, number = doc[chosen], start[chosen], end[chosen], number[chosen]
+                take = pa.array(at + doc)
+                line = t.hashes(start, end) >> np.uint64(1)
+                check = Spans(t.symbols, second=True).hashes(start, end)
+                yield pa.record_batch(
+                    [ids.take(take), copies.take(take), pa.array(number, pa.int32()), pa.array(line.astype(np.int64)), pa.array(check.view(np.int64)),
+                     pa.array((end - start).astype(np.int32)), *(pa.array(s.view(np.int64)) for s in signs)],
+                    names=["doc_id", "copy", "line_no", "line", "check", "chars", "sign_a", "sign_b"],
+                )
+
+    return run
 
 
 def _keys(edits: int):
@@ -228,12 +233,12 @@ def _identified(documents: DataFrame) -> DataFrame:
     return documents.where(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("text").alias("copy"), F.coalesce("text", F.lit("")).alias("text"))
 
 
-def line_classes(documents: DataFrame, edits: int = EDITS) -> tuple[DataFrame, DataFrame]:
-    """(occurrences, lines): every compared line of every document, and every distinct line with its first occurrence and n_earlier,
+def line_classes(documents: DataFrame, edits: int = EDITS, least_copy: int = LEAST_CHARS) -> tuple[DataFrame, DataFrame]:
+    """(occurrences, lines): every line of every document that is compared or counts as a copy, and every distinct line with its first occurrence and n_earlier,
     the number of distinct lines within ``edits`` edits that occur first before it, and n_links, of all such lines."""
     docs = _identified(documents)
     id_type = documents.schema["doc_id"].dataType.simpleString()
-    occurrences = docs.mapInArrow(_occurrences, f"doc_id {id_type}, copy long, line_no int, line long, check long, chars int, sign_a long, sign_b long")
+    occurrences = docs.mapInArrow(_occurrences(least_copy), f"doc_id {id_type}, copy long, line_no int, line long, check long, chars int, sign_a long, sign_b long")
     place = F.struct("doc_id", "copy", "line_no")
     lines = occurrences.groupBy("line", "check").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("chars", "sign_a", "sign_b")])
     lines = cut(lines)
@@ -279,9 +284,9 @@ def line_classes(documents: DataFrame, edits: int = EDITS) -> tuple[DataFrame, D
     return occurrences, lines.select("line", "check", "first", "n", "n_links", "n_earlier")
 
 
-def _removed(documents: DataFrame, edits: int) -> DataFrame:
+def _removed(documents: DataFrame, edits: int, least_copy: int) -> DataFrame:
     """Occurrences to remove: doc_id, copy, line_no, near (true if an earlier line differs, but little), n_links."""
-    occurrences, lines = line_classes(documents, edits)
+    occurrences, lines = line_classes(documents, edits, least_copy)
     lines = lines.where((F.col("n") > 1) | (F.col("n_links") > 0))
     found = occurrences.select("doc_id", "copy", "line_no", "line", "check").join(lines, ["line", "check"])
     first = F.struct("doc_id", "copy", "line_no") == F.col("first")
@@ -289,16 +294,17 @@ def _removed(documents: DataFrame, edits: int) -> DataFrame:
     return found.select("doc_id", "copy", "line_no", (near & first).alias("near"), (near | ~first).alias("removed"), "n_links")
 
 
-def deduplicated_lines(documents: DataFrame, edits: int = EDITS) -> DataFrame:
+def deduplicated_lines(documents: DataFrame, edits: int = EDITS, least_copy: int = LEAST_CHARS) -> DataFrame:
     """One row per document: doc_id, n_lines, n_removed, n_near (removed lines that first occur here, because an earlier line is
     within ``edits`` edits), n_links (of its lines, to other distinct lines).
 
     Lines end at line feeds; those of LEAST_CHARS code points or more are compared as they are. A line goes if it occurred before,
-    by doc_id, text hash and line number, or if a line within ``edits`` edits did. NULL and empty texts have 0 and 1 lines. Rows
+    by doc_id, text hash and line number, or if a line within ``edits`` edits did. Shorter lines of ``least_copy`` code points or
+    more go if the same line occurred before, unless they are blank; with 1, no exact copy stays for its length. NULL and empty texts have 0 and 1 lines. Rows
     without doc_id give no row; identical rows are treated alike and count as one occurrence, while different texts under one
     doc_id are separate documents in a fixed order. Other columns are ignored; an empty table gives no rows.
     """
-    marks = _removed(documents, edits).groupBy("doc_id", "copy").agg(
+    marks = _removed(documents, edits, least_copy).groupBy("doc_id", "copy").agg(
         F.countDistinct(F.when(F.col("removed"), F.col("line_no"))).alias("n_removed"), F.countDistinct(F.when(F.col("near"), F.col("line_no"))).alias("n_near"),
         F.sum("n_links").alias("n_links"),
     )
@@ -307,12 +313,12 @@ def deduplicated_lines(documents: DataFrame, edits: int = EDITS) -> DataFrame:
     return rows.join(marks, ["doc_id", "copy"], "left").fillna(0, ["n_removed", "n_near", "n_links"]).drop("copy")
 
 
-def without_repeated_lines(documents: DataFrame, edits: int = EDITS) -> DataFrame:
+def without_repeated_lines(documents: DataFrame, edits: int = EDITS, least_copy: int = LEAST_CHARS) -> DataFrame:
     """The documents (all columns) with the removed lines taken out of their texts; documents that lose all their text go.
 
     Rows without doc_id, and NULL and empty texts, stay as they are. See ``deduplicated_lines`` for which lines go.
     """
-    marks = _removed(documents, edits).where("removed").groupBy("doc_id", "copy").agg(F.collect_set("line_no").alias("gone"))
+    marks = _removed(documents, edits, least_copy).where("removed").groupBy("doc_id", "copy").agg(F.collect_set("line_no").alias("gone"))
     marks = marks.withColumnsRenamed({"doc_id": "m_doc_id", "copy": "m_copy", "gone": "m_gone"})
     joined = documents.join(marks, (F.col("doc_id") == F.col("m_doc_id")) & (F.xxhash64("text") == F.col("m_copy")), "left")
 

@@ -68,7 +68,7 @@ def op8_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that each document loses because they, or lines like them, occurred before."""
-    return deduplicated_lines(table(spark, sf_dir, "documents"))
+    return deduplicated_lines(table(spark, sf_dir, "documents"), least_copy=1)
 
 
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,3 +65,28 @@ def test_very_long_lines(documents):
     line = "".join(random.Random(1).choices("abcdefgh ", k=200_000))
     got = {r.doc_id: r.n_removed for r in deduplicated_lines(documents([(1, line), (2, "x" + line), (3, line[::-1])])).collect()}
     assert got == {1: 0, 2: 1, 3: 0}
+
+
+def test_short_copies_go(documents):
+    line = "a line that is compared with others, as it is long"
+    rows = [(1, f"short\n{line}\n \n"), (2, f"short\nother\n{line}!\n \n"), (3, "shorter\nother\né\n\t\n\né"), (4, "short"), (None, "short"), (5, None), (6, "")]
+    got = {r.doc_id: (r.n_removed, r.n_near, r.n_links) for r in deduplicated_lines(documents(rows), least_copy=1).collect()}
+    assert got == {1: (0, 0, 1), 2: (2, 1, 1), 3: (2, 0, 0), 4: (1, 0, 0), 5: (0, 0, 0), 6: (0, 0, 0)}
+    kept = {r.doc_id: r.text for r in without_repeated_lines(documents(rows), least_copy=1).collect()}
+    assert kept == {1: rows[0][1], 2: "other\n \n", 3: "shorter\né\n\t\n", None: "short", 5: None, 6: ""}
+
+
+def test_query_removes_short_copies(spark, sf_dir):
+    """Every non-blank line stays in one place of the query's table at most, whatever its length."""
+    from ledgerloom.llm.queries import op9_repeated_lines
+
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    long = {i: len(gone) for i, (gone, _, _) in brute.lines(rows).items()}
+    seen, short = set(), dict.fromkeys(long, 0)
+    for i, t in sorted(rows):
+        for line in t.split("\n"):
+            if line.strip() and len(line) < 24:
+                short[i] += line in seen
+                seen.add(line)
+    assert sum(short.values()) > 0
+    assert {r.doc_id: r.n_removed for r in op9_repeated_lines(spark, sf_dir).collect()} == {i: long[i] + short[i] for i in long}
