@@ -2,7 +2,8 @@
 
 Names, numbers and units become typed placeholders, so a question whose numbers or names were swapped keeps its template.
 Windows of template tokens of all documents meet those of the benchmark in a hash join; for the documents that meet an item the
-values behind the placeholders (slots) are compared: a leak maps each slot value of the item to one value of the document.
+values behind the placeholders (slots) are compared: in a place of the document that holds a leak, each slot value of the item
+maps to one value.
 """
 
 from __future__ import annotations
@@ -66,12 +67,23 @@ def _slots(tokens: Column, start: Column, n: Column) -> Column:
     return F.filter(F.slice(tokens, start, n), lambda t: t.startswith("{"))
 
 
+def _occurrences() -> Column:
+    """The places of an item in a document that a matched window counts for: the text as a whole, its alignment (distance of the
+    window's positions), and two overlapping ranges of alignments, so that near ones, as by a word put in, meet in one of them."""
+    shift, width = F.col("at") - F.col("i_at"), F.greatest(F.lit(2), F.expr("n_tokens div 2").cast("int"))
+    here = lambda level, place: F.struct(F.lit(level).alias("level"), F.col("d_copy"), F.col("i_copy"), place.cast("long").alias("place"))
+    none = F.lit(0).cast("long")
+    whole = F.struct(F.lit(0).alias("level"), none.alias("d_copy"), none.alias("i_copy"), none.alias("place"))
+    return F.array(whole, here(1, shift), here(2, F.floor(shift / width)), here(3, F.floor((shift + F.expr("greatest(2, n_tokens div 2) div 2")) / width)))
+
+
 def leaks(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE, consistent: float = CONSISTENT) -> DataFrame:
     """Pairs of documents and benchmark items they hold: doc_id, item_id, n_windows (of the item), n_matched, n_slots, n_consistent,
     n_same (slots with the item's own value), coverage, kind ('copy' or 'reparameterised').
 
     Reads doc_id and text, item_id and text; other columns are ignored. NULL and empty texts, and items of fewer than LEAST
-    tokens, match nothing. Rows without doc_id or item_id take no part. Rows that share a doc_id (item_id) count as one document
+    tokens, match nothing. Coverage and slots are judged for each occurrence of an item in a document, and for the document as a
+    whole; the pair is reported, with the figures of the fullest that passes, if any does. Rows without doc_id or item_id take no part. Rows that share a doc_id (item_id) count as one document
     (item) holding all their windows. Empty tables give no pairs.
     """
     items = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select("item_id", canonical(F.col("text")).alias("i_tokens"))
@@ -85,7 +97,8 @@ def leaks(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, cove
         parts = [F.when(F.col("n") == k, _windows(tokens, k)).otherwise(F.array().cast("array<struct<key:bigint,at:int>>")) if own else _windows(tokens, k) for k in lengths]
         return parts[0] if len(parts) == 1 else F.concat(*parts)
 
-    i_windows = items.select("item_id", "n", F.inline(sized(F.col("i_template"), True))).withColumnsRenamed({"at": "i_at"})
+    i_windows = items.select("item_id", "n", F.xxhash64("i_tokens").alias("i_copy"), F.size("i_tokens").alias("n_tokens"), F.inline(sized(F.col("i_template"), True)), "i_tokens")
+    i_windows = i_windows.withColumnsRenamed({"at": "i_at"}).withColumn("i_slots", _slots(F.col("i_tokens"), F.col("i_at"), F.col("n"))).drop("i_tokens")
     keys = cut(i_windows.select("key").distinct())
     keys = F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
     docs = documents.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text")
@@ -95,25 +108,26 @@ def leaks(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, cove
     all_windows = templates.select("doc_id", F.explode(sized(F.col("tokens"), False)).alias("w")).select("doc_id", F.col("w.key").alias("key"))
     hit = all_windows.join(keys, "key", "left_semi").select("doc_id").distinct()
 
-    tokens = docs.join(hit, "doc_id").select("doc_id", canonical(F.col("text")).alias("d_tokens"))
+    tokens = docs.join(hit, "doc_id").select("doc_id", F.xxhash64("text").alias("d_copy"), canonical(F.col("text")).alias("d_tokens"))
     tokens = tokens.withColumn("d_template", template(F.col("d_tokens")))
-    d_windows = tokens.select("doc_id", "d_tokens", F.inline(sized(F.col("d_template"), False)))
-    d_windows = d_windows.join(keys, "key", "left_semi").withColumn("d_slots", _slots(F.col("d_tokens"), F.col("at"), F.lit(window))).drop("d_tokens", "at")
-    slots_of = items.select("item_id", "i_tokens")
-    i_windows = i_windows.join(slots_of, "item_id").withColumn("i_slots", _slots(F.col("i_tokens"), F.col("i_at"), F.col("n"))).drop("i_tokens")
-    # Windows without slots, and those with the same values, need to be seen once per document.
+    d_windows = tokens.select("doc_id", "d_copy", "d_tokens", F.inline(sized(F.col("d_template"), False)))
+    d_windows = d_windows.join(keys, "key", "left_semi").withColumn("d_slots", _slots(F.col("d_tokens"), F.col("at"), F.lit(window))).drop("d_tokens")
     met = d_windows.distinct().join(i_windows, "key")
     met = met.withColumn("d_slots", F.slice("d_slots", 1, F.greatest(F.size("i_slots"), F.lit(1))))
-    pairs = met.groupBy("doc_id", "item_id").agg(F.countDistinct("i_at").alias("n_matched"))
+    met = met.withColumn("o", F.explode(_occurrences()))
+    group = ["doc_id", "item_id", "o"]
+    n_windows = i_windows.groupBy("item_id").agg(F.countDistinct("i_at").alias("n_windows"))
+    pairs = met.groupBy(*group).agg(F.countDistinct("i_at").alias("n_matched")).join(n_windows, "item_id")
+    pairs = pairs.withColumn("coverage", F.col("n_matched") / F.col("n_windows")).where(F.col("coverage") >= coverage)
     slot = F.explode(F.arrays_zip(F.col("i_slots").alias("i"), F.col("d_slots").alias("d"))).alias("slot")
-    slots = met.where(F.size("i_slots") > 0).select("doc_id", "item_id", slot).select("doc_id", "item_id", "slot.*").toDF("doc_id", "item_id", "i", "d")
-    per_value = slots.groupBy("doc_id", "item_id", "i").agg(F.min("d").alias("least"), F.max("d").alias("most"))
+    slots = met.where(F.size("i_slots") > 0).select(*group, slot).select(*group, "slot.*").toDF(*group, "i", "d")
+    per_value = slots.groupBy(*group, "i").agg(F.min("d").alias("least"), F.max("d").alias("most"))
     one, same = F.col("least") == F.col("most"), (F.col("least") == F.col("i")) & (F.col("most") == F.col("i"))
     count = lambda c: F.sum(F.when(c, 1).otherwise(0))
-    per_pair = per_value.groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n_slots"), count(one).alias("n_consistent"), count(same).alias("n_same"))
-    n_windows = i_windows.groupBy("item_id").agg(F.countDistinct("i_at").alias("n_windows"))
-    out = pairs.join(n_windows, "item_id").join(per_pair, ["doc_id", "item_id"], "left").fillna(0, ["n_slots", "n_consistent", "n_same"])
-    out = out.withColumn("coverage", F.col("n_matched") / F.col("n_windows"))
-    out = out.where((F.col("coverage") >= coverage) & (F.col("n_consistent") >= consistent * F.col("n_slots")))
+    per_pair = per_value.groupBy(*group).agg(F.count(F.lit(1)).alias("n_slots"), count(one).alias("n_consistent"), count(same).alias("n_same"))
+    out = pairs.join(per_pair, group, "left").fillna(0, ["n_slots", "n_consistent", "n_same"])
+    out = out.where(F.col("n_consistent") >= consistent * F.col("n_slots"))
+    best = F.max(F.struct("n_matched", "n_same", "n_consistent", "n_slots", "n_windows", "coverage")).alias("best")
+    out = out.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
     kind = F.when(F.col("n_same") == F.col("n_slots"), "copy").otherwise("reparameterised")
     return out.select("doc_id", "item_id", "n_windows", "n_matched", "n_slots", "n_consistent", "n_same", "coverage", kind.alias("kind"))

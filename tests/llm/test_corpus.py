@@ -86,6 +86,16 @@ def test_other_numbers_and_names(documents, frame, monkeypatch, broadcast_rows):
     assert leaks(documents([]), items).count() == 0 and leaks(docs, items.limit(0)).count() == 0
 
 
+def test_a_copy_beside_variants(documents, frame):
+    items = frame("item_id long, text string", [(1, QUESTION)])
+    other = QUESTION.replace("48", "72").replace("April", "June").replace("May", "July").replace("Bob", "Ann")
+    third = QUESTION.replace("48", "9").replace("April", "March").replace("May", "August").replace("Bob", "Eve")
+    longer = QUESTION.replace("and then she", "and then of course she")
+    docs = documents([(1, f"{QUESTION} {other}"), (2, f"{other}\n{third}"), (3, f"{third}\n{longer}\n{other}"), (4, third)])
+    got = {(r.doc_id, r.item_id): (r.kind, r.n_same) for r in leaks(docs, items).collect()}
+    assert got[1, 1] == ("copy", 4) and got[2, 1] == ("reparameterised", 0) and got[4, 1] == ("reparameterised", 0) and (3, 1) in got
+
+
 def nearest(ids: np.ndarray, x: np.ndarray, k: int) -> list[int]:
     score = x @ x[k]
     return [int(ids[j]) for j in np.lexsort((ids, -score)) if j != k][:20]
