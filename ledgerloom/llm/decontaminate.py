@@ -29,7 +29,7 @@ UNITS = (
     "month|months|year|years|usd|eur|gbp|dollar|dollars|euro|euros|cent|cents|percent|kmh|mph|c|f|degree|degrees"
 )
 #: Canonicalisation as (pattern, replacement) steps around lower-casing; the same in Java's and RE2's syntax.
-BEFORE = ((r"[{}#=~]", " "), (r"(^|[.!?:\n]\s*)([\p{Lu}])", "$1~$2"), (r" (\p{Lu}\p{Ll}+)", " {n=$1}"))
+BEFORE = ((r"[{}#=~]", " "), (r"(^|[.!?:\n]\s*)([\p{Lu}])", "$1~$2"), (r" (\p{Lu}\p{Ll}+)", " {n=$1}"), (r"~(\p{Lu}\p{Ll}+)", "{s=$1}"))
 AFTER = (
     (r"([^\p{L}\p{N}{=]|^)[-+]?(\d+)[.,:](\d+)", "$1$2d$3"),
     (r"(^|[^\p{L}\p{N}{=])(\d[0-9d]*)( ?(?:" + UNITS + r")|)($|[^\p{L}\p{N}])", "$1{#=$2} {u=$3} $4"),
@@ -40,21 +40,32 @@ AFTER = (
 
 
 def canonical(text: Column) -> Column:
-    """Tokens of a text, lower-cased without punctuation, where {n=..}, {#=..} and {u=..} stand for names, numbers and units.
+    """A text lower-cased without punctuation, where {n=..}, {#=..} and {u=..} stand for names, numbers and units, and {s=..} for
+    capitalised words that begin a sentence, which may be names.
 
-    A name is a capitalised word inside a sentence; words that begin a sentence, and words in capitals, are ordinary words.
+    A name is a capitalised word inside a sentence; words in capitals are ordinary words.
     """
     for pattern, into in BEFORE:
         text = F.regexp_replace(text, pattern, into)
     text = F.lower(text)
     for pattern, into in AFTER:
         text = F.regexp_replace(text, pattern, into)
-    return F.split(F.trim(text), " ")
+    return F.trim(text)
+
+
+def plain(text: Column) -> Column:
+    """Tokens of a canonical text whose words that begin a sentence are ordinary words."""
+    return F.split(F.regexp_replace(text, r"\{s=([^} ]*)\}", "$1"), " ")
+
+
+def named(text: Column) -> Column:
+    """Tokens of a canonical text whose capitalised words that begin a sentence are names."""
+    return F.split(F.replace(text, F.lit("{s="), F.lit("{n=")), " ")
 
 
 def template(tokens: Column) -> Column:
     """The tokens with the slot values left out."""
-    return F.split(F.regexp_replace(F.array_join(tokens, " "), r"=[^} ]*\}", "}"), " ")
+    return F.split(F.replace(F.regexp_replace(F.array_join(tokens, " "), r"=[^} ]*\}", "}"), F.lit("{s}"), F.lit("{n}")), " ")
 
 
 def _windows(tokens: Column, n: int) -> Column:
@@ -83,10 +94,13 @@ def leaks(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, cove
 
     Reads doc_id and text, item_id and text; other columns are ignored. NULL and empty texts, and items of fewer than LEAST
     tokens, match nothing. Coverage and slots are judged for each occurrence of an item in a document, and for the document as a
-    whole; the pair is reported, with the figures of the fullest that passes, if any does. Rows without doc_id or item_id take no part. Rows that share a doc_id (item_id) count as one document
+    whole, with the capitalised words that begin sentences as ordinary words and as names; the pair is reported, with the figures
+    of the fullest that passes, if any does. Rows without doc_id or item_id take no part. Rows that share a doc_id (item_id) count as one document
     (item) holding all their windows. Empty tables give no pairs.
     """
-    items = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select("item_id", canonical(F.col("text")).alias("i_tokens"))
+    items = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select("item_id", canonical(F.col("text")).alias("i_text"))
+    ways = F.array(F.struct(F.lit(0).alias("way"), plain(F.col("i_text")).alias("i_tokens")), F.struct(F.lit(1).alias("way"), F.split("i_text", " ").alias("i_tokens")))
+    items = items.select("item_id", F.inline(ways)).where((F.col("way") == 0) | F.exists("i_tokens", lambda t: t.startswith("{s=")))
     items = items.withColumn("i_template", template(F.col("i_tokens"))).withColumn("n", F.least(F.lit(window), F.size("i_template"))).where(F.col("n") >= LEAST)
     by_length = F.array_sort(F.collect_set("n"))
     lengths = (items.select("n").distinct().agg(by_length.alias("n")).first().n or [])  # at most window - LEAST + 1 numbers
@@ -97,37 +111,45 @@ def leaks(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, cove
         parts = [F.when(F.col("n") == k, _windows(tokens, k)).otherwise(F.array().cast("array<struct<key:bigint,at:int>>")) if own else _windows(tokens, k) for k in lengths]
         return parts[0] if len(parts) == 1 else F.concat(*parts)
 
-    i_windows = items.select("item_id", "n", F.xxhash64("i_tokens").alias("i_copy"), F.size("i_tokens").alias("n_tokens"), F.inline(sized(F.col("i_template"), True)), "i_tokens")
+    i_windows = items.select("item_id", "way", "n", F.xxhash64("i_tokens").alias("i_copy"), F.size("i_tokens").alias("n_tokens"), F.inline(sized(F.col("i_template"), True)), "i_tokens")
     i_windows = i_windows.withColumnsRenamed({"at": "i_at"}).withColumn("i_slots", _slots(F.col("i_tokens"), F.col("i_at"), F.col("n"))).drop("i_tokens")
+    # With first words as placeholders, a window of placeholders only says nothing.
+    n_windows = i_windows.groupBy("item_id").agg(F.countDistinct("i_at").alias("n_windows"))
+    i_windows = i_windows.where((F.col("way") == 0) | (F.size("i_slots") < F.col("n")))
     keys = cut(i_windows.select("key").distinct())
     keys = F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
     docs = documents.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text")
 
     # All windows of all documents against all keys; only documents with a hit go on.
-    templates = docs.select("doc_id", template(canonical(F.col("text"))).alias("tokens"))
-    all_windows = templates.select("doc_id", F.explode(sized(F.col("tokens"), False)).alias("w")).select("doc_id", F.col("w.key").alias("key"))
+    templates = docs.select("doc_id", canonical(F.col("text")).alias("d_text")).select("doc_id", template(plain(F.col("d_text"))).alias("tokens"), template(named(F.col("d_text"))).alias("others"))
+    both = F.array_union(*[F.transform(sized(F.col(c), False), lambda w: w["key"]) for c in ("tokens", "others")])
+    all_windows = templates.select("doc_id", F.explode(both).alias("key"))
     hit = all_windows.join(keys, "key", "left_semi").select("doc_id").distinct()
 
-    tokens = docs.join(hit, "doc_id").select("doc_id", F.xxhash64("text").alias("d_copy"), canonical(F.col("text")).alias("d_tokens"))
+    tokens = docs.join(hit, "doc_id").select("doc_id", F.xxhash64("text").alias("d_copy"), canonical(F.col("text")).alias("d_text"))
+    tokens = tokens.select("doc_id", "d_copy", F.explode(F.array(plain(F.col("d_text")), named(F.col("d_text")))).alias("d_tokens"))
     tokens = tokens.withColumn("d_template", template(F.col("d_tokens")))
     d_windows = tokens.select("doc_id", "d_copy", "d_tokens", F.inline(sized(F.col("d_template"), False)))
     d_windows = d_windows.join(keys, "key", "left_semi").withColumn("d_slots", _slots(F.col("d_tokens"), F.col("at"), F.lit(window))).drop("d_tokens")
     met = d_windows.distinct().join(i_windows, "key")
     met = met.withColumn("d_slots", F.slice("d_slots", 1, F.greatest(F.size("i_slots"), F.lit(1))))
     met = met.withColumn("o", F.explode(_occurrences()))
-    group = ["doc_id", "item_id", "o"]
-    n_windows = i_windows.groupBy("item_id").agg(F.countDistinct("i_at").alias("n_windows"))
+    group = ["doc_id", "item_id", "way", "o"]
     pairs = met.groupBy(*group).agg(F.countDistinct("i_at").alias("n_matched")).join(n_windows, "item_id")
     pairs = pairs.withColumn("coverage", F.col("n_matched") / F.col("n_windows")).where(F.col("coverage") >= coverage)
     slot = F.explode(F.arrays_zip(F.col("i_slots").alias("i"), F.col("d_slots").alias("d"))).alias("slot")
     slots = met.where(F.size("i_slots") > 0).select(*group, slot).select(*group, "slot.*").toDF(*group, "i", "d")
     per_value = slots.groupBy(*group, "i").agg(F.min("d").alias("least"), F.max("d").alias("most"))
-    one, same = F.col("least") == F.col("most"), (F.col("least") == F.col("i")) & (F.col("most") == F.col("i"))
+    value = F.replace("i", F.lit("{s="), F.lit("{n="))
+    one, same = F.col("least") == F.col("most"), (F.col("least") == value) & (F.col("most") == value)
+    first = F.col("i").startswith("{s=")
     count = lambda c: F.sum(F.when(c, 1).otherwise(0))
-    per_pair = per_value.groupBy(*group).agg(F.count(F.lit(1)).alias("n_slots"), count(one).alias("n_consistent"), count(same).alias("n_same"))
-    out = pairs.join(per_pair, group, "left").fillna(0, ["n_slots", "n_consistent", "n_same"])
-    out = out.where(F.col("n_consistent") >= consistent * F.col("n_slots"))
-    best = F.max(F.struct("n_matched", "n_same", "n_consistent", "n_slots", "n_windows", "coverage")).alias("best")
+    per_pair = per_value.groupBy(*group).agg(F.count(F.lit(1)).alias("n_slots"), count(one).alias("n_consistent"), count(same).alias("n_same"), count(first).alias("n_first"), count(first & one).alias("n_first_consistent"))
+    out = pairs.join(per_pair, group, "left").fillna(0, ["n_slots", "n_consistent", "n_same", "n_first", "n_first_consistent"])
+    # First words are judged by themselves, lest words that are no names outweigh the others.
+    out = out.where(F.col("n_first_consistent") >= consistent * F.col("n_first"))
+    out = out.where(F.col("n_consistent") - F.col("n_first_consistent") >= consistent * (F.col("n_slots") - F.col("n_first")))
+    best = F.max(F.struct("n_matched", (F.col("way") == 0).alias("is_plain"), (F.col("n_same") == F.col("n_slots")).alias("is_copy"), "n_same", "n_consistent", "n_slots", "n_windows", "coverage")).alias("best")
     out = out.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
     kind = F.when(F.col("n_same") == F.col("n_slots"), "copy").otherwise("reparameterised")
     return out.select("doc_id", "item_id", "n_windows", "n_matched", "n_slots", "n_consistent", "n_same", "coverage", kind.alias("kind"))

@@ -96,6 +96,14 @@ def test_a_copy_beside_variants(documents, frame):
     assert got[1, 1] == ("copy", 4) and got[2, 1] == ("reparameterised", 0) and got[4, 1] == ("reparameterised", 0) and (3, 1) in got
 
 
+def test_names_that_begin_sentences(documents, frame):
+    problem = "Tom has 5 apples. Tom buys 3 more apples at the store. Tom then eats 2 of them. How many apples does Tom have now?"
+    items = frame("item_id long, text string", [(1, problem), (2, "Tom has 5 red apples.")])
+    docs = documents([(1, problem.replace("Tom", "Ann")), (2, "Well. Ann has 7 red apples. More text."), (3, problem), (4, problem.lower()), (5, "Ann has a dog. Bob has 5 cats. Eve then ran.")])
+    got = {(r.doc_id, r.item_id): r.kind for r in leaks(docs, items).collect()}
+    assert got == {(1, 1): "reparameterised", (2, 2): "reparameterised", (3, 1): "copy", (4, 1): "copy"}
+
+
 def nearest(ids: np.ndarray, x: np.ndarray, k: int) -> list[int]:
     score = x @ x[k]
     return [int(ids[j]) for j in np.lexsort((ids, -score)) if j != k][:20]
