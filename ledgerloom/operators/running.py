@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +31,7 @@ def running_total(rows: DataFrame, keys: list[str], day: str, order: list[str],
     """Adds, per ``keys``, the sums of ``amounts`` over all rows up to (``day``, ``order``), ties included.
 
     ``amounts`` maps each input column to its output column; ``day`` must not be NULL.  A NULL amount adds nothing, and the sum
-    is NULL until the first amount that is not.  Every key is cut by day, whatever its size, so a cash account with a third of
+    is NULL until the first amount that is not.  A NULL in a key is a key of its own.  Every key is cut by day, whatever its size, so a cash account with a third of
     the ledger is as many tasks as it has days: the totals of days are summed up first, and each day starts from what came
     before it.  The rows of one key and day are sorted in one task.
     """
@@ -42,4 +45,6 @@ def running_total(rows: DataFrame, keys: list[str], day: str, order: list[str],
         return F.coalesce(before + own, before, own)
 
     totals = {out: total(c) for c, out in amounts.items()}
-    return rows.join(days, [*keys, day]).withColumns(totals).drop(*(f"_before_{c}" for c in amounts))
+    days = days.withColumnsRenamed({c: f"_of_{c}" for c in (*keys, day)})
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in (*keys, day)))
+    return rows.join(days, same).withColumns(totals).drop(*(f"_before_{c}" for c in amounts), *(f"_of_{c}" for c in (*keys, day)))

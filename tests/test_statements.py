@@ -108,3 +108,10 @@ def test_account_balances_are_net_and_one_sided(tables):
     )
     assert [(r["account_number"], r["debit"], r["credit"]) for r in accounts.account_balances(t, TO).collect()] == [
         ("1", 0.0, 3.0), ("2", 1.0, 0.0), ("4", 0.0, 0.0)]
+
+
+def test_rows_without_an_account_have_a_statement(tables):
+    t = tables(account=[{"name": "A", "account_name": "A name", "is_group": 0}],
+               gl_entry=[entry("S0", debit=4, date="2023-05-01", account=None), entry("S1", debit=5, account=None), entry("S2", credit=2, account=None), entry("S3", debit=1)])
+    rows = lines(accounts.account_statement(t, FROM, TO), account=None)
+    assert [(r["row_kind"], r["voucher_no"], r["balance"]) for r in rows] == [(0, None, 4.0), (1, "S1", 9.0), (1, "S2", 7.0), (2, None, 7.0)]

@@ -161,6 +161,12 @@ def test_item_ledger_rows_of_a_voucher_share_the_balance(tables):
     assert rows[1]["customer_name"] == "Ali"
 
 
+def test_item_ledger_keeps_rows_without_an_item(tables):
+    t = tables(item=ITEMS[:1], stock_ledger_entry=[move(None, 4, date="2023-01-01"), move(None, -1, date="2024-06-02", no="X"), move("A", 5, date="2024-07-01")])
+    rows = items.item_ledger(t, "2024-01-01", AS_OF).collect()
+    assert [(r["item_code"], r["balance"]) for r in rows] == [(None, 4.0), (None, 3.0), ("A", 0.0), ("A", 5.0)]
+
+
 def test_total_row_and_cells(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", 2.5)], "n string, x double")
     assert [tuple(r) for r in with_total_row(df, "n", ["x"]).collect()][-1] == ("Total", 3.5, 1)
