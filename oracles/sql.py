@@ -299,7 +299,7 @@ _PAYMENT = ("Payment Voucher", "payment_voucher")
 _PD = "CASE WHEN payment_to = 'Supplier' THEN 'Payment Entry' ELSE 'Journal Entry' END"
 _TRANSFER = ("Transfer Voucher", "transfer_voucher")
 _CLEARING = ("Clearing Voucher", "clearing_voucher")
-_DEBT = ("Debt Voucher", "debt_voucher CROSS JOIN (SELECT write_up_account, write_off_account FROM company)")
+_DEBT = ("Debt Voucher", "debt_voucher LEFT JOIN (SELECT name AS company, write_up_account, write_off_account FROM company) USING (company)")
 _PARTY = ("party_type", "party")
 _JE, _PE = "'Journal Entry'", "'Payment Entry'"
 VOUCHER_LINES = " UNION ALL ".join([
