@@ -44,17 +44,22 @@ def components(rows: list[tuple[int, str | None]], size: int = 2, percent: int =
     return {i: (len(sets[i]), find(i), find(i) == i) for i in sets}
 
 
-def lines(rows: list[tuple[int, str | None]], least: int = 24, edits: int = 2) -> dict[int, tuple[list[int], int, int]]:
-    """doc_id to (removed line numbers, near ones among first occurrences, links)."""
-    places = [(i, k, line) for i, t in sorted(rows) for k, line in enumerate((t or "").split("\n")) if len(line) >= least]
+def lines(rows: list[tuple[int, str | None]], least: int = 24, edits: int = 2, least_copy: int | None = None) -> dict[int, tuple[list[int], int, int]]:
+    """doc_id to (removed line numbers, near ones among first occurrences, links).
+
+    Lines of ``least_copy`` characters (``least``, if not given) that are not blank go as copies, those of ``least`` also as near copies.
+    """
+    shortest = least if least_copy is None else least_copy
+    places = [(i, k, line) for i, t in sorted(rows) for k, line in enumerate((t or "").split("\n")) if len(line) >= least or (len(line) >= shortest and line.strip("\t\v\f\r "))]
     first: dict[str, tuple[int, int]] = {}
     for i, k, line in places:
         first.setdefault(line, (i, k))
     by_length: dict[int, list[str]] = {}
     for line in first:
-        by_length.setdefault(len(line), []).append(line)
+        if len(line) >= least:
+            by_length.setdefault(len(line), []).append(line)
     links, near = Counter(), set()
-    for a in first:
+    for a in (line for of_length in by_length.values() for line in of_length):
         for d in range(-edits, edits + 1):
             for b in by_length.get(len(a) + d, ()):
                 if a != b and distance(a, b) <= edits:
