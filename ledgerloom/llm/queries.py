@@ -16,7 +16,10 @@ from ledgerloom.llm.licenses import licence_matches
 from ledgerloom.llm.line_dedup import deduplicated_lines
 from ledgerloom.llm.mixing import mix, mix_sql
 from ledgerloom.llm.multi_index import search
+from ledgerloom.llm.multiset_hash import edited_fingerprints
+from ledgerloom.llm.packed_negatives import hard_negatives, hard_negatives_sql
 from ledgerloom.llm.quality_fm import quality
+from ledgerloom.llm.spelling import runs, spelling_groups
 from ledgerloom.llm.suffix_dedup import without_repeats
 
 
@@ -76,11 +79,27 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of other labels that score nearly as high as each anchor's best rows of its own label."""
+    number, label = F.col("vec_id"), F.col("label")
+    return hard_negatives(table(spark, sf_dir, "embeddings"), number % 100 == 0, F.when(number % 7 == 0, (label + 1) % 10).otherwise(label))
+
+
+def op12_edited_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, and of what is left when each takes half of the next."""
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, slips of letters included, under their most frequent forms."""
+    return spelling_groups(runs(table(spark, sf_dir, "documents"), slip_every=97))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_page_text, op2_licence_matches, op3_source_mix, op4_repeated_bytes, op5_benchmark_leaks, op6_token_counts, op7_quality_scores, op8_nearest_vectors, op9_repeated_lines,
-        op10_near_duplicates,
+        op10_near_duplicates, op11_hard_negatives, op12_edited_fingerprints, op13_spelling_groups,
     )
 }
-ORACLES: dict[str, str] = {"op3_source_mix": mix_sql()}
+ORACLES: dict[str, str] = {"op3_source_mix": mix_sql(), "op11_hard_negatives": hard_negatives_sql()}

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter
 
 
@@ -106,3 +108,63 @@ def leaks(documents: list[tuple[int, str | None]], benchmark: list[tuple[int, st
                 hit.setdefault(i, set()).add(at)
         out |= {(d, i) for i, at in hit.items() if len(at) >= coverage * total[i]}
     return out
+
+
+def hard_negatives(rows: list[tuple], scale: int = 256) -> list[tuple]:
+    """(anchor, positive, rank, negative, positive score, negative score) from rows (vec_id, label, vector)."""
+    rows = [(i, [math.floor(scale * x) for x in v], label) for i, label, v in rows]
+    out = []
+    for anchor, a, label in rows:
+        if anchor % 100:
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(a, v, strict=False)), i, other) for i, v, other in rows if (i, v, other) != (anchor, a, label))
+        for s, positive, _ in [x for x in scored if x[2] == label][:5]:
+            fits = [x for x in scored if x[2] != label and 80 * -s <= 100 * -x[0] <= 100 * -s][:5]
+            out += [(anchor, positive, k + 1, i, -s, -t) for k, (t, i, _) in enumerate(fits)]
+    return sorted(out)
+
+
+def slipped_words(rows: list[tuple[int | None, str | None]], every: int = 97) -> Counter:
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    counts: Counter = Counter()
+    for i, t in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            w = run.translate(lower)
+            if i is not None and (h := zlib.crc32(f"{i}:{w}".encode())) % every == 0:
+                w = w[: h % len(w)] + w[h % len(w) + 1 :]
+            counts[w] += 1
+    return counts
+
+
+def one_edit(a: str, b: str) -> bool:
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) - len(a) > 1 or a == b:
+        return False
+    k = next((k for k, x in enumerate(a) if x != b[k]), len(a))
+    return a[k:] == b[k + 1 :] if len(a) < len(b) else a[k + 1 :] == b[k + 1 :]
+
+
+def spelling_groups(counts: dict[str, int], length: int = 5, least: int = 3, factor: int = 2) -> list[tuple]:
+    """(word, form, root, n, n_near, form_n), each word against all others that share all but one letter."""
+    n = {w: c for w, c in counts.items() if len(w) >= length and c >= least}
+    holes: dict[tuple, set[str]] = {}
+    for w in n:
+        for k in range(len(w)):
+            holes.setdefault((w[:k], w[k + 1 :]), set()).add(w)
+    near: dict[str, set[str]] = {w: set() for w in n}
+    for (a, b), some in holes.items():
+        some = some | ({a + b} & n.keys())
+        for w in some:
+            near[w] |= {x for x in some if one_edit(w, x)}
+    form = {}
+    for w, some in near.items():
+        best = min(some, key=lambda x: (-n[x], x), default=None)
+        form[w] = best if best is not None and n[best] >= factor * n[w] else None
+
+    def root(w: str) -> str:
+        while form[w]:
+            w = form[w]
+        return w
+
+    return sorted((w, form[w], root(w), n[w], len(near[w]), n[form[w]] if form[w] else None) for w in n)
