@@ -24,8 +24,8 @@ from ledgerloom.llm.hashing import Texts, chunks, mixed
 
 #: Lanes of 16 bits that tell likeness, and of 64 bits that tell texts apart.
 LIKENESS_LANES, EXACT_LANES = 256, 4
-#: Bytes of a fingerprint.
-WIDTH = 2 * LIKENESS_LANES + 8 * EXACT_LANES
+#: Bytes of a fingerprint; of one whose lanes of 16 bits all lie within -128 to 127 too, since these are then written as one byte each.
+WIDTH, SHORT = 2 * LIKENESS_LANES + 8 * EXACT_LANES, LIKENESS_LANES + 8 * EXACT_LANES
 
 
 def _exact(texts: list[str]) -> np.ndarray:
@@ -73,9 +73,11 @@ class Fingerprints:
 
     @classmethod
     def read(cls, data: list[bytes]) -> Fingerprints:
-        rows = np.frombuffer(b"".join(data), dtype=np.uint8).reshape(-1, WIDTH)
-        cut_at = 2 * LIKENESS_LANES
-        return cls(np.ascontiguousarray(rows[:, :cut_at]).view("<u2"), np.ascontiguousarray(rows[:, cut_at:]).view("<u8"))
+        like = np.zeros((len(data), LIKENESS_LANES), dtype=np.uint16)
+        for k, row in enumerate(data):
+            like[k] = np.frombuffer(row, dtype="i1" if len(row) == SHORT else "<i2", count=LIKENESS_LANES).astype(np.int16).view(np.uint16)
+        exact = b"".join(row[-8 * EXACT_LANES :] for row in data)
+        return cls(like, np.frombuffer(exact, dtype="<u8").reshape(-1, EXACT_LANES).astype(np.uint64))
 
     def __len__(self) -> int:
         return len(self.exact)
@@ -92,8 +94,9 @@ class Fingerprints:
         return Fingerprints(self.likeness - other.likeness, self.exact - other.exact)
 
     def bytes(self) -> list[bytes]:
-        both = np.concatenate([self.likeness.astype("<u2").view(np.uint8).reshape(len(self), -1), self.exact.astype("<u8").view(np.uint8).reshape(len(self), -1)], axis=1)
-        return [row.tobytes() for row in both]
+        lanes = self.likeness.view(np.int16)
+        short = (np.abs(lanes.astype(np.int32) * 2 + 1) <= 255).all(axis=1)
+        return [row.astype("i1" if one else "<i2").tobytes() + exact.astype("<u8").tobytes() for row, one, exact in zip(lanes, short, self.exact, strict=True)]
 
     def same(self, other: Fingerprints) -> np.ndarray:
         return (self.likeness == other.likeness).all(axis=1) & (self.exact == other.exact).all(axis=1)

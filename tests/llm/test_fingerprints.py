@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.multiset_hash import WIDTH, Fingerprints, combined, edited_fingerprints, edited_text
+from ledgerloom.llm.multiset_hash import SHORT, WIDTH, Fingerprints, combined, edited_fingerprints, edited_text
 
 
 def plain(rows: list[tuple]) -> list[tuple]:
@@ -65,7 +65,11 @@ def test_paragraphs_come_and_go():
     assert not whole.same(Fingerprints.of([f"{one}\n{two}\n{three}"])).any()
     assert (whole - Fingerprints.of([two])).bytes() == Fingerprints.of([f"{one}\n{two}\n{three}"]).bytes()
     assert (Fingerprints.of([three]) + Fingerprints.of([f"{one}\n{two}"])).bytes() == Fingerprints.of([f"{one}\n{two}\n{three}"]).bytes()
-    assert Fingerprints.read(whole.bytes()).bytes() == whole.bytes() and len(whole.bytes()[0]) == WIDTH
+    assert Fingerprints.read(whole.bytes()).bytes() == whole.bytes() and len(whole.bytes()[0]) == SHORT
+    for n in (127, 128, 129, 32_768, 70_000):
+        much = Fingerprints.of(["a b\n" * n])
+        assert Fingerprints.read(much.bytes()).same(much).all() and len(much.bytes()[0]) in (SHORT, WIDTH)
+    assert len(Fingerprints.of(["a b\n" * 129]).bytes()[0]) == WIDTH
     assert Fingerprints.of(["a b", "a b\n", "A b", "a  b", ""]).bytes() == [Fingerprints.of([t]).bytes()[0] for t in ("a b", "a b\n", "A b", "a  b", "")]
     assert len({*Fingerprints.of(["a b", "a b\n", "A b", "a  b", ""]).bytes()}) == 5
 
