@@ -140,9 +140,9 @@ def _slices(rows: DataFrame, rows_per_slice: int) -> DataFrame:
     tie_break = ORDER[1:]
     resets = F.col("_set_to").isNotNull()
     rows = rows.withColumns({"_reset": resets.cast("int"), "_move": F.coalesce("_set_to", "actual_qty")})
-    rows = running_total(rows.checkpoint(), KEYS, "posting_date", tie_break, {"_reset": "_segment"})
+    rows = running_total(rows, KEYS, "posting_date", tie_break, {"_reset": "_segment"}, spread=True)
     in_segment = [*KEYS, "_segment"]
-    rows = running_total(rows.checkpoint(), in_segment, "posting_date", tie_break, {"_move": "_after"})
+    rows = running_total(rows, in_segment, "posting_date", tie_break, {"_move": "_after"}, spread=True)
     rows = rows.withColumn("_before", F.when(resets, F.lit(0)).otherwise(F.col("_after") - F.col("_move")))
     parts = cut_days(rows.checkpoint(), KEYS, "posting_date", tie_break, rows_per_slice)
     part = [*KEYS, "posting_date", "_slot"]

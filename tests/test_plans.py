@@ -58,3 +58,23 @@ def test_item_movements_scan_the_ledger_once(plan_of):
 def test_only_the_sequential_valuation_uses_python(plan_of):
     with_python = {n for n in OPERATORS if re.search(r"MapInPandas|BatchEvalPython|ArrowEvalPython|FlatMapGroups", plan_of(n))}
     assert with_python == {"moving_average_valuation"}
+
+
+@pytest.mark.parametrize("name, scans", [("account_statement", 15), ("item_ledger", 12)])
+def test_statement_rows_are_planned_once(plan_of, name, scans):
+    plan = plan_of(name)
+    assert len(re.findall(r"^\(\d+\) Scan parquet", plan, re.M)) <= scans
+
+
+def test_statements_of_spread_ledgers(spark, sf_dir):
+    """The same lines, whether keys are windows or ranges."""
+    from ledgerloom.plans import accounts, items
+
+    t = Tables.from_star_schema(spark, sf_dir)
+    for report in (accounts.account_statement, accounts.customer_statement, items.item_ledger):
+        want = sorted(map(str, report(t, "1997-01-01", "1999-12-31").collect()))
+        spark.conf.set("spark.ledgerloom.spreadFromBytes", "0")
+        try:
+            assert sorted(map(str, report(t, "1997-01-01", "1999-12-31").collect())) == want
+        finally:
+            spark.conf.unset("spark.ledgerloom.spreadFromBytes")

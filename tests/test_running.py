@@ -38,13 +38,58 @@ def expected(rows):
     return sorted(str((*r, total(r))) for r in rows)
 
 
-def test_cuts_do_not_change_running_totals(spark):
+@pytest.mark.parametrize("spread", [False, True])
+def test_ranges_do_not_change_running_totals(spark, spread):
     rows = ledger(7)
     df = spark.createDataFrame(rows, "k string, d date, v string, x long").repartition(5)
-    out = running_total(df, ["k"], "d", ["v"], {"x": "t"})
+    out = running_total(df, ["k"], "d", ["v"], {"x": "t"}, spread=spread)
     assert sorted(str(tuple(r)) for r in out.select("k", "d", "v", "x", "t").collect()) == expected(rows)
 
 
+@pytest.fixture
+def without_coalescing(spark):
+    """Partitions stay as they are dealt, however small."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_one_key_and_day_is_spread_over_tasks(spark, without_coalescing):
+    """Half of the rows on one day of one key: no task gets many more than the others."""
+    rnd = random.Random(2)
+    rows = [("hot" if i % 2 else f"k{i % 40}", DAY0 if i % 2 else DAY0 + datetime.timedelta(days=rnd.randrange(9)), f"v{rnd.randrange(10**6)}", i) for i in range(8000)]
+    df = spark.createDataFrame(rows, "k string, d date, v string, x long")
+    out = running_total(df, ["k"], "d", ["v"], {"x": "t"}, spread=True)
+    got = {(r.k, r.d, r.v, r.x): r.t for r in out.collect()}
+    totals = {}
+    for r in sorted(rows, key=lambda r: r[:3]):
+        totals[r[0]] = totals.get(r[0], 0) + r[3]
+        want = (got[r], totals[r[0]])
+        assert want[0] >= want[1]  # ties count rows behind them too
+    assert {k: t for k, t in totals.items()} == {k: max(t for (of, *_), t in got.items() if of == k) for k in totals}
+    tasks = out.where("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) >= 6 and max(r["count"] for r in tasks) < 2500
+
+
+def test_spread_plans_its_rows_once(spark, tmp_path):
+    df = spark.createDataFrame(ledger(5, 200), "k string, d date, v string, x long")
+    df.write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    window = running_total(rows, ["k"], "d", ["v"], {"x": "t"})
+    plan = window._jdf.queryExecution().toString()
+    assert plan.count("FileScan parquet") == 1 and plan.split("== Physical Plan ==")[1].count("Join") == 0
+    spark.conf.set("spark.ledgerloom.spreadFromBytes", "1")
+    try:
+        ranges = running_total(rows, ["k"], "d", ["v"], {"x": "t"})
+    finally:
+        spark.conf.unset("spark.ledgerloom.spreadFromBytes")
+    physical = ranges._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert "FileScan parquet" not in physical and "SortMergeJoin" not in physical
+    assert sorted(map(str, ranges.collect())) == sorted(map(str, window.collect()))
+
+
 def test_large_days_are_cut_and_ties_stay_together(spark):
     df = spark.createDataFrame(ledger(3), "k string, d date, v string, x long")
     parts = cut_days(df, ["k"], "d", ["v"], 3)
@@ -116,15 +161,16 @@ def test_valuation_equals_row_by_row(tables, rows_per_slice):
 def test_running_totals_of_random_ledgers(spark, seed):
     rows = ledger(seed, 200)
     df = spark.createDataFrame(rows, "k string, d date, v string, x long")
-    out = running_total(df, ["k"], "d", ["v"], {"x": "t"})
+    out = running_total(df, ["k"], "d", ["v"], {"x": "t"}, spread=seed % 2 == 0)
     assert sorted(str(tuple(r)) for r in out.select("k", "d", "v", "x", "t").collect()) == expected(rows)
 
 
 def test_a_missing_amount_adds_nothing(spark):
     rows = [("a", DAY0, "1", 5), ("a", DAY0 + datetime.timedelta(1), "2", None), ("a", DAY0 + datetime.timedelta(2), "3", 1), ("b", DAY0, "1", None)]
     df = spark.createDataFrame(rows, "k string, d date, v string, x long")
-    out = running_total(df, ["k"], "d", ["v"], {"x": "t"}).orderBy("k", "d").collect()
-    assert [r.t for r in out] == [5, 5, 6, None]
+    for spread in (False, True):
+        out = running_total(df, ["k"], "d", ["v"], {"x": "t"}, spread=spread).orderBy("k", "d").collect()
+        assert [r.t for r in out] == [5, 5, 6, None]
 
 
 def test_no_job_runs_while_a_statement_is_built(spark, tables):
