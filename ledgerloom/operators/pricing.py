@@ -11,6 +11,7 @@ from ledgerloom.functions.columns import normalize_dim, or_zero, ratio, year_or_
 from ledgerloom.functions.predicates import SUBMITTED, filter_spec, live, not_cancelled
 from ledgerloom.operators import stock as S
 from ledgerloom.sources.tables import Tables
+from ledgerloom.sources.versions import VersionedTable
 
 METRICS = ("stock_valuation_rate", "stock_qty", "available_qty")
 
@@ -193,6 +194,26 @@ def import_price_sheet(sheet: DataFrame) -> DataFrame:
     return rows.filter("name IS NOT NULL")
 
 
+def commit_price_changes(prices: VersionedTable, t: Tables, changes: DataFrame, price_list: str | None = None, writer: tuple[str, int] | None = None) -> bool:
+    """``price_upsert`` on a price table of versions: one new version with all changes, or none.
+
+    Known names are looked up for their items, whose buckets alone are rewritten. Names that are unknown become new rows where the
+    list says their item, and are left out where it has none (a sheet).  ``writer`` makes a repeated import change nothing.
+    """
+    places = prices.read().groupBy("name").agg(F.min("item_code").alias("_place"))
+    named = changes.join(places, "name", "left")
+    has_item = "item_code" in changes.columns
+    place = F.coalesce("_place", "item_code") if has_item else F.col("_place")
+    # A change of a known name goes to the row's own item.
+    placed = named.withColumn("item_code", place).drop("_place")
+    placed = placed if has_item else placed.filter("item_code IS NOT NULL")
+
+    def merge(rows: DataFrame, some: DataFrame) -> DataFrame:
+        return price_upsert(t.replace(item_price=rows), some if has_item else some.drop("item_code"), price_list).drop("action")
+
+    return prices.apply(placed, merge, writer)
+
+
 def _selling_lists(t: Tables) -> DataFrame:
     """The selling price lists in one row; price lists are settings, not data, so there are a handful."""
     return t.price_list.filter("selling = 1").agg(F.sort_array(F.collect_set("name")))

@@ -16,7 +16,7 @@ from ledgerloom.plans import stock as stock_reports
 from ledgerloom.session import checkpoint_dir
 from ledgerloom.sources.erp_views import RAW_TABLES
 from ledgerloom.sources.tables import Tables
-from ledgerloom.streaming.price_metrics import PriceLog, price_metrics_stream
+from ledgerloom.streaming.price_state import ledger_deltas, order_deltas, order_line_images, price_state_stream, price_table, sums_table
 
 FROM, TO = "1997-01-01", "1999-12-31"
 PRICE_FILTER = '[["Item Price","price_list","=","Standard Selling"],["selling","=",1],["price_list_rate",">",905],["packing_unit","in",[0,4]]]'
@@ -177,11 +177,46 @@ OPERATORS: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def price_changes(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """The ledger and the order lines as signed changes that end in the tables as they are.
+
+    A tenth of the ledger rows arrives with another quantity first, which is taken back; every order line arrives as it was when its
+    order was submitted, and is replaced by what became of it: delivered, finished or cancelled.
+    """
+    ledger = t.stock_ledger_entry.select("item_code", "production_year", "warehouse", "actual_qty", "stock_value_difference", "is_cancelled")
+    wrong = ledger.filter(F.pmod(F.xxhash64(*ledger.columns), F.lit(10)) == 0).withColumns({"actual_qty": F.col("actual_qty") + 1, "is_cancelled": F.lit(0)})
+    ledger = ledger.withColumn("sign", F.lit(1)).unionByName(wrong.withColumn("sign", F.explode(F.array(F.lit(1), F.lit(-1)))))
+    now = order_line_images(t.sales_order, t.sales_order_item)
+    then = now.withColumns({"delivered_qty": F.lit(0).cast("decimal(18,3)"), "docstatus": F.lit(1), "order_docstatus": F.lit(1), "order_status": F.lit("To Deliver and Bill")})
+    return ledger, now.withColumn("sign", F.lit(1)).unionByName(then.withColumn("sign", F.explode(F.array(F.lit(1), F.lit(-1)))))
+
+
 def streamed_price_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw line table read as a stream of ledger changes, price rows refreshed for all items in it."""
-    lines = spark.readStream.schema(RAW_TABLES["lineitem"]).option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
-    touched = lines.select(F.concat(F.lit("I-"), F.col("l_partkey").cast("string")).alias("item_code"))
-    root = f"{checkpoint_dir(spark)}/price-metrics-{uuid.uuid4().hex}"
-    log = PriceLog(spark, f"{root}/log")
-    price_metrics_stream(touched, lambda: Tables.from_star_schema(spark, sf_dir), log, f"{root}/checkpoint", once=True).awaitTermination()
-    return _doubled(log.latest().select("name", "item_code", "production_year", *pricing.METRICS), 6, "stock_valuation_rate")
+    """Ledger and order changes as streams, read in several batches; the price rows of the items in the raw line table at the end."""
+    t = Tables.from_star_schema(spark, sf_dir)
+    root = _folder(spark, "price-metrics")
+    prices = price_table(spark, f"{root}/prices").create(t.item_price.select("*", *(F.lit(None).alias(m) for m in pricing.METRICS)))
+    deltas = []
+    for name, changes, shares in zip(("ledger", "orders"), price_changes(t), (ledger_deltas, order_deltas), strict=True):
+        changes.write.parquet(f"{root}/{name}")
+        deltas.append(shares(spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 16).parquet(f"{root}/{name}")))
+    price_state_stream(deltas[0].unionByName(deltas[1]), sums_table(spark, f"{root}/sums"), prices, f"{root}/checkpoint", once=True).awaitTermination()
+    lines = spark.read.schema(RAW_TABLES["lineitem"]).parquet(f"{sf_dir}/lineitem.parquet")
+    items = lines.select(F.concat(F.lit("I-"), F.col("l_partkey").cast("string")).alias("item_code")).distinct()
+    rows = prices.read().join(items, "item_code", "left_semi")
+    return _doubled(rows.select("name", "item_code", "production_year", *pricing.METRICS), 6, "stock_valuation_rate")
+
+
+def imported_price_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Increased selling prices written as a sheet, read back and imported into a price table of versions."""
+    t = Tables.from_star_schema(spark, sf_dir)
+    root = _folder(spark, "price-sheet")
+    prices = price_table(spark, f"{root}/prices").create(t.item_price.select("*", *(F.lit(None).alias(m) for m in pricing.METRICS)))
+    increased = pricing.price_increase(pricing.price_metrics_refresh(t), 15, '[["selling","=",1]]')
+    export.write_sheet(export.export_prices(increased), f"{root}/sheet")
+    pricing.commit_price_changes(prices, t, pricing.import_price_sheet(export.read_sheet(spark, f"{root}/sheet")), writer=("sheet", 0))
+    return prices.read().select("name", "item_code", "production_year", "price_list", "price_list_rate")

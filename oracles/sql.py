@@ -592,6 +592,8 @@ FROM q_terms t LEFT JOIN q_owed o ON t.customer = o.customer WHERE t.payment_ter
     "price_metrics_stream": f"""WITH {METRICS} SELECT name, item_code, production_year, {R('stock_valuation_rate', 6)} AS stock_valuation_rate,
 {D('stock_qty')} AS stock_qty, {D('available_qty')} AS available_qty FROM q_ip
 WHERE item_code IN (SELECT 'I-' || CAST(l_partkey AS VARCHAR) FROM lineitem)""",
+    "price_sheet_import": f"""WITH {METRICS} SELECT name, item_code, production_year, price_list, {D("CASE WHEN selling = 1 THEN CAST(ceil(round(CAST(stock_valuation_rate AS DECIMAL(28,9)) * 1.15, 6)) AS DECIMAL(21,3)) ELSE price_list_rate END")} AS price_list_rate
+FROM q_ip""",
     "price_floor_violations": price_floor("sales_order_item", "sales_order", True, "valuation_rate", "").replace("net_rate < value", f"net_rate < value AND {CHECKED}"),
     "invoice_price_violations": price_floor("sales_invoice_item", "sales_invoice", False, "incoming_rate", "AND o.is_return = 0"),
     "price_increase": f"""WITH {METRICS} SELECT name, {D('ceil(round(CAST(stock_valuation_rate AS DECIMAL(28,9)) * 1.15, 6))')} AS price_list_rate

@@ -18,7 +18,7 @@ def con(sf_dir):
 
 
 def test_every_query_has_an_oracle():
-    assert {*OPERATORS, "price_metrics_stream"} == set(ORACLES)
+    assert {*OPERATORS, "price_metrics_stream", "price_sheet_import"} == set(ORACLES)
     assert set(ORACLES) <= set(QUERIES) and ORACLES.items() <= entry.oracle_sql().items()
 
 
