@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import doubles, or_zero
-from ledgerloom.functions.predicates import live, only, up_to
+from ledgerloom.functions.predicates import live, only, up_to, within
 from ledgerloom.operators import gl as G
+from ledgerloom.operators.running import running_total
 from ledgerloom.sources.tables import Tables
 
 _AMOUNTS = ("debit", "credit", "balance")
@@ -114,6 +115,67 @@ def consolidated_statement(t: Tables, pairs: DataFrame, from_date: str, to_date:
     return report.orderBy(*keys, "row_kind", "posting_date", "voucher_no")
 
 
+_PART = ("part_account", "part_customer")
+_LINE = ("row_kind", "posting_date", "voucher_type", "voucher_no", "remarks")
+
+
+def consolidated_parts(t: Tables, from_date: str, to_date: str) -> DataFrame:
+    """What the statement of any account and customer together is made of: the lines of every account, of every customer, and of
+    every customer on every account, each with its running balance.
+
+    The lines of a pair are those of its account and of its customer less those they share, and so are its balances. So the lines of all pairs
+    take one statement of the ledger, not one of each pair. ``part_customer`` is NULL in lines of an account and ``part_account`` in
+    those of a customer. ``n`` is the number of ledger rows in a line. Accounts and customers without rows have an opening; a
+    customer on an account has one if it has opening rows.
+    """
+    account, customer = F.col("account"), F.when(F.col("party_type") == "Customer", F.col("party"))
+    nobody = F.lit(None).cast("string")
+
+    def part(a: Column, c: Column) -> Column:
+        return F.struct(a.alias(_PART[0]), c.alias(_PART[1]))
+
+    shared = account.isNotNull() & customer.isNotNull()
+    memberships = F.array_compact(F.array(
+        F.when(account.isNotNull(), part(account, nobody)), F.when(customer.isNotNull(), part(nobody, customer)), F.when(shared, part(account, customer))))
+
+    def in_parts(rows: DataFrame, *columns: str) -> DataFrame:
+        return rows.select(*columns, F.inline(memberships))
+
+    everyone = t.account.filter("is_group = 0").select(F.col("name").alias(_PART[0]), nobody.alias(_PART[1])).unionByName(
+        t.customer_master.select(nobody.alias(_PART[0]), F.col("name").alias(_PART[1])))
+    opening = G.opening_balance(in_parts(t.gl_entry, "debit", "credit", "posting_date", "is_opening", "is_cancelled"), [*_PART], from_date, everyone)
+    moved = G.with_custom_vouchers(within(live(t.gl_entry).filter("is_opening = 'No'"), from_date, to_date), t, from_date, to_date)
+    period = in_parts(moved, "posting_date", "voucher_type", "voucher_no", "remarks", "debit", "credit").groupBy(
+        *_PART, "posting_date", "voucher_type", "voucher_no", "remarks").agg(F.sum("debit").alias("debit"), F.sum("credit").alias("credit"), F.count("*").alias("n"))
+    nothing = {"posting_date": "date", "voucher_no": "string", "remarks": "string"}
+    opening = opening.withColumns({c: F.lit(None).cast(kind) for c, kind in nothing.items()} | {"row_kind": F.lit(G.OPENING_ROW), "voucher_type": F.lit(G.OPENING), "n": F.lit(0).cast("long")})
+    return _with_balance(opening.unionByName(period.withColumn("row_kind", F.lit(G.PERIOD_ROW))), [*_PART])
+
+
+def _with_balance(rows: DataFrame, keys: list[str]) -> DataFrame:
+    amounts = {c: F.col(c).cast("decimal(38,6)") for c in ("debit", "credit")}
+    rows = rows.withColumns(amounts).withColumns({"_day": F.coalesce("posting_date", F.lit("0001-01-01").cast("date")), "_move": F.col("debit") - F.col("credit")})
+    summed = running_total(rows, keys, "_day", ["voucher_no", "remarks"], {"_move": "balance"})
+    return summed.select(*keys, *_LINE, *_AMOUNTS, "n")
+
+
+def consolidated_from_parts(parts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The lines and balances of ``pairs`` (account, customer) from ``consolidated_parts``, without the ledger."""
+    keys = ["pair_account", "pair_customer"]
+    pairs = pairs.select(F.col("account").alias(keys[0]), F.col("customer").alias(keys[1])).distinct()
+    own, of = (F.col(c) for c in _PART)
+    amounts = ("debit", "credit", "n")
+
+    def lines(some: DataFrame, condition: Column, sign: int) -> DataFrame:
+        return some.join(pairs, condition).select(*keys, *_LINE, *((sign * F.col(c)).alias(c) for c in amounts))
+
+    a = lines(parts.filter(of.isNull()), own == F.col(keys[0]), 1)
+    c = lines(parts.filter(own.isNull()), of == F.col(keys[1]), 1)
+    both = lines(parts.filter(own.isNotNull() & of.isNotNull()), (own == F.col(keys[0])) & (of == F.col(keys[1])), -1)
+    rows = a.unionByName(c).unionByName(both).groupBy(*keys, *_LINE).agg(*(F.sum(x).alias(x) for x in amounts))
+    return _with_balance(rows.filter((F.col("row_kind") == G.OPENING_ROW) | (F.col("n") > 0)), keys)
+
+
 def unexplained_balance(statement: DataFrame, key: str) -> DataFrame:
     """Per key the total's balance less the last running balance: system journals and late opening rows."""
     last = F.max_by("balance", F.struct("posting_date", "voucher_no", "remarks"))

@@ -99,6 +99,7 @@ OPERATORS: dict[str, Callable[[Tables], DataFrame]] = {
     "cash_bank_statement": lambda t: accounts.cash_bank_statement(t, FROM, TO),
     "customer_statement": lambda t: accounts.customer_statement(t, FROM, TO),
     "consolidated_statement": lambda t: accounts.consolidated_statement(t, busiest_pairs(t), FROM, TO),
+    "consolidated_parts": lambda t: accounts.consolidated_parts(t, FROM, TO),
     "customer_balances": lambda t: customers.customer_balances(t, TO),
     "customer_balances_overdue": lambda t: customers.customer_balances(t, TO, customers.OVERDUE),
     "customer_balances_over_credit": lambda t: customers.customer_balances(t, TO, customers.OVER_CREDIT),

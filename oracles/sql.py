@@ -127,7 +127,7 @@ def period(source: str, keys: str, by_remarks: bool = True) -> str:
     remark = "remarks" if by_remarks else "min(remarks) AS remarks"
     return f"""{VOUCHER_MAP}, q_period AS (
   SELECT {keys}, g.posting_date, coalesce(m.ct, g.voucher_type) AS voucher_type, coalesce(m.cn, g.voucher_no) AS voucher_no,
-    sum(debit) AS debit, sum(credit) AS credit, {remark}
+    sum(debit) AS debit, sum(credit) AS credit, count(*) AS n, {remark}
   FROM {source} g LEFT JOIN q_map m ON g.voucher_type = m.vt AND g.voucher_no = m.vn
   WHERE g.is_cancelled = 0 AND g.is_opening = 'No' AND g.voucher_no NOT IN {SYSTEM} AND g.posting_date BETWEEN {FROM} AND {TO}
   GROUP BY {keys}, g.posting_date, coalesce(m.ct, g.voucher_type), coalesce(m.cn, g.voucher_no){group})"""
@@ -471,6 +471,16 @@ LEFT JOIN q_link k ON l.voucher_type = 'Sales Invoice' AND l.voucher_no = k.si""
     "consolidated_statement": f"""WITH {_PAIRS}, {statement('q_gl', 'pair_account, pair_customer', 'q_pairs')}
 SELECT pair_account, pair_customer, row_kind, {LINE_OUT}, remarks, a.account_name, c.customer_name, voucher_type FROM q_lines l
 LEFT JOIN account a ON l.pair_account = a.name LEFT JOIN customer_master c ON l.pair_customer = c.name""",
+    "consolidated_parts": f"""WITH q_member AS (
+  SELECT account AS part_account, NULL::VARCHAR AS part_customer, * FROM gl_entry WHERE account IS NOT NULL
+  UNION ALL SELECT NULL, party, * FROM gl_entry WHERE party_type = 'Customer' AND party IS NOT NULL
+  UNION ALL SELECT account, party, * FROM gl_entry WHERE party_type = 'Customer' AND party IS NOT NULL AND account IS NOT NULL),
+q_everyone AS (SELECT name AS part_account, NULL::VARCHAR AS part_customer FROM account WHERE is_group = 0 UNION ALL SELECT NULL, name FROM customer_master),
+{statement('q_member', 'part_account, part_customer', 'q_everyone')}
+SELECT l.part_account, l.part_customer, row_kind, l.posting_date, l.voucher_type, l.voucher_no, l.remarks, {D('l.debit')} AS debit, {D('l.credit')} AS credit, {D('balance')} AS balance,
+  coalesce(q_n.n, 0) AS n
+FROM q_lines l LEFT JOIN q_period q_n ON row_kind = 1 AND l.part_account IS NOT DISTINCT FROM q_n.part_account AND l.part_customer IS NOT DISTINCT FROM q_n.part_customer
+  AND l.posting_date = q_n.posting_date AND l.voucher_type = q_n.voucher_type AND l.voucher_no = q_n.voucher_no AND l.remarks IS NOT DISTINCT FROM q_n.remarks""",
     "customer_balances": BALANCES,
     "customer_balances_overdue": f"{BALANCES} WHERE round(overdues, 2) > 0",
     "customer_balances_over_credit": f"{BALANCES} WHERE q_cb.credit_limit > 0 AND round(q_cb.credit_limit, 2) < round(CAST(balance_w_so AS DECIMAL(28,4)), 2)",

@@ -66,6 +66,10 @@ def test_statement_rows_are_planned_once(plan_of, name, scans):
     assert len(re.findall(r"^\(\d+\) Scan parquet", plan, re.M)) <= scans
 
 
+def test_all_pairs_take_two_scans_of_the_ledger(plan_of):
+    assert plan_of("consolidated_parts").count("/gl_entry]") == 2
+
+
 def test_statements_of_spread_ledgers(spark, sf_dir):
     """The same lines, whether keys are windows or ranges."""
     from ledgerloom.plans import accounts, items

@@ -101,6 +101,29 @@ def test_consolidated_statement_counts_each_row_once(t, spark):
     assert rows[-1]["balance"] == 149.0
 
 
+def test_statements_of_all_pairs_from_their_parts(t, spark):
+    parts = accounts.consolidated_parts(t, FROM, TO)
+    pairs = spark.createDataFrame([(a, c) for a in ("A", "B", "EMPTY") for c in ("C1", "C2")], "account string, customer string")
+    columns = ["pair_account", "pair_customer", "row_kind", "posting_date", "voucher_type", "voucher_no", "remarks", "debit", "credit", "balance"]
+    whole = sorted(str([float(v) if k > 6 else v for k, v in enumerate(r)]) for r in accounts.consolidated_statement(t, pairs, FROM, TO).select(*columns).collect())
+    assert sorted(str([float(v) if k > 6 else v for k, v in enumerate(r)]) for r in accounts.consolidated_from_parts(parts, pairs).select(*columns).collect()) == whole
+    shared = [r.voucher_no for r in parts.where("part_account = 'B' and part_customer = 'C1'").collect()]
+    assert shared == ["S5"] and parts.where("part_account is null and part_customer = 'C2'").count() == 1
+
+
+def test_pairs_of_the_test_data(spark, sf_dir):
+    from ledgerloom import Tables
+    from ledgerloom.plans.registry import FROM as start
+    from ledgerloom.plans.registry import TO as end
+    from ledgerloom.plans.registry import busiest_pairs
+
+    t = Tables.from_star_schema(spark, sf_dir)
+    columns = ["pair_account", "pair_customer", "row_kind", "posting_date", "voucher_type", "voucher_no", "remarks", "debit", "credit", "balance"]
+    text = lambda df: sorted(str([float(v) if k > 6 else v for k, v in enumerate(r)]) for r in df.select(*columns).collect())
+    pairs = busiest_pairs(t)
+    assert text(accounts.consolidated_from_parts(accounts.consolidated_parts(t, start, end), pairs)) == text(accounts.consolidated_statement(t, pairs, start, end))
+
+
 def test_account_balances_are_net_and_one_sided(tables):
     t = tables(
         account=[{"name": n, "account_number": n, "is_group": 0, "restrict_account_view": v} for n, v in (("1", "No"), ("2", "No"), ("3", "Yes"), ("4", "No"))],
