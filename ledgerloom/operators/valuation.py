@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-from functools import partial
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,115 +17,163 @@ KEYS = ["item_code", "warehouse"]
 # Rows of one day in posting order; rows without a time come first, by voucher and row name.
 ORDER = ["posting_date", "posting_datetime", "voucher_no", "name"]
 SLICE = [*KEYS, "_slice"]
-# About how many ledger rows of one item and warehouse one task folds.
-ROWS_PER_SLICE = 1 << 18
+# Rows of one item and warehouse that are folded as one array, and how many of them leave the fold together.
+ROWS_PER_SLICE, CHUNK = 1 << 15, 256
 # Decimals of stock values and of quantities.
-_CENTS, _THOUSANDTHS = 100.0, 1000
+VALUE_PLACES, QTY_PLACES = 2, 3
 
-_ROWS = (
-    "name string, item_code string, warehouse string, posting_date date, posting_datetime timestamp, voucher_no string, actual_qty double, "
-    "qty_after double, valuation_rate double, stock_value double, stock_value_difference double"
-)
-_EXITS = "item_code string, warehouse string, _slice long, _exit double, _exit_value double"
+# A row's own part in the fold; quantities are whole numbers of their smallest unit.
+_ROW = ["moved", "set_to", "incoming", "adjusts"]
+# The state between rows: quantity, rate, value, and for adjustments the voucher, the value before it, whether it has taken back,
+# and by how much the adjustments so far have moved the sum of differences away from the value.
+_STATE = "qty: bigint, rate: double, value: double, voucher: string, before: double, taken: boolean, moved_off: double"
+_OUT = "struct<qty_after: double, valuation_rate: double, stock_value: double, stock_value_difference: double>"
+_ENTRY = ["_entry_qty", "_entry", "_entry_value", "_entry_off"]
 
 
-def _to_cents(value: float) -> float:
-    return math.copysign(math.floor(abs(value) * _CENTS + 0.5) / _CENTS, value)
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.transform(F.array(value), body)[0]
 
 
-def _fold(batches: Iterator[pd.DataFrame], exits: bool) -> Iterator[pd.DataFrame]:
-    """Quantity, rate and value after each row; rows come sorted by slice and order, whole slices per task.
+def _rounded(value: Column, places: int) -> Column:
+    """Half away from zero."""
+    scale = 10.0**places
+    return F.signum(value) * (F.floor(F.abs(value) * scale + 0.5) / scale)
 
-    Only the state of the current slice is kept.  An issue turns the rounded value of what is left back into
-    the rate, so each rate depends on the one before.  With ``exits`` only the last state of each slice comes out.
-    """
-    current, qty, rate, value = None, 0, 0.0, 0.0
-    for pdf in batches:
-        n = len(pdf)
-        after, rates, values, changes = np.empty(n), np.empty(n), np.empty(n), np.empty(n)
-        ended = []
-        moved_by = np.rint(pdf["actual_qty"].to_numpy() * _THOUSANDTHS).astype("int64").tolist()
-        set_to = pdf["_set_to"].to_numpy(dtype=float, na_value=np.nan).tolist()
-        keys = zip(pdf["item_code"], pdf["warehouse"], pdf["_slice"])
-        starts = zip(pdf["_entry_qty"], pdf["_entry"], pdf["_entry_value"])
-        for i, (key, start, moved, reset, incoming) in enumerate(zip(keys, starts, moved_by, set_to, pdf["_incoming"].tolist())):
-            if key != current:
-                if exits and current is not None:
-                    ended.append((*current, rate, value))
-                current = key
-                qty, rate, value = int(round(start[0] * _THOUSANDTHS)), start[1], start[2]
-            before = qty / _THOUSANDTHS
-            is_reset = reset == reset
-            qty = int(round(reset * _THOUSANDTHS)) if is_reset else qty + moved
-            left = qty / _THOUSANDTHS
-            if is_reset or (moved > 0 and before <= 0):
-                rate = incoming
-            elif moved > 0:
-                came = moved / _THOUSANDTHS
-                rate = (before * rate + came * incoming) / (before + came)
-            worth = _to_cents(left * rate)
-            if moved < 0 and qty != 0 and not is_reset:
-                rate = worth / left
-            worth = worth if qty != 0 else 0.0
-            after[i], rates[i], values[i], changes[i] = left, rate, worth, _to_cents(worth - value)
-            value = worth
-        if exits:
-            if ended:
-                yield pd.DataFrame(ended, columns=[*SLICE, "_exit", "_exit_value"])
-        else:
-            kept = pdf[["name", *KEYS, "posting_date", "posting_datetime", "voucher_no", "actual_qty"]]
-            yield kept.assign(qty_after=after, valuation_rate=rates, stock_value=values, stock_value_difference=changes)
-    if exits and current is not None:
-        yield pd.DataFrame([(*current, rate, value)], columns=[*SLICE, "_exit", "_exit_value"])
-
-
-def _folded(rows: DataFrame, exits: bool = False) -> DataFrame:
-    ordered = rows.repartition(*SLICE).sortWithinPartitions(*SLICE, *ORDER)
-    return ordered.mapInPandas(partial(_fold, exits=exits), _EXITS if exits else _ROWS)
-
-
-def _ledger(t: Tables) -> DataFrame:
+
+def _units(column: str | Column, places: int) -> Column:
+    return F.round((F.col(column) if isinstance(column, str) else column).cast("decimal(28,9)") * 10**places).cast("long")
+
+
+def _step(value_places: int, qty_places: int, with_rows: bool) -> Callable[[Column, Column], Column]:
+    """The state after a row. An issue turns the rounded value of what is left back into the rate, so each rate depends on the one before."""
+    unit = 10.0**qty_places
+
+    def step(state: Column, row: Column) -> Column:
+        reset, moved = row["set_to"].isNotNull(), row["moved"]
+        qty = F.when(reset, row["set_to"]).otherwise(state["qty"] + moved)
+        had, came = state["qty"] / unit, moved / unit
+        rate = (
+            F.when(reset | ((moved > 0) & (state["qty"] <= 0)), row["incoming"])
+            .when(moved > 0, (had * state["rate"] + came * row["incoming"]) / (had + came)).otherwise(state["rate"])
+        )
+        same = state["voucher"].eqNullSafe(row["voucher_no"])
+        first = F.struct(
+            qty.alias("qty"), rate.alias("rate"), F.when(same, state["before"]).otherwise(state["value"]).alias("before"),
+            (same & state["taken"]).alias("taken"),
+        )
+
+        def valued(x: Column) -> Column:
+            left = x["qty"] / unit
+            return _let(_rounded(left * x["rate"], value_places), lambda worth: finished(x, left, worth))
+
+        def finished(x: Column, left: Column, worth: Column) -> Column:
+            rate = F.when((moved < 0) & (x["qty"] != 0) & ~reset, worth / left).otherwise(x["rate"])
+            value = F.when(x["qty"] != 0, worth).otherwise(0.0)
+            plain = _rounded(value - state["value"], value_places)
+            # An adjustment takes back the differences before its voucher; further ones of the voucher nothing more.
+            takes = F.when(x["taken"], 0.0).otherwise(-_rounded(x["before"] + state["moved_off"], value_places))
+            change = F.when(row["adjusts"], takes).otherwise(plain)
+            off = F.when(row["adjusts"], _rounded(state["moved_off"] + takes - plain, value_places)).otherwise(state["moved_off"])
+            new = [
+                x["qty"].alias("qty"), rate.alias("rate"), value.alias("value"), row["voucher_no"].alias("voucher"), x["before"].alias("before"),
+                (x["taken"] | row["adjusts"]).alias("taken"), off.alias("moved_off"),
+            ]
+            if not with_rows:
+                return F.struct(*new)
+            shown = F.struct(left.alias("qty_after"), rate.alias("valuation_rate"), value.alias("stock_value"), change.alias("stock_value_difference"))
+            return F.struct(*new, F.concat(state["rows"], F.array(shown)).alias("rows"))
+
+        return _let(first, valued)
+
+    return step
+
+
+def _state(of: Column | None, rows: bool) -> Column:
+    """A state with an empty list of rows: that of a slice's entry, or what another state has reached."""
+    if of is None:
+        fields = [F.col("_entry_qty"), F.col("_entry"), F.col("_entry_value"), F.lit(None), F.lit(0.0), F.lit(False), F.col("_entry_off")]
+    else:
+        fields = [of[f.split(":")[0]] for f in _STATE.split(", ")]
+    typed = [c.cast(f.split(": ")[1]).alias(f.split(":")[0]) for c, f in zip(fields, _STATE.split(", "), strict=True)]
+    return F.struct(*typed, F.array().cast(f"array<{_OUT}>").alias("rows")) if rows else F.struct(*typed)
+
+
+def _sorted_slices(rows: DataFrame) -> DataFrame:
+    """One row a slice, its rows in order as an array."""
+    entry = [F.first(c).alias(c) for c in _ENTRY]
+    return rows.groupBy(*SLICE).agg(F.sort_array(F.collect_list(F.struct(*ORDER, "actual_qty", *_ROW))).alias("_rows"), *entry)
+
+
+def _folded(rows: DataFrame, value_places: int, qty_places: int) -> DataFrame:
+    """Quantity, rate, value and difference after each row. Chunks of a slice keep the lists that grow in the fold short."""
+    slices = _sorted_slices(rows)
+    step = _step(value_places, qty_places, with_rows=True)
+    starts = F.sequence(F.lit(0), F.floor((F.size("_rows") - 1) / CHUNK).cast("int"))
+    chunks = F.transform(starts, lambda k: F.slice("_rows", k * CHUNK + 1, CHUNK))
+    start = F.struct(_state(None, rows=False).alias("state"), F.array().cast(f"array<array<{_OUT}>>").alias("done"))
+
+    def chunk_done(so_far: Column, chunk: Column) -> Column:
+        return _let(
+            F.aggregate(chunk, _state(so_far["state"], rows=True), step),
+            lambda end: F.struct(_state(end, rows=False).alias("state"), F.concat(so_far["done"], F.array(end["rows"])).alias("done")),
+        )
+
+    out = F.aggregate(chunks, start, chunk_done, lambda end: F.flatten(end["done"]))
+    lines = slices.select(*KEYS, F.explode(F.arrays_zip(F.col("_rows").alias("r"), out.alias("o"))).alias("l"))
+    return lines.select("l.r.name", *KEYS, "l.r.posting_date", "l.r.posting_datetime", "l.r.voucher_no", F.col("l.r.actual_qty").cast("double").alias("actual_qty"), "l.o.*")
+
+
+def _ends(rows: DataFrame, value_places: int, qty_places: int) -> DataFrame:
+    """The state each slice ends with; ``_exit_off`` is NULL where it is that of the entry, since the slice has no adjustment."""
+    end = F.aggregate("_rows", _state(None, rows=False), _step(value_places, qty_places, with_rows=False))
+    adjusts = F.exists("_rows", lambda r: r["adjusts"])
+    ends = _sorted_slices(rows).select(*SLICE, end.alias("e"), adjusts.alias("a"))
+    return ends.select(*SLICE, F.col("e.rate").alias("_exit"), F.col("e.value").alias("_exit_value"), F.when(F.col("a"), F.col("e.moved_off")).alias("_exit_off"))
+
+
+def _ledger(t: Tables, qty_places: int) -> DataFrame:
     """Live ledger rows; a reconciliation without a year sets quantity and rate anew, a missing quantity moves nothing."""
+    ledger = live(t.stock_ledger_entry)
     resets = (F.col("voucher_type") == "Stock Reconciliation") & (year_or_blank() == "") & F.col("qty_after_transaction").isNotNull()
     paid = ratio(F.col("stock_value_difference"), F.col("actual_qty"))
-    return live(t.stock_ledger_entry).select(
+    adjusts = or_zero("is_adjustment_entry") == 1 if "is_adjustment_entry" in ledger.columns else F.lit(False)
+    return ledger.select(
         "name", *KEYS, "posting_date", "posting_datetime", "voucher_no", or_zero("actual_qty").alias("actual_qty"),
-        F.when(resets, F.col("qty_after_transaction")).alias("_set_to"),
-        F.coalesce(F.when(resets, F.col("valuation_rate").cast("double")).otherwise(paid), F.lit(0.0)).alias("_incoming"),
+        _units(or_zero("actual_qty"), qty_places).alias("moved"), F.when(resets, _units("qty_after_transaction", qty_places)).alias("set_to"),
+        F.coalesce(F.when(resets, F.col("valuation_rate").cast("double")).otherwise(paid), F.lit(0.0)).alias("incoming"), adjusts.alias("adjusts"),
     )
 
 
-def _for_fold(rows: DataFrame, entry_qty: Column, entry: Column, entry_value: Column, slice_no: Column) -> DataFrame:
-    return rows.select(
-        "name", *KEYS, "posting_date", "posting_datetime", "voucher_no", F.col("actual_qty").cast("double").alias("actual_qty"),
-        F.col("_set_to").cast("double").alias("_set_to"), "_incoming", slice_no.cast("long").alias("_slice"),
-        entry_qty.cast("double").alias("_entry_qty"), entry.alias("_entry"), entry_value.alias("_entry_value"),
-    )
-
-
-def moving_average_valuation(t: Tables, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """Quantity, rate, value and value difference after each ledger row, values rounded at every step.
+def moving_average_valuation(t: Tables, rows_per_slice: int = ROWS_PER_SLICE, value_places: int = VALUE_PLACES, qty_places: int = QTY_PLACES) -> DataFrame:
+    """Quantity, rate, value and value difference after each ledger row, values rounded to ``value_places`` at every step.
 
     The rows of one item and warehouse form a chain, since a value is rounded before it becomes the next rate.
     Short chains are folded as they are.  Chains of more than ``rows_per_slice`` rows are cut into slices that
     all tasks fold at once, each from a guessed rate; then every slice whose guess differs from the rate its
     predecessor ended with is folded again, until none does.  At that point the result is exactly that of
-    folding row by row.  As rounding to cents swallows small differences and receipts and issues shrink larger
+    folding row by row.  As rounding swallows small differences and receipts and issues shrink larger
     ones, the last rate of a slice hardly ever depends on its first and a second round only confirms.
+
+    The difference of an adjustment entry (``is_adjustment_entry``) is not that of its value: it takes back the sum of all
+    differences before its voucher, earlier adjustments included; of several in one voucher the first does.  It needs no second
+    pass: that sum is the value before the voucher and what earlier adjustments moved it by, and after an adjustment the latter no
+    longer depends on what it was before.
     """
-    ledger = _ledger(t)
-    zero = F.lit(0.0)
+    ledger = _ledger(t, qty_places)
+    entry = [F.lit(0).cast("long").alias("_entry_qty"), *(F.lit(0.0).alias(c) for c in _ENTRY[1:])]
     # At most one long chain per rows_per_slice ledger rows.
     long_chains = large_keys(ledger, KEYS, rows_per_slice)
     if long_chains.isEmpty():
-        return _folded(_for_fold(ledger, zero, zero, zero, F.lit(0))).drop("posting_datetime")
+        return _folded(ledger.select("*", F.lit(0).alias("_slice"), *entry), value_places, qty_places).drop("posting_datetime")
     checkpoint_dir(ledger.sparkSession)
     long_chains = long_chains.select(*KEYS).checkpoint()
-    short = _for_fold(ledger.join(long_chains, KEYS, "left_anti"), zero, zero, zero, F.lit(0))
+    short = ledger.join(long_chains, KEYS, "left_anti").select(*ledger.columns, F.lit(0).cast("long").alias("_slice"), *entry)
     sliced = _slices(ledger.join(long_chains, KEYS), rows_per_slice).checkpoint()
-    entries = _settle(sliced, _first_guess(sliced))
-    long_rows = _for_fold(sliced.join(entries, SLICE), F.col("_entry_qty"), F.col("_entry"), F.col("_entry_value"), F.col("_slice"))
-    return _folded(short.unionByName(long_rows)).drop("posting_datetime")
+    entries = _settle(sliced, _first_guess(sliced), value_places, qty_places)
+    long_rows = sliced.join(entries, SLICE).select(*ledger.columns, "_slice", *_ENTRY)
+    return _folded(short.unionByName(long_rows), value_places, qty_places).drop("posting_datetime")
 
 
 def _slices(rows: DataFrame, rows_per_slice: int) -> DataFrame:
@@ -138,17 +182,18 @@ def _slices(rows: DataFrame, rows_per_slice: int) -> DataFrame:
     Each step reads its input several times, so the input of each is written to the checkpoint folder first.
     """
     tie_break = ORDER[1:]
-    resets = F.col("_set_to").isNotNull()
-    rows = rows.withColumns({"_reset": resets.cast("int"), "_move": F.coalesce("_set_to", "actual_qty")})
+    resets = F.col("set_to").isNotNull()
+    rows = rows.withColumns({"_reset": resets.cast("int"), "_move": F.coalesce("set_to", "moved")})
     rows = running_total(rows, KEYS, "posting_date", tie_break, {"_reset": "_segment"}, spread=True)
     in_segment = [*KEYS, "_segment"]
     rows = running_total(rows, in_segment, "posting_date", tie_break, {"_move": "_after"}, spread=True)
     rows = rows.withColumn("_before", F.when(resets, F.lit(0)).otherwise(F.col("_after") - F.col("_move")))
-    parts = cut_days(rows.checkpoint(), KEYS, "posting_date", tie_break, rows_per_slice)
+    # Not within a voucher, whose adjustments look back to its beginning.
+    parts = cut_days(rows.checkpoint(), KEYS, "posting_date", tie_break[:-1], rows_per_slice)
     part = [*KEYS, "posting_date", "_slot"]
     earlier = Window.partitionBy(*KEYS).orderBy("posting_date", "_slot").rowsBetween(Window.unboundedPreceding, -1)
     counts = parts.groupBy(*part).agg(F.count("*").alias("_n"))
-    number = F.floor(F.coalesce(F.sum("_n").over(earlier), F.lit(0)) / F.lit(rows_per_slice)).alias("_slice")
+    number = F.floor(F.coalesce(F.sum("_n").over(earlier), F.lit(0)) / F.lit(rows_per_slice)).cast("long").alias("_slice")
     return parts.join(counts.select(*part, number), part).drop("_slot", "_after", "_move", "_reset", "_segment")
 
 
@@ -157,29 +202,38 @@ def _first_guess(sliced: DataFrame) -> DataFrame:
     received = F.when(F.col("actual_qty") > 0, F.col("actual_qty").cast("double")).otherwise(0.0)
     sums = sliced.groupBy(*SLICE).agg(
         F.min_by("_before", F.struct(*ORDER)).alias("_entry_qty"),
-        F.sum(received * F.col("_incoming")).alias("_paid"), F.sum(received).alias("_in"),
+        F.sum(received * F.col("incoming")).alias("_paid"), F.sum(received).alias("_in"),
     )
     by_slice = Window.partitionBy(*KEYS).orderBy("_slice")
     guess = F.coalesce(F.lag(ratio(F.col("_paid"), F.col("_in"))).over(by_slice), F.lit(0.0))
-    return sums.select(*SLICE, "_entry_qty", guess.alias("_entry"), F.lit(0.0).alias("_entry_value")).checkpoint()
+    return sums.select(*SLICE, "_entry_qty", guess.alias("_entry")).checkpoint()
 
 
-def _settle(sliced: DataFrame, entries: DataFrame) -> DataFrame:
+def _settle(sliced: DataFrame, entries: DataFrame, value_places: int, qty_places: int) -> DataFrame:
     """The state every slice starts from, once all agree with the ends of their predecessors."""
     by_slice = Window.partitionBy(*KEYS).orderBy("_slice")
-    chain = entries.withColumns({"_exit": F.lit(None).cast("double"), "_exit_value": F.lit(None).cast("double"), "_stale": F.lit(True)})
+    earlier = by_slice.rowsBetween(Window.unboundedPreceding, -1)
+    exits = ["_exit", "_exit_value", "_exit_off"]
+    chain = entries.withColumns({c: F.lit(None).cast("double") for c in exits} | {"_stale": F.lit(True)})
     while True:
-        stale = sliced.join(chain.filter("_stale").select(*SLICE, "_entry_qty", "_entry"), SLICE)
-        ends = _folded(_for_fold(stale, F.col("_entry_qty"), F.col("_entry"), F.lit(0.0), F.col("_slice")), exits=True)
-        ends = ends.unionByName(chain.filter("NOT _stale").select(*SLICE, "_exit", "_exit_value"))
-        new_entry = F.coalesce(F.lag("_exit").over(by_slice), F.col("_entry"))
+        stale = chain.filter("_stale").select(*SLICE, "_entry_qty", "_entry", F.lit(0.0).alias("_entry_value"), F.lit(0.0).alias("_entry_off"))
+        ends = _ends(sliced.join(stale, SLICE), value_places, qty_places)
+        ends = ends.unionByName(chain.filter("NOT _stale").select(*SLICE, *exits))
         chain = (
             chain.select(*SLICE, "_entry_qty", "_entry").join(ends, SLICE)
-            .withColumns({"_new": new_entry, "_entry_value": F.coalesce(F.lag("_exit_value").over(by_slice), F.lit(0.0))})
+            .withColumn("_new", F.coalesce(F.lag("_exit").over(by_slice), F.col("_entry")))
             .withColumn("_stale", ~F.col("_new").eqNullSafe(F.col("_entry")))
             .withColumn("_entry", F.col("_new"))
             .drop("_new")
             .checkpoint()
         )
         if chain.filter("_stale").isEmpty():
-            return chain.select(*SLICE, "_entry_qty", "_entry", "_entry_value")
+            break
+    # A slice folded from a value of 0 ends with the same rate and value; what its adjustments moved does not depend on it either,
+    # unless its first voucher adjusts: then the value before it is the entry's, so slices are folded once more from true values.
+    values = chain.withColumn("_entry_value", F.coalesce(F.lag("_exit_value").over(by_slice), F.lit(0.0))).select(*SLICE, *_ENTRY[:3]).checkpoint()
+    if sliced.filter("adjusts").isEmpty():
+        return values.withColumn("_entry_off", F.lit(0.0))
+    offs = _ends(sliced.join(values, SLICE).withColumn("_entry_off", F.lit(0.0)), value_places, qty_places).select(*SLICE, "_exit_off")
+    off = F.coalesce(F.last("_exit_off", ignorenulls=True).over(earlier), F.lit(0.0))
+    return values.join(offs, SLICE).withColumn("_entry_off", off).select(*SLICE, *_ENTRY)

@@ -165,18 +165,19 @@ SELECT CASE l_linenumber WHEN 6 THEN 'Purchase Invoice' WHEN 7 THEN 'Stock Entry
   {_QTY} AS actual_qty,
   cast({_PRICE} * cast(0.5 AS decimal(2,1)) AS decimal(18,3)) AS stock_value_difference,
   CASE WHEN l_orderkey % 25 = 0 THEN 1 ELSE 0 END AS is_cancelled,
-  cast(NULL AS decimal(18,3)) AS qty_after_transaction, cast(NULL AS decimal(21,9)) AS valuation_rate
+  cast(NULL AS decimal(18,3)) AS qty_after_transaction, cast(NULL AS decimal(21,9)) AS valuation_rate,
+  CASE WHEN l_linenumber = 7 AND l_suppkey % 4 < 2 THEN 1 ELSE 0 END AS is_adjustment_entry
 FROM {{lineitem}}
 UNION ALL SELECT CASE WHEN {_UPDATES_STOCK} THEN 'Sales Invoice' ELSE 'Delivery Note' END,
   CASE WHEN {_UPDATES_STOCK} THEN 'SI-' ELSE 'DN-' END || cast(l_orderkey AS string),
   'D-' || {_LINE}, 'I-' || cast(l_partkey AS string), {_YEAR}, 'WH-' || cast(l_orderkey % 3 AS string),
   cast(o_orderdate AS date) + 7, cast(cast(o_orderdate AS date) + 7 AS timestamp), -{_QTY}, cast({_PRICE} * cast(-0.5 AS decimal(2,1)) AS decimal(18,3)),
-  CASE WHEN l_orderkey % 30 = 0 THEN 1 ELSE 0 END, NULL, NULL
+  CASE WHEN l_orderkey % 30 = 0 THEN 1 ELSE 0 END, NULL, NULL, NULL
 FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey WHERE l_returnflag <> 'R'
 UNION ALL SELECT 'Stock Reconciliation', 'SR-' || cast(p_partkey % 5 AS string), 'O-' || cast(p_partkey AS string),
   'I-' || cast(p_partkey AS string), NULL, 'WH-0', DATE '1997-01-01', cast(NULL AS timestamp), cast(10 AS decimal(18,3)),
   cast(cast(p_retailprice AS decimal(18,2)) * cast(10 AS decimal(2,0)) AS decimal(18,3)), 0,
-  cast(10 AS decimal(18,3)), cast(cast(p_retailprice AS decimal(18,2)) AS decimal(21,9))
+  cast(10 AS decimal(18,3)), cast(cast(p_retailprice AS decimal(18,2)) AS decimal(21,9)), 0
 FROM {{part}} WHERE p_type = 'ECONOMY'""",
     "gl_entry": f"""
 SELECT 'A-1100' AS account, 'Customer' AS party_type, 'C-' || cast(o_custkey AS string) AS party,

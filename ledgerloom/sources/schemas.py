@@ -17,7 +17,7 @@ TABLES: dict[str, str] = {
     f"debit {_MONEY}, credit {_MONEY}, is_opening string, is_cancelled int, remarks string",
     "stock_ledger_entry": f"name string, voucher_type string, voucher_no string, item_code string, production_year string, "
     f"warehouse string, posting_date date, posting_datetime timestamp, actual_qty {_QTY}, stock_value_difference {_MONEY}, is_cancelled int, "
-    f"qty_after_transaction {_QTY}, valuation_rate {_RATE}",
+    f"qty_after_transaction {_QTY}, valuation_rate {_RATE}, is_adjustment_entry int",
     "bin": f"item_code string, warehouse string, actual_qty {_QTY}, stock_value {_MONEY}",
     "item": "name string, item_code string, item_name string, brand string, item_group string, country_of_origin string, "
     "tire_size string, ply_rating int, is_stock_item int, description string",

@@ -693,24 +693,26 @@ SELECT custom_voucher_type, custom_voucher_no, part, {D('d')} AS base_debit, {D(
   {D('coalesce(foreign_bank_charges_amount, 0)')} AS foreign_bank_charges_amount, {D('coalesce(local_bank_charges_amount, 0)')} AS local_bank_charges_amount
 FROM purchase_invoice""",
     "moving_average_valuation": f"""WITH RECURSIVE q_o AS (
-  SELECT name, item_code, warehouse, posting_date, voucher_no, actual_qty, CAST(actual_qty AS DOUBLE) AS a,
+  SELECT name, item_code, warehouse, posting_date, voucher_no, actual_qty, CAST(actual_qty AS DOUBLE) AS a, coalesce(is_adjustment_entry, 0) = 1 AS adjusts,
     row_number() OVER (PARTITION BY item_code, warehouse ORDER BY posting_date, posting_datetime NULLS FIRST, voucher_no, name) AS n,
     voucher_type = 'Stock Reconciliation' AND {YEAR} = '' AND qty_after_transaction IS NOT NULL AS reset, qty_after_transaction AS given,
     CASE WHEN voucher_type = 'Stock Reconciliation' AND {YEAR} = '' AND qty_after_transaction IS NOT NULL THEN CAST(valuation_rate AS DOUBLE)
       ELSE coalesce({ratio('stock_value_difference', 'actual_qty')}, 0) END AS p
   FROM stock_ledger_entry WHERE is_cancelled = 0),
 q_s AS (
-  SELECT item_code, warehouse, 0::BIGINT AS n, NULL::VARCHAR AS name, 0::DECIMAL(28,3) AS qty, 0::DOUBLE AS rate, 0::DOUBLE AS value, 0::DOUBLE AS change
+  SELECT item_code, warehouse, 0::BIGINT AS n, NULL::VARCHAR AS name, 0::DECIMAL(28,3) AS qty, 0::DOUBLE AS rate, 0::DOUBLE AS value, 0::DOUBLE AS change,
+    NULL::VARCHAR AS voucher, 0::DOUBLE AS before, FALSE AS taken, 0::DOUBLE AS total
   FROM q_o GROUP BY item_code, warehouse
-  UNION ALL SELECT item_code, warehouse, n, name, qty,
-    CASE WHEN a < 0 AND qty <> 0 AND NOT reset THEN round(CAST(qty AS DOUBLE) * r1, 2) / CAST(qty AS DOUBLE) ELSE r1 END,
-    CASE WHEN qty = 0 THEN 0 ELSE round(CAST(qty AS DOUBLE) * r1, 2) END,
-    round(CASE WHEN qty = 0 THEN 0 ELSE round(CAST(qty AS DOUBLE) * r1, 2) END - value, 2)
-  FROM (SELECT o.item_code, o.warehouse, o.n, o.name, o.a, o.reset, s.value,
+  UNION ALL SELECT item_code, warehouse, n, name, qty, r2, worth, change, voucher, before, taken OR adjusts, round(total + change, 2)
+  FROM (SELECT *, CASE WHEN adjusts AND taken THEN 0 WHEN adjusts THEN -before ELSE round(worth - value, 2) END AS change
+  FROM (SELECT *, CASE WHEN a < 0 AND qty <> 0 AND NOT reset THEN round(CAST(qty AS DOUBLE) * r1, 2) / CAST(qty AS DOUBLE) ELSE r1 END AS r2,
+    CASE WHEN qty = 0 THEN 0 ELSE round(CAST(qty AS DOUBLE) * r1, 2) END AS worth
+  FROM (SELECT o.item_code, o.warehouse, o.n, o.name, o.a, o.reset, s.value, o.adjusts, o.voucher_no AS voucher, s.total,
+      CASE WHEN s.n > 0 AND o.voucher_no = s.voucher THEN s.before ELSE s.total END AS before, s.n > 0 AND o.voucher_no = s.voucher AND s.taken AS taken,
       CAST(CASE WHEN o.reset THEN o.given ELSE s.qty + o.actual_qty END AS DECIMAL(28,3)) AS qty,
       CASE WHEN o.reset OR (o.a > 0 AND s.qty <= 0) THEN o.p
         WHEN o.a > 0 THEN (CAST(s.qty AS DOUBLE) * s.rate + o.a * o.p) / (CAST(s.qty AS DOUBLE) + o.a) ELSE s.rate END AS r1
-    FROM q_s s JOIN q_o o ON o.item_code = s.item_code AND o.warehouse = s.warehouse AND o.n = s.n + 1))
+    FROM q_s s JOIN q_o o ON o.item_code = s.item_code AND o.warehouse = s.warehouse AND o.n = s.n + 1))))
 SELECT s.name, s.item_code, s.warehouse, o.posting_date, o.voucher_no, o.a AS actual_qty, {D('s.qty')} AS qty_after, {R('s.rate', 6)} AS valuation_rate,
   s.value AS stock_value, s.change AS stock_value_difference
 FROM q_s s JOIN q_o o ON s.item_code = o.item_code AND s.warehouse = o.warehouse AND s.n = o.n""",

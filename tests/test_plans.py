@@ -55,9 +55,9 @@ def test_item_movements_scan_the_ledger_once(plan_of):
     assert plan_of("item_transactions").count("/stock_ledger_entry]") == 1
 
 
-def test_only_the_sequential_valuation_uses_python(plan_of):
+def test_no_operator_uses_python(plan_of):
     with_python = {n for n in OPERATORS if re.search(r"MapInPandas|BatchEvalPython|ArrowEvalPython|FlatMapGroups", plan_of(n))}
-    assert with_python == {"moving_average_valuation"}
+    assert with_python == set()
 
 
 @pytest.mark.parametrize("name, scans", [("account_statement", 15), ("item_ledger", 12)])

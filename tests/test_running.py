@@ -106,8 +106,8 @@ def moving_average(rows):
 
         return math.copysign(math.floor(abs(x) * 100 + 0.5) / 100, x)
 
-    out, state = {}, {}
-    for key, date, no, name, qty, price, reset in sorted(rows, key=lambda r: (r[0], r[1], r[2], r[3])):
+    out, state, changes = {}, {}, {}
+    for key, date, no, name, qty, price, reset, *adjusts in sorted(rows, key=lambda r: (r[0], r[1], r[2], r[3])):
         q, rate, value = state.get(key, (0.0, 0.0, 0.0))
         if reset is not None:
             q2, rate = float(reset), price
@@ -120,7 +120,13 @@ def moving_average(rows):
         if reset is None and qty < 0 and q2 != 0:
             rate = worth / q2
         worth = worth if q2 != 0 else 0.0
-        out[name] = (q2, round(rate, 6), worth, cents(worth - value))
+        change = cents(worth - value)
+        earlier = changes.setdefault(key, [])
+        if adjusts and adjusts[0]:  # takes back all differences but those of its own voucher, once
+            again = any(n == no and a for n, _, a in earlier)
+            change = 0.0 if again else -round(sum(d for n, d, _ in earlier if n != no), 2)
+        earlier.append((no, change, bool(adjusts and adjusts[0])))
+        out[name] = (q2, round(rate, 6), worth, change)
         state[key] = (q2, rate, worth)
     return out
 
@@ -156,6 +162,45 @@ def test_valuation_equals_row_by_row(tables, rows_per_slice):
     assert got == want
 
 
+@pytest.mark.parametrize("rows_per_slice", [1 << 18, 30, 4])
+def test_adjustments_take_back_what_came_before(tables, rows_per_slice):
+    rnd = random.Random(4)
+    # A voucher has one day, so vouchers are numbered by day.
+    rows = [(k, d, f"v{d.day:02d}-{no[1:]}", n, q, round(p, 1) if r is not None else round(q * round(p, 1), 3) / q, r, rnd.random() < 0.1)
+            for k, d, no, n, q, p, r in valuation_case(21, 500)]
+    t = tables(
+        stock_ledger_entry=[
+            {"name": name, "item_code": key, "warehouse": "W", "posting_date": date, "voucher_no": no, "actual_qty": qty, "is_adjustment_entry": int(adjusts),
+             "voucher_type": "Stock Reconciliation" if reset is not None else "Stock Entry", "is_cancelled": 0,
+             "stock_value_difference": round(qty * price, 3), "qty_after_transaction": reset, "valuation_rate": price}
+            for key, date, no, name, qty, price, reset, adjusts in rows
+        ]
+    )
+    want = {n: tuple(x + 0.0 for x in v) for n, v in moving_average(rows).items()}
+    got = {r["name"]: (r["qty_after"], round(r["valuation_rate"], 6), r["stock_value"], r["stock_value_difference"]) for r in moving_average_valuation(t, rows_per_slice).collect()}
+    assert got == want and sum(v[3] != 0 for n, v in got.items()) > 100
+
+
+def test_an_adjusted_chain_by_hand(tables):
+    def row(name, voucher, day, qty, value, adjusts=0):
+        return {"name": name, "item_code": "A", "warehouse": "W", "posting_date": DAY0 + datetime.timedelta(day), "voucher_no": voucher, "actual_qty": qty, "is_cancelled": 0,
+                "voucher_type": "Stock Entry", "stock_value_difference": value, "is_adjustment_entry": adjusts}
+
+    ledger = [row("a", "1", 0, 10, 100), row("b", "2", 1, -4, None), row("c", "3", 2, 2, 40), row("d", "3", 2, 0, 0, 1), row("e", "4", 3, -1, None), row("f", "5", 4, 0, 0, 1)]
+    out = {r["name"]: (r.stock_value, r.stock_value_difference) for r in moving_average_valuation(tables(stock_ledger_entry=ledger)).collect()}
+    # 60 stood before voucher 3, which leaves its own 40; -12.5 follow, so voucher 5 takes back 27.5.
+    assert out == {"a": (100.0, 100.0), "b": (60.0, -40.0), "c": (100.0, 40.0), "d": (100.0, -60.0), "e": (87.5, -12.5), "f": (87.5, -27.5)}
+
+
+def test_precision_of_values_and_quantities(tables):
+    ledger = [{"name": n, "item_code": "A", "warehouse": "W", "posting_date": DAY0 + datetime.timedelta(k), "voucher_no": n, "actual_qty": q, "is_cancelled": 0,
+               "voucher_type": "Stock Entry", "stock_value_difference": v} for k, (n, q, v) in enumerate([("a", 3, 10), ("b", "-1.26", None), ("c", -1, None)])]
+    t = tables(stock_ledger_entry=ledger)
+    values = lambda **places: [r.stock_value for r in moving_average_valuation(t, **places).orderBy("posting_date").collect()]
+    assert values() == [10.0, 5.8, 2.47] and values(value_places=3) == [10.0, 5.8, 2.467] and values(value_places=0) == [10.0, 6.0, 3.0]
+    assert values(qty_places=1) == [10.0, 5.67, 2.33]
+
+
 @settings(max_examples=5, deadline=None)
 @given(st.integers(0, 10_000))
 def test_running_totals_of_random_ledgers(spark, seed):
