@@ -8,16 +8,19 @@ maps to one value.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import cut
 
-#: Template tokens per window. Items with fewer, but at least LEAST, are matched as one window of their own length.
+#: Template tokens per window. Items with fewer are matched as one window of their own length; those with fewer than LEAST say too
+#: little inside another text, so for them the document must be the item.
 WINDOW = 8
 LEAST = 3
-#: Share of an item's windows that a document must hold.
+#: Share of an item's windows that a document must hold, or else
 COVERAGE = 0.5
+#: so many words beside slots in one unbroken run, whatever their share of the item.
+RUN = 13
 #: Share of an item's slot values that must map to one value of the document.
 CONSISTENT = 0.6
 #: The benchmark's window keys are broadcast up to so many rows (24 bytes each); beyond, they are joined by shuffle.
@@ -33,8 +36,8 @@ BEFORE = ((r"[{}#=~]", " "), (r"(^|[.!?:\n]\s*)([\p{Lu}])", "$1~$2"), (r" (\p{Lu
 AFTER = (
     (r"([^\p{L}\p{N}{=]|^)[-+]?(\d+)[.,:](\d+)", "$1$2d$3"),
     (r"(^|[^\p{L}\p{N}{=])(\d[0-9d]*)( ?(?:" + UNITS + r")|)($|[^\p{L}\p{N}])", "$1{#=$2} {u=$3} $4"),
-    (r"\{u=\} ", ""),
-    (r"\{u= ", "{u="),
+    ("{u=} ", ""),
+    ("{u= ", "{u="),
     (r"[^\p{L}\p{N}{}#=]+", " "),
 )
 
@@ -49,94 +52,119 @@ def canonical(text: Column) -> Column:
         text = F.regexp_replace(text, pattern, into)
     text = F.lower(text)
     for pattern, into in AFTER:
-        text = F.regexp_replace(text, pattern, into)
+        text = F.replace(text, F.lit(pattern), F.lit(into)) if pattern.startswith("{u=") else F.regexp_replace(text, pattern, into)
     return F.trim(text)
 
 
 def plain(text: Column) -> Column:
-    """Tokens of a canonical text whose words that begin a sentence are ordinary words."""
-    return F.split(F.regexp_replace(text, r"\{s=([^} ]*)\}", "$1"), " ")
+    """A canonical text whose words that begin a sentence are ordinary words."""
+    return F.regexp_replace(text, r"\{s=([^} ]*)\}", "$1")
 
 
 def named(text: Column) -> Column:
-    """Tokens of a canonical text whose capitalised words that begin a sentence are names."""
-    return F.split(F.replace(text, F.lit("{s="), F.lit("{n=")), " ")
+    """A canonical text whose capitalised words that begin a sentence are names."""
+    return F.replace(text, F.lit("{s="), F.lit("{n="))
+
+
+def template(text: Column) -> Column:
+    """Hashes of a canonical text's tokens, the slot values left out. First words, if still marked, count as names."""
+    bare = F.replace(F.regexp_replace(text, r"=[^} ]*\}", "}"), F.lit("{s}"), F.lit("{n}"))
+    return F.transform(F.split(bare, " "), lambda t: F.xxhash64(t))
 
 
-def template(tokens: Column) -> Column:
-    """The tokens with the slot values left out."""
-    return F.split(F.replace(F.regexp_replace(F.array_join(tokens, " "), r"=[^} ]*\}", "}"), F.lit("{s}"), F.lit("{n}")), " ")
+def _window(hashes: Column, at: Column, n: int) -> Column:
+    """Hash of the n tokens from place ``at`` (from 0); NULL where there are not so many. Fewer than LEAST must be the whole text."""
+    fits = F.get(hashes, at + (n - 1)).isNotNull() & ((F.size(hashes) == n) if n < LEAST else F.lit(True))
+    return F.when(fits, F.xxhash64(*(F.get(hashes, at + k) for k in range(n)), F.lit(n)))
 
 
-def _windows(tokens: Column, n: int) -> Column:
-    """Hashes of the windows of n tokens, by position."""
-    starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.struct(F.xxhash64(F.slice(tokens, i, n), F.lit(n)).alias("key"), i.alias("at")))
+def _windows(hashes: Column, n: int) -> Column:
+    """Hashes of the windows of n tokens, by position (from 1)."""
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(hashes)))
+    return F.filter(F.transform(starts, lambda i: F.struct(_window(hashes, i - 1, n).alias("key"), i.alias("at"))), lambda w: w["key"].isNotNull())
 
 
 def _slots(tokens: Column, start: Column, n: Column) -> Column:
     return F.filter(F.slice(tokens, start, n), lambda t: t.startswith("{"))
 
 
+#: The level of unbroken runs.
+RUNS = 4
+
+
 def _occurrences() -> Column:
     """The places of an item in a document that a matched window counts for: the text as a whole, its alignment (distance of the
-    window's positions), and two overlapping ranges of alignments, so that near ones, as by a word put in, meet in one of them."""
+    window's positions), its run, and two overlapping ranges of alignments, so that near ones, as by a word put in, meet in one of them."""
     shift, width = F.col("at") - F.col("i_at"), F.greatest(F.lit(2), F.expr("n_tokens div 2").cast("int"))
     here = lambda level, place: F.struct(F.lit(level).alias("level"), F.col("d_copy"), F.col("i_copy"), place.cast("long").alias("place"))
     none = F.lit(0).cast("long")
     whole = F.struct(F.lit(0).alias("level"), none.alias("d_copy"), none.alias("i_copy"), none.alias("place"))
-    return F.array(whole, here(1, shift), here(2, F.floor(shift / width)), here(3, F.floor((shift + F.expr("greatest(2, n_tokens div 2) div 2")) / width)))
+    in_run = F.shiftleft(shift.cast("long"), 32) + F.col("run")
+    return F.array(whole, here(1, shift), here(RUNS, in_run), here(2, F.floor(shift / width)), here(3, F.floor((shift + F.expr("greatest(2, n_tokens div 2) div 2")) / width)))
 
 
-def leaks(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE, consistent: float = CONSISTENT) -> DataFrame:
+def leaks(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE, consistent: float = CONSISTENT, run: int = RUN) -> DataFrame:
     """Pairs of documents and benchmark items they hold: doc_id, item_id, n_windows (of the item), n_matched, n_slots, n_consistent,
     n_same (slots with the item's own value), coverage, kind ('copy' or 'reparameterised').
 
-    Reads doc_id and text, item_id and text; other columns are ignored. NULL and empty texts, and items of fewer than LEAST
-    tokens, match nothing. Coverage and slots are judged for each occurrence of an item in a document, and for the document as a
+    An occurrence counts if it holds ``coverage`` of the item's windows, or an unbroken run with ``run`` words beside slots, and
+    ``consistent`` of its slots have one value each.
+
+    Reads doc_id and text, item_id and text; other columns are ignored. NULL and empty texts match nothing, and items of placeholders
+    only neither; items of fewer than LEAST tokens match documents that are such an item. Coverage and slots are judged for each occurrence of an item in a document, and for the document as a
     whole, with the capitalised words that begin sentences as ordinary words and as names; the pair is reported, with the figures
     of the fullest that passes, if any does. Rows without doc_id or item_id take no part. Rows that share a doc_id (item_id) count as one document
     (item) holding all their windows. Empty tables give no pairs.
     """
-    items = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select("item_id", canonical(F.col("text")).alias("i_text"))
-    ways = F.array(F.struct(F.lit(0).alias("way"), plain(F.col("i_text")).alias("i_tokens")), F.struct(F.lit(1).alias("way"), F.split("i_text", " ").alias("i_tokens")))
-    items = items.select("item_id", F.inline(ways)).where((F.col("way") == 0) | F.exists("i_tokens", lambda t: t.startswith("{s=")))
-    items = items.withColumn("i_template", template(F.col("i_tokens"))).withColumn("n", F.least(F.lit(window), F.size("i_template"))).where(F.col("n") >= LEAST)
+    items = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select("item_id", canonical(F.col("text")).alias("i_text")).where("i_text <> ''")
+    ways = F.array(F.struct(F.lit(0).alias("way"), plain(F.col("i_text")).alias("i_text")), F.struct(F.lit(1).alias("way"), F.col("i_text").alias("i_text")))
+    items = items.select("item_id", F.inline(ways)).where((F.col("way") == 0) | F.col("i_text").contains("{s="))
+    items = items.withColumns({"i_template": template(F.col("i_text")), "i_tokens": F.split("i_text", " ")}).withColumn("n", F.least(F.lit(window), F.size("i_template")))
     by_length = F.array_sort(F.collect_set("n"))
-    lengths = (items.select("n").distinct().agg(by_length.alias("n")).first().n or [])  # at most window - LEAST + 1 numbers
+    lengths = (items.select("n").distinct().agg(by_length.alias("n")).first().n or [])  # at most ``window`` numbers
     if not lengths:
         lengths = [window]
 
-    def sized(tokens: Column, own: bool) -> Column:
-        parts = [F.when(F.col("n") == k, _windows(tokens, k)).otherwise(F.array().cast("array<struct<key:bigint,at:int>>")) if own else _windows(tokens, k) for k in lengths]
+    def sized(hashes: Column, own: bool) -> Column:
+        parts = [F.when(F.col("n") == k, _windows(hashes, k)).otherwise(F.array().cast("array<struct<key:bigint,at:int>>")) if own else _windows(hashes, k) for k in lengths]
         return parts[0] if len(parts) == 1 else F.concat(*parts)
 
+    words_to = lambda end: F.size(F.filter(F.slice("i_tokens", F.lit(1), end), lambda t: ~t.startswith("{")))
     i_windows = items.select("item_id", "way", "n", F.xxhash64("i_tokens").alias("i_copy"), F.size("i_tokens").alias("n_tokens"), F.inline(sized(F.col("i_template"), True)), "i_tokens")
-    i_windows = i_windows.withColumnsRenamed({"at": "i_at"}).withColumn("i_slots", _slots(F.col("i_tokens"), F.col("i_at"), F.col("n"))).drop("i_tokens")
-    # With first words as placeholders, a window of placeholders only says nothing.
+    i_windows = i_windows.withColumnsRenamed({"at": "i_at"}).withColumns({
+        "i_slots": _slots(F.col("i_tokens"), F.col("i_at"), F.col("n")), "i_before": words_to(F.col("i_at") - 1), "i_through": words_to(F.col("i_at") + F.col("n") - 1),
+    }).drop("i_tokens")
     n_windows = i_windows.groupBy("item_id").agg(F.countDistinct("i_at").alias("n_windows"))
-    i_windows = i_windows.where((F.col("way") == 0) | (F.size("i_slots") < F.col("n")))
+    # A window of placeholders only says nothing, and would meet every table of numbers.
+    i_windows = i_windows.where(F.size("i_slots") < F.col("n"))
     keys = cut(i_windows.select("key").distinct())
     keys = F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
     docs = documents.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text")
 
-    # All windows of all documents against all keys; only documents with a hit go on.
-    templates = docs.select("doc_id", canonical(F.col("text")).alias("d_text")).select("doc_id", template(plain(F.col("d_text"))).alias("tokens"), template(named(F.col("d_text"))).alias("others"))
-    both = F.array_union(*[F.transform(sized(F.col(c), False), lambda w: w["key"]) for c in ("tokens", "others")])
-    all_windows = templates.select("doc_id", F.explode(both).alias("key"))
+    # All windows of all documents against all keys; only documents with a hit go on. Each token is hashed once for each template,
+    # and the windows combine the hashes.
+    templates = docs.select("doc_id", canonical(F.col("text")).alias("d_text")).select("doc_id", template(plain(F.col("d_text"))).alias("a"), template(F.col("d_text")).alias("b"))
+    places = templates.select("doc_id", "a", "b", F.posexplode("a").alias("at", "_"))
+    of_place = [_window(F.col(h), F.col("at"), k) for k in lengths for h in "ab"]
+    fresh = F.array(*(key if i % 2 == 0 else F.when(~key.eqNullSafe(of_place[i - 1]), key) for i, key in enumerate(of_place)))
+    all_windows = places.select("doc_id", fresh.alias("k")).select("doc_id", F.explode("k").alias("key")).where("key is not null")
     hit = all_windows.join(keys, "key", "left_semi").select("doc_id").distinct()
 
     tokens = docs.join(hit, "doc_id").select("doc_id", F.xxhash64("text").alias("d_copy"), canonical(F.col("text")).alias("d_text"))
-    tokens = tokens.select("doc_id", "d_copy", F.explode(F.array(plain(F.col("d_text")), named(F.col("d_text")))).alias("d_tokens"))
-    tokens = tokens.withColumn("d_template", template(F.col("d_tokens")))
+    tokens = tokens.select("doc_id", "d_copy", F.explode(F.array(plain(F.col("d_text")), named(F.col("d_text")))).alias("d_text"))
+    tokens = tokens.select("doc_id", "d_copy", F.split("d_text", " ").alias("d_tokens"), template(F.col("d_text")).alias("d_template"))
     d_windows = tokens.select("doc_id", "d_copy", "d_tokens", F.inline(sized(F.col("d_template"), False)))
     d_windows = d_windows.join(keys, "key", "left_semi").withColumn("d_slots", _slots(F.col("d_tokens"), F.col("at"), F.lit(window))).drop("d_tokens")
     met = d_windows.distinct().join(i_windows, "key")
     met = met.withColumn("d_slots", F.slice("d_slots", 1, F.greatest(F.size("i_slots"), F.lit(1))))
+    # Windows of one alignment that follow each other are a run; there are no more in order than an item has windows.
+    aligned = Window.partitionBy("doc_id", "d_copy", "item_id", "way", "i_copy", F.col("at") - F.col("i_at")).orderBy("i_at")
+    met = met.withColumn("run", F.col("i_at") - F.dense_rank().over(aligned))
     met = met.withColumn("o", F.explode(_occurrences()))
     group = ["doc_id", "item_id", "way", "o"]
-    pairs = met.groupBy(*group).agg(F.countDistinct("i_at").alias("n_matched")).join(n_windows, "item_id")
-    pairs = pairs.withColumn("coverage", F.col("n_matched") / F.col("n_windows")).where(F.col("coverage") >= coverage)
+    words = F.when(F.col("o.level") == RUNS, F.max("i_through") - F.min("i_before")).otherwise(0)
+    pairs = met.groupBy(*group).agg(F.countDistinct("i_at").alias("n_matched"), words.alias("n_run")).join(n_windows, "item_id")
+    pairs = pairs.withColumn("coverage", F.col("n_matched") / F.col("n_windows")).where((F.col("coverage") >= coverage) | (F.col("n_run") >= run))
     slot = F.explode(F.arrays_zip(F.col("i_slots").alias("i"), F.col("d_slots").alias("d"))).alias("slot")
     slots = met.where(F.size("i_slots") > 0).select(*group, slot).select(*group, "slot.*").toDF(*group, "i", "d")
     per_value = slots.groupBy(*group, "i").agg(F.min("d").alias("least"), F.max("d").alias("most"))
