@@ -31,15 +31,16 @@ UNITS = (
     "l|ml|liter|liters|litre|litres|gallon|gallons|s|sec|second|seconds|min|minute|minutes|h|hour|hours|day|days|week|weeks|"
     "month|months|year|years|usd|eur|gbp|dollar|dollars|euro|euros|cent|cents|percent|kmh|mph|c|f|degree|degrees"
 )
-#: Canonicalisation as (pattern, replacement) steps around lower-casing; the same in Java's and RE2's syntax.
-BEFORE = ((r"[{}#=~]", " "), (r"(^|[.!?:\n]\s*)([\p{Lu}])", "$1~$2"), (r" (\p{Lu}\p{Ll}+)", " {n=$1}"), (r"~(\p{Lu}\p{Ll}+)", "{s=$1}"))
-AFTER = (
-    (r"([^\p{L}\p{N}{=]|^)[-+]?(\d+)[.,:](\d+)", "$1$2d$3"),
-    (r"(^|[^\p{L}\p{N}{=])(\d[0-9d]*)( ?(?:" + UNITS + r")|)($|[^\p{L}\p{N}])", "$1{#=$2} {u=$3} $4"),
-    ("{u=} ", ""),
-    ("{u= ", "{u="),
-    (r"[^\p{L}\p{N}{}#=]+", " "),
-)
+#: Characters that mark placeholders; a text's own become spaces.
+MARKS = "{}#=~"
+#: A capitalised word that begins a sentence, and one after a space. Patterns begin with what they look for, so that the many places
+#: where nothing stands cost little, and look back from there.
+FIRST = (r"(\p{Lu})(?<=(?:^|[.!?:\n]\s{0,20})\p{Lu})(\p{Ll}++)", "{s=$1$2}")
+INSIDE = (r" (\p{Lu}\p{Ll}++)", " {n=$1}")
+#: After lower-casing: a number's fraction, and a number with the unit behind it.
+FRACTION = (r"(\d)(?<![\p{L}\p{N}{=]\d)(\d*+)[.,:](\d++)", "$1$2d$3")
+NUMBER = (r"(\d)(?<![\p{L}\p{N}{=]\d)([0-9d]*)( ?(?:" + UNITS + r")|)(?![\p{L}\p{N}])", "{#=$1$2} {u=$3} ")
+PUNCTUATION = (r"[^\p{L}\p{N}{}#=]+", " ")
 
 
 def canonical(text: Column) -> Column:
@@ -48,12 +49,16 @@ def canonical(text: Column) -> Column:
 
     A name is a capitalised word inside a sentence; words in capitals are ordinary words.
     """
-    for pattern, into in BEFORE:
+    for mark in MARKS:
+        text = F.replace(text, F.lit(mark), F.lit(" "))
+    for pattern, into in (FIRST, INSIDE):
         text = F.regexp_replace(text, pattern, into)
     text = F.lower(text)
-    for pattern, into in AFTER:
-        text = F.replace(text, F.lit(pattern), F.lit(into)) if pattern.startswith("{u=") else F.regexp_replace(text, pattern, into)
-    return F.trim(text)
+    for pattern, into in (FRACTION, NUMBER):
+        text = F.regexp_replace(text, pattern, into)
+    for empty, into in (("{u=} ", ""), ("{u= ", "{u=")):
+        text = F.replace(text, F.lit(empty), F.lit(into))
+    return F.trim(F.regexp_replace(text, *PUNCTUATION))
 
 
 def plain(text: Column) -> Column:
@@ -72,16 +77,16 @@ def template(text: Column) -> Column:
     return F.transform(F.split(bare, " "), lambda t: F.xxhash64(t))
 
 
-def _window(hashes: Column, at: Column, n: int) -> Column:
-    """Hash of the n tokens from place ``at`` (from 0); NULL where there are not so many. Fewer than LEAST must be the whole text."""
-    fits = F.get(hashes, at + (n - 1)).isNotNull() & ((F.size(hashes) == n) if n < LEAST else F.lit(True))
-    return F.when(fits, F.xxhash64(*(F.get(hashes, at + k) for k in range(n)), F.lit(n)))
+def _window(hashes: Column, at: Column, n: int, where: Column) -> Column:
+    """Hash of the n tokens from place ``at`` (from 0); NULL where there are not so many."""
+    return F.when(where & F.get(hashes, at + (n - 1)).isNotNull(), F.xxhash64(*(F.get(hashes, at + k) for k in range(n)), F.lit(n)))
 
 
 def _windows(hashes: Column, n: int) -> Column:
-    """Hashes of the windows of n tokens, by position (from 1)."""
+    """Hashes of the windows of n tokens, by position (from 1). Fewer than LEAST must be the whole text."""
+    where = F.size(hashes) == n if n < LEAST else F.lit(True)
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(hashes)))
-    return F.filter(F.transform(starts, lambda i: F.struct(_window(hashes, i - 1, n).alias("key"), i.alias("at"))), lambda w: w["key"].isNotNull())
+    return F.filter(F.transform(starts, lambda i: F.struct(_window(hashes, i - 1, n, where).alias("key"), i.alias("at"))), lambda w: w["key"].isNotNull())
 
 
 def _slots(tokens: Column, start: Column, n: Column) -> Column:
@@ -144,10 +149,12 @@ def leaks(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, cove
     # All windows of all documents against all keys; only documents with a hit go on. Each token is hashed once for each template,
     # and the windows combine the hashes.
     templates = docs.select("doc_id", canonical(F.col("text")).alias("d_text")).select("doc_id", template(plain(F.col("d_text"))).alias("a"), template(F.col("d_text")).alias("b"))
-    places = templates.select("doc_id", "a", "b", F.posexplode("a").alias("at", "_"))
-    of_place = [_window(F.col(h), F.col("at"), k) for k in lengths for h in "ab"]
-    fresh = F.array(*(key if i % 2 == 0 else F.when(~key.eqNullSafe(of_place[i - 1]), key) for i, key in enumerate(of_place)))
-    all_windows = places.select("doc_id", fresh.alias("k")).select("doc_id", F.explode("k").alias("key")).where("key is not null")
+    # Both templates in one array; a window over its middle meets nothing. Places are numbers, so that tokens are not copied for each.
+    n_tokens, both, at = F.size("a"), F.concat("a", "b"), F.col("at")
+    places = templates.select("doc_id", n_tokens.alias("n_tokens"), both.alias("both"), F.explode(F.sequence(F.lit(0), 2 * n_tokens - 1)).alias("at"))
+    whole = (at == 0) | (at == F.col("n_tokens"))
+    of_place = [_window(F.col("both"), at, k, F.lit(True) if k >= LEAST else whole & (F.col("n_tokens") == k)) for k in lengths]
+    all_windows = places.select("doc_id", (of_place[0] if len(lengths) == 1 else F.explode(F.array(*of_place))).alias("key")).where("key is not null")
     hit = all_windows.join(keys, "key", "left_semi").select("doc_id").distinct()
 
     tokens = docs.join(hit, "doc_id").select("doc_id", F.xxhash64("text").alias("d_copy"), canonical(F.col("text")).alias("d_text"))
