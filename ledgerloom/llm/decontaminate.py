@@ -78,15 +78,19 @@ def template(text: Column) -> Column:
 
 
 def _window(hashes: Column, at: Column, n: int, where: Column) -> Column:
-    """Hash of the n tokens from place ``at`` (from 0); NULL where there are not so many."""
-    return F.when(where & F.get(hashes, at + (n - 1)).isNotNull(), F.xxhash64(*(F.get(hashes, at + k) for k in range(n)), F.lit(n)))
+    """Hash of the n tokens from place ``at`` (from 0); 0 where there are not so many.
+
+    Not NULL: a join on a column that may be NULL filters its rows first, and the filter would work out the whole template again.
+    """
+    fits = where & F.get(hashes, at + (n - 1)).isNotNull()
+    return F.when(fits, F.xxhash64(*(F.get(hashes, at + k) for k in range(n)), F.lit(n))).otherwise(F.lit(0).cast("long"))
 
 
 def _windows(hashes: Column, n: int) -> Column:
     """Hashes of the windows of n tokens, by position (from 1). Fewer than LEAST must be the whole text."""
     where = F.size(hashes) == n if n < LEAST else F.lit(True)
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(hashes)))
-    return F.filter(F.transform(starts, lambda i: F.struct(_window(hashes, i - 1, n, where).alias("key"), i.alias("at"))), lambda w: w["key"].isNotNull())
+    return F.filter(F.transform(starts, lambda i: F.struct(_window(hashes, i - 1, n, where).alias("key"), i.alias("at"))), lambda w: w["key"] != 0)
 
 
 def _slots(tokens: Column, start: Column, n: Column) -> Column:
@@ -150,11 +154,12 @@ def leaks(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, cove
     # and the windows combine the hashes.
     templates = docs.select("doc_id", canonical(F.col("text")).alias("d_text")).select("doc_id", template(plain(F.col("d_text"))).alias("a"), template(F.col("d_text")).alias("b"))
     # Both templates in one array; a window over its middle meets nothing. Places are numbers, so that tokens are not copied for each.
-    n_tokens, both, at = F.size("a"), F.concat("a", "b"), F.col("at")
-    places = templates.select("doc_id", n_tokens.alias("n_tokens"), both.alias("both"), F.explode(F.sequence(F.lit(0), 2 * n_tokens - 1)).alias("at"))
+    at = F.col("at")
+    both = templates.select("doc_id", F.size("a").alias("n_tokens"), F.concat("a", "b").alias("both"))
+    places = both.select("doc_id", "n_tokens", "both", F.explode(F.sequence(F.lit(0), 2 * F.col("n_tokens") - 1)).alias("at"))
     whole = (at == 0) | (at == F.col("n_tokens"))
     of_place = [_window(F.col("both"), at, k, F.lit(True) if k >= LEAST else whole & (F.col("n_tokens") == k)) for k in lengths]
-    all_windows = places.select("doc_id", (of_place[0] if len(lengths) == 1 else F.explode(F.array(*of_place))).alias("key")).where("key is not null")
+    all_windows = places.select("doc_id", (of_place[0] if len(lengths) == 1 else F.explode(F.array(*of_place))).alias("key"))
     hit = all_windows.join(keys, "key", "left_semi").select("doc_id").distinct()
 
     tokens = docs.join(hit, "doc_id").select("doc_id", F.xxhash64("text").alias("d_copy"), canonical(F.col("text")).alias("d_text"))
