@@ -4,8 +4,8 @@ Two lines within ``edits`` edits of each other share one of edits + 1 segments,
 indexes its own segments by length and number, and probes the substrings that a shorter or equally long line's segments could
 match. Lines that meet are filtered by a parity signature of their characters and verified by banded bit-parallel edit distance.
 
-Copies of a line are one entry of the join, whatever their number. Keys under which many lines meet are dealt with in a grid of
-blocks by their signatures, so neither a task nor a join ever makes all pairs of such a group as rows.
+Copies of a line are one entry of the join, whatever their number. Lines that meet under a key are compared where they meet, in a
+grid of blocks if they are many, and only each line's number of links leaves the block: no pair ever becomes a row.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,9 +23,9 @@ from ledgerloom.llm.hashing import Spans, Texts, chunks, mixed
 EDITS = 2
 #: Shorter lines (in code points) are never compared with different ones: two edits in a short line make another line.
 LEAST_CHARS = 24
-#: Up to so many entries under one key, pairs are made at once; more are dealt out in blocks of BLOCK.
+#: Up to so many entries under one key are looked at before they are sent on; groups of more than BLOCK are dealt out in blocks.
 SMALL_GROUP = 48
-BLOCK = 4_096
+BLOCK = 1_024
 #: Lines a task remembers, not to send keys of the same line again; when there are more, it begins anew.
 REMEMBERED = 200_000
 
@@ -152,24 +151,11 @@ def _keys(edits: int):
     return run
 
 
-def _group_pairs(entries: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs of different lines of a group, one of them an index entry."""
-    out = set()
-    own = [int(e) >> 1 & 0x7FFFFFFFFFFFFFFF for e in entries if not e & 1]
-    for e in entries:
-        other = int(e) >> 1 & 0x7FFFFFFFFFFFFFFF
-        out.update((min(a, other), max(a, other)) for a in own if a != other)
-    return list(out)
-
-
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Groups of entries under one key, sorted by key and entry: pairs (a, b) of small groups, entries of larger ones as they are."""
+    """Entries under one key, sorted by key and entry: those of groups in which different lines meet, once each."""
 
-    def out(pairs: list[tuple[int, int]], key: np.ndarray, entry: np.ndarray) -> pa.RecordBatch:
-        n, m = len(pairs), len(key)
-        a, b = (np.array([p[c] for p in pairs], dtype=np.int64) for c in (0, 1))
-        nulls = lambda x, before, after: pa.array(np.concatenate([np.zeros(before, np.int64), x, np.zeros(after, np.int64)]), mask=np.repeat([True, False, True], [before, len(x), after]))
-        return pa.record_batch([nulls(key, n, 0), nulls(entry, n, 0), nulls(a, 0, m), nulls(b, 0, m)], names=["key", "entry", "a", "b"])
+    def out(key: np.ndarray, entry: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(key), pa.array(entry)], names=["key", "entry"])
 
     none = np.zeros(0, dtype=np.int64)
     held_key, held = none, none  # the group that may go on in the next batch
@@ -183,36 +169,96 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, entry = key[fresh], entry[fresh]
         first = np.flatnonzero(np.diff(key, prepend=~key[:1]) != 0)
         size = np.diff(np.append(first, len(key)))
-        closed = size[:-1]
-        pairs = []
-        for f, s in zip(first[:-1][(closed > 1) & (closed <= SMALL_GROUP)], closed[(closed > 1) & (closed <= SMALL_GROUP)], strict=True):
-            if key[f] != large:
-                pairs += _group_pairs(entry[f : f + s])
-        to_large = np.repeat(np.append(closed > SMALL_GROUP, size[-1] > SMALL_GROUP), size)
+        goes = size > SMALL_GROUP
+        for k in np.flatnonzero((size[:-1] > 1) & ~goes[:-1]).tolist():
+            some = entry[first[k] : first[k] + size[k]]
+            goes[k] = not (some & 1).all() and not (some >> 1 == some[0] >> 1).all()
         if large is not None:
-            to_large |= key == large
-        yield out(pairs, key[to_large], entry[to_large])
+            goes |= key[first] == large
+        chosen = np.repeat(goes, size)
+        yield out(key[chosen], entry[chosen])
         last = slice(first[-1], None)
-        if size[-1] > SMALL_GROUP or key[-1] == large:
+        if goes[-1]:
             large, held_key, held = key[-1], none, none
         else:
             held_key, held = key[last], entry[last]
-    if 1 < len(held):
-        yield out(_group_pairs(held), none, none)
-
-
-def _block_pairs(edits: int):
-    def run(block: pd.DataFrame) -> pd.DataFrame:
-        """Pairs of a block of the grid whose signatures differ in two bits per edit at most."""
-        left, right = block[block.side != 1], block[block.side != 0]
-        found = []
-        sign = lambda f: f[["sign_a", "sign_b"]].to_numpy(np.int64).view(np.uint64)
-        r_sign, r_line, r_kind, r_chars = sign(right), *(right[c].to_numpy() for c in ("line", "kind", "chars"))
-        for line, kind, chars, s in zip(left["line"], left["kind"], left["chars"], sign(left), strict=True):
-            near = np.bitwise_count(r_sign ^ s).sum(axis=1) <= 2 * edits
-            near &= (r_line != line) & ((r_kind == 0) | (kind == 0)) & (np.abs(r_chars - chars) <= edits)
-            found += [(min(line, o), max(line, o)) for o in r_line[near].tolist()]
-        return pd.DataFrame(sorted(set(found)), columns=["a", "b"], dtype="int64")
+    if len(np.unique(held >> 1)) > 1 and not (held & 1).all():
+        yield out(held_key, held)
+
+
+def _own_keys(text: str, edits: int) -> dict[int, int]:
+    """The keys of a line, each with the smallest kind the line has under it."""
+    t = Texts([text], wide=True)
+    found: dict[int, int] = {}
+    for _, key, kind in line_keys(Spans(t.symbols), t.starts, t.lengths, edits):
+        for k in key.view(np.int64).tolist():
+            found[k] = min(kind, found.get(k, 1))
+    return found
+
+
+class _Blocks:
+    """Counts the links of lines in blocks of the grid, and how many of them lead to earlier lines.
+
+    Lines that meet under several keys are counted under the smallest one, so a pair never has to become a row.
+    """
+
+    def __init__(self, edits: int):
+        self.edits = edits
+        self.known: dict[int, tuple[str, dict[int, int]]] = {}
+
+    def count(self, t: pa.Table, bounds: np.ndarray) -> pa.RecordBatch:
+        column = {c: t.column(c).to_numpy() for c in ("key", "line", "kind", "chars", "side", "copy", "line_no")}
+        sign = np.stack([t.column("sign_a").to_numpy(), t.column("sign_b").to_numpy()], axis=1).view(np.uint64)
+        ids, texts = t.column("doc_id").to_pylist(), t.column("line_text").combine_chunks()
+        line, kind, chars, side = (column[c] for c in ("line", "kind", "chars", "side"))
+        links: dict[int, list[int]] = {}
+
+        def place(k: int) -> tuple:
+            return ids[k], column["copy"][k], column["line_no"][k]
+
+        def keys_of(k: int) -> tuple[str, dict[int, int]]:
+            own = self.known.get(int(line[k]))
+            if own is None:
+                if len(self.known) > 20_000:
+                    self.known.clear()
+                text = texts[k].as_py()
+                own = self.known[int(line[k])] = text, _own_keys(text, self.edits)
+            return own
+
+        for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            key = int(column["key"][start])
+            right = start + np.flatnonzero(side[start:end] != 0)
+            for i in (start + np.flatnonzero(side[start:end] != 1)).tolist():
+                some = right[right > i] if side[i] == 2 else right  # in a corner both sides hold the same lines
+                near = (np.abs(chars[some] - chars[i]) <= self.edits) & (line[some] != line[i]) & ((kind[some] == 0) | (kind[i] == 0))
+                some = some[near]
+                for j in some[np.bitwise_count(sign[some] ^ sign[i]).sum(axis=1) <= 2 * self.edits].tolist():
+                    (a, of_a), (b, of_b) = keys_of(i), keys_of(j)
+                    if min(k for k in of_a.keys() & of_b.keys() if of_a[k] == 0 or of_b[k] == 0) == key and edit_distance(a, b, self.edits) <= self.edits:
+                        later = i if place(j) < place(i) else j
+                        for k in (i, j):
+                            n = links.setdefault(int(line[k]), [0, 0])
+                            n[0] += 1
+                            n[1] += k == later
+        counts = list(links.values())
+        return pa.record_batch([pa.array(list(links), pa.int64()), *(pa.array([n[k] for n in counts], pa.int64()) for k in (0, 1))], names=["line", "n_links", "n_earlier"])
+
+
+def _count_blocks(edits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Blocks in order of (key, p, q), one after the other."""
+        blocks, held = _Blocks(edits), None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            t = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            cell = np.stack([t.column(c).to_numpy().astype(np.int64) for c in ("key", "p", "q")], axis=1)
+            first = np.flatnonzero(np.concatenate([[True], (cell[1:] != cell[:-1]).any(axis=1)]))
+            if len(first) > 1:
+                yield blocks.count(t, first)
+            held = t.slice(first[-1])
+        if held is not None:
+            yield blocks.count(held, np.array([0, held.num_rows]))
 
     return run
 
@@ -233,7 +279,7 @@ def _identified(documents: DataFrame) -> DataFrame:
     return documents.where(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("text").alias("copy"), F.coalesce("text", F.lit("")).alias("text"))
 
 
-def line_classes(documents: DataFrame, edits: int = EDITS, least_copy: int = LEAST_CHARS) -> tuple[DataFrame, DataFrame]:
+def line_classes(documents: DataFrame, edits: int = EDITS, least_copy: int = 1) -> tuple[DataFrame, DataFrame]:
     """(occurrences, lines): every line of every document that is compared or counts as a copy, and every distinct line with its first occurrence and n_earlier,
     the number of distinct lines within ``edits`` edits that occur first before it, and n_links, of all such lines."""
     docs = _identified(documents)
@@ -244,42 +290,25 @@ def line_classes(documents: DataFrame, edits: int = EDITS, least_copy: int = LEA
     lines = cut(lines)
 
     keys = docs.mapInArrow(_keys(edits), "key long, entry long")
-    met = cut(keys.repartition("key").sortWithinPartitions("key", "entry").mapInArrow(_meet, "key long, entry long, a long, b long"))
-    own = lines.select("line", "chars", "sign_a", "sign_b", "first")
-    small = met.where(F.col("key").isNull()).select("a", "b").distinct()
-
-    large = met.where(F.col("key").isNotNull()).select("key", "entry")
-    sizes = large.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n_blocks"))
-    large = large.join(sizes, "key").withColumn("line", F.shiftrightunsigned("entry", 1)).withColumn("kind", F.col("entry").bitwiseAND(F.lit(1))).join(own.drop("first"), "line")
-    large = large.withColumn("block", F.pmod(F.xxhash64("line"), F.col("n_blocks")).cast("int"))
+    met = keys.repartition("key").sortWithinPartitions("key", "entry").mapInArrow(_meet, "key long, entry long")
+    met = cut(met.groupBy("key", F.shiftrightunsigned("entry", 1).alias("line")).agg(F.min(F.col("entry").bitwiseAND(F.lit(1))).alias("kind")))
+    own = lines.select("line", "chars", "sign_a", "sign_b", "first.*").dropDuplicates(["line"])
+
+    wanted = met.select("line").distinct().join(own.select("line", "doc_id", "copy", "line_no"), "line")
+    wanted = wanted.groupBy("doc_id", "copy").agg(F.collect_list(F.struct("line", "line_no")).alias("wanted"))
+    texts = docs.join(wanted, ["doc_id", "copy"]).select("text", "wanted").mapInArrow(_fetch, "line long, line_text string").dropDuplicates(["line"])
+
+    sizes = met.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n_blocks"))
+    members = met.join(sizes, "key").join(own, "line").join(texts, "line").withColumn("block", F.pmod(F.xxhash64("line"), F.col("n_blocks")).cast("int"))
     # The grid's cells (p, q) with p <= q: a row stands on side 0 of its own row, on side 1 of its own column, on both in the corner.
     cell = F.when(F.col("other") > F.col("block"), F.struct(F.col("block").alias("p"), F.col("other").alias("q"), F.lit(0).alias("side")))
     cell = cell.when(F.col("other") < F.col("block"), F.struct(F.col("other").alias("p"), F.col("block").alias("q"), F.lit(1).alias("side")))
     cell = cell.otherwise(F.struct(F.col("block").alias("p"), F.col("block").alias("q"), F.lit(2).alias("side")))
-    dealt = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))).select("key", "line", "kind", "chars", "sign_a", "sign_b", cell.alias("c"))
-    dealt = dealt.select("key", "line", "kind", "chars", "sign_a", "sign_b", "c.*")
-    from_large = dealt.groupBy("key", "p", "q").applyInPandas(_block_pairs(edits), "a long, b long")
-
-    def side(name: str) -> DataFrame:
-        return own.select(F.col("line").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("chars", "sign_a", "sign_b", "first")])
-
-    pairs = small.unionByName(from_large).distinct().join(side("a"), "a").join(side("b"), "b")
-    flips = sum((F.bit_count(F.col(f"{s}_a").bitwiseXOR(F.col(f"{s}_b"))) for s in ("sign_a", "sign_b")), F.lit(0))
-    pairs = cut(pairs.where((flips <= 2 * edits) & (F.abs(F.col("chars_a") - F.col("chars_b")) <= edits)).select("a", "b", "first_a", "first_b"))
-
-    wanted = pairs.select(F.explode(F.array(*[F.struct(F.col(x).alias("line"), F.col(f"first_{x}").alias("first")) for x in "ab"])).alias("w")).select("w.line", "w.first.*")
-    wanted = wanted.distinct().groupBy("doc_id", "copy").agg(F.collect_list(F.struct("line", "line_no")).alias("wanted"))
-    texts = docs.join(wanted, ["doc_id", "copy"]).select("text", "wanted").mapInArrow(_fetch, "line long, line_text string").dropDuplicates(["line"])
-
-    @F.pandas_udf("int")
-    def distance(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([edit_distance(x, y, edits) for x, y in zip(a, b, strict=True)], dtype="int32")
-
-    both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
-    links = both.where(distance("text_a", "text_b") <= edits)
-    earlier = F.col("first_a") < F.col("first_b")
-    ends = links.select(F.explode(F.array(F.struct(F.col("a").alias("line"), (~earlier).cast("long").alias("after")), F.struct(F.col("b").alias("line"), earlier.cast("long").alias("after")))).alias("e")).select("e.*")
-    counts = ends.groupBy("line").agg(F.count(F.lit(1)).alias("n_links"), F.sum("after").alias("n_earlier"))
+    columns = ["key", "line", "kind", "chars", "sign_a", "sign_b", "doc_id", "copy", "line_no", "line_text"]
+    dealt = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))).select(*columns, cell.alias("c")).select(*columns, "c.*")
+    cells = dealt.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "side", "line")
+    counted = cells.mapInArrow(_count_blocks(edits), "line long, n_links long, n_earlier long")
+    counts = counted.groupBy("line").agg(F.sum("n_links").alias("n_links"), F.sum("n_earlier").alias("n_earlier"))
     lines = lines.join(counts, "line", "left").fillna(0, ["n_links", "n_earlier"])
     return occurrences, lines.select("line", "check", "first", "n", "n_links", "n_earlier")
 
@@ -294,7 +323,7 @@ def _removed(documents: DataFrame, edits: int, least_copy: int) -> DataFrame:
     return found.select("doc_id", "copy", "line_no", (near & first).alias("near"), (near | ~first).alias("removed"), "n_links")
 
 
-def deduplicated_lines(documents: DataFrame, edits: int = EDITS, least_copy: int = LEAST_CHARS) -> DataFrame:
+def deduplicated_lines(documents: DataFrame, edits: int = EDITS, least_copy: int = 1) -> DataFrame:
     """One row per document: doc_id, n_lines, n_removed, n_near (removed lines that first occur here, because an earlier line is
     within ``edits`` edits), n_links (of its lines, to other distinct lines).
 
@@ -308,12 +337,12 @@ def deduplicated_lines(documents: DataFrame, edits: int = EDITS, least_copy: int
         F.countDistinct(F.when(F.col("removed"), F.col("line_no"))).alias("n_removed"), F.countDistinct(F.when(F.col("near"), F.col("line_no"))).alias("n_near"),
         F.sum("n_links").alias("n_links"),
     )
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.length("text") - F.length(F.translate("text", "\n", "")) + 1)
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1)
     rows = documents.where(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("text").alias("copy"), n_lines.cast("long").alias("n_lines"))
     return rows.join(marks, ["doc_id", "copy"], "left").fillna(0, ["n_removed", "n_near", "n_links"]).drop("copy")
 
 
-def without_repeated_lines(documents: DataFrame, edits: int = EDITS, least_copy: int = LEAST_CHARS) -> DataFrame:
+def without_repeated_lines(documents: DataFrame, edits: int = EDITS, least_copy: int = 1) -> DataFrame:
     """The documents (all columns) with the removed lines taken out of their texts; documents that lose all their text go.
 
     Rows without doc_id, and NULL and empty texts, stay as they are. See ``deduplicated_lines`` for which lines go.

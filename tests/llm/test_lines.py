@@ -41,7 +41,7 @@ def test_lines_equal_brute_force(documents, monkeypatch, small, block):
     monkeypatch.setattr(line_dedup, "SMALL_GROUP", small)
     monkeypatch.setattr(line_dedup, "BLOCK", block)
     rows = [*changed_lines(4), (500, None), (501, ""), (502, "y" * 30 + "\n" + "y" * 30)]
-    got = {r.doc_id: (r.n_lines, r.n_removed, r.n_near, r.n_links) for r in deduplicated_lines(documents(rows)).collect()}
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.n_near, r.n_links) for r in deduplicated_lines(documents(rows), least_copy=24).collect()}
     texts = dict(rows)
     want = {i: (0 if texts[i] is None else texts[i].count("\n") + 1, len(gone), near, links) for i, (gone, near, links) in brute.lines(rows).items()}
     assert got == want
@@ -50,7 +50,7 @@ def test_lines_equal_brute_force(documents, monkeypatch, small, block):
 def test_lines_are_taken_out(documents):
     line = "this is a line of more than twenty-four characters"
     rows = [(1, f"first words\n{line}"), (2, f"{line}\nlast words"), (3, line.replace("is a", "is ä")), (4, None), (5, ""), (None, line), (6, "short\nshort")]
-    got = {r.doc_id: r.text for r in without_repeated_lines(documents(rows)).collect()}
+    got = {r.doc_id: r.text for r in without_repeated_lines(documents(rows), least_copy=24).collect()}
     assert got == {1: rows[0][1], 2: "last words", 4: None, 5: "", None: line, 6: "short\nshort"}
 
 
