@@ -99,9 +99,16 @@ def line_keys(spans: Spans, start: np.ndarray, length: np.ndarray, edits: int) -
     return out
 
 
-def _occurrences(least_copy: int):
+def _signatures(t: Texts, start: np.ndarray, chosen: np.ndarray) -> list[np.ndarray]:
+    """128 bits of the chosen lines, in two halves: each tells whether the characters that fall on it are an odd number."""
+    bit = (t.symbols.astype(np.uint64) * np.uint64(0x9E3779B1)) >> np.uint64(20) & np.uint64(127)
+    one = np.uint64(1) << (bit & np.uint64(63))
+    return [np.bitwise_xor.reduceat(np.where(bit >> np.uint64(6) == half, one, np.uint64(0)), start)[chosen] if len(start) else one[:0] for half in (0, 1)]
+
+
+def _occurrences(least_copy: int, described: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Compared lines of documents, and shorter ones that count as copies: their place, two hashes, length and parity signature."""
+        """Compared lines of documents, and shorter ones that count as copies: their place and two hashes; if described, length and parity signature too."""
         for batch in small_batches(batches, "text", 4 << 20):
             ids, copies, texts = (batch.column(c) for c in ("doc_id", "copy", "text"))
             for at, some in chunks(texts.to_pylist()):
@@ -112,17 +119,17 @@ def _occurrences(least_copy: int):
                 dark = (t.symbols != 32) & ((t.symbols < 9) | (t.symbols > 13))
                 dark = np.logical_or.reduceat(dark, start) if len(start) else dark[:0]
                 chosen = np.flatnonzero((end - start >= LEAST_CHARS) | ((end - start >= least_copy) & dark))
-                bit = (t.symbols.astype(np.uint64) * np.uint64(0x9E3779B1)) >> np.uint64(20) & np.uint64(127)
-                one = np.uint64(1) << (bit & np.uint64(63))
-                signs = [np.bitwise_xor.reduceat(np.where(bit >> np.uint64(6) == half, one, np.uint64(0)), start)[chosen] if len(start) else one[:0] for half in (0, 1)]
+                signs: list[np.ndarray] = []
+                if described:
+                    signs = _signatures(t, start, chosen)
                 doc, start, end, number = doc[chosen], start[chosen], end[chosen], number[chosen]
                 take = pa.array(at + doc)
                 line = t.hashes(start, end) >> np.uint64(1)
                 check = Spans(t.symbols, second=True).hashes(start, end)
                 yield pa.record_batch(
                     [ids.take(take), copies.take(take), pa.array(number, pa.int32()), pa.array(line.astype(np.int64)), pa.array(check.view(np.int64)),
-                     pa.array((end - start).astype(np.int32)), *(pa.array(s.view(np.int64)) for s in signs)],
-                    names=["doc_id", "copy", "line_no", "line", "check", "chars", "sign_a", "sign_b"],
+                     *([pa.array((end - start).astype(np.int32))] if described else []), *(pa.array(s.view(np.int64)) for s in signs)],
+                    names=["doc_id", "copy", "line_no", "line", "check", "chars", "sign_a", "sign_b"][: 8 if described else 5],
                 )
 
     return run
@@ -284,9 +291,12 @@ def line_classes(documents: DataFrame, edits: int = EDITS, least_copy: int = 1)
     the number of distinct lines within ``edits`` edits that occur first before it, and n_links, of all such lines."""
     docs = _identified(documents)
     id_type = documents.schema["doc_id"].dataType.simpleString()
-    occurrences = docs.mapInArrow(_occurrences(least_copy), f"doc_id {id_type}, copy long, line_no int, line long, check long, chars int, sign_a long, sign_b long")
+    schema = f"doc_id {id_type}, copy long, line_no int, line long, check long"
+    # Read twice: with signatures for the distinct lines, and by the caller for the places of those that go.
+    occurrences = docs.mapInArrow(_occurrences(least_copy, described=False), schema)
+    described = docs.mapInArrow(_occurrences(least_copy, described=True), f"{schema}, chars int, sign_a long, sign_b long")
     place = F.struct("doc_id", "copy", "line_no")
-    lines = occurrences.groupBy("line", "check").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("chars", "sign_a", "sign_b")])
+    lines = described.groupBy("line", "check").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("chars", "sign_a", "sign_b")])
     lines = cut(lines)
 
     keys = docs.mapInArrow(_keys(edits), "key long, entry long")
