@@ -25,6 +25,8 @@ from ledgerloom.llm.hashing import Texts, chunks, mixed
 PERCENT = 80
 #: Independent trees; a pair of similarity 0.8 is missed by all, at two levels, with a chance below 1e-6.
 TREES = 16
+#: So many trees go first; the others leave out branches whose sets these have joined already.
+FIRST_TREES = 4
 #: Minhash functions of a signature, and how many must agree for a candidate: four standard deviations below 0.8 * 128.
 FUNCTIONS, AGREE = 128, 84
 #: Branches of so many sets are compared; larger ones branch again, LEVELS times at most, and are then compared in a grid of blocks.
@@ -36,6 +38,7 @@ CLUSTER = 8
 
 _RNG = np.random.default_rng(20_01)
 _XOR = _RNG.integers(0, 1 << 63, FUNCTIONS, dtype=np.uint64)
+_SALT = np.uint64(0x94D049BB133111EB)
 _MULTIPLY = _RNG.integers(0, 1 << 63, FUNCTIONS, dtype=np.uint64) | np.uint64(1)
 
 
@@ -68,13 +71,13 @@ def _describe(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", 4 << 20):
             sets = shingle_sets(batch.column("text").to_pylist(), size)
-            nodes = np.array([np.bitwise_xor.reduce(mixed(s)) if len(s) else 0 for s in sets], dtype=np.uint64).view(np.int64)
+            hashes = [np.array([np.bitwise_xor.reduce(mixed(s ^ salt)) if len(s) else 0 for s in sets], dtype=np.uint64).view(np.int64) for salt in (np.uint64(0), _SALT)]
             least = np.stack([signature(s) for s in sets])
             signs = pa.FixedSizeListArray.from_arrays(pa.array((mixed(least.ravel()) >> np.uint64(48)).astype(np.uint16).view(np.int16)), FUNCTIONS)
             tops = pa.FixedSizeListArray.from_arrays(pa.array((mixed(least[:, :TREES].ravel())).view(np.int64)), TREES)
             yield pa.record_batch(
-                [batch.column("doc_id"), batch.column("copy"), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes), signs.cast(pa.list_(pa.int16())), tops.cast(pa.list_(pa.int64()))],
-                names=["doc_id", "copy", "n_shingles", "node", "sign", "tops"],
+                [batch.column("doc_id"), batch.column("copy"), pa.array([len(s) for s in sets], pa.int64()), *map(pa.array, hashes), signs.cast(pa.list_(pa.int16())), tops.cast(pa.list_(pa.int64()))],
+                names=["doc_id", "copy", "n_shingles", "hash_a", "hash_b", "sign", "tops"],
             )
 
     return run
@@ -261,28 +264,21 @@ def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
 def _described(documents: DataFrame, size: int) -> DataFrame:
     id_type = documents.schema["doc_id"].dataType.simpleString()
     rows = documents.select("doc_id", F.xxhash64("text").alias("copy"), "text")
-    return rows.mapInArrow(_describe(size), f"doc_id {id_type}, copy long, n_shingles long, node long, sign array<short>, tops array<long>")
+    return rows.mapInArrow(_describe(size), f"doc_id {id_type}, copy long, n_shingles long, hash_a long, hash_b long, sign array<short>, tops array<long>")
 
 
-def near_duplicates(documents: DataFrame, size: int = 2, percent: int = PERCENT) -> DataFrame:
-    """One row per row of documents: doc_id, copy (hash of the text), n_shingles, component_id, kept.
+def _tree_links(rows: DataFrame, parts: DataFrame | None, signs: DataFrame, nodes: DataFrame, documents: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) found by trees, from their first paths (node, path), as many as join what the trees bring together.
 
-    Documents are linked if 100 * intersection >= percent * union of their sets of ``size``-word shingles over words of non-space
-    bytes with A-Z lower-cased (percent from 50 on). component_id is the smallest doc_id reachable, kept says whether it is the
-    row's own. NULL, empty and blank texts have no shingles and stand alone. Rows with one doc_id are separate documents under
-    that id; rows without doc_id can link others, have their component's id or NULL, and are never kept. Other columns are
-    ignored. Very long texts are read whole, and equal sets are one node however many rows have them.
+    With ``parts``, branches whose sets are all in one part already are left out, since pairs inside a part cannot change it.
     """
-    docs = cut(_described(documents, size), ROWS_PER_TASK)
-    some = docs.where("n_shingles > 0")
-    nodes = cut(some.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "copy")).alias("at"), *[F.first(c).alias(c) for c in ("n_shingles", "sign", "tops")]), ROWS_PER_TASK)
-    signs = nodes.select("node", "n_shingles", "sign")
-
-    # Trees: paths of minwise tokens.
-    rows = nodes.select("node", F.posexplode("tops").alias("tree", "top")).select("node", F.xxhash64("tree", "top").alias("path"))
+    rows = rows.select("node", "path")
+    if parts is not None:
+        rows = rows.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
     leaves = None
     for level in range(LEVELS):
-        counts = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        counts = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n"), *([F.min("part").alias("p"), F.max("part").alias("q")] if parts is not None else []))
+        counts = counts.where("n > 1" if parts is None else "n > 1 and p < q").select("path", "n")
         rows = cut(rows.join(counts, "path"), ROWS_PER_TASK)
         leaf = rows.where(F.col("n") <= LEAF).select("path", "node")
         leaves = leaf if leaves is None else leaves.unionByName(leaf)
@@ -292,8 +288,9 @@ def near_duplicates(documents: DataFrame, size: int = 2, percent: int = PERCENT)
         pick = lambda salt: F.pmod(F.xxhash64("path", F.lit(salt)), F.lit(FUNCTIONS)).cast("int")
         second = F.pmod(F.xxhash64("path", F.lit(2)), F.lit(4)) == 0
         chosen = F.when(second, F.array(pick(1), pick(3))).otherwise(F.array(pick(1)))
-        rows = rows.join(signs, "node").select("node", "path", "sign", F.explode(chosen).alias("f"))
-        rows = rows.select("node", F.xxhash64("path", "f", F.element_at("sign", F.col("f") + 1)).alias("path"))
+        kept = ["node", *(["part"] if parts is not None else [])]
+        rows = rows.join(signs, "node").select(*kept, "path", "sign", F.explode(chosen).alias("f"))
+        rows = rows.select(*kept, F.xxhash64("path", "f", F.element_at("sign", F.col("f") + 1)).alias("path"))
 
     schema = "a long, b long, path long, node long"
     compared = leaves.join(signs, "node").select("path", "node", "n_shingles", "sign").repartition("path").sortWithinPartitions("path", "node")
@@ -314,17 +311,44 @@ def near_duplicates(documents: DataFrame, size: int = 2, percent: int = PERCENT)
     texts = cut(whole.join(at, same).select("node", "text").dropDuplicates(["node"]), ROWS_PER_TASK)
 
     links = cut(_confirm(tested, texts, size, percent), ROWS_PER_TASK)
+    if crowds.isEmpty():
+        return links
+    # Crowds that these links, and those found before, leave in parts.
+    known = links if parts is None else links.unionByName(parts.select(F.col("node").alias("a"), F.col("part").alias("b")))
+    now = cut(components(known), ROWS_PER_TASK)
+    apart = crowds.join(now, "node", "left").withColumn("part", F.coalesce("part", "node"))
+    open_cells = apart.groupBy("path").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q").select("path")
+    rest = apart.join(open_cells, "path", "left_semi").join(texts, "node")
+    more = rest.groupBy("path").applyInArrow(_links_apart(size, percent), "a long, b long")
+    return links.unionByName(cut(more.distinct(), ROWS_PER_TASK))
+
+
+def near_duplicates(documents: DataFrame, size: int = 2, percent: int = PERCENT) -> DataFrame:
+    """One row per row of documents: doc_id, copy (hash of the text), n_shingles, component_id, kept, component (a number).
+
+    Documents are linked if 100 * intersection >= percent * union of their sets of ``size``-word shingles over words of non-space
+    bytes with A-Z lower-cased (percent from 50 on). component_id is the smallest doc_id reachable, kept says whether it is the
+    row's own. NULL, empty and blank texts have no shingles and stand alone. Rows with one doc_id are separate documents under
+    that id; rows without doc_id can link others, have their component's id or NULL, and are never kept. ``component`` tells
+    components apart that share an id; it is NULL without shingles. Other columns are ignored. Very long texts are read whole, and equal sets are one node however many rows have them.
+    """
+    docs = cut(_described(documents, size), ROWS_PER_TASK)
+    some = docs.where("n_shingles > 0")
+    # Equal sets: two 64-bit hashes and the size. Numbers are given before the rows are kept, so they stay.
+    same_set = ["hash_a", "hash_b", "n_shingles"]
+    sets = some.groupBy(*same_set).agg(F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "copy")).alias("at"), *[F.first(c).alias(c) for c in ("sign", "tops")])
+    nodes = cut(sets.withColumn("node", F.monotonically_increasing_id()), ROWS_PER_TASK)
+    signs = nodes.select("node", "n_shingles", "sign")
+    paths = nodes.select("node", F.posexplode("tops").alias("tree", "top")).select("node", "tree", F.xxhash64("tree", "top").alias("path"))
+
+    links = _tree_links(paths.where(F.col("tree") < FIRST_TREES), None, signs, nodes, documents, size, percent)
     parts = cut(components(links), ROWS_PER_TASK)
-    if not crowds.isEmpty():
-        apart = crowds.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
-        open_cells = apart.groupBy("path").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q").select("path")
-        rest = apart.join(open_cells, "path", "left_semi").join(texts, "node")
-        more = rest.groupBy("path").applyInArrow(_links_apart(size, percent), "a long, b long")
-        parts = cut(components(links.unionByName(cut(more.distinct(), ROWS_PER_TASK))), ROWS_PER_TASK)
+    more = _tree_links(paths.where(F.col("tree") >= FIRST_TREES), parts, signs, nodes, documents, size, percent)
+    parts = cut(components(links.unionByName(more)), ROWS_PER_TASK)
 
     ids = nodes.select("node", "least_id").join(parts, "node").groupBy("part").agg(F.min("least_id").alias("linked_id"))
-    linked = parts.join(ids, "part").select("node", "linked_id")
-    of_node = nodes.select("node", "least_id").join(linked, "node", "left").select("node", F.coalesce("linked_id", "least_id").alias("component"))
-    out = docs.select("doc_id", "copy", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("node")).alias("node")).join(of_node, "node", "left")
-    component: Column = F.coalesce("component", "doc_id")
-    return out.select("doc_id", "copy", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+    linked = parts.join(ids, "part").select("node", "part", "linked_id")
+    of_set = nodes.join(linked, "node", "left").select(*same_set, F.coalesce("part", "node").alias("component"), F.coalesce("linked_id", "least_id").alias("least"))
+    out = docs.select("doc_id", "copy", *same_set).join(of_set, same_set, "left")
+    least: Column = F.coalesce("least", "doc_id")
+    return out.select("doc_id", "copy", "n_shingles", least.alias("component_id"), F.coalesce(F.col("doc_id") == least, F.lit(False)).alias("kept"), "component")
