@@ -31,19 +31,25 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-copies: five-word shingles, similarity 0.8. Blank texts and rows without doc_id stay."""
-    found = near_duplicates(docs, size=5)
-    groups = found.where("kept and n_shingles > 0").groupBy(F.col("component_id").alias("k_id")).agg(F.min("copy").alias("k_copy"))
-    blank = found.where("n_shingles = 0 and doc_id is not null").select(F.col("doc_id").alias("k_id"), F.col("copy").alias("k_copy")).distinct()
+    """One document of each group of near-copies: five-word shingles, similarity 0.8.
+
+    Rows are told apart by doc_id, which may be NULL, and text, so unrelated texts under one doc_id both stay, and rows without
+    doc_id are compared like others. Of a group the smallest doc_id stays. Blank texts stay; equal rows are one.
+    """
+    found = near_duplicates(docs, size=5).withColumn("row", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "copy"))
+    first = found.where("n_shingles > 0").groupBy("component").agg(F.min("row").alias("row")).select("row")
+    blank = found.where("n_shingles = 0").select("row").distinct()
+    chosen = first.unionByName(blank).select(F.col("row.doc_id").alias("k_id"), F.col("row.copy").alias("k_copy"))
     rows = docs.select(*DOCUMENT).withColumn("copy", F.xxhash64("text"))
-    chosen = rows.join(groups.unionByName(blank), (F.col("doc_id") == F.col("k_id")) & (F.col("copy") == F.col("k_copy")))
-    return chosen.dropDuplicates(["doc_id", "copy"]).select(*DOCUMENT).unionByName(docs.select(*DOCUMENT).where(F.col("doc_id").isNull()))
+    kept = rows.join(chosen, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("copy") == F.col("k_copy")))
+    return kept.dropDuplicates(["doc_id", "copy"]).select(*DOCUMENT)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item. Documents without doc_id stay."""
-    found = leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.select(*DOCUMENT).join(found, "doc_id", "left_anti").select(*DOCUMENT)
+    """Documents that hold no benchmark item. Texts are judged by themselves, whatever their doc_id."""
+    texts = docs.where(F.col("text").isNotNull()).select(F.xxhash64("text").alias("doc_id"), "text")
+    found = leaks(texts, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("found")).distinct()
+    return docs.select(*DOCUMENT).join(found, F.xxhash64("text") == F.col("found"), "left_anti")
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
