@@ -191,6 +191,16 @@ def test_pipeline_equals_brute_force(spark, sf_dir):
     assert sorted((tuple(r) for r in got.select(*COLUMNS).collect()), key=str) == want
 
 
+def test_rows_without_or_with_a_shared_id_are_cleaned(spark, documents, sf_dir):
+    item = max((r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()), key=len)
+    words = [f"word{k}" for k in range(60)]
+    text, near = " ".join(words), " ".join([*words[:59], "other"])
+    docs = documents([(None, f"before it {item} behind it"), (1, text), (1, "an unrelated text of quite another kind, under the same id"), (None, near), (2, "clean words only")])
+    assert sorted(str(r.doc_id) for r in corpus_pipeline.decontamination_stage(spark, docs, sf_dir).collect()) == ["1", "1", "2", "None"]
+    kept = corpus_pipeline.near_duplicate_stage(spark, docs, sf_dir).collect()
+    assert {r.text for r in kept} == {r.text for r in docs.collect()} - {near}
+
+
 def test_stages_on_empty_and_odd_documents(spark, documents, sf_dir):
     names = ["doc_id", "text", "lang", "source", "n_chars"]
     odd = documents([(None, "text without an id, long enough to be looked at"), (1, None), (2, ""), (3, "the same text, twice over, in full"), (3, "the same text, twice over, in full")])
