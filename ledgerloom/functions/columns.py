@@ -49,17 +49,37 @@ def percent_text(value: Column) -> Column:
 
 
 def with_total_row(df: DataFrame, label: str, numeric: list[str], text: str = "Total") -> DataFrame:
-    """``df`` plus one row with the sums of ``numeric`` and ``text`` in the ``label`` column."""
-    sums = df.agg(*(F.sum(c).alias(c) for c in numeric))
-    total = sums.select(
-        *(
-            F.lit(text).alias(c) if c == label
-            else F.col(c) if c in numeric
-            else F.lit(None).cast(df.schema[c].dataType).alias(c)
-            for c in df.columns
-        )
+    """``df`` plus one row with the sums of ``numeric`` and ``text`` in the ``label`` column, in one pass over ``df``.
+
+    Rows are numbered and grouped by number and altogether (ROLLUP), so the plan below runs once.  Doubles are summed as decimals,
+    which do not depend on the order of tasks.  Rows keep their order, the total comes last; no rows have no total.
+    """
+    def exact(c: str) -> Column:
+        return F.col(c).cast("decimal(28,9)") if df.schema[c].dataType.typeName() in ("double", "float") else F.col(c)
+
+    sums = [F.sum(exact(c)).alias(f"_sum_{c}") for c in numeric]
+    rows = df.withColumn("_row", F.monotonically_increasing_id()).rollup("_row").agg(
+        F.grouping_id().cast("int").alias("is_total"), F.first(F.struct(*df.columns)).alias("_first"), *sums
     )
-    return df.withColumn("is_total", F.lit(0)).unionByName(total.withColumn("is_total", F.lit(1)))
+    is_total = F.col("is_total") == 1
+
+    def cell(c: str) -> Column:
+        one, kind = F.col("_first")[c], df.schema[c].dataType
+        if c == label:
+            return F.when(is_total, F.lit(text)).otherwise(one)
+        if c in numeric:
+            total = F.col(f"_sum_{c}")
+            return F.when(is_total, total.cast(kind) if kind.typeName() in ("double", "float") else total).otherwise(one)
+        return F.when(~is_total, one)
+
+    # The number of all rows together is NULL.
+    return rows.orderBy(F.col("_row").asc_nulls_last()).select(*(cell(c).alias(c) for c in df.columns), "is_total")
+
+
+def report_with_total(df: DataFrame) -> DataFrame:
+    """A report plus its total row: sums of all amounts, quantities and rates, ``Total`` in the first column."""
+    numeric = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "decimal")]
+    return with_total_row(df, df.columns[0], numeric)
 
 
 def sanitize_cells(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import or_zero, ratio, rounded
@@ -171,6 +171,104 @@ def order_line_changes(t: Tables, changes: DataFrame) -> DataFrame:
     return line_margin_discount(existing.select(*columns).unionByName(added))
 
 
+_LINE_VALUES = ("item_code", "production_year", "brand", "qty", "rate", "uom", "conversion_factor", "due_date")
+
+
+def order_line_difference(lines: DataFrame, listed: DataFrame, conversions: DataFrame, done: str, due: str, places: int = 2) -> DataFrame:
+    """The full difference between order lines and the lists that shall replace them.
+
+    A list names all lines an order shall have; orders without a list do not occur. ``outcome`` is same, changed, new, removed or
+    rejected (with the reason), and ``applied`` is 0 for all rows of an order with a rejected line, as it stays as it was. ``done``
+    is the column of the quantity already delivered or received, ``due`` that of the date, in ``lines`` and in ``listed``.
+
+    A listed line is the same if quantity, rate, unit and factor are, and if both dates are there and equal. Rates and factors are
+    rounded to ``places``. A changed unit takes its factor from the list, else from ``conversions`` (parent: the item), else 1; a
+    factor of the stock unit is 1 unless the list names a unit. Blank brands and years change nothing. Listed rows without an item
+    change nothing and keep their line; of several rows for one line the last by ``idx`` counts, then the greatest. Rows of a line
+    the order does not have are rejected, and so are new rows without an order.
+    """
+    def blank(column: Column) -> Column:
+        return F.coalesce(column, F.lit("")) == ""
+
+    listed = listed.withColumnRenamed(due, "due_date").withColumn("docname", F.nullif(F.col("docname"), F.lit("")))
+    given = listed.filter("docname IS NOT NULL AND parent IS NOT NULL").groupBy(F.col("parent").alias("_parent"), F.col("docname").alias("_docname")).agg(
+        F.max(F.struct(F.coalesce("idx", F.lit(0)).alias("_at"), *_LINE_VALUES)).alias("g")
+    )
+    old_columns = [F.col(due if c == "due_date" else c).alias(c) for c in ("parent", "name", *_LINE_VALUES, "price_list_rate", "stock_uom")]
+    old = lines.join(listed.select("parent").distinct(), "parent", "left_semi").select(
+        *old_columns, or_zero(done).alias("_done"), or_zero("billed_amt").cast("double").alias("_billed")
+    )
+    pairs = old.join(given, (F.col("parent") == F.col("_parent")) & (F.col("name") == F.col("_docname")), "full_outer")
+    pairs = pairs.filter("name IS NOT NULL OR coalesce(g.item_code, '') <> ''").withColumns({
+        "_new": F.lit(False), "_found": F.col("name").isNotNull(), "parent": F.coalesce("parent", "_parent"), "name": F.coalesce("name", "_docname"),
+        "_listed": F.col("_docname").isNotNull(), "_kept": F.col("_docname").isNotNull() & blank(F.col("g.item_code")),
+    }).drop("_parent", "_docname")
+    added = listed.filter("docname IS NULL AND coalesce(item_code, '') <> ''").select(
+        "parent", "item_code", F.struct(F.coalesce("idx", F.lit(0)).alias("_at"), *_LINE_VALUES).alias("g"), F.lit(True).alias("_new"),
+        F.lit(True).alias("_found"), F.lit(True).alias("_listed"), F.lit(False).alias("_kept"), F.lit(0).alias("_done"), F.lit(0.0).alias("_billed"),
+    )
+    rows = pairs.unionByName(added, allowMissingColumns=True)
+    factors = conversions.groupBy(F.col("parent").alias("_item"), F.col("uom").alias("_uom")).agg(F.max("conversion_factor").alias("_factor"))
+    rows = rows.join(factors, (F.col("item_code") == F.col("_item")) & (F.col("g.uom") == F.col("_uom")), "left")
+
+    qty, rate = or_zero("g.qty"), rounded(or_zero("g.rate"), places)
+    own = F.nullif(rounded(F.col("g.conversion_factor"), places), F.lit(0.0))
+    factor = (
+        F.when(~blank(F.col("g.uom")), F.coalesce(own, F.col("_factor"), F.lit(1.0)))
+        .when(or_zero("g.conversion_factor") == 0, F.when(F.col("_new"), F.lit(1.0)).otherwise(F.col("conversion_factor")))
+        .otherwise(F.when(F.col("_found") & ~F.col("_new") & F.col("stock_uom").eqNullSafe(F.col("uom")), F.lit(1.0)).otherwise(F.coalesce(own, F.lit(0.0))))
+    )
+    same = (
+        (qty == or_zero("qty")) & (or_zero("g.rate") == or_zero("rate")) & (or_zero("g.conversion_factor") == or_zero("conversion_factor"))
+        & F.col("g.uom").eqNullSafe(F.col("uom")) & F.coalesce(F.col("g.due_date") == F.col("due_date"), F.lit(False))
+    )
+    removed = ~F.col("_listed")
+    same = F.col("_found") & F.col("_listed") & (F.col("_kept") | (~F.col("_new") & same))
+    word = done.removesuffix("_qty")
+    reason = (
+        F.when(F.col("parent").isNull(), "no order")
+        .when(~F.col("_found"), "no such line")
+        .when(removed, F.when(F.col("_done") > 0, f"already {word}").when(F.col("_billed") != 0, "already billed"))
+        .when(~same, F.coalesce(
+            F.when(qty == 0, "quantity is zero"), F.when(qty < F.col("_done"), f"below {word} quantity"),
+            F.when((rounded(F.col("_billed"), places) > rounded(rate * qty.cast("double"), places)) & (rate > 0), "below billed amount"),
+        ))
+    )
+    rows = rows.withColumns({"reason": reason, "_same": same, "_qty": qty, "_rate": rate, "_cf": factor})
+    outcome = (
+        F.when(F.col("reason").isNotNull(), "rejected").when(~F.col("_listed"), "removed").when(F.col("_same"), "same")
+        .when(F.col("_new"), "new").otherwise("changed")
+    )
+    rows = rows.withColumn("outcome", outcome)
+    # An order is a document: its lines fit a task.
+    refused = F.max((F.col("outcome") == "rejected").cast("int")).over(Window.partitionBy("parent"))
+    takes = F.col("_new") | ~F.col("_found") | (F.col("outcome") == "changed")
+
+    def after(c: str, value: Column) -> Column:
+        return F.when(takes, value).otherwise(F.col(c)).alias(c)
+
+    def filled(c: str) -> Column:
+        return F.when(blank(F.col(f"g.{c}")), F.col(c)).otherwise(F.col(f"g.{c}"))
+
+    rows = rows.withColumn("applied", 1 - refused).select(
+        "parent", "name", after("item_code", F.coalesce("item_code", "g.item_code")), after("production_year", filled("production_year")),
+        after("brand", filled("brand")), after("qty", F.col("_qty")), after("rate", F.col("_rate")), "price_list_rate",
+        after("uom", filled("uom")), after("conversion_factor", F.col("_cf")), after("due_date", F.coalesce("g.due_date", "due_date")),
+        "outcome", "reason", "applied",
+    )
+    return line_margin_discount(rows.withColumn("stock_qty", rounded(F.col("qty").cast("double") * F.col("conversion_factor"), 6)))
+
+
+def sales_line_difference(t: Tables, listed: DataFrame) -> DataFrame:
+    """Sales order lines against the lists that shall replace them."""
+    return order_line_difference(t.sales_order_item, listed, t.uom_conversion_detail, "delivered_qty", "delivery_date")
+
+
+def purchase_line_difference(t: Tables, listed: DataFrame) -> DataFrame:
+    """Purchase order lines against the lists that shall replace them."""
+    return order_line_difference(t.purchase_order_item, listed, t.uom_conversion_detail, "received_qty", "schedule_date")
+
+
 def _reject_reason(qty: Column, delivered: Column, billed: Column, rate: Column, amount: Column) -> Column:
     return (
         F.when(qty == 0, "quantity is zero")

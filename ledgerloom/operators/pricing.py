@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import normalize_dim, or_zero, ratio, year_or_blank
-from ledgerloom.functions.predicates import SUBMITTED, filter_spec, live, not_cancelled
+from ledgerloom.functions.predicates import SUBMITTED, filter_spec, not_cancelled
 from ledgerloom.operators import stock as S
 from ledgerloom.sources.tables import Tables
 from ledgerloom.sources.versions import VersionedTable
@@ -128,15 +128,17 @@ def receipt_pricing_worksheet(t: Tables, receipts: list[str] | None = None) -> D
         F.sum(F.col("base_net_amount") + F.col("item_tax_amount")).alias("_goods"),
     )
     items = t.item.select(F.col("name").alias("item_code"), "item_name", "brand", "tire_size", "ply_rating")
-    values = live(t.stock_ledger_entry).groupBy("item_code").agg(
-        F.sum("actual_qty").alias("_item_qty"), F.sum("stock_value_difference").alias("_item_value")
+    # Stock of an item and its years from one pass over the ledger; an item without a line's year still has its own sums.
+    years = S.valued_stock(t).groupBy("item_code").agg(
+        F.map_from_entries(F.collect_list(F.struct("production_year", "actual_qty"))).alias("_years"),
+        F.max("item_qty").alias("_item_qty"), F.max("item_value").alias("_item_value"),
     )
     rows = (
         grouped.join(landed_cost_share(t), "parent")
         .join(items, "item_code")
-        .join(S.stock_qty(t), S.ITEM_YEAR, "left")
         .join(S.reserved_qty_having(t), S.ITEM_YEAR, "left")
-        .join(values, "item_code", "left")
+        .join(years, "item_code", "left")
+        .withColumn("actual_qty", F.col("_years")[F.col("production_year")])
         .join(S.selling_price(t), S.ITEM_YEAR, "left")
         .withColumn("_cost", F.col("_goods").cast("double") * (1 + F.col("_share")))
     )

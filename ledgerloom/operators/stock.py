@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import normalize_dim, ratio
@@ -122,6 +122,28 @@ def cogs_by_item(t: Tables, from_date: str, to_date: str) -> DataFrame:
     return within(sold, from_date, to_date).groupBy("item_code").agg((-F.sum("stock_value_difference")).alias("cost"))
 
 
+def held_and_sold(t: Tables, from_date: str, to_date: str) -> DataFrame:
+    """Quantity on hand at ``to_date`` and cost of what was sold in the period, per item, in one pass over the ledger."""
+    sold = F.col("posting_date").between(F.lit(from_date).cast("date"), F.lit(to_date).cast("date")) & F.col("voucher_type").isin(*SALES_VOUCHERS)
+    return up_to(live(t.stock_ledger_entry), to_date).groupBy("item_code").agg(
+        F.sum("actual_qty").alias("stock_qty"), F.sum(F.when(sold, -F.col("stock_value_difference"))).alias("sales_cost")
+    )
+
+
+def valued_stock(t: Tables, as_of: str | None = None) -> DataFrame:
+    """All items and years of the ledger with their quantity and the item's quantity and value over all years, in one pass.
+
+    The window is over sums: it holds one row per year of an item.
+    """
+    sums = normalize_dim(up_to(live(t.stock_ledger_entry), as_of)).groupBy(*ITEM_YEAR).agg(
+        F.sum("actual_qty").alias("actual_qty"), F.sum("stock_value_difference").alias("_value")
+    )
+    item = Window.partitionBy("item_code")
+    return sums.select(
+        *ITEM_YEAR, "actual_qty", F.sum("actual_qty").over(item).alias("item_qty"), F.sum("_value").over(item).alias("item_value")
+    )
+
+
 def cogs_by_customer(t: Tables, from_date: str, to_date: str) -> DataFrame:
     """Cost of what left stock, by the customer of the stock-updating invoice or delivery note."""
     invoices = submitted(t.sales_invoice).filter("update_stock = 1")

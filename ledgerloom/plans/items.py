@@ -10,7 +10,7 @@ from ledgerloom.functions.predicates import live, not_cancelled, only, submitted
 from ledgerloom.operators import gl as G
 from ledgerloom.operators.running import running_total
 from ledgerloom.operators.sales import sales_by
-from ledgerloom.operators.stock import cogs_by_item, open_order_lines, stock_movements, stock_qty
+from ledgerloom.operators.stock import held_and_sold, open_order_lines, stock_movements
 from ledgerloom.sources.tables import Tables
 
 
@@ -22,8 +22,7 @@ def _item_results(t: Tables, from_date: str, to_date: str) -> DataFrame:
     joined = (
         t.item.select(F.col("name").alias("item_code"), "item_name", "brand")
         .join(sales, "item_code", "left")
-        .join(cogs_by_item(t, from_date, to_date).withColumnRenamed("cost", "sales_cost"), "item_code", "left")
-        .join(stock_qty(t, to_date, by=["item_code"]).withColumnRenamed("actual_qty", "stock_qty"), "item_code", "left")
+        .join(held_and_sold(t, from_date, to_date), "item_code", "left")
     )
     measures = ("sales_qty", "sales_amount", "sales_cost", "stock_qty")
     joined = joined.withColumns({c: or_zero(c) for c in measures})

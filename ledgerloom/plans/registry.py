@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.columns import normalize_dim, sanitize_cells, with_total_row
+from ledgerloom.functions.columns import normalize_dim, report_with_total, sanitize_cells, with_total_row
 from ledgerloom.functions.predicates import filter_spec
 from ledgerloom.operators import atp, counters, export, fulfilment, gl, parties, pricing, sales, stock, valuation, vouchers
 from ledgerloom.plans import accounts, customers, items
@@ -161,6 +161,8 @@ OPERATORS: dict[str, Callable[[Tables], DataFrame]] = {
     "moving_average_valuation": lambda t: _doubled(valuation.moving_average_valuation(t), 6, "valuation_rate"),
     "remark_propagation": lambda t: vouchers.remark_propagation(t).select("account", "voucher_type", "voucher_no", "debit", "credit", "remarks"),
     "order_line_changes": lambda t: fulfilment.order_line_changes(t, t.order_line_change),
+    "sales_line_difference": lambda t: fulfilment.sales_line_difference(t, t.sales_line_list),
+    "purchase_line_difference": lambda t: fulfilment.purchase_line_difference(t, t.purchase_line_list),
     "line_margin_discount": lambda t: fulfilment.line_margin_discount(t.sales_order_item).select(
         "name", "margin_type", "margin_rate_or_amount", "rate_with_margin", "discount_percentage", "discount_amount"),
     "adjustment_lines": fulfilment.adjustment_lines,
@@ -178,6 +180,15 @@ OPERATORS: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
+# The reports that users see with a total row.
+WITH_TOTALS = (
+    "account_balances", "available_items", "brand_performance", "brand_transactions", "customer_balances", "customer_performance",
+    "item_performance", "item_reservations", "item_sales_ledger", "item_transactions", "receipt_details", "stock_ageing", "stock_balance",
+    "stock_balance_cost_prices", "stock_balance_prices",
+)
+OPERATORS |= {f"{name}_totals": lambda t, report=OPERATORS[name]: report_with_total(plain(report(t))) for name in WITH_TOTALS}
+
+
 def _folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 

@@ -146,11 +146,12 @@ def stock_balance_prices(
 def stock_balance_cost_prices(t: Tables, as_of: str, filter_based_on: str = ACTUAL) -> DataFrame:
     """Stock in hand with price (by year) and value per unit (by item)."""
     left = F.col("actual_qty") - or_zero("qty_to_deliver")
+    value = F.when(F.col("item_qty") > 0, ratio(F.col("item_value"), F.col("item_qty")))
+    stock = S.valued_stock(t, as_of).filter("actual_qty > 0").withColumn("valuation_rate", value)
     rows = (
-        _balances(t, as_of)
+        stock.join(S.reserved_qty(t, as_of), S.ITEM_YEAR, "left")
         .filter(_by_mode(filter_based_on, F.lit(True), left > 0))
         .join(_items(t).filter("is_stock_item = 1"), "item_code")
-        .join(S.valuation_rate_ledger(t, as_of), "item_code", "left")
         .join(S.selling_price(t), S.ITEM_YEAR, "left")
         .withColumn("qty_to_deliver", or_zero("qty_to_deliver"))
         .withColumn("available_qty", F.col("actual_qty") - F.col("qty_to_deliver"))

@@ -40,6 +40,31 @@ _RATE = "l_extendedprice / l_quantity"
 _TOTAL = "cast(o_totalprice AS decimal(18,2))"
 _UPDATES_STOCK = "o_orderpriority IN ('1-URGENT', '2-HIGH')"
 
+# Units and date of an order line: every second line is in boxes of four, some lines have no date.
+_TERMS = (
+    "CASE WHEN l_linenumber % 2 = 0 THEN 'Box' ELSE 'Nos' END AS uom, 'Nos' AS stock_uom, "
+    "CASE WHEN l_linenumber % 2 = 0 THEN cast(4 AS double) ELSE cast(1 AS double) END AS conversion_factor, "
+    "CASE WHEN l_tax = 0 THEN NULL ELSE cast(l_shipdate AS date) END"
+)
+
+
+def _line_list(order: str, date: str) -> str:
+    """What users make of the lines of an order: most stay, some are left out, changed, new, without item, or of no such line."""
+    return f"""
+SELECT '{order}-' || cast(l_orderkey AS string) AS parent,
+  CASE WHEN l_discount = 0.07 AND l_linenumber > 4 THEN NULL WHEN l_partkey % 60 = 7 THEN '{order}I-' || {_LINE} || '/?' ELSE '{order}I-' || {_LINE} END AS docname,
+  l_linenumber AS idx, CASE WHEN l_partkey % 70 = 9 THEN NULL ELSE 'I-' || cast(l_partkey AS string) END AS item_code,
+  CASE WHEN l_tax > 0.06 THEN '2031' END AS production_year, CASE WHEN l_tax > 0.06 THEN 'Brand#99' ELSE '' END AS brand,
+  CASE WHEN l_discount = 0.01 THEN {_QTY} - cast(10 AS decimal(18,3)) WHEN l_discount = 0.02 THEN {_QTY} + cast(3 AS decimal(18,3))
+    WHEN l_discount = 0.03 AND l_linenumber = 1 THEN cast(0 AS decimal(18,3)) ELSE {_QTY} END AS qty,
+  CASE WHEN l_discount = 0.04 THEN {_RATE} * cast(0.5 AS double) WHEN l_discount = 0.05 THEN {_RATE} * cast(2 AS double) ELSE {_RATE} END AS rate,
+  CASE WHEN l_discount = 0.06 THEN 'Box' WHEN l_discount >= 0.09 THEN NULL WHEN l_linenumber % 2 = 0 THEN 'Box' ELSE 'Nos' END AS uom,
+  CASE WHEN l_discount = 0.06 THEN NULL WHEN l_discount = 0.08 THEN cast(2.5 AS double) WHEN l_linenumber % 2 = 0 THEN cast(4 AS double) ELSE cast(1 AS double) END
+    AS conversion_factor,
+  CASE WHEN l_tax = 0 THEN NULL WHEN l_tax = 0.01 THEN cast(l_shipdate AS date) + 5 ELSE cast(l_shipdate AS date) END AS {date}
+FROM {{lineitem}} WHERE l_orderkey % 3 > 0 AND NOT (l_returnflag = 'A' AND l_linenumber = 3)"""
+
+
 VIEWS: dict[str, str] = {
     "item": """
 SELECT 'I-' || cast(p_partkey AS string) AS name, 'I-' || cast(p_partkey AS string) AS item_code,
@@ -97,8 +122,20 @@ SELECT 'SOI-' || {_LINE} AS name, 'SO-' || cast(l_orderkey AS string) AS parent,
   {_RATE} * CASE WHEN l_discount >= 0.05 THEN cast(1.25 AS double) WHEN l_discount >= 0.03 THEN cast(1 AS double)
     WHEN l_discount >= 0.01 THEN cast(0.5 AS double) ELSE cast(0 AS double) END AS price_list_rate,
   {_RATE} * CASE WHEN l_tax > 0.07 THEN cast(1.5 AS double) ELSE cast(0.5 AS double) END AS valuation_rate,
-  CASE WHEN l_tax < 0.02 THEN NULL WHEN l_tax < 0.04 THEN '' ELSE 'Brand#' || cast(l_partkey % 25 AS string) END AS brand
+  CASE WHEN l_tax < 0.02 THEN NULL WHEN l_tax < 0.04 THEN '' ELSE 'Brand#' || cast(l_partkey % 25 AS string) END AS brand, {_TERMS} AS delivery_date
+FROM {{lineitem}}""",
+    "purchase_order_item": f"""
+SELECT 'POI-' || {_LINE} AS name, 'PO-' || cast(l_orderkey AS string) AS parent, {_ORDER_STATE} AS docstatus, l_linenumber AS idx,
+  'I-' || cast(l_partkey AS string) AS item_code, {_YEAR} AS production_year, 'Brand#' || cast(l_partkey % 25 AS string) AS brand, {_QTY} AS qty,
+  CASE WHEN l_suppkey % 3 = 0 THEN cast(floor(l_quantity / 2) AS decimal(18,3)) ELSE cast(0 AS decimal(18,3)) END AS received_qty,
+  CASE WHEN l_suppkey % 6 = 0 THEN {_PRICE} ELSE cast(0 AS decimal(18,2)) END AS billed_amt, {_RATE} AS rate,
+  {_RATE} * CASE WHEN l_discount >= 0.05 THEN cast(1.25 AS double) WHEN l_discount >= 0.02 THEN cast(0.5 AS double) ELSE cast(0 AS double) END
+    AS price_list_rate, {_TERMS} AS schedule_date
 FROM {{lineitem}}""",
+    "sales_line_list": _line_list("SO", "delivery_date"),
+    "purchase_line_list": _line_list("PO", "schedule_date"),
+    "uom_conversion_detail": """
+SELECT 'I-' || cast(p_partkey AS string) AS parent, 'Box' AS uom, cast(p_size % 5 + 1 AS double) AS conversion_factor FROM {part} WHERE p_size % 3 > 0""",
     "order_line_change": f"""
 SELECT 'SO-' || cast(l_orderkey AS string) AS parent,
   CASE WHEN l_linenumber = 7 AND l_returnflag = 'A' THEN NULL ELSE 'SOI-' || {_LINE} END AS docname,

@@ -30,7 +30,7 @@ TABLES: dict[str, str] = {
     "delivery_status string, per_billed double, per_delivered double",
     "sales_order_item": f"name string, parent string, docstatus int, idx int, item_code string, production_year string, qty {_QTY}, "
     f"delivered_qty {_QTY}, billed_qty {_QTY}, amount {_MONEY}, billed_amt {_MONEY}, rate double, net_rate double, "
-    "price_list_rate double, valuation_rate double, brand string",
+    "price_list_rate double, valuation_rate double, brand string, uom string, stock_uom string, conversion_factor double, delivery_date date",
     "sales_invoice": f"name string, customer string, customer_name string, posting_date date, docstatus int, is_return int, "
     f"is_opening string, update_stock int, is_paid int, grand_total {_MONEY}, outstanding_amount {_MONEY}, debit_to string, "
     f"payment_account string, custom_payment_value_is_different int, custom_payment_value {_MONEY}, conversion_rate {_RATE}, "
@@ -96,6 +96,14 @@ TABLES: dict[str, str] = {
     "sales_adjustment_increase": f"parent string, idx int, item_code string, production_year string, qty {_QTY}, rate double",
     "sales_adjustment_decrease": f"parent string, idx int, item_code string, production_year string, qty {_QTY}, rate double",
     "order_line_change": f"parent string, docname string, idx int, item_code string, production_year string, qty {_QTY}, rate double",
+    "purchase_order_item": f"name string, parent string, docstatus int, idx int, item_code string, production_year string, brand string, qty {_QTY}, "
+    f"received_qty {_QTY}, billed_amt {_MONEY}, rate double, price_list_rate double, uom string, stock_uom string, "
+    "conversion_factor double, schedule_date date",
+    "sales_line_list": f"parent string, docname string, idx int, item_code string, production_year string, brand string, qty {_QTY}, rate double, "
+    "uom string, conversion_factor double, delivery_date date",
+    "purchase_line_list": f"parent string, docname string, idx int, item_code string, production_year string, brand string, qty {_QTY}, rate double, "
+    "uom string, conversion_factor double, schedule_date date",
+    "uom_conversion_detail": "parent string, uom string, conversion_factor double",
     "price_change": f"name string, item_code string, item_name string, production_year string, price {_MONEY}",
 }
 

@@ -768,6 +768,73 @@ FROM stock_entry_detail d LEFT JOIN stock_entry s ON d.parent = s.name""",
 }
 
 
+def _line_difference(lines: str, listed: str, done: str, date: str) -> str:
+    word, rate = done.removesuffix("_qty"), R("coalesce(g.rate, 0)", 2)
+    factor = R("g.conversion_factor", 2)
+    return f"""WITH q_p AS (
+  SELECT coalesce(l.parent, g.parent) AS parent, coalesce(l.name, g.docname) AS name, l.name IS NOT NULL AS found, g.docname IS NOT NULL AS given, FALSE AS fresh,
+    coalesce(l.item_code, g.item_code) AS item_code, l.production_year, l.brand, l.qty, l.rate, l.uom, l.stock_uom, l.conversion_factor, l.{date} AS due_date, l.price_list_rate,
+    coalesce(l.{done}, 0) AS done, coalesce(l.billed_amt, 0) AS billed, g.item_code AS gi, g.production_year AS gy, g.brand AS gb, coalesce(g.qty, 0) AS gq,
+    coalesce(g.rate, 0) AS graw, {rate} AS gr, g.uom AS gu, coalesce(g.conversion_factor, 0) AS gcraw, nullif({factor}, 0) AS gc, g.{date} AS gd
+  FROM (SELECT * FROM {lines} WHERE parent IN (SELECT parent FROM {listed})) l
+  FULL JOIN (SELECT * FROM {listed} WHERE docname IS NOT NULL) g ON l.parent = g.parent AND l.name = g.docname
+  WHERE l.name IS NOT NULL OR coalesce(g.item_code, '') <> ''
+  UNION ALL SELECT g.parent, NULL, TRUE, TRUE, TRUE, g.item_code, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 0, 0, g.item_code, g.production_year, g.brand,
+    coalesce(g.qty, 0), coalesce(g.rate, 0), {rate}, g.uom, coalesce(g.conversion_factor, 0), nullif({factor}, 0), g.{date}
+  FROM {listed} g WHERE g.docname IS NULL AND coalesce(g.item_code, '') <> ''),
+q_s AS (SELECT p.*, c.conversion_factor AS table_factor,
+    found AND given AND (coalesce(gi, '') = '' OR NOT fresh AND gq = qty AND graw = rate AND gcraw = p.conversion_factor AND gu IS NOT DISTINCT FROM p.uom AND coalesce(gd = due_date, FALSE)) AS same
+  FROM q_p p LEFT JOIN uom_conversion_detail c ON p.item_code = c.parent AND p.gu = c.uom AND found),
+q_r AS (SELECT *, CASE WHEN NOT found THEN 'no such line' WHEN NOT given THEN CASE WHEN done > 0 THEN 'already {word}' WHEN billed <> 0 THEN 'already billed' END
+    WHEN NOT same THEN CASE WHEN gq = 0 THEN 'quantity is zero' WHEN gq < done THEN 'below {word} quantity'
+      WHEN round(billed, 2) > round(CAST(gr * CAST(gq AS DOUBLE) AS DECIMAL(28,9)), 2) AND gr > 0 THEN 'below billed amount' END END AS reason FROM q_s),
+q_o AS (SELECT *, CASE WHEN reason IS NOT NULL THEN 'rejected' WHEN NOT given THEN 'removed' WHEN same THEN 'same' WHEN fresh THEN 'new' ELSE 'changed' END AS outcome FROM q_r),
+q_f AS (SELECT *, fresh OR NOT found OR outcome = 'changed' AS takes,
+    CASE WHEN coalesce(gu, '') <> '' THEN coalesce(gc, table_factor, 1) WHEN gcraw = 0 THEN CASE WHEN fresh THEN 1 ELSE conversion_factor END
+      WHEN found AND NOT fresh AND stock_uom IS NOT DISTINCT FROM uom THEN 1 ELSE coalesce(gc, 0) END AS nf FROM q_o),
+q_v AS (SELECT parent, name, item_code, outcome, reason, price_list_rate,
+    CASE WHEN takes AND coalesce(gy, '') <> '' THEN gy ELSE production_year END AS production_year, CASE WHEN takes AND coalesce(gb, '') <> '' THEN gb ELSE brand END AS brand,
+    CASE WHEN takes THEN gq ELSE qty END AS qty, CASE WHEN takes THEN gr ELSE rate END AS rate, CASE WHEN takes AND coalesce(gu, '') <> '' THEN gu ELSE uom END AS uom,
+    CASE WHEN takes THEN nf ELSE conversion_factor END AS conversion_factor, CASE WHEN takes THEN coalesce(gd, due_date) ELSE due_date END AS due_date FROM q_f)
+SELECT parent, name, item_code, production_year, brand, {D('qty')} AS qty, rate, price_list_rate, uom, conversion_factor, due_date, outcome, reason,
+  CASE WHEN parent IN (SELECT parent FROM q_v WHERE outcome = 'rejected') THEN 0 ELSE 1 END AS applied,
+  {R('CAST(qty AS DOUBLE) * conversion_factor', 6)} AS stock_qty, {MARGIN} FROM q_v"""
+
+
+ORACLES |= {
+    "sales_line_difference": _line_difference("sales_order_item", "sales_line_list", "delivered_qty", "delivery_date"),
+    "purchase_line_difference": _line_difference("purchase_order_item", "purchase_line_list", "received_qty", "schedule_date"),
+}
+
+# Amounts, quantities and rates of the reports with a total row; the total is named in the first column.
+_TOTALS = {
+    "account_balances": ("account_number", "debit credit"),
+    "available_items": ("item_code", "price_list_rate"),
+    "brand_performance": ("brand", "sales_qty sales_amount sales_cost gross_profit stock_qty"),
+    "brand_transactions": ("brand", "opening_stock purchases sales ending_stock"),
+    "customer_balances": ("customer", "credit_limit balance_wo_so unbilled_sales_orders balance_w_so overdues"),
+    "customer_performance": ("customer", "sales_qty sales_amount cogs balance_wo_so orders_to_bill balance_w_so"),
+    "item_performance": ("item_code", "sales_qty sales_amount sales_cost gross_profit stock_qty"),
+    "item_reservations": ("item_code", "qty_to_deliver rate"),
+    "item_sales_ledger": ("item_code", "in_qty out_qty rate"),
+    "item_transactions": ("item_code", "opening_stock purchases sales ending_stock"),
+    "receipt_details": ("purchase_receipt", "qty"),
+    "stock_ageing": ("item_code", "actual_qty valuation_rate avg_age"),
+    "stock_balance": ("item_code", "actual_qty qty_to_deliver available_qty"),
+    "stock_balance_cost_prices": ("item_code", "actual_qty qty_to_deliver available_qty price_list_rate valuation_rate"),
+    "stock_balance_prices": ("item_code", "actual_qty qty_to_deliver available_qty qty_to_receive price_list_rate"),
+}
+
+
+def _with_total(report: str, label: str, numbers: str) -> str:
+    sums = ", ".join(f"{D(f'sum(CAST({c} AS DECIMAL(28,9)))')} AS {c}" for c in numbers.split())
+    return f"""WITH q_report AS ({report}) SELECT *, 0 AS is_total FROM q_report
+UNION ALL BY NAME SELECT 'Total' AS {label}, {sums}, 1 AS is_total FROM q_report HAVING count(*) > 0"""
+
+
+ORACLES |= {f"{name}_totals": _with_total(ORACLES[name], *columns) for name, columns in _TOTALS.items()}
+
+
 def oracle_texts() -> dict[str, str]:
     """Complete statements: the needed views, then the query."""
     texts = {}

@@ -250,3 +250,43 @@ def test_the_default_company_decides_on_the_value_check(tables, setting, flags,
 def test_closed_orders_are_not_closed_again(tables):
     orders = [{"name": n, "docstatus": 1, "status": s, "per_billed": 40.0, "billing_status": "Partly Billed", "delivery_status": "Fully Delivered"} for n, s in (("a", "To Bill"), ("b", "Closed"), ("c", None))]
     assert rows(fulfilment.orders_to_close(tables(sales_order=orders)), "name") == [("a",), ("c",)]
+
+
+def test_line_difference(tables, table):
+    def line(name, parent="O", received=0, billed=0, **more):
+        return {"name": name, "parent": parent, "item_code": "A", "qty": 10, "received_qty": received, "billed_amt": billed, "rate": 5, "price_list_rate": 8,
+                "uom": "Nos", "stock_uom": "Nos", "conversion_factor": 1, "schedule_date": "2024-01-01"} | more
+
+    def listed(docname, parent="O", **more):
+        return {"docname": docname, "parent": parent, "item_code": "A", "qty": 10, "rate": 5, "uom": "Nos", "conversion_factor": 1, "schedule_date": "2024-01-01", "idx": 1} | more
+
+    t = tables(
+        purchase_order_item=[line(n) for n in ("same", "box", "unit", "late", "dateless", "stock", "twice", "gone", "empty")] + [line("other", "untouched")]
+        + [line(n, "R", **m) for n, m in {"got": {"received": 6}, "paid": {"billed": 40}, "left": {"received": 1}, "owed": {"billed": 3}, "fine": {}}.items()],
+        uom_conversion_detail=[{"parent": "A", "uom": "Box", "conversion_factor": 6}],
+    )
+    lists = table(
+        "purchase_line_list", listed("same"), listed("box", uom="Box", conversion_factor=None), listed("unit", uom="Crate", conversion_factor=2.345),
+        listed("late", schedule_date="2024-02-01", production_year="2020", brand="x"), listed("dateless", schedule_date=None),
+        listed("stock", uom=None, conversion_factor=7, rate=9.996), listed("twice", qty=3, idx=1), listed("twice", qty=4, idx=2), listed("empty", item_code=None, qty=0),
+        listed(None, item_code="B", uom="Box", conversion_factor=None, qty=2), listed("", item_code=""), listed("got", "R", qty=5), listed("paid", "R", qty=7),
+        listed("strange", "R"), listed(None, "R", qty=0), listed("fine", "R", rate=6), listed(None, None),
+    )
+    rows = fulfilment.purchase_line_difference(t, lists).collect()
+    got = {(r["parent"], r["name"] or r["item_code"]): r for r in rows}
+    assert len(got) == len(rows) == 18 and not any(r["parent"] == "untouched" for r in rows)
+    assert {k[1]: r["outcome"] for k, r in got.items() if k[0] == "O"} == {
+        "same": "same", "box": "changed", "unit": "changed", "late": "changed", "dateless": "changed", "stock": "changed", "twice": "changed",
+        "gone": "removed", "empty": "same", "B": "new"}
+    assert {r["applied"] for k, r in got.items() if k[0] == "O"} == {1} and {r["applied"] for k, r in got.items() if k[0] != "O"} == {0}
+    assert {k[1]: r["reason"] for k, r in got.items() if k[0] == "R"} == {
+        "got": "below received quantity", "paid": "below billed amount", "strange": "no such line", "left": "already received", "owed": "already billed",
+        "A": "quantity is zero", "fine": None}
+    assert got[None, "A"]["reason"] == "no order" and got["R", "fine"]["outcome"] == "changed"
+    value = {k[1]: (float(r["qty"]), r["uom"], r["conversion_factor"], r["stock_qty"], str(r["due_date"])) for k, r in got.items() if k[0] == "O"}
+    assert value["box"] == (10.0, "Box", 6.0, 60.0, "2024-01-01") and value["unit"] == (10.0, "Crate", 2.35, 23.5, "2024-01-01")
+    assert value["late"][4] == "2024-02-01" and value["dateless"][4] == "2024-01-01" and value["stock"][1:3] == ("Nos", 1.0)
+    assert value["twice"][0] == 4.0 and value["B"] == (2.0, "Box", 1.0, 2.0, "2024-01-01") and value["empty"][0] == 10.0
+    late, stock = got["O", "late"], got["O", "stock"]
+    assert (late["production_year"], late["brand"]) == ("2020", "x") and (stock["rate"], stock["margin_rate_or_amount"]) == (10.0, 2.0)
+    assert float(got["R", "got"]["qty"]) == 10.0

@@ -82,3 +82,9 @@ def test_statements_of_spread_ledgers(spark, sf_dir):
             assert sorted(map(str, report(t, "1997-01-01", "1999-12-31").collect())) == want
         finally:
             spark.conf.unset("spark.ledgerloom.spreadFromBytes")
+
+
+@pytest.mark.parametrize("name, scans", [("item_performance", 1), ("brand_performance", 1), ("stock_balance_cost_prices", 1), ("receipt_pricing_worksheet", 1),
+                                         ("item_performance_totals", 1), ("item_transactions_totals", 1), ("stock_balance_totals", 1)])
+def test_reports_scan_the_ledger_once(plan_of, name, scans):
+    assert plan_of(name).count("/stock_ledger_entry]") == scans
