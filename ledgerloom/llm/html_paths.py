@@ -1,8 +1,9 @@
 """Main text of web pages by tag-path ratios.
 
 The text nodes of a page are grouped by their root-to-leaf tag path. Per path the text length and the punctuation per node are
-summed; both ratios are smoothed along the page, fused into one value per path, and compared with a threshold. Parts that say what
-they are (menus, forms, adverts, comments and the like) never count, and text outside the path's best container must pass alone.
+summed; both ratios are smoothed along the page and fused with the path's whole length into one value per path. Element names, roles
+and class words that tell of menus, adverts, comments and the like lower a path's value, nothing more; paths whose value reaches a
+threshold are content. Headings, list items, cells and other short blocks that stand beside the best of them go with it.
 """
 
 from __future__ import annotations
@@ -18,10 +19,16 @@ from pyspark.sql import DataFrame
 
 from ledgerloom.llm.common import small_batches
 
-#: A path is content if its fused ratio reaches this share of the page's, weighted by text.
-THRESHOLD = 0.25
-#: Paths in the best container that hold text by their kind pass unless so much of them is links.
+#: A path is content if its value reaches this share of the mean over the page's text, which counts by its multipliers.
+THRESHOLD = 0.4
+#: Short blocks beside the best path go with it unless so much of them is links.
 MOST_LINKS = 0.5
+#: What a path's value is multiplied by: in a part that is surely no content, in one that may be none, outside the page's article.
+SURELY, MAYBE, OUTSIDE = 0.05, 0.5, 0.2
+#: Such a word on a paragraph, an item or a cell alone tells less.
+MAYBE_ON_TEXT = 0.7
+#: Power of a path's share of text in its value.
+SHARE = 0.25
 #: Weights of the smoothing window over neighbouring text nodes.
 KERNEL = np.array([0.06, 0.24, 0.40, 0.24, 0.06])
 
@@ -32,9 +39,10 @@ INLINE = frozenset(
     "sub sup time tt u var wbr".split()
 )
 SKIPPED = frozenset(
-    "aside audio button canvas dialog embed fieldset footer form frameset head header iframe input map menu nav noframes noscript object "
-    "option script select style svg template textarea title video".split()
+    "audio button canvas embed frameset head iframe input map noframes noscript object option script select style svg template textarea "
+    "title video".split()
 )
+LAYOUT = frozenset("aside dialog footer menu nav".split())
 RAW = ("script", "style", "textarea", "title", "iframe", "noframes", "noscript", "template", "svg")
 TEXTUAL = frozenset("h1 h2 h3 h4 h5 h6 p li dt dd blockquote pre td th caption figcaption article section main".split())
 CLOSES_PARAGRAPH = frozenset(
@@ -42,11 +50,17 @@ CLOSES_PARAGRAPH = frozenset(
     "pre section table ul".split()
 )
 CLOSED_BY_OWN = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
-BOILERPLATE = frozenset(
-    "ad ads advert adverts advertisement advertising adbox adslot sponsor sponsored promo promotion banner sidebar side rail menu menubar nav "
-    "navbar navigation breadcrumb breadcrumbs footer header masthead topbar toolbar notice notices cookie cookies consent gdpr privacy popup "
-    "modal overlay comment comments commentlist respond reply replies disqus discussion share sharing social related recommended newsletter "
-    "subscribe subscription signup login search pagination pager tags widget skip hidden".split()
+SURE_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising adbox adslot sponsor sponsored promo sidebar menu menubar nav navbar navigation "
+    "breadcrumb breadcrumbs footer masthead topbar toolbar notice notices cookie cookies consent gdpr popup modal comment comments "
+    "commentlist respond reply replies disqus share sharing newsletter subscribe subscription signup login pagination pager".split()
+)
+MAYBE_WORDS = frozenset("side header banner rail privacy overlay discussion social related recommended promotion search tags widget skip hidden".split())
+# Words that do not change what a class name says (fixed values): "comments-area" is about comments, "side-effects" about something else.
+NEUTRAL_WORDS = frozenset(
+    "area article bar body block bottom box col column container content count desktop feed fixed floating form global group head holder "
+    "inner item items large left link links list main mobile module outer page panel post primary right row secondary section site slot "
+    "small sticky text thread title top unit wrap wrapper".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog toolbar".split())
 _TOKEN = re.compile(
@@ -62,50 +76,63 @@ _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 
 
 class Node(NamedTuple):
-    """A run of text: block number, path, text, whether it stands in a link."""
+    """A run of text: block number, path, text, whether it stands in a link, what its surroundings tell, whether it is in a form."""
 
     block: int
     path: tuple[str, ...]
     text: str
     linked: bool
+    hint: float
+    form: bool
+
+
+def _says(names: str) -> int:
+    """What class names or an id say: 2 surely no content, 1 maybe none, 0 nothing."""
+    most = 0
+    for name in names.split():
+        words = set(_WORD.findall(_CAMEL.sub(" ", name).lower()))
+        if words <= SURE_WORDS | MAYBE_WORDS | NEUTRAL_WORDS:
+            most = max(most, 2 if words & SURE_WORDS else 1 if words & MAYBE_WORDS else 0)
+    return most
 
 
-def _marks(attributes: str) -> tuple[str, bool]:
-    """The first class of an element, and whether it says that it is no content."""
-    first, out = "", False
+def _marks(attributes: str) -> tuple[str, int, bool]:
+    """The first class of an element, what its names and role say, and whether it is not shown."""
+    first, says, unseen = "", 0, False
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name in ("class", "id"):
             first = first or value.split(" ")[0]
-            out = out or not BOILERPLATE.isdisjoint(_WORD.findall(_CAMEL.sub(" ", value).lower()))
+            says = max(says, _says(value))
         elif name == "role":
-            out = out or value.lower() in ROLES
+            says = 2 if value.lower() in ROLES else says
         elif name == "hidden":
-            out = True
+            unseen = True
         elif name == "aria-hidden":
-            out = out or value.lower() == "true"
+            unseen = unseen or value.lower() == "true"
         else:
-            out = out or "display:none" in value.replace(" ", "").lower()
-    return first, out
+            unseen = unseen or "display:none" in value.replace(" ", "").lower()
+    return first, says, unseen
 
 
 def text_nodes(page: str) -> list[Node]:
-    """The page's text nodes outside skipped parts. Inline elements do not end a block and are not part of a path."""
-    stack: list[tuple[str, str, bool]] = []  # element, its name in the path, whether it skips
+    """The page's text nodes outside what is never shown. Inline elements do not end a block and are not part of a path."""
+    stack: list[tuple[str, str, bool, float]] = []  # element, its name in the path, whether it skips, what it and those around it tell
     nodes: list[Node] = []
     path: tuple[str, ...] = ()
-    block = skipping = links = last = 0
+    block = skipping = links = forms = last = 0
 
     def pop(to: int) -> None:
-        nonlocal skipping, path
-        for _, _, skips in stack[to:]:
+        nonlocal skipping, forms, path
+        for tag, _, skips, _ in stack[to:]:
             skipping -= skips
+            forms -= tag == "form"
         del stack[to:]
-        path = tuple(name for _, name, _ in stack)
+        path = tuple(name for _, name, _, _ in stack)
 
     def add(text: str) -> None:
         if not skipping and text:
-            nodes.append(Node(block, path, html.unescape(text) if "&" in text else text, links > 0))
+            nodes.append(Node(block, path, html.unescape(text) if "&" in text else text, links > 0, stack[-1][3] if stack else 1.0, forms > 0))
 
     for m in _TOKEN.finditer(page):
         if m.start() > last:
@@ -121,8 +148,8 @@ def text_nodes(page: str) -> list[Node]:
                 links = 0 if m["close"] else 1
             elif tag == "br":
                 add(" ")
-            elif not m["close"] and m["attributes"] and len(m["attributes"]) > 3 and tag == "span" and not skipping and _marks(m["attributes"])[1]:
-                stack.append(("span", "span", True))
+            elif not m["close"] and m["attributes"] and len(m["attributes"]) > 3 and tag == "span" and not skipping and _marks(m["attributes"])[2]:
+                stack.append(("span", "span", True, 1.0))
                 skipping += 1
             elif m["close"] and tag == "span" and stack and stack[-1][0] == "span":
                 pop(len(stack) - 1)
@@ -155,20 +182,29 @@ def text_nodes(page: str) -> list[Node]:
             pop(next((k for k, s in enumerate(stack) if s[0] == "head"), len(stack)))
         if tag in VOID or m["attributes"].endswith("/>") and tag not in CLOSES_PARAGRAPH:
             continue
-        first, out = _marks(m["attributes"]) if len(m["attributes"]) > 3 else ("", False)
-        skips = tag in SKIPPED or (out and tag not in ("html", "body", "article", "main"))
-        stack.append((tag, f"{tag}.{first}" if first else tag, skips))
+        first, says, unseen = _marks(m["attributes"]) if len(m["attributes"]) > 3 else ("", 0, False)
+        if tag in ("html", "body", "main"):
+            says = 0
+        elif tag in LAYOUT or (tag == "header" and not any(s[0] in ("article", "main") for s in stack)):
+            says = 2
+        hint = (1.0, MAYBE_ON_TEXT if tag in TEXTUAL and tag not in ("article", "section") else MAYBE, SURELY)[says]
+        skips = tag in SKIPPED or unseen
+        stack.append((tag, f"{tag}.{first}" if first else tag, skips, min(hint, stack[-1][3]) if stack else hint))
         skipping += skips
+        forms += tag == "form"
         path = (*path, stack[-1][1])
     if last < len(page):
         add(page[last:])
     return nodes
 
 
-def main_text(page: str | None) -> str:
-    """Content blocks in page order, white space turned into single spaces; '' for NULL and pages without text."""
+def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
+    """Content blocks in page order, white space turned into single spaces; '' for NULL and pages without text.
+
+    A form that holds more than half of a page's text is the page, any other is surely no content.
+    """
     nodes = [n for n in text_nodes(page or "") if n.text]
-    blocks: list[tuple[tuple[str, ...], str, int]] = []  # path, text, characters in links
+    blocks: list[tuple[tuple[str, ...], float, bool, str, int]] = []  # path, hint, in a form, text, characters in links
     k = 0
     while k < len(nodes):
         end = k
@@ -177,15 +213,18 @@ def main_text(page: str | None) -> str:
         text = " ".join("".join(n.text for n in nodes[k:end]).split())
         if text:
             linked = sum(len(n.text.strip()) for n in nodes[k:end] if n.linked)
-            blocks.append((nodes[k].path, text, min(len(text), linked)))
+            blocks.append((nodes[k].path, nodes[k].hint, nodes[k].form, text, min(len(text), linked)))
         k = end
     if not blocks:
         return ""
-    number: dict[tuple[str, ...], int] = {}
-    of = np.array([number.setdefault(p, len(number)) for p, _, _ in blocks])
-    length = np.array([len(t) for _, t, _ in blocks], dtype=float)
-    marks = np.array([len(_PUNCTUATION.findall(t)) for _, t, _ in blocks], dtype=float)
-    linked = np.array([a for _, _, a in blocks], dtype=float)
+    length = np.array([len(b[3]) for b in blocks], dtype=float)
+    form = np.array([b[2] for b in blocks])
+    if length[form].sum() <= length.sum() / 2:
+        blocks = [(p, min(h, SURELY) if f else h, f, t, n) for p, h, f, t, n in blocks]
+    number: dict[tuple[tuple[str, ...], float], int] = {}
+    of = np.array([number.setdefault(b[:2], len(number)) for b in blocks])
+    marks = np.array([len(_PUNCTUATION.findall(b[3])) for b in blocks], dtype=float)
+    linked = np.array([b[4] for b in blocks], dtype=float)
     sums = lambda x: np.bincount(of, weights=x, minlength=len(number))
     count, chars = sums(np.ones(len(of))), sums(length)
     links = sums(linked) / chars
@@ -195,18 +234,24 @@ def main_text(page: str | None) -> str:
         return np.convolve(padded, KERNEL, mode="valid")
 
     ratio, punctuation = smooth((chars / count)[of]), smooth((sums(marks) / count)[of])
-    inside = np.array([any(name.split(".")[0] in ("article", "main") for name in p) for p in number])
-    fused = sums(np.log1p(ratio) * np.log1p(punctuation)) / count * (1 - links) * np.where(inside, 1.0, 0.5 if inside.any() else 1.0)
-    weighted = float((fused * chars).sum() / chars.sum())
-    passes = fused >= THRESHOLD * weighted
-    best = max(number, key=lambda p: (fused[number[p]] * chars[number[p]], -number[p]))
-    container = best[:-1] if len(best) > 1 and best[-1].split(".")[0] in TEXTUAL and best[-1].split(".")[0] not in ("article", "main", "section") else best
-    for p, k in number.items():
-        if p[: len(container)] == container:
-            passes[k] |= p[-1:] == () or p[-1].split(".")[0] in TEXTUAL and links[k] <= MOST_LINKS
-        elif inside[number[best]] and not inside[k]:
-            passes[k] = False
-    return " ".join(t for (p, t, _) in blocks if passes[number[p]])
+    value = sums(ratio * (0.1 + punctuation)) / count * (1 - links) * (chars / chars.max()) ** SHARE
+    hint = np.array([h for _, h in number])
+    article = np.array([any(name.split(".")[0] in ("article", "main") for name in p) for p, _ in number]) & (hint > SURELY)
+    weight = hint * np.where(article, 1.0, OUTSIDE if article.any() else 1.0)
+    fused = value * weight
+    mean = float((fused * weight * chars).sum() / (weight * weight * chars).sum())
+    passes = (fused >= threshold * mean) & (fused > 0)
+    best = int(np.argmax(fused * weight * chars))
+    if passes[best]:
+        # What stands beside the best path: in its article, else under its parent if it is a paragraph or the like, else under itself.
+        path = list(number)[best][0]
+        kind = [name.split(".")[0] for name in path]
+        whole = next((k + 1 for k in range(len(kind) - 1, -1, -1) if kind[k] in ("article", "main")), 0)
+        beside = path[:whole] if whole else path[:-1] if path and kind[-1] in TEXTUAL and kind[-1] != "section" else path
+        for (p, h), k in number.items():
+            if p[: len(beside)] == beside and h >= hint[best] and links[k] <= MOST_LINKS:
+                passes[k] |= whole > 0 or not p or p[-1].split(".")[0] in TEXTUAL
+    return " ".join(b[3] for b, k in zip(blocks, of, strict=True) if passes[k])
 
 
 def extract(pages: DataFrame) -> DataFrame:

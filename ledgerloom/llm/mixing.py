@@ -4,8 +4,10 @@ Every source gets a target in words; it is reached by complete epochs first and
 each document draws an exponential key scaled by its quality weight, keys are sorted within the source, and a prefix sum of the
 sizes cuts the order where the words left over after the complete epochs are used up.
 
-Prefix sums never need a source in one task. Keys fall into ``BINS`` fixed bins; bins are summed first (with map-side
-combine), the sums are added up over the bins of a source, and only then each bin adds up its own rows.
+Prefix sums never need a source in one task. Keys fall into bins; bins are summed first (with map-side combine), the sums are
+added up over the bins of a source, and only then each bin adds up its own rows. Bins are even steps of the key's logarithm: a key
+is an exponential number over a weight, and the logarithm of such a number is spread with a density of 1/e at most wherever the
+weight moves it, so no bin expects more than 1/(e * BINS) of a source's rows, whatever the weights.
 """
 
 from __future__ import annotations
@@ -15,8 +17,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import cut, words
 
-#: Bins of the unit interval into which the sampling keys of each source fall, at every size.
-BINS = 1 << 16
+#: Bins per unit of the natural logarithm of a sampling key, at every size.
+BINS = 1 << 14
 #: A document is repeated so many times at most.
 MOST_EPOCHS = 3
 #: Characters that count against the quality weight of a text.
@@ -63,13 +65,15 @@ def mix(documents: DataFrame, weight: Column | None = None, weights: tuple[int,
     Reads doc_id, text and source; other columns are ignored. ``weight`` is a positive column over the documents (default:
     ``quality_weight``). ``taken`` is the number of complete epochs times the size, plus the size if the document is in the
     sample; the document at the cut gives its first words only, so a source's words add up to its target's whole part. NULL and
-    empty texts have size 0 and are never taken. Rows with one doc_id, NULL included, are separate documents with one key; ties
-    go to the smaller size. An empty table gives no rows. Keys depend on the seed and the doc_id, so reruns agree.
+    empty texts have size 0 and are never taken. Rows with one doc_id are separate documents with one key; ties
+    go to the smaller size. An empty table gives no rows. Keys depend on the seed and the doc_id, on the text where there is no
+    doc_id, so reruns agree.
     """
     weight = quality_weight(F.col("text")) if weight is None else weight
-    key = -F.log(uniform(seed, F.col("doc_id"))) / weight
+    own = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("~"), F.md5(F.coalesce("text", F.lit("")))))
+    key = -F.log(uniform(seed, own)) / weight
     rows = documents.select("doc_id", "source", words(F.col("text")).cast("long").alias("size"), key.alias("key"))
-    rows = cut(rows.withColumn("bin", F.floor((1 - F.exp(-F.col("key"))) * BINS).cast("int")))
+    rows = cut(rows.withColumn("bin", F.floor(F.log("key") * BINS).cast("int")))
     bins = rows.groupBy("source", "bin").agg(F.sum("size").alias("bin_size"))
     targets = source_targets(bins.groupBy("source").agg(F.sum("bin_size").alias("source_size")), weights, epochs)
     earlier = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
@@ -92,7 +96,7 @@ def mix_sql(documents: str = "documents", seed: str = "mix", epochs: int = MOST_
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
          length(translate(text, '{SYMBOLS}', ''))::DOUBLE / nullif(length(text), 0) AS share,
-         (('0x' || substr(md5('{seed}|' || coalesce(doc_id::VARCHAR, '~')), 1, 12))::BIGINT + 0.5::DOUBLE) / 281474976710656.0::DOUBLE AS u
+         (('0x' || substr(md5('{seed}|' || coalesce(doc_id::VARCHAR, '~' || md5(coalesce(text, '')))), 1, 12))::BIGINT + 0.5::DOUBLE) / 281474976710656.0::DOUBLE AS u
   FROM {documents}
 ), k AS (
   SELECT *, -ln(u) / coalesce(greatest(0.05::DOUBLE, share * share * share * share), 1::DOUBLE) AS key FROM d

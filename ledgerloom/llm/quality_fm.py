@@ -165,15 +165,17 @@ def train(documents: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -
     """A model from the labelled rows that are not held out, at most ``most_rows`` of them.
 
     Reads doc_id and text, doc_id and quality. Labels other than 0 and 1, and those without a document, are left out; of
-    contradicting labels of one doc_id the lower counts. The sample has a fixed size, so it is broadcast and fitted in one task.
+    contradicting labels of one doc_id the lower counts. The sample has a fixed size, so it is broadcast and fitted in one task; of several texts
+    under one doc_id the first in order counts.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.min("quality").cast("int").alias("label"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
-    rows = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", "label")
+    rows = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    rows = rows.groupBy("doc_id", "label").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = sorted((d, y, t or "") for b in batches for d, t, y in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "label")), strict=True))[: 2 * most_rows]
+        got = sorted((d, y, t) for b in batches for d, t, y in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "label")), strict=True))
         m = fit([t for _, _, t in got], np.array([y for _, y, _ in got], dtype=np.float32))
         yield pa.record_batch([pa.array([m.bias]), pa.array([m.linear.tobytes()]), pa.array([m.factors.tobytes()])], names=["bias", "linear", "factors"])
 

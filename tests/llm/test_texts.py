@@ -47,6 +47,37 @@ def test_parts_of_a_page():
     )
 
 
+def unmarked(page: str) -> str:
+    """A page whose elements and classes tell nothing."""
+    for tag in ("article", "nav", "footer"):
+        page = page.replace(f"<{tag}>", "<div>").replace(f"</{tag}>", "</div>")
+    return page.replace(' class="ad"', "")
+
+
+def test_the_threshold_decides(spark, sf_dir):
+    pages = [r.html for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()]
+    for page in pages:
+        assert main_text(page, 10) == "" and len(main_text(page, 0)) > len(main_text(page))
+    assert np.mean([main_text(unmarked(p)) == main_text(p) for p in pages]) > 0.8
+
+
+LONG = "A paragraph of some length, with a comma; it has enough words, and stops, to be read as text. It goes on for a while, too. "
+
+
+def test_telling_words_in_articles_only_lower_values():
+    assert main_text(f'<article><h1>T</h1><p>{LONG}<p class="related">{LONG}<div class="side-effects">{LONG}</div><p class="notice-period">{LONG}</article>') == "T " + " ".join([LONG.strip()] * 4)
+    assert main_text(f'<div class="widget"><h1>T</h1><p>{LONG}<p>{LONG}</div><div class="related"><p>See this.</div>') == f"T {LONG}{LONG}".strip()
+    assert main_text(f"<form><nav><a href=x>Home</a></nav><div><h1>T</h1><p>{LONG}<p>{LONG}</div></form>") == f"T {LONG}{LONG}".strip()
+
+
+def test_comments_and_boxes_go():
+    other = "I liked it, really. Thank you, all of you, for these fine words!"
+    page = f"""<body><header class="site-header"><h1>Site</h1><p>The best, of all sites.</header><div id="sidebar-left"><p>{other}</div><article><header><h1>T</h1></header><p>{LONG}
+    <p>{LONG}<aside><p>{other}</aside><div class="share-links">Share this, now.</div><footer>By me, today.</footer><section class="comments-area"><article class="comment"><p>{LONG}</article></section></article>
+    <div id="commentList"><p>{LONG}<p>{LONG}</div><form><label>Your name, please.</label></form><div role="dialog"><p>{other}</div><p hidden>{other}</p><footer>{other}</footer></body>"""
+    assert main_text(page) == f"T {LONG}{LONG}".strip()
+
+
 @pytest.mark.parametrize("page, text", [(None, ""), ("", ""), ("<p></p>", ""), ("plain, only.", "plain, only."), ("<p>cut &am", "cut &am"), ("<article><p>a<br>b", "a b"), ("<nav>x</nav>", "")])
 def test_odd_pages(page, text):
     assert main_text(page) == text
