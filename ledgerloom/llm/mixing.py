@@ -38,6 +38,11 @@ def uniform(seed: str, *columns: Column) -> Column:
     return (F.conv(digits, 16, 10).cast("long") + 0.5) / float(1 << 48)
 
 
+def key_bin(key: Column) -> Column:
+    """The bin of a sampling key; larger keys never have smaller bins."""
+    return F.floor(F.log(key) * BINS).cast("int")
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), epochs: int = MOST_EPOCHS) -> DataFrame:
     """(source, source_size) to (source, source_size, target).
 
@@ -73,7 +78,7 @@ def mix(documents: DataFrame, weight: Column | None = None, weights: tuple[int,
     own = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("~"), F.md5(F.coalesce("text", F.lit("")))))
     key = -F.log(uniform(seed, own)) / weight
     rows = documents.select("doc_id", "source", words(F.col("text")).cast("long").alias("size"), key.alias("key"))
-    rows = cut(rows.withColumn("bin", F.floor(F.log("key") * BINS).cast("int")))
+    rows = cut(rows.withColumn("bin", key_bin(F.col("key"))))
     bins = rows.groupBy("source", "bin").agg(F.sum("size").alias("bin_size"))
     targets = source_targets(bins.groupBy("source").agg(F.sum("bin_size").alias("source_size")), weights, epochs)
     earlier = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)

@@ -1,6 +1,7 @@
 """Text quality by a factorisation machine.
 
-Features of a text are its hashed words, with log counts scaled to length one, and one interval of each structure statistic. The
+Features of a text are its hashed words, with log counts scaled to length one, one interval of each structure statistic, and one of
+the length that the table states for it (its metadata). The
 score is the logistic of  b + sum w_i x_i + 1/2 sum_f [ (sum_i v_if x_i)^2 - sum_i v_if^2 x_i^2 ],  which takes all pairwise
 interactions into account in time linear in the number of features.
 """
@@ -42,6 +43,7 @@ INTERVALS = {
     "distinct lines": (0.1, 0.25, 0.5, 0.75, 0.9, 0.99),
     "words per line": (2, 4, 8, 16, 32, 64, 128, 256),
     "outside ASCII": (0.0, 0.01, 0.03, 0.06, 0.1, 0.3),
+    "log2 stated characters": (2, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 16, 18),
 }
 EDGES = [np.array(v, dtype=float) for v in INTERVALS.values()]
 OFFSETS = np.cumsum([0] + [len(e) + 1 for e in EDGES])
@@ -72,8 +74,8 @@ def _count(number: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(number, minlength=n).astype(float)
 
 
-def features(texts: list[str | None]) -> Features:
-    """Features of texts; NULL counts as empty."""
+def features(texts: list[str | None], stated: list[int | None] | None = None) -> Features:
+    """Features of texts; NULL counts as empty. A stated length that is missing or negative is the text's own."""
     t, n = Texts(texts), len(texts)
     doc, start, end = t.words()
     word = t.hashes(start, end) >> np.uint64(24)
@@ -95,9 +97,11 @@ def features(texts: list[str | None]) -> Features:
     shares = np.bincount(of + _CLASS[t.symbols], minlength=8 * n).reshape(n, 8)
     outside = np.bincount(of[((t.symbols >= 128) & (t.symbols < 192))] // 8, minlength=n)
     chars, some = np.maximum(1, t.lengths - outside), np.maximum(1, n_words)
+    length = np.array([-1 if c is None else c for c in stated or [None] * n], dtype=float)
+    length = np.maximum(1, np.where(length < 0, chars, length))
     symbols, marks, bars, capitals, digits, stops, rest = (shares[:, k] for k in range(1, 8))
     stats = (np.log2(some), chars / some, distinct / some, repeated / some, (symbols + bars) / chars, marks / chars, bars / some, capitals / chars,
-             digits / chars, stops / chars, d_lines / n_lines, n_words / n_lines, rest / chars)
+             digits / chars, stops / chars, d_lines / n_lines, n_words / n_lines, rest / chars, np.log2(length))
     own = np.stack([BUCKETS + OFFSETS[k] + np.searchsorted(e, x) for k, (e, x) in enumerate(zip(EDGES, stats, strict=True))], axis=1)
     index = np.concatenate([w_index, own.ravel()])
     value = np.concatenate([value, np.full(own.size, 0.5)])
@@ -106,11 +110,11 @@ def features(texts: list[str | None]) -> Features:
     return Features(index[order], value[order], starts)
 
 
-def score_texts(model: Model, texts: list[str | None]) -> np.ndarray:
-    """Scores in (0, 1), each computed from its own text alone."""
+def score_texts(model: Model, texts: list[str | None], stated: list[int | None] | None = None) -> np.ndarray:
+    """Scores in (0, 1), each computed from its own text and stated length alone."""
     out = np.empty(len(texts))
     for at, some in chunks(texts):
-        f = features(some)
+        f = features(some, stated and stated[at : at + len(some)])
         v = model.factors[f.index] * f.value[:, None]
         sums = lambda x: np.add.reduceat(x, f.starts[:-1], axis=0)  # noqa: E731, B023
         z = model.bias + sums(model.linear[f.index] * f.value) + 0.5 * (sums(v) ** 2 - sums(v * v)).sum(axis=1)
@@ -118,7 +122,7 @@ def score_texts(model: Model, texts: list[str | None]) -> np.ndarray:
     return out
 
 
-def fit(texts: list[str | None], labels: np.ndarray, epochs: int = EPOCHS, rank: int = RANK, seed: int = 7) -> Model:
+def fit(texts: list[str | None], labels: np.ndarray, epochs: int = EPOCHS, rank: int = RANK, seed: int = 7, stated: list[int | None] | None = None) -> Model:
     """Logistic loss by adaptive gradient steps over shuffled blocks of 128 texts, more often where there are few. Without both labels: a constant score."""
     rng = np.random.default_rng(seed)
     n, w = len(texts), np.zeros(SIZE, dtype=np.float32)
@@ -128,8 +132,8 @@ def fit(texts: list[str | None], labels: np.ndarray, epochs: int = EPOCHS, rank:
     if n == 0 or labels.min() == labels.max():
         return Model(b, w, np.zeros_like(v))
     rows = []
-    for _, some in chunks(texts):
-        f = features(some)
+    for at, some in chunks(texts):
+        f = features(some, stated and stated[at : at + len(some)])
         rows += [(f.index[a:z], f.value[a:z]) for a, z in zip(f.starts[:-1], f.starts[1:], strict=True)]
     gw, gv, gb = np.full(SIZE, 1e-4, dtype=np.float32), np.full((SIZE, rank), 1e-4, dtype=np.float32), 1e-4
     for _ in range(max(epochs, 40_000 // n)):
@@ -164,19 +168,20 @@ def held_out(doc_id: Column) -> Column:
 def train(documents: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> Model:
     """A model from the labelled rows that are not held out, at most ``most_rows`` of them.
 
-    Reads doc_id and text, doc_id and quality. Labels other than 0 and 1, and those without a document, are left out; of
+    Reads doc_id, text and n_chars if it is there, doc_id and quality. Labels other than 0 and 1, and those without a document, are left out; of
     contradicting labels of one doc_id the lower counts. The sample has a fixed size, so it is broadcast and fitted in one task; of several texts
     under one doc_id the first in order counts.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.min("quality").cast("int").alias("label"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
-    rows = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    rows = rows.groupBy("doc_id", "label").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    one = F.struct(F.coalesce("text", F.lit("")).alias("text"), stated_length(documents).alias("stated"))
+    rows = documents.select("doc_id", one.alias("one")).join(F.broadcast(sample), "doc_id")
+    rows = rows.groupBy("doc_id", "label").agg(F.min("one").alias("one")).select("doc_id", "one.text", "one.stated", "label")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = sorted((d, y, t) for b in batches for d, t, y in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "label")), strict=True))
-        m = fit([t for _, _, t in got], np.array([y for _, y, _ in got], dtype=np.float32))
+        got = sorted((r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("doc_id", "label", "text", "stated")), strict=True)), key=lambda r: r[0])
+        m = fit([r[2] for r in got], np.array([r[1] for r in got], dtype=np.float32), stated=[r[3] for r in got])
         yield pa.record_batch([pa.array([m.bias]), pa.array([m.linear.tobytes()]), pa.array([m.factors.tobytes()])], names=["bias", "linear", "factors"])
 
     found = rows.repartition(1).mapInArrow(learn, "bias double, linear binary, factors binary").collect()
@@ -186,22 +191,31 @@ def train(documents: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -
     return Model(bias, np.frombuffer(linear, dtype=np.float32), np.frombuffer(factors, dtype=np.float32).reshape(SIZE, -1))
 
 
-def score(model: Model, text: Column) -> Column:
-    """Quality score of a text column; NULL counts as empty."""
+def stated_length(documents: DataFrame) -> Column:
+    """What a table says of the length of its texts: n_chars, NULL where it has no such column."""
+    return (F.col("n_chars") if "n_chars" in documents.columns else F.lit(None)).cast("long")
+
+
+def score(model: Model, text: Column, stated: Column | None = None) -> Column:
+    """Quality score of a text column and the lengths stated for it; NULL counts as empty."""
 
     @F.arrow_udf("double")
-    def run(texts: pa.Array) -> pa.Array:
-        return pa.array(np.concatenate([score_texts(model, t.to_pylist()) for t in slices(texts)] or [np.zeros(0)]))
+    def run(texts: pa.Array, lengths: pa.Array) -> pa.Array:
+        out, at = [np.zeros(0)], 0
+        for some in slices(texts):
+            out.append(score_texts(model, some.to_pylist(), lengths.slice(at, len(some)).to_pylist()))
+            at += len(some)
+        return pa.array(np.concatenate(out))
 
-    return run(text)
+    return run(text, F.lit(None).cast("long") if stated is None else stated)
 
 
 def quality(documents: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted.
 
-    Scores depend on the text alone: not on labels, language, source or id. NULL and empty texts are scored by their (empty)
+    Scores depend on the text and on n_chars, if the table has it, alone: not on labels, language, source or id. NULL and empty texts are scored by their (empty)
     statistics, whole texts whatever their length. Repeated rows and doc_ids give one row each; a NULL doc_id is kept and never
     learnt from. Without labels of both kinds every text gets the same score. Other columns are ignored.
     """
-    scored = documents.select("doc_id", score(train(documents, labels, most_rows), F.col("text")).alias("score"))
+    scored = documents.select("doc_id", score(train(documents, labels, most_rows), F.col("text"), stated_length(documents)).alias("score"))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from ledgerloom.llm.bpe_count import Counter, load_merges, token_counts
 from ledgerloom.llm.html_paths import extract, main_text
 from ledgerloom.llm.licenses import RULES, SENTENCES, Scanner, licence_matches
-from ledgerloom.llm.quality_fm import BUCKETS, SIZE, Model, features, fit, quality, score_texts
+from ledgerloom.llm.quality_fm import BUCKETS, INTERVALS, SIZE, Model, features, fit, quality, score_texts
 
 public = pytest.importorskip("public_tokenizers")
 library = pytest.importorskip("tokenizers")
@@ -154,6 +154,12 @@ def test_features_one_by_one_and_together():
         assert together.index[a:z].tolist() == one.index.tolist() and np.allclose(together.value[a:z], one.value)
 
 
+def test_a_stated_length_is_a_feature_of_its_own():
+    same, other = features(["some words"], [10]), features(["some words"], [5000])
+    assert same.index.tolist() == features(["some words"]).index.tolist() == features(["some words"], [None]).index.tolist()
+    assert (same.index != other.index).sum() == 1 and features([None, ""], [-1, None]).starts[-1] == 2 * len(INTERVALS)
+
+
 def test_score_is_the_sum_over_all_pairs():
     rng = np.random.default_rng(0)
     model = Model(0.3, rng.normal(0, 1, SIZE), rng.normal(0, 0.3, (SIZE, 4)))
