@@ -20,7 +20,7 @@ from ledgerloom.session import checkpoint_dir
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts. The model learns from the labels of the input's own documents."""
     model = train(docs, table(spark, sf_dir, "labels"))
-    return docs.select(*DOCUMENT).where(score(model, F.col("text")) >= THRESHOLD)
+    return docs.select(*DOCUMENT).where(score(model, F.col("text"), F.col("n_chars").cast("long")) >= THRESHOLD)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
