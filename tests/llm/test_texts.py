@@ -108,7 +108,32 @@ def test_licences_by_rules():
     (_, _, _, start, stop), = scan(text)
     assert text[start:stop].startswith("Licensed under")
     for licence, names in RULES:
-        assert scan(". ".join(SENTENCES[n][0] for n in names) + ".")[0][0] == licence
+        assert scan(". ".join(SENTENCES[n][0].replace("...", "Some Holder, Inc") for n in names) + ".")[0][0] == licence
+
+
+def wrapped(text: str, width: int, before: str = "") -> str:
+    import textwrap
+
+    return "\n".join(before + line for line in textwrap.wrap(text, width, break_long_words=False))
+
+
+@pytest.mark.parametrize("width, before", [(10, ""), (30, " * "), (60, "# "), (20, "\n\n   //     "), (500, "")])
+def test_licences_wrapped_at_any_width(width, before):
+    text = " ".join(f"{SENTENCES[name][0]}." for name in ("mit-grant", "mit-notice", "as-is"))
+    assert [(m[0], m[2]) for m in Scanner().scan(wrapped(text, width, before))] == [("MIT", 3)]
+
+
+def test_licences_with_names_in_them():
+    scan = Scanner().scan
+    three = ". ".join(SENTENCES[n][0] for n in ("bsd-grant", "bsd-source", "bsd-binary"))
+    name = SENTENCES["bsd-name"][1]
+    for holder in ("the University of Somewhere, Inc.", "Ann B. Example", "X"):
+        assert [(m[0], m[2]) for m in scan(f"{three}. {name.replace('...', holder)}.")] == [("BSD-3-Clause", 4)]
+        assert [(m[0], m[2]) for m in scan(wrapped(f"{three}. {name.replace('...', holder)}.", 25))] == [("BSD-3-Clause", 4)]
+    assert [m[0] for m in scan(f"{three}.")] == ["BSD-2-Clause"]
+    assert [m[0] for m in scan("x\n# SPDX-License-Identifier: MPL-2.0\n/* SPDX-License-Identifier: Apache-2.0 */\nMIT")] == ["MPL-2.0", "Apache-2.0"]
+    assert scan("SPDX-License-Identifier: MIT OR Apache-2.0\n") == []
+    assert scan("released under " * 50_000 + "the MIT license")[0][0] == "MIT"
 
 
 def test_licences_equal_a_plain_search(spark, sf_dir, documents):
