@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import cut, words
 
 #: Bins per unit of the natural logarithm of a sampling key, at every size.
-BINS = 1 << 14
+BINS = 1 << 10
 #: A document is repeated so many times at most.
 MOST_EPOCHS = 3
 #: Characters that count against the quality weight of a text.
