@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+
 import duckdb
 import numpy as np
 import pytest
