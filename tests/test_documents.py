@@ -236,6 +236,19 @@ def test_price_sheet_from_file_to_price_table(spark, tables, tmp_path):
     assert got == [("p1", 6.0, "update"), ("p2", 7.0, "keep")]
 
 
+def test_floors_of_the_list_of_the_document(tables):
+    t = tables(
+        company=[{"name": "M", "validate_selling_price_so": 1}],
+        item_price=[price("1", year="2020", rate=9), price("2", year="2020", rate=8), price("3", year=None, rate=5), price("4", year="2020", listed="Whole", rate=3)],
+        sales_order=[{"name": "O", "docstatus": 0, "selling_price_list": "Std"}, {"name": "P", "docstatus": 1, "selling_price_list": "Whole"},
+                     {"name": "Q", "docstatus": 1}, {"name": "R", "docstatus": 2, "selling_price_list": "Std"}],
+        sales_order_item=[{"name": f"{p}{y or ''}", "parent": p, "docstatus": 1, "item_code": "A", "production_year": y, "net_rate": 4, "valuation_rate": 4.5 if p == "Q" else 1}
+                          for p in "OPQRS" for y in ("2020", None)] + [{"name": "none", "parent": "O", "docstatus": 1, "net_rate": 1, "valuation_rate": 2}],
+    )
+    assert rows(pricing.order_price_violations(t), "name", "rule", "floor") == [
+        ("O", "price list", 5.0), ("O2020", "price list", 8.0), ("Q", "valuation", 4.5), ("Q2020", "valuation", 4.5), ("none", "valuation", 2.0)]
+
+
 @pytest.mark.parametrize("setting, flags, checked", [("B", (0, 1), True), ("A", (0, 1), False), (None, (1, 0), True), (None, (0, 1), False), ("gone", (1, 0), True)])
 def test_the_default_company_decides_on_the_value_check(tables, setting, flags, checked):
     t = tables(

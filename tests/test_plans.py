@@ -88,3 +88,18 @@ def test_statements_of_spread_ledgers(spark, sf_dir):
                                          ("item_performance_totals", 1), ("item_transactions_totals", 1), ("stock_balance_totals", 1)])
 def test_reports_scan_the_ledger_once(plan_of, name, scans):
     assert plan_of(name).count("/stock_ledger_entry]") == scans
+
+
+def joins_of_small_files(spark, sf_dir, name):
+    """How a query joins files that are small enough to broadcast every one of them."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = plain(OPERATORS[name](Tables.from_star_schema(spark, sf_dir)))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    return plan.count("SortMergeJoin"), plan.count("BroadcastHashJoin")
+
+
+@pytest.mark.parametrize("name", ["price_floor_violations"])
+def test_lines_meet_items_and_documents_by_merge_at_any_size(spark, sf_dir, name):
+    assert joins_of_small_files(spark, sf_dir, name) == (2, 0)
