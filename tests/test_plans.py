@@ -100,6 +100,6 @@ def joins_of_small_files(spark, sf_dir, name):
     return plan.count("SortMergeJoin"), plan.count("BroadcastHashJoin")
 
 
-@pytest.mark.parametrize("name", ["price_floor_violations"])
+@pytest.mark.parametrize("name", ["price_floor_violations", "invoice_price_violations"])
 def test_lines_meet_items_and_documents_by_merge_at_any_size(spark, sf_dir, name):
     assert joins_of_small_files(spark, sf_dir, name) == (2, 0)
