@@ -103,3 +103,9 @@ def joins_of_small_files(spark, sf_dir, name):
 @pytest.mark.parametrize("name", ["price_floor_violations", "invoice_price_violations"])
 def test_lines_meet_items_and_documents_by_merge_at_any_size(spark, sf_dir, name):
     assert joins_of_small_files(spark, sf_dir, name) == (2, 0)
+
+
+@pytest.mark.parametrize("name", ["sales_line_difference", "purchase_line_difference"])
+def test_order_lines_and_their_lists_are_shuffled_once(spark, sf_dir, name):
+    """By order, without a join; the one join is that of the changed units with the factors."""
+    assert sum(joins_of_small_files(spark, sf_dir, name)) == 1
