@@ -80,6 +80,20 @@ def test_worksheet_shares_landed_cost(tables):
     assert got == [(30.0, 10.0, 18.0, 30.0)]
 
 
+def test_worksheet_shows_every_price_of_a_year(tables):
+    t = tables(
+        item=[{"name": "A"}, {"name": "B"}], singles=SETTINGS, item_price=[price("p", year="2020", rate=30), price("q", year="2020", rate=20), price("r", year=None, rate=5)],
+        purchase_receipt=[{"name": "R", "docstatus": 1, "base_grand_total": 100}],
+        purchase_receipt_item=[{"parent": "R", "docstatus": 1, "item_code": i, "production_year": y, "qty": 1, "base_net_amount": 1, "item_tax_amount": 0}
+                               for i, y in (("A", "2020"), ("A", None), ("A", "1999"), ("B", None), ("gone", None))],
+        sales_order=[{"name": "O", "docstatus": 1, "status": "To Bill"}],
+        sales_order_item=[{"name": "l", "parent": "O", "docstatus": 1, "item_code": "A", "production_year": "2020", "qty": 3, "delivered_qty": 1}],
+        stock_ledger_entry=[{"item_code": "A", "actual_qty": 6, "stock_value_difference": 60, "is_cancelled": 0, "production_year": "2020"}],
+    )
+    got = rows(pricing.receipt_pricing_worksheet(t), "item_code", "production_year", "price_name", "available_qty")
+    assert sorted(got, key=str) == sorted([("A", "2020", "p", 4.0), ("A", "2020", "q", 4.0), ("A", "", "r", None), ("A", "1999", None, None), ("B", "", None, None)], key=str)
+
+
 def test_order_line_changes(tables, table):
     def line(name, qty=10, delivered=0, billed=0, rate=5):
         return {"name": name, "parent": "O", "item_code": "A", "qty": qty, "delivered_qty": delivered, "billed_amt": billed, "rate": rate, "price_list_rate": 8}

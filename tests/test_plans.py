@@ -109,3 +109,20 @@ def test_lines_meet_items_and_documents_by_merge_at_any_size(spark, sf_dir, name
 def test_order_lines_and_their_lists_are_shuffled_once(spark, sf_dir, name):
     """By order, without a join; the one join is that of the changed units with the factors."""
     assert sum(joins_of_small_files(spark, sf_dir, name)) == 1
+
+
+def test_total_rows_read_one_shuffle_and_group_no_rows(plan_of):
+    plan = plan_of("item_reservations_totals")
+    assert "ReusedExchange" in plan and "Expand" not in plan and "SortAggregate" not in plan
+
+
+def test_ledger_is_summed_before_it_meets_the_other_parts_of_the_promise(spark, sf_dir):
+    plan = OPERATORS["available_to_promise_any_year"](Tables.from_star_schema(spark, sf_dir))._jdf.queryExecution().sparkPlan().toString()
+    ledger = plan[plan.index("Union"):]
+    assert plan.count("HashAggregate", 0, plan.index("Union")) == 2 and ledger.count("HashAggregate") == 2
+
+
+def test_worksheet_joins_one_row_per_item(plan_of):
+    plan = plan_of("receipt_pricing_worksheet")
+    assert not re.search(r"Left keys \[2\]: \[item_code#\d+, production_year#\d+\]", plan)
+    assert len(re.findall(r"Left keys \[1\]: \[item_code#\d+\]", plan)) == 4
