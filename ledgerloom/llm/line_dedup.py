@@ -26,6 +26,8 @@ LEAST_CHARS = 24
 #: Up to so many entries under one key are looked at before they are sent on; groups of more than BLOCK are dealt out in blocks.
 SMALL_GROUP = 48
 BLOCK = 1_024
+#: The bits of a key that count: the zeros take no room in shuffles, and lines that meet by chance are told apart by their edits.
+KEY_BITS = np.uint64(0xFFFFFFFFFFFF0000)
 #: Lines a task remembers, not to send keys of the same line again; when there are more, it begins anew.
 REMEMBERED = 200_000
 
@@ -94,7 +96,7 @@ def line_keys(spans: Spans, start: np.ndarray, length: np.ndarray, edits: int) -
             for shift in range(least, most + 1):
                 at = place + shift
                 fits = (at >= 0) & (at + size <= length[of])
-                key = mixed(spans.hashes(start[of][fits] + at[fits], start[of][fits] + at[fits] + size[fits]) ^ tag[fits])
+                key = mixed(spans.hashes(start[of][fits] + at[fits], start[of][fits] + at[fits] + size[fits]) ^ tag[fits]) & KEY_BITS
                 out.append((of[fits], key, 0 if shorter == 0 and shift == 0 else 1))
     return out
 

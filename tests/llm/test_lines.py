@@ -2,11 +2,13 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from ledgerloom.llm import line_dedup
+from ledgerloom.llm.hashing import Spans, Texts
 from ledgerloom.llm.line_dedup import deduplicated_lines, edit_distance, without_repeated_lines
 from tests.llm import brute
 
@@ -17,6 +19,12 @@ def test_edit_distance_up_to_a_limit(a, b, most):
     assert edit_distance(a, b, most) == min(most + 1, brute.distance(a, b))
 
 
+def test_keys_leave_room_in_shuffles():
+    t = Texts(["a line that is long enough to be compared with others", "another line that is long enough, and of another length"], wide=True)
+    keys = [key for _, key, _ in line_dedup.line_keys(Spans(t.symbols), t.starts, t.lengths, 2)]
+    assert keys and all((key & np.uint64(0xFFFF) == 0).all() and len(np.unique(key)) == len(key) for key in keys)
+
+
 def changed_lines(seed: int) -> list[tuple[int, str]]:
     rng = random.Random(seed)
     base = ["".join(rng.choice("abcdef ") for _ in range(rng.randint(24, 60))) for _ in range(15)]
