@@ -1,8 +1,9 @@
 """Near-duplicate documents by a chosen-path set similarity join.
 
 Every distinct shingle set is a node of a graph. Independent trees branch the sets by selected minwise tokens, again and again
-where a branch is still large (with a second branch for one in four, so that a similar pair stays together somewhere); small
-branches are compared exhaustively by their minhash signatures, and candidate pairs are confirmed on the full sets.
+where a branch is still large (with a second branch for one in four tokens, so that a similar pair stays together somewhere); small
+branches, and larger ones that do not fall apart, are compared exhaustively by their minhash signatures, and candidate pairs are
+confirmed on the full sets.
 
 Only what connects is confirmed: a small cluster of candidates sends all its pairs, a crowd first a spanning forest. Crowds that
 are then still in parts get their members' full texts, confirm all candidate pairs between parts in one block, and send as many
@@ -29,8 +30,10 @@ TREES = 16
 FIRST_TREES = 4
 #: Minhash functions of a signature, and how many must agree for a candidate: four standard deviations below 0.8 * 128.
 FUNCTIONS, AGREE = 128, 84
-#: Branches of so many sets are compared; larger ones branch again, LEVELS times at most, and are then compared in a grid of blocks.
-LEAF, LEVELS, BLOCK = 64, 10, 1_024
+#: Branches of so many sets are compared; larger ones branch again, by one function first, then by STEP at once, and are compared in
+#: a grid of blocks when they have stayed together through EARLY levels as at most CROWD sets, or through LEVELS levels.
+LEAF, LEVELS, BLOCK = 64, 4, 2_048
+STEP, EARLY, CROWD = 4, 3, 2 * BLOCK
 #: Rows of small tables per task.
 ROWS_PER_TASK = 20_000
 #: Candidate clusters of so many sets send all pairs at once.
@@ -83,15 +86,15 @@ def _describe(size: int):
     return run
 
 
-def _candidates(sign: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
-    """Matrix of agreeing functions; 0 where sizes rule a link out or too few agree."""
+def _candidates(sign: np.ndarray, n: np.ndarray, part: np.ndarray, percent: int) -> np.ndarray:
+    """Matrix of agreeing functions; 0 inside a part, where sizes rule a link out, or where too few agree."""
     agree = np.zeros((len(n), len(n)), dtype=np.int16)
     for f in range(sign.shape[1]):
         agree += sign[:, f, None] == sign[None, :, f]
     agree[agree < AGREE * percent // PERCENT] = 0
     for k in range(len(n)):
         agree[k][100 * np.minimum(n[k], n) < percent * np.maximum(n[k], n)] = 0
-    np.fill_diagonal(agree, 0)
+    agree[part[:, None] == part[None, :]] = 0
     return agree
 
 
@@ -108,11 +111,13 @@ def _clusters(agree: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
         return x
 
     forest = []
-    for i, j in zip(a[order].tolist(), b[order].tolist(), strict=True):
-        p, q = find(i), find(j)
-        if p != q:
-            root[max(p, q)] = min(p, q)
-            forest.append((i, j))
+    for first in range(0, len(order), 1 << 16):
+        some = order[first : first + (1 << 16)]
+        for i, j in zip(a[some].tolist(), b[some].tolist(), strict=True):
+            p, q = find(i), find(j)
+            if p != q:
+                root[max(p, q)] = min(p, q)
+                forest.append((i, j))
     return np.array([find(x) for x in range(len(agree))]), forest
 
 
@@ -132,14 +137,14 @@ def _compare_leaves(percent: int):
         held: pa.Table | None = None
 
         def leaves(t: pa.Table, last: bool) -> tuple[pa.RecordBatch, pa.Table]:
-            path, (node, sign, n) = t.column("path").to_numpy(), _arrays(t)
+            path, (node, sign, n, part) = t.column("path").to_numpy(), _arrays(t)
             first = np.flatnonzero(np.diff(path, prepend=~path[:1]) != 0)
             ends = np.append(first[1:], len(path))
             pairs: set[tuple[int, int]] = set()
             crowd_path, crowd_node = [], []
             whole = len(first) if last else len(first) - 1
             for f, e in zip(first[:whole], ends[:whole], strict=True):
-                found, crowd = _first_pairs(node[f:e], _candidates(sign[f:e], n[f:e], percent)) if e - f > 1 else (set(), [])
+                found, crowd = _first_pairs(node[f:e], _candidates(sign[f:e], n[f:e], part[f:e], percent)) if e - f > 1 else (set(), [])
                 pairs |= found
                 crowd_path += [path[f]] * len(crowd)
                 crowd_node += node[f:e][crowd].tolist()
@@ -161,16 +166,16 @@ def _rows(pairs: set[tuple[int, int]], path: list[int], node: list[int]) -> pa.R
     return pa.record_batch([pa.array(x, pa.int64()) for x in (a, b, [None] * len(pairs) + path, [None] * len(pairs) + node)], names=["a", "b", "path", "node"])
 
 
-def _arrays(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Nodes, signatures and set sizes of a table."""
+def _arrays(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Nodes, signatures, set sizes and parts of a table."""
     sign = t.column("sign").combine_chunks().flatten().to_numpy().reshape(-1, FUNCTIONS)
-    return t.column("node").to_numpy(), sign, t.column("n_shingles").to_numpy()
+    return t.column("node").to_numpy(), sign, t.column("n_shingles").to_numpy(), t.column("part").to_numpy()
 
 
 def _block_first(percent: int):
     def run(block: pa.Table) -> pa.Table:
-        node, sign, n = _arrays(block)
-        pairs, crowd = _first_pairs(node, _candidates(sign, n, percent))
+        node, sign, n, part = _arrays(block)
+        pairs, crowd = _first_pairs(node, _candidates(sign, n, part, percent))
         cell = block.column("path")[0].as_py() ^ block.column("p")[0].as_py() << 40 ^ block.column("q")[0].as_py() << 20
         return pa.Table.from_batches([_rows(pairs, [cell] * len(crowd), node[crowd].tolist())])
 
@@ -195,10 +200,8 @@ def _common(sets: list[np.ndarray], width: int = 4_096) -> np.ndarray:
 def _links_apart(size: int, percent: int):
     def run(crowd: pa.Table) -> pa.Table:
         """Links between different parts of a crowd, as many as it takes to join the parts; all candidate pairs are confirmed."""
-        node, sign, n = _arrays(crowd)
-        part = crowd.column("part").to_numpy()
-        agree = _candidates(sign, n, percent)
-        agree[part[:, None] == part[None, :]] = 0
+        node, sign, n, part = _arrays(crowd)
+        agree = _candidates(sign, n, part, percent)
         some = np.flatnonzero(agree.any(axis=1))
         out: list[tuple[int, int]] = []
         if len(some):
@@ -267,38 +270,60 @@ def _described(documents: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(_describe(size), f"doc_id {id_type}, copy long, n_shingles long, hash_a long, hash_b long, sign array<short>, tops array<long>")
 
 
+def _branches(step: int) -> Column:
+    """Lists of ``step`` functions by which the sets of a path branch, 1.25 ** ``step`` lists on average.
+
+    Sets of similarity 0.8 share the tokens of a list with a chance of 0.8 ** ``step``, so those of a pair are expected together once.
+    """
+    lists, share = 1.25**step, 1_000_000
+    picks = lambda k: F.array(*(F.pmod(F.xxhash64("path", F.lit(k), F.lit(j)), F.lit(FUNCTIONS)).cast("int") for j in range(step)))
+    sure = [picks(k) for k in range(int(lists))]
+    one_more = F.pmod(F.xxhash64("path", F.lit(-1)), F.lit(share)) < round((lists - len(sure)) * share)
+    return F.when(one_more, F.array(*sure, picks(len(sure)))).otherwise(F.array(*sure))
+
+
 def _tree_links(rows: DataFrame, parts: DataFrame | None, signs: DataFrame, nodes: DataFrame, documents: DataFrame, size: int, percent: int) -> DataFrame:
     """Links (a, b) found by trees, from their first paths (node, path), as many as join what the trees bring together.
 
-    With ``parts``, branches whose sets are all in one part already are left out, since pairs inside a part cannot change it.
+    With ``parts``, branches whose sets are all in one part already are left out, and elsewhere sets of one part are not compared,
+    since pairs inside a part cannot change it.
     """
     rows = rows.select("node", "path")
     if parts is not None:
         rows = rows.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
-    leaves = None
+    part = F.col("node" if parts is None else "part")
+    leaves = crowded = None
     for level in range(LEVELS):
         counts = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n"), *([F.min("part").alias("p"), F.max("part").alias("q")] if parts is not None else []))
         counts = counts.where("n > 1" if parts is None else "n > 1 and p < q").select("path", "n")
         rows = cut(rows.join(counts, "path"), ROWS_PER_TASK)
-        leaf = rows.where(F.col("n") <= LEAF).select("path", "node")
+        leaf = rows.where(F.col("n") <= LEAF).select("path", "node", part.alias("part"))
         leaves = leaf if leaves is None else leaves.unionByName(leaf)
         rows = rows.where(F.col("n") > LEAF)
+        # A branch that stays together holds sets that are much alike: more levels would only multiply them.
+        stays = F.col("n") <= CROWD if level >= EARLY - 1 else F.lit(False)
+        if level == LEVELS - 1:
+            stays = F.lit(True)
+        if level >= min(EARLY, LEVELS) - 1:
+            crowd = rows.where(stays).select("path", "node", part.alias("part"), "n")
+            crowded = crowd if crowded is None else crowded.unionByName(crowd)
+            rows = rows.where(~stays)
         if level == LEVELS - 1 or rows.isEmpty():
             break
-        pick = lambda salt: F.pmod(F.xxhash64("path", F.lit(salt)), F.lit(FUNCTIONS)).cast("int")
-        second = F.pmod(F.xxhash64("path", F.lit(2)), F.lit(4)) == 0
-        chosen = F.when(second, F.array(pick(1), pick(3))).otherwise(F.array(pick(1)))
         kept = ["node", *(["part"] if parts is not None else [])]
-        rows = rows.join(signs, "node").select(*kept, "path", "sign", F.explode(chosen).alias("f"))
-        rows = rows.select(*kept, F.xxhash64("path", "f", F.element_at("sign", F.col("f") + 1)).alias("path"))
+        rows = rows.join(signs, "node").select(*kept, "path", "sign", F.explode(_branches(1 if level == 0 else STEP)).alias("f"))
+        token = F.transform("f", lambda f: F.element_at("sign", f + 1))
+        # Kept, as they are read twice: to be counted, and with their counts.
+        rows = cut(rows.select(*kept, F.xxhash64("path", "f", token).alias("path")), ROWS_PER_TASK)
 
     schema = "a long, b long, path long, node long"
-    compared = leaves.join(signs, "node").select("path", "node", "n_shingles", "sign").repartition("path").sortWithinPartitions("path", "node")
+    compared = leaves.join(signs, "node").select("path", "node", "part", "n_shingles", "sign").repartition("path").sortWithinPartitions("path", "node")
     first = compared.mapInArrow(_compare_leaves(percent), schema)
-    # What is still large after all levels: blocks against blocks.
+    # What stayed together: blocks against blocks.
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    rows = crowded if crowded is not None else rows.select("path", "node", part.alias("part"), "n")
     grid = rows.withColumn("n_blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-    grid = grid.select("path", "node", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q")).join(signs, "node")
+    grid = grid.select("path", "node", "part", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q")).join(signs, "node")
     from_grid = grid.groupBy("path", "p", "q").applyInArrow(_block_first(percent), schema)
     met = cut(first.unionByName(from_grid), ROWS_PER_TASK)
     tested = cut(met.where("a is not null").select("a", "b").distinct(), ROWS_PER_TASK)

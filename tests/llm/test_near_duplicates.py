@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 from ledgerloom.llm import chosen_path
@@ -33,6 +34,42 @@ def test_components_equal_brute_force(documents, monkeypatch, leaf, levels, bloc
     assert result(near_duplicates(documents(rows))) == brute.components(rows)
 
 
+def crowd(n: int) -> list[tuple[int, str]]:
+    """Near copies of one text that are seldom linked to one another: 5 of its 100 words are others."""
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(100)]
+    return [(i, " ".join(f"x{i}.{k}" if k in gone else w for k, w in enumerate(base))) for i, gone in ((i, rng.sample(range(100), 5)) for i in range(n))]
+
+
+def test_crowds_are_not_branched_over_and_over(documents, monkeypatch):
+    levels = []
+
+    def noted(df, rows_per_task=None):
+        kept = cut(df, rows_per_task)
+        if {"path", "n"} <= set(df.columns):
+            levels.append(kept.count())
+        return kept
+
+    cut = chosen_path.cut
+    monkeypatch.setattr(chosen_path, "cut", noted)
+    rows = crowd(150)
+    assert result(near_duplicates(documents(rows))) == brute.components(rows)
+    assert sum(levels) < 6 * chosen_path.TREES * len(rows)
+
+
+def test_sets_of_one_part_are_not_compared():
+    agree = chosen_path._candidates(np.zeros((4, chosen_path.FUNCTIONS), dtype=np.int16), np.array([10, 10, 10, 1]), np.array([7, 7, 3, 4]), 80)
+    assert (agree > 0).tolist() == [[False, False, True, False], [False, False, True, False], [True, True, False, False], [False] * 4]
+
+
+def test_branches_share_a_similar_pair_once_on_average(spark):
+    paths = spark.range(4_000).withColumnRenamed("id", "path")
+    for step in (1, chosen_path.STEP):
+        lists = paths.select(chosen_path._branches(step).alias("lists")).collect()
+        assert all(len(f) == step and all(0 <= k < chosen_path.FUNCTIONS for k in f) for r in lists for f in r.lists)
+        assert abs(sum(len(r.lists) for r in lists) / len(lists) - 1.25**step) < 0.05
+
+
 def test_documents_of_the_test_data(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
