@@ -101,11 +101,12 @@ class VersionedTable:
         """Whether this writer's batch, or a later one, is in the newest version."""
         return self.manifest()["writers"].get(writer[0], -1) >= writer[1]
 
-    def apply(self, changes: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame], writer: tuple[str, int] | None = None) -> bool:
+    def apply(self, changes: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame], writer: tuple[str, int] | None = None, dealt: bool = False) -> bool:
         """Replaces the buckets that ``changes`` touch by ``merge(their rows, changes)``, as a new version.
 
         ``changes`` has the key column, and the merged rows stay in the touched buckets. ``writer`` is a name and a batch number: a
-        batch that is done already changes nothing, and False comes back.
+        batch that is done already changes nothing, and False comes back. With ``dealt`` the merge has brought the rows of a bucket
+        together already, so they are not shuffled for that once more.
         """
         before = self.manifest()
         if writer is not None and before["writers"].get(writer[0], -1) >= writer[1]:
@@ -115,7 +116,8 @@ class VersionedTable:
         if touched:
             folder = uuid.uuid4().hex
             merged = merge(self._of(before, touched), changes).select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields))
-            merged.withColumn(_BUCKET, self.bucket()).hint("rebalance", _BUCKET).write.partitionBy(_BUCKET).parquet(f"{self.root}/data/{folder}")
+            merged = merged.withColumn(_BUCKET, self.bucket())
+            (merged if dealt else merged.hint("rebalance", _BUCKET)).write.partitionBy(_BUCKET).parquet(f"{self.root}/data/{folder}")
             written = {n.split("=")[1] for n in self._names(f"data/{folder}") if n.startswith(f"{_BUCKET}=")}
             if strange := written - {str(b) for b in touched}:
                 raise ValueError(f"merged rows fall into other buckets: {sorted(strange)[:5]}")

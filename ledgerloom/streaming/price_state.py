@@ -64,18 +64,31 @@ def order_line_images(orders: DataFrame, lines: DataFrame) -> DataFrame:
     return lines.join(heads, "parent").select(*(f.split()[0] for f in ORDER_LINE.split(", ")))
 
 
-def added(sums: DataFrame, deltas: DataFrame) -> DataFrame:
-    """The sums with the deltas; those that have come to nothing go."""
-    rows = sums.unionByName(deltas).groupBy(*KEYS).agg(F.sum("qty").alias("qty"), F.sum("value").alias("value"))
-    return rows.filter("qty <> 0 OR value <> 0")
+def added(sums: DataFrame, deltas: DataFrame, bucket: Column | None = None) -> DataFrame:
+    """The sums with the deltas; those that have come to nothing go. With ``bucket`` the rows of a bucket come together on the way."""
+    rows = sums.unionByName(deltas)
+    if bucket is not None:
+        rows = rows.withColumn("_bucket", bucket).repartition("_bucket")
+    rows = rows.groupBy(*KEYS, *(["_bucket"] if bucket is not None else [])).agg(F.sum("qty").alias("qty"), F.sum("value").alias("value"))
+    return rows.filter("qty <> 0 OR value <> 0").select(*KEYS, "qty", "value")
 
 
-def metrics(sums: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Value per unit by item; stock and unreserved stock by item and year."""
-    rates = sums.filter((F.col("kind") == BIN) & (F.col("qty") > 0)).groupBy("item_code").agg(ratio(F.sum("value"), F.sum("qty")).alias("stock_valuation_rate"))
+def metrics(sums: DataFrame) -> DataFrame:
+    """One row per item: value per unit, and of each year stock and unreserved stock."""
     of_kind = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("qty")))
-    years = sums.filter(F.col("kind") != BIN).groupBy("item_code", F.col("part").alias("_year")).agg(or_zero(of_kind(STOCK)).alias("stock_qty"), or_zero(of_kind(RESERVED)).alias("_reserved"))
-    return rates, years.withColumn("available_qty", F.col("stock_qty") - F.col("_reserved")).drop("_reserved")
+    in_bins = (F.col("kind") == BIN) & (F.col("qty") > 0)
+    # One shuffle by item for all that follows; the bins of an item are one of its parts.
+    part = F.when(F.col("kind") != BIN, F.struct(F.col("part").alias("of")))
+    parts = sums.repartition("item_code").groupBy("item_code", part.alias("_year")).agg(
+        or_zero(of_kind(STOCK)).alias("stock_qty"), or_zero(of_kind(RESERVED)).alias("_reserved"),
+        F.sum(F.when(in_bins, F.col("value"))).alias("_value"), F.sum(F.when(in_bins, F.col("qty"))).alias("_qty"),
+    )
+    year = F.struct("stock_qty", (F.col("stock_qty") - F.col("_reserved")).alias("available_qty"))
+    known = F.col("_year.of").isNotNull()
+    return parts.groupBy("item_code").agg(
+        ratio(F.sum("_value"), F.sum("_qty")).alias("stock_valuation_rate"),
+        F.map_from_entries(F.collect_list(F.when(known, F.struct(F.col("_year.of").alias("year"), year.alias("sums"))))).alias("_years"),
+    )
 
 
 def price_schema() -> T.StructType:
@@ -93,12 +106,12 @@ def sums_table(spark: SparkSession, root: str, buckets: int = 64) -> VersionedTa
 
 
 def with_metrics(prices: DataFrame, items: DataFrame, sums: DataFrame) -> DataFrame:
-    """Price rows, those of ``items`` with metrics from the sums."""
-    rates, years = metrics(sums.join(items, "item_code", "left_semi"))
-    new = [F.col(c).alias(f"_{c}") for c in METRICS]
-    marked = prices.join(items.select("item_code", F.lit(True).alias("_touched")), "item_code", "left").withColumn("_year", year_or_blank())
-    joined = marked.join(rates.select("item_code", new[0]), "item_code", "left").join(years.select("item_code", "_year", *new[1:]), ["item_code", "_year"], "left")
-    fresh = {c: F.when(F.col("_touched"), or_zero(f"_{c}")).otherwise(F.col(c)) for c in METRICS}
+    """Price rows, those of ``items`` with metrics from the sums. Price rows and sums travel once, by item."""
+    of_items = items.select("item_code", F.lit(True).alias("_touched")).join(metrics(sums), "item_code", "left")
+    of_items = of_items.select("item_code", "_touched", F.col(METRICS[0]).alias(f"_{METRICS[0]}"), "_years")
+    joined = prices.join(of_items, "item_code", "left").withColumn("_sums", F.col("_years")[year_or_blank()])
+    new = {METRICS[0]: F.col(f"_{METRICS[0]}")} | {m: F.col(f"_sums.{m}") for m in METRICS[1:]}
+    fresh = {c: F.when(F.col("_touched"), or_zero(value)).otherwise(F.col(c)) for c, value in new.items()}
     return joined.withColumns(fresh).select(*prices.columns)
 
 
@@ -110,11 +123,11 @@ def refresh(deltas: DataFrame, sums: VersionedTable, prices: VersionedTable, wri
     # Summed before anything is joined, so a batch on one item is one row a task.
     batch = deltas.groupBy(*KEYS).agg(F.sum("qty").alias("qty"), F.sum("value").alias("value")).persist()
     try:
-        sums.apply(batch, added, writer)
+        sums.apply(batch, lambda rows, new: added(rows, new, sums.bucket()), writer, dealt=True)
         items = batch.select("item_code").distinct()
         if not prices.done(writer):
-            of_batch = sums.read(buckets=sums.buckets_of(items))
-            prices.apply(items, lambda rows, _: with_metrics(rows, items, of_batch), writer)
+            of_batch = sums.read(buckets=sums.buckets_of(batch))
+            prices.apply(batch, lambda rows, _: with_metrics(rows, items, of_batch), writer)
     finally:
         batch.unpersist()
 
