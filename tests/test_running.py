@@ -181,6 +181,22 @@ def test_adjustments_take_back_what_came_before(tables, rows_per_slice):
     assert got == want and sum(v[3] != 0 for n, v in got.items()) > 100
 
 
+@pytest.mark.parametrize("rows_per_slice, counts", [(10, [["_bucket"]]), (6, [["_bucket"], ["item_code", "warehouse"]]), (4, [["_bucket"], ["item_code", "warehouse"]])])
+def test_chains_are_counted_one_by_one_only_in_full_buckets(tables, monkeypatch, rows_per_slice, counts):
+    """Two chains of five rows share the only bucket: it is full from nine rows a slice down, a chain from four."""
+    from ledgerloom.operators import valuation
+
+    asked, count = [], valuation.large_keys
+    monkeypatch.setattr(valuation, "BUCKETS", 1, raising=False)
+    monkeypatch.setattr(valuation, "large_keys", lambda rows, keys, more_than: asked.append(keys) or count(rows, keys, more_than))
+    ledger = [{"name": f"{item}{k}", "item_code": item, "warehouse": "W", "posting_date": DAY0 + datetime.timedelta(k), "voucher_no": f"v{k}", "actual_qty": 1,
+               "is_cancelled": 0, "voucher_type": "Stock Entry", "stock_value_difference": k} for item in "AB" for k in range(5)]
+    out = {r["name"]: r.stock_value for r in moving_average_valuation(tables(stock_ledger_entry=ledger[:5]), rows_per_slice).collect()}
+    asked.clear()
+    both = [r.stock_value for r in moving_average_valuation(tables(stock_ledger_entry=ledger), rows_per_slice).orderBy("name").collect()]
+    assert asked == counts and both == [out[f"A{k}"] for k in range(5)] * 2 == [0.0, 1.0, 3.0, 6.0, 10.0] * 2
+
+
 def test_an_adjusted_chain_by_hand(tables):
     def row(name, voucher, day, qty, value, adjusts=0):
         return {"name": name, "item_code": "A", "warehouse": "W", "posting_date": DAY0 + datetime.timedelta(day), "voucher_no": voucher, "actual_qty": qty, "is_cancelled": 0,
