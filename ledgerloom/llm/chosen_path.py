@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import cut, small_batches, tasks_for
+from ledgerloom.llm.common import cut, gives_back, small_batches, tasks_for
 from ledgerloom.llm.hashing import Texts, chunks, mixed
 
 #: A link: 100 * intersection >= PERCENT * union.
@@ -261,13 +261,13 @@ def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     left = pairs.join(texts.withColumnsRenamed({"node": "a", "text": "text_a"}), "a")
-    return left.join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b").select("a", "b", "text_a", "text_b").mapInArrow(linked, "a long, b long")
+    return left.join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b").select("a", "b", "text_a", "text_b").mapInArrow(gives_back(linked), "a long, b long")
 
 
 def _described(documents: DataFrame, size: int) -> DataFrame:
     id_type = documents.schema["doc_id"].dataType.simpleString()
     rows = documents.select("doc_id", F.xxhash64("text").alias("copy"), "text")
-    return rows.mapInArrow(_describe(size), f"doc_id {id_type}, copy long, n_shingles long, hash_a long, hash_b long, sign array<short>, tops array<long>")
+    return rows.mapInArrow(gives_back(_describe(size)), f"doc_id {id_type}, copy long, n_shingles long, hash_a long, hash_b long, sign array<short>, tops array<long>")
 
 
 def _branches(step: int) -> Column:
@@ -318,7 +318,7 @@ def _tree_links(rows: DataFrame, parts: DataFrame | None, signs: DataFrame, node
 
     schema = "a long, b long, path long, node long"
     compared = leaves.join(signs, "node").select("path", "node", "part", "n_shingles", "sign").repartition("path").sortWithinPartitions("path", "node")
-    first = compared.mapInArrow(_compare_leaves(percent), schema)
+    first = compared.mapInArrow(gives_back(_compare_leaves(percent)), schema)
     # What stayed together: blocks against blocks.
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     rows = crowded if crowded is not None else rows.select("path", "node", part.alias("part"), "n")

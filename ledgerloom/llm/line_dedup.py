@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import cut, slices, small_batches
+from ledgerloom.llm.common import cut, give_back, gives_back, slices, small_batches
 from ledgerloom.llm.hashing import Spans, Texts, chunks, mixed
 
 EDITS = 2
@@ -295,20 +295,20 @@ def line_classes(documents: DataFrame, edits: int = EDITS, least_copy: int = 1)
     id_type = documents.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, copy long, line_no int, line long, check long"
     # Read twice: with signatures for the distinct lines, and by the caller for the places of those that go.
-    occurrences = docs.mapInArrow(_occurrences(least_copy, described=False), schema)
-    described = docs.mapInArrow(_occurrences(least_copy, described=True), f"{schema}, chars int, sign_a long, sign_b long")
+    occurrences = docs.mapInArrow(gives_back(_occurrences(least_copy, described=False)), schema)
+    described = docs.mapInArrow(gives_back(_occurrences(least_copy, described=True)), f"{schema}, chars int, sign_a long, sign_b long")
     place = F.struct("doc_id", "copy", "line_no")
     lines = described.groupBy("line", "check").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("chars", "sign_a", "sign_b")])
     lines = cut(lines)
 
-    keys = docs.mapInArrow(_keys(edits), "key long, entry long")
-    met = keys.repartition("key").sortWithinPartitions("key", "entry").mapInArrow(_meet, "key long, entry long")
+    keys = docs.mapInArrow(gives_back(_keys(edits)), "key long, entry long")
+    met = keys.repartition("key").sortWithinPartitions("key", "entry").mapInArrow(gives_back(_meet), "key long, entry long")
     met = cut(met.groupBy("key", F.shiftrightunsigned("entry", 1).alias("line")).agg(F.min(F.col("entry").bitwiseAND(F.lit(1))).alias("kind")))
     own = lines.select("line", "chars", "sign_a", "sign_b", "first.*").dropDuplicates(["line"])
 
     wanted = met.select("line").distinct().join(own.select("line", "doc_id", "copy", "line_no"), "line")
     wanted = wanted.groupBy("doc_id", "copy").agg(F.collect_list(F.struct("line", "line_no")).alias("wanted"))
-    texts = docs.join(wanted, ["doc_id", "copy"]).select("text", "wanted").mapInArrow(_fetch, "line long, line_text string").dropDuplicates(["line"])
+    texts = docs.join(wanted, ["doc_id", "copy"]).select("text", "wanted").mapInArrow(gives_back(_fetch), "line long, line_text string").dropDuplicates(["line"])
 
     sizes = met.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n_blocks"))
     members = met.join(sizes, "key").join(own, "line").join(texts, "line").withColumn("block", F.pmod(F.xxhash64("line"), F.col("n_blocks")).cast("int"))
@@ -319,7 +319,7 @@ def line_classes(documents: DataFrame, edits: int = EDITS, least_copy: int = 1)
     columns = ["key", "line", "kind", "chars", "sign_a", "sign_b", "doc_id", "copy", "line_no", "line_text"]
     dealt = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))).select(*columns, cell.alias("c")).select(*columns, "c.*")
     cells = dealt.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "side", "line")
-    counted = cells.mapInArrow(_count_blocks(edits), "line long, n_links long, n_earlier long")
+    counted = cells.mapInArrow(gives_back(_count_blocks(edits)), "line long, n_links long, n_earlier long")
     counts = counted.groupBy("line").agg(F.sum("n_links").alias("n_links"), F.sum("n_earlier").alias("n_earlier"))
     lines = lines.join(counts, "line", "left").fillna(0, ["n_links", "n_earlier"])
     return occurrences, lines.select("line", "check", "first", "n", "n_links", "n_earlier")
@@ -371,6 +371,7 @@ def without_repeated_lines(documents: DataFrame, edits: int = EDITS, least_copy:
             goes = (set(g.as_py() or ()) for g in gone.slice(at, len(some)))
             out.append(pa.array(["\n".join(x for k, x in enumerate(t) if k not in g) for t, g in zip(lines, goes, strict=True)], pa.string()))
             at += len(some)
+        give_back()
         return pa.concat_arrays(out)
 
     text: Column = F.when(F.col("m_gone").isNull(), F.col("text")).otherwise(keep(F.col("text"), F.coalesce("m_gone", F.array().cast("array<int>"))))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import slices
+from ledgerloom.llm.common import give_back, gives_back, slices
 from ledgerloom.llm.hashing import Texts, chunks
 
 #: Buckets of hashed words.
@@ -184,7 +184,7 @@ def train(documents: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -
         m = fit([r[2] for r in got], np.array([r[1] for r in got], dtype=np.float32), stated=[r[3] for r in got])
         yield pa.record_batch([pa.array([m.bias]), pa.array([m.linear.tobytes()]), pa.array([m.factors.tobytes()])], names=["bias", "linear", "factors"])
 
-    found = rows.repartition(1).mapInArrow(learn, "bias double, linear binary, factors binary").collect()
+    found = rows.repartition(1).mapInArrow(gives_back(learn), "bias double, linear binary, factors binary").collect()
     if not found:
         return fit([], np.zeros(0))
     bias, linear, factors = found[0]
@@ -205,6 +205,7 @@ def score(model: Model, text: Column, stated: Column | None = None) -> Column:
         for some in slices(texts):
             out.append(score_texts(model, some.to_pylist(), lengths.slice(at, len(some)).to_pylist()))
             at += len(some)
+        give_back()
         return pa.array(np.concatenate(out))
 
     return run(text, F.lit(None).cast("long") if stated is None else stated)
