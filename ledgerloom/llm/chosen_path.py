@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import cut, gives_back, small_batches, tasks_for
+from ledgerloom.llm.common import cut, give_back, gives_back, small_batches, tasks_for
 from ledgerloom.llm.hashing import Texts, chunks, mixed
 
 #: A link: 100 * intersection >= PERCENT * union.
@@ -36,8 +36,15 @@ LEAF, LEVELS, BLOCK = 64, 4, 2_048
 STEP, EARLY, CROWD = 4, 3, 2 * BLOCK
 #: Rows of small tables per task.
 ROWS_PER_TASK = 20_000
+#: Links that one task joins.
+LINKS_PER_TASK = 1 << 20
 #: Candidate clusters of so many sets send all pairs at once.
 CLUSTER = 8
+#: Rows of a matrix, and pairs of a list, that are compared at once; sets that one set is tested with at once, first and at most.
+TILE, PAIRS = 128, 1 << 14
+FEW, MANY = 16, 512
+#: Shingles of the sets of a block of a crowd, on average at most.
+ROOM = 1 << 21
 
 _RNG = np.random.default_rng(20_01)
 _XOR = _RNG.integers(0, 1 << 63, FUNCTIONS, dtype=np.uint64)
@@ -88,21 +95,55 @@ def _describe(size: int):
 
 def _candidates(sign: np.ndarray, n: np.ndarray, part: np.ndarray, percent: int) -> np.ndarray:
     """Matrix of agreeing functions; 0 inside a part, where sizes rule a link out, or where too few agree."""
-    agree = np.zeros((len(n), len(n)), dtype=np.int16)
-    for f in range(sign.shape[1]):
-        agree += sign[:, f, None] == sign[None, :, f]
-    agree[agree < AGREE * percent // PERCENT] = 0
-    for k in range(len(n)):
-        agree[k][100 * np.minimum(n[k], n) < percent * np.maximum(n[k], n)] = 0
-    agree[part[:, None] == part[None, :]] = 0
+    agree, by_function = np.zeros((len(n), len(n)), dtype=np.uint8), np.ascontiguousarray(sign.T)
+    for first in range(0, len(n), TILE):
+        some = slice(first, first + TILE)
+        tile = agree[some]
+        same = np.empty(tile.shape, dtype=bool)
+        for values in by_function:
+            np.equal(values[some, None], values, out=same)
+            tile += same.view(np.uint8)
+        tile[tile < AGREE * percent // PERCENT] = 0
+        tile[100 * np.minimum(n[some, None], n) < percent * np.maximum(n[some, None], n)] = 0
+        tile[part[some, None] == part] = 0
     return agree
 
 
-def _clusters(agree: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """Cluster of each set, and a spanning forest of the pairs that agree most."""
-    a, b = np.nonzero(np.triu(agree))
-    order = np.argsort(-agree[a, b].astype(int), kind="stable")
-    root = list(range(len(agree)))
+def _agreeing(same: np.ndarray) -> np.ndarray:
+    """How many are true in each row of a matrix whose rows have a multiple of eight, 255 at most are true."""
+    eights = np.ascontiguousarray(same).view(np.uint64).sum(axis=1, dtype=np.uint64)
+    return (eights * np.uint64(0x0101010101010101) >> np.uint64(56)).astype(np.int16)
+
+
+def _candidate_pairs(end: np.ndarray, sign: np.ndarray, n: np.ndarray, part: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Candidates among the rows of each leaf, whose rows stand together up to ``end``: places a < b and their agreeing functions.
+
+    Signatures are compared by halves; a pair that cannot reach the number in the second is left out after the first.
+    """
+    least, half = AGREE * percent // PERCENT, FUNCTIONS // 2
+    halves = [np.ascontiguousarray(sign[:, :half]), np.ascontiguousarray(sign[:, half:])]
+    later = end - 1 - np.arange(len(end))
+    before = np.cumsum(later) - later
+    out = []
+    for first in range(0, int(later.sum()), PAIRS):
+        k = np.arange(first, min(first + PAIRS, int(later.sum())))
+        a = np.searchsorted(before, k, side="right") - 1
+        b = a + 1 + k - before[a]
+        fit = (100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])) & (part[a] != part[b])
+        a, b = a[fit], b[fit]
+        agree = _agreeing(halves[0][a] == halves[0][b])
+        some = agree + half >= least
+        a, b, agree = a[some], b[some], agree[some]
+        agree += _agreeing(halves[1][a] == halves[1][b])
+        some = agree >= least
+        out.append((a[some], b[some], agree[some]))
+    none = np.zeros(0, dtype=np.int64)
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (none, none, none)
+
+
+def _forest(a: np.ndarray, b: np.ndarray, agree: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Cluster of each of n places that pairs (a, b) connect, and a spanning forest (numbers of pairs) of those that agree most."""
+    root = list(range(n))
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -110,45 +151,63 @@ def _clusters(agree: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
             x = root[x]
         return x
 
-    forest = []
-    for first in range(0, len(order), 1 << 16):
-        some = order[first : first + (1 << 16)]
-        for i, j in zip(a[some].tolist(), b[some].tolist(), strict=True):
-            p, q = find(i), find(j)
-            if p != q:
-                root[max(p, q)] = min(p, q)
-                forest.append((i, j))
-    return np.array([find(x) for x in range(len(agree))]), forest
-
-
-def _first_pairs(node: np.ndarray, agree: np.ndarray) -> tuple[set[tuple[int, int]], np.ndarray]:
-    """Pairs to confirm first, and the places of the sets that stand in a crowd."""
-    cluster, forest = _clusters(agree)
+    forest, order = [], np.argsort(-agree.astype(int), kind="stable")
+    for k, i, j in zip(order.tolist(), a[order].tolist(), b[order].tolist(), strict=True):
+        p, q = find(i), find(j)
+        if p != q:
+            root[max(p, q)] = min(p, q)
+            forest.append(k)
+    return np.array([find(x) for x in range(n)], dtype=np.int64), np.array(forest, dtype=np.int64)
+
+
+def _clusters(agree: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Cluster of each set, and a spanning forest of the pairs that agree most (Prim), the same pairs in all blocks where several agree alike."""
+    tie = mixed(node.astype(np.uint64)) >> np.uint64(16)
+    best, nearest, cluster = np.zeros(len(agree), dtype=np.int64), np.zeros(len(agree), dtype=np.int64), np.arange(len(agree))
+    out, forest, at = np.zeros(len(agree), dtype=bool), [], 0
+    for _ in range(len(agree)):
+        k = int(best.argmax())
+        if best[k]:
+            cluster[k] = cluster[nearest[k]]
+            forest.append((int(nearest[k]), k))
+        else:
+            while out[at]:
+                at += 1
+            k = at
+        out[k], best[k] = True, 0
+        like = (agree[k].astype(np.int64) << 48) + (tie ^ tie[k]).astype(np.int64)
+        nearer = (like > best) & (agree[k] > 0) & ~out
+        best[nearer], nearest[nearer] = like[nearer], k
+    return cluster, forest
+
+
+def _first_pairs(node: np.ndarray, agree: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of pairs to confirm first, and of the sets that stand in a crowd."""
+    cluster, forest = _clusters(agree, node)
     size = np.bincount(cluster, minlength=len(cluster))[cluster]
-    a, b = np.nonzero(np.triu(agree))
-    few = size[a] <= CLUSTER
-    pairs = list(zip(a[few].tolist(), b[few].tolist(), strict=True)) + [(i, j) for i, j in forest if size[i] > CLUSTER]
-    return {tuple(sorted((int(node[i]), int(node[j])))) for i, j in pairs}, np.flatnonzero(size > CLUSTER)
+    few = np.flatnonzero((size > 1) & (size <= CLUSTER))
+    a, b = np.nonzero(np.triu(agree[np.ix_(few, few)]))
+    i, j = np.array([p for p in forest if size[p[0]] > CLUSTER], dtype=np.int64).reshape(-1, 2).T
+    return np.concatenate([few[a], i]), np.concatenate([few[b], j]), np.flatnonzero(size > CLUSTER)
 
 
 def _compare_leaves(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows sorted by path: pairs (a, b) to confirm, and (path, node) of crowds."""
+        """Rows sorted by path: pairs (a, b) to confirm, and (path, node) of crowds. All leaves of a batch are compared at once."""
         held: pa.Table | None = None
 
         def leaves(t: pa.Table, last: bool) -> tuple[pa.RecordBatch, pa.Table]:
-            path, (node, sign, n, part) = t.column("path").to_numpy(), _arrays(t)
+            path = t.column("path").to_numpy()
             first = np.flatnonzero(np.diff(path, prepend=~path[:1]) != 0)
             ends = np.append(first[1:], len(path))
-            pairs: set[tuple[int, int]] = set()
-            crowd_path, crowd_node = [], []
-            whole = len(first) if last else len(first) - 1
-            for f, e in zip(first[:whole], ends[:whole], strict=True):
-                found, crowd = _first_pairs(node[f:e], _candidates(sign[f:e], n[f:e], part[f:e], percent)) if e - f > 1 else (set(), [])
-                pairs |= found
-                crowd_path += [path[f]] * len(crowd)
-                crowd_node += node[f:e][crowd].tolist()
-            return _rows(pairs, crowd_path, crowd_node), t.slice(first[whole] if not last else len(path))
+            rest = len(path) if last else int(first[-1])
+            path, (node, sign, n, part) = path[:rest], _arrays(t.slice(0, rest))
+            a, b, agree = _candidate_pairs(np.repeat(ends, ends - first)[:rest], sign, n, part, percent)
+            cluster, forest = _forest(a, b, agree, rest)
+            size = np.bincount(cluster, minlength=rest)[cluster]
+            sent = np.concatenate([np.flatnonzero(size[a] <= CLUSTER), forest[size[a[forest]] > CLUSTER]])
+            crowd = size > CLUSTER
+            return _rows(node[a[sent]], node[b[sent]], path[crowd], node[crowd]), t.slice(rest)
 
         for batch in batches:
             if batch.num_rows:
@@ -161,75 +220,112 @@ def _compare_leaves(percent: int):
     return run
 
 
-def _rows(pairs: set[tuple[int, int]], path: list[int], node: list[int]) -> pa.RecordBatch:
-    a, b = [p[0] for p in pairs] + [None] * len(path), [p[1] for p in pairs] + [None] * len(path)
-    return pa.record_batch([pa.array(x, pa.int64()) for x in (a, b, [None] * len(pairs) + path, [None] * len(pairs) + node)], names=["a", "b", "path", "node"])
+def _rows(a: np.ndarray, b: np.ndarray, path: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
+    """Different pairs, the smaller node first, and below them (path, node) of crowds."""
+    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1).astype(np.int64).reshape(-1, 2), axis=0)
+    gap = lambda k: pa.nulls(k, pa.int64())
+    column = lambda *x: pa.concat_arrays(x)
+    of = lambda x: pa.array(np.ascontiguousarray(x), pa.int64())
+    return pa.record_batch([column(of(pairs[:, 0]), gap(len(path))), column(of(pairs[:, 1]), gap(len(path))), column(gap(len(pairs)), of(path)), column(gap(len(pairs)), of(node))], names=["a", "b", "path", "node"])
 
 
-def _arrays(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _arrays(t: pa.Table, part: str = "part") -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Nodes, signatures, set sizes and parts of a table."""
     sign = t.column("sign").combine_chunks().flatten().to_numpy().reshape(-1, FUNCTIONS)
-    return t.column("node").to_numpy(), sign, t.column("n_shingles").to_numpy(), t.column("part").to_numpy()
+    return t.column("node").to_numpy(), sign, t.column("n_shingles").to_numpy(), t.column(part).to_numpy()
 
 
 def _block_first(percent: int):
     def run(block: pa.Table) -> pa.Table:
         node, sign, n, part = _arrays(block)
-        pairs, crowd = _first_pairs(node, _candidates(sign, n, part, percent))
+        a, b, crowd = _first_pairs(node, _candidates(sign, n, part, percent))
         cell = block.column("path")[0].as_py() ^ block.column("p")[0].as_py() << 40 ^ block.column("q")[0].as_py() << 20
-        return pa.Table.from_batches([_rows(pairs, [cell] * len(crowd), node[crowd].tolist())])
+        return pa.Table.from_batches([_rows(node[a], node[b], np.full(len(crowd), cell, dtype=np.int64), node[crowd])])
 
     return run
 
 
-def _common(sets: list[np.ndarray], width: int = 4_096) -> np.ndarray:
-    """Sizes of the intersections of all sets of a block, by products of membership matrices of ``width`` shingles each."""
-    both = np.zeros((len(sets), len(sets)), dtype=np.float32)
-    shingle, column = np.unique(np.concatenate(sets), return_inverse=True)
-    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-    by = np.argsort(column, kind="stable")
-    row, column = row[by], column[by]
-    for first in range(0, len(shingle), width):
-        a, z = np.searchsorted(column, [first, first + width])
-        member = np.zeros((len(sets), width), dtype=np.float32)
-        member[row[a:z], column[a:z] - first] = 1
-        both += member @ member.T
-    return both.astype(np.int64)
-
-
 def _links_apart(size: int, percent: int):
-    def run(crowd: pa.Table) -> pa.Table:
-        """Links between different parts of a crowd, as many as it takes to join the parts; all candidate pairs are confirmed."""
-        node, sign, n, part = _arrays(crowd)
-        agree = _candidates(sign, n, part, percent)
-        some = np.flatnonzero(agree.any(axis=1))
-        out: list[tuple[int, int]] = []
-        if len(some):
-            sets = shingle_sets(crowd.column("text").take(pa.array(some)).to_pylist(), size)
-            both, n = _common(sets), n[some]
-            linked = (agree[np.ix_(some, some)] > 0) & (100 * both >= percent * (n[:, None] + n[None, :] - both))
-            root: dict[int, int] = {}
-
-            def find(x: int) -> int:
-                while root.get(x, x) != x:
-                    x = root[x]
-                return x
-
-            for i, j in zip(*np.nonzero(np.triu(linked)), strict=True):
-                p, q = find(int(part[some[i]])), find(int(part[some[j]]))
-                if p != q:
-                    root[max(p, q)] = min(p, q)
-                    out.append((int(node[some[i]]), int(node[some[j]])))
-        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([x for _, x in out], pa.int64())})
+    def run(cell: pa.Table) -> pa.Table:
+        """Links between different parts of a crowd, as many as it takes to join the parts; all candidate pairs are confirmed.
+
+        Pairs of one value in ``done`` are known already. The spanning forest of the candidates goes first, then, from the smallest part on,
+        each set with all its candidates in other parts. In a cell of two blocks the second step has only pairs between these; the
+        pairs inside a block have cells of their own.
+        """
+        try:
+            node, sign, n, done = _arrays(cell, "done")
+            part, own = cell.column("part").to_numpy(), cell.column("own").to_numpy()
+            agree = _candidates(sign, n, done, percent)
+            agree[part[:, None] == part] = 0
+            some = np.flatnonzero(agree.any(axis=1))
+            out = _joining(shingle_sets(cell.column("text").take(pa.array(some)).to_pylist(), size), agree[np.ix_(some, some)], node[some], part[some], own[some], percent) if len(some) else []
+            return pa.table({"a": pa.array([int(node[some[i]]) for i, _ in out], pa.int64()), "b": pa.array([int(node[some[j]]) for _, j in out], pa.int64())})
+        finally:
+            give_back()
 
     return run
 
 
+def _joining(sets: list[np.ndarray], agree: np.ndarray, node: np.ndarray, part: np.ndarray, own: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links (places) that join the parts of sets with these candidates."""
+    n, joined = np.array([len(x) for x in sets]), np.unique(part, return_inverse=True)[1]
+    number = np.unique(np.concatenate(sets), return_inverse=True)[1].astype(np.int32)
+    numbers = np.split(number, np.cumsum(n)[:-1])
+    held = np.zeros(int(number.max()) + 1, dtype=bool)
+    out: list[tuple[int, int]] = []
+
+    def test(i: int, with_: np.ndarray) -> None:
+        held[numbers[i]] = True
+        starts = np.cumsum(n[with_]) - n[with_]
+        both = np.add.reduceat(held[np.concatenate([numbers[j] for j in with_])], starts, dtype=np.int64)
+        held[numbers[i]] = False
+        for j in with_[100 * both >= percent * (n[i] + n[with_] - both)].tolist():
+            if joined[i] != joined[j]:
+                joined[joined == joined[j]] = joined[i]
+                out.append((i, j))
+
+    for i, j in _clusters(agree, node)[1]:
+        test(i, np.array([j]))
+        agree[i, j] = agree[j, i] = 0
+    if own.min() < own.max():
+        agree[own[:, None] == own] = 0
+    seen = np.zeros(len(n), dtype=bool)
+    for i in np.argsort(np.bincount(joined)[joined], kind="stable").tolist():
+        seen[i] = True
+        left, step = np.flatnonzero((agree[i] > 0) & (joined != joined[i]) & ~seen), FEW
+        left = left[np.argsort(-agree[i, left].astype(int), kind="stable")]
+        while len(left):
+            test(i, left[:step])
+            left, step = left[step:], min(4 * step, MANY)
+            left = left[joined[left] != joined[i]]
+    return out
+
+
+def _parts(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of links, and the smallest node of each one's component."""
+    node, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    i, j, least = at[: len(a)], at[len(a) :], np.arange(len(node))
+    while True:
+        before, low = least.copy(), np.minimum(least[i], least[j])
+        for x in (before[i], before[j]):
+            np.minimum.at(least, x, low)
+        while not np.array_equal(least, least[least]):
+            least = least[least]
+        if np.array_equal(least, before):
+            return node, node[least]
+
+
+def _all_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    u, v = (np.concatenate(x) for x in zip(*((b.column("u").to_numpy(), b.column("v").to_numpy()) for b in batches), (np.zeros(0, np.int64),) * 2, strict=True))
+    yield pa.record_batch([pa.array(x, pa.int64()) for x in _parts(u, v)], names=["node", "part"])
+
+
 def components(links: DataFrame) -> DataFrame:
-    """(a, b) pairs of numbers to (node, part): the smallest number of each node's component, by alternating stars.
+    """(a, b) pairs of numbers to (node, part): the smallest number of each node's component.
 
-    Every node is linked to its smallest neighbour, first from the larger side, then from the smaller, until nothing changes. Rows
-    stay as many as the links, and rounds grow with the logarithm of a component's width.
+    So many links as fit a task are joined in one. More are joined by alternating stars: every node is linked to its smallest neighbour, first from
+    the larger side, then from the smaller, until nothing changes. Rows stay as many as the links, and rounds grow with the logarithm of a component's width.
     """
     edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), ROWS_PER_TASK)
     before = None
@@ -237,6 +333,8 @@ def components(links: DataFrame) -> DataFrame:
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if now == before or now[0] == 0:
             break
+        if before is None and now[0] <= LINKS_PER_TASK:
+            return edges.coalesce(1).mapInArrow(gives_back(_all_parts), "node long, part long")
         before, tasks = now, tasks_for(now[0], ROWS_PER_TASK)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).coalesce(tasks)
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -282,14 +380,29 @@ def _branches(step: int) -> Column:
     return F.when(one_more, F.array(*sure, picks(len(sure)))).otherwise(F.array(*sure))
 
 
-def _tree_links(rows: DataFrame, parts: DataFrame | None, signs: DataFrame, nodes: DataFrame, documents: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links (a, b) found by trees, from their first paths (node, path), as many as join what the trees bring together.
+def _crowds_joined(rows: DataFrame, signs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) that join the parts of crowds, from rows (key, node, part, done): the sets of a key, in blocks against blocks if they are many."""
+    rows = rows.join(signs, "node").join(texts, "node")
+    many = rows.groupBy("key").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n_shingles") / ROOM)).cast("int").alias("n_blocks"))
+    grid = rows.join(many, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
+    cells = grid.select("key", "node", "part", "done", "own", "n_shingles", "sign", "text", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
+    return cells.groupBy("key", "p", "q").applyInArrow(_links_apart(size, percent), "a long, b long")
+
+
+def _tree_links(
+    rows: DataFrame, known: DataFrame | None, signs: DataFrame, nodes: DataFrame, documents: DataFrame, size: int, percent: int
+) -> tuple[DataFrame, DataFrame | None]:
+    """Links (a, b) found by trees, from their first paths (node, path), as many as join what the trees bring together, and (node, group) of groups all of whose candidates were confirmed.
+
+    ``known`` has the parts of nodes so far, and in ``done`` a larger group whose pairs are all confirmed already, or the part. Branches whose
+    sets are all in one of these are left out, and elsewhere sets of one are not compared, since such pairs cannot change a part.
 
-    With ``parts``, branches whose sets are all in one part already are left out, and elsewhere sets of one part are not compared,
-    since pairs inside a part cannot change it.
+    A crowd's sets meet in many branches. If all sets that candidates connect to it are at most as many pairs as its sets in these branches, they are
+    compared once, as a group, and not in each branch.
     """
-    rows = rows.select("node", "path")
-    if parts is not None:
+    rows, parts = rows.select("node", "path"), None
+    if known is not None:
+        parts = known.select("node", F.col("done").alias("part"))
         rows = rows.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
     part = F.col("node" if parts is None else "part")
     leaves = crowded = None
@@ -327,7 +440,7 @@ def _tree_links(rows: DataFrame, parts: DataFrame | None, signs: DataFrame, node
     from_grid = grid.groupBy("path", "p", "q").applyInArrow(_block_first(percent), schema)
     met = cut(first.unionByName(from_grid), ROWS_PER_TASK)
     tested = cut(met.where("a is not null").select("a", "b").distinct(), ROWS_PER_TASK)
-    crowds = cut(met.where("path is not null").select("path", "node").distinct().join(signs, "node"), ROWS_PER_TASK)
+    crowds = cut(met.where("path is not null").select("path", "node").distinct(), ROWS_PER_TASK)
 
     wanted = tested.select(F.explode(F.array("a", "b")).alias("node")).unionByName(crowds.select("node")).distinct()
     at = wanted.join(nodes.select("node", "at.*"), "node")
@@ -335,17 +448,30 @@ def _tree_links(rows: DataFrame, parts: DataFrame | None, signs: DataFrame, node
     same = whole["doc_id"].eqNullSafe(at["doc_id"]) & (whole["copy"] == at["copy"])
     texts = cut(whole.join(at, same).select("node", "text").dropDuplicates(["node"]), ROWS_PER_TASK)
 
-    links = cut(_confirm(tested, texts, size, percent), ROWS_PER_TASK)
     if crowds.isEmpty():
-        return links
-    # Crowds that these links, and those found before, leave in parts.
-    known = links if parts is None else links.unionByName(parts.select(F.col("node").alias("a"), F.col("part").alias("b")))
-    now = cut(components(known), ROWS_PER_TASK)
-    apart = crowds.join(now, "node", "left").withColumn("part", F.coalesce("part", "node"))
-    open_cells = apart.groupBy("path").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q").select("path")
-    rest = apart.join(open_cells, "path", "left_semi").join(texts, "node")
-    more = rest.groupBy("path").applyInArrow(_links_apart(size, percent), "a long, b long")
-    return links.unionByName(cut(more.distinct(), ROWS_PER_TASK))
+        return cut(_confirm(tested, texts, size, percent), ROWS_PER_TASK), None
+
+    grouped = cut(components(tested).withColumnRenamed("part", "group"), ROWS_PER_TASK)
+    cells = cut(crowds.join(grouped, "node"), ROWS_PER_TASK)
+    in_cells = cells.groupBy("group", "path").agg(F.count(F.lit(1)).alias("n")).groupBy("group").agg(F.sum(F.col("n") * F.col("n")).alias("in_cells"))
+    whole = cut(grouped.groupBy("group").agg(F.count(F.lit(1)).alias("n")).join(in_cells, "group").where("n * n <= in_cells").select("group"), ROWS_PER_TASK)
+    settled = cut(grouped.join(whole, "group", "left_semi"), ROWS_PER_TASK)
+    links = cut(_confirm(tested.join(settled.select(F.col("node").alias("a")), "a", "left_anti"), texts, size, percent), ROWS_PER_TASK)
+    of_node = lambda df: (df if known is None else df.join(known, "node", "left").withColumns({c: F.coalesce(c, "node") for c in ("part", "done")}))
+    rows = of_node(settled.select(F.col("group").alias("key"), "node"))
+    if known is None:
+        rows = rows.select("key", "node", F.col("node").alias("part"), F.col("node").alias("done"))
+    loose = cells.join(whole, "group", "left_anti")
+    if not loose.isEmpty():
+        # Crowds that these links, and those found before, leave in parts.
+        sure = links if known is None else links.unionByName(known.select(F.col("node").alias("a"), F.col("part").alias("b")))
+        now = cut(components(sure), ROWS_PER_TASK)
+        apart = loose.join(now, "node", "left").select(F.xxhash64("path", "group").alias("key"), "node", F.coalesce("part", "node").alias("part"))
+        open_cells = apart.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q").select("key")
+        apart = apart.join(open_cells, "key", "left_semi")
+        apart = apart.withColumn("done", F.col("node")) if known is None else apart.join(known.select("node", "done"), "node", "left").withColumn("done", F.coalesce("done", "node"))
+        rows = rows.unionByName(apart)
+    return links.unionByName(cut(_crowds_joined(rows, signs, texts, size, percent).distinct(), ROWS_PER_TASK)), settled
 
 
 def near_duplicates(documents: DataFrame, size: int = 2, percent: int = PERCENT) -> DataFrame:
@@ -366,9 +492,13 @@ def near_duplicates(documents: DataFrame, size: int = 2, percent: int = PERCENT)
     signs = nodes.select("node", "n_shingles", "sign")
     paths = nodes.select("node", F.posexplode("tops").alias("tree", "top")).select("node", "tree", F.xxhash64("tree", "top").alias("path"))
 
-    links = _tree_links(paths.where(F.col("tree") < FIRST_TREES), None, signs, nodes, documents, size, percent)
-    parts = cut(components(links), ROWS_PER_TASK)
-    more = _tree_links(paths.where(F.col("tree") >= FIRST_TREES), parts, signs, nodes, documents, size, percent)
+    links, settled = _tree_links(paths.where(F.col("tree") < FIRST_TREES), None, signs, nodes, documents, size, percent)
+    parts = components(links)
+    known = parts.withColumn("done", F.col("part"))
+    if settled is not None:
+        known = parts.join(settled, "node", "full").select("node", F.coalesce("part", "node").alias("part"), F.coalesce("group", "part").alias("done"))
+    known = cut(known, ROWS_PER_TASK)
+    more, _ = _tree_links(paths.where(F.col("tree") >= FIRST_TREES), known, signs, nodes, documents, size, percent)
     parts = cut(components(links.unionByName(more)), ROWS_PER_TASK)
 
     ids = nodes.select("node", "least_id").join(parts, "node").groupBy("part").agg(F.min("least_id").alias("linked_id"))

@@ -58,6 +58,58 @@ def test_crowds_are_not_branched_over_and_over(documents, monkeypatch):
     assert sum(levels) < 5 * chosen_path.TREES * len(rows)
 
 
+def test_a_crowd_is_confirmed_once_and_not_in_each_branch(documents, monkeypatch, tmp_path):
+    confirmed, links_apart = tmp_path / "confirmed", chosen_path._links_apart
+
+    def noted(size, percent):
+        run = links_apart(size, percent)
+
+        def noting(cell):
+            with confirmed.open("a") as f:
+                f.write(f"{cell.num_rows}\n")
+            return run(cell)
+
+        return noting
+
+    monkeypatch.setattr(chosen_path, "_links_apart", noted)
+    monkeypatch.setattr(chosen_path, "LEAF", 8)
+    rows = crowd(150)
+    assert result(near_duplicates(documents(rows))) == brute.components(rows)
+    assert sum(map(int, confirmed.read_text().split())) < 3 * len(rows)
+
+
+def test_crowds_in_many_blocks(documents, monkeypatch):
+    for name, value in (("LEAF", 8), ("BLOCK", 40), ("ROOM", 3_000), ("TILE", 16), ("FEW", 2), ("MANY", 4)):
+        monkeypatch.setattr(chosen_path, name, value)
+    rows = crowd(150)
+    assert result(near_duplicates(documents(rows))) == brute.components(rows)
+
+
+def test_crowds_of_a_long_chain_are_confirmed_where_they_meet(documents, monkeypatch):
+    """Texts that share most words with their neighbours, and others that come near them without a link."""
+    keys, crowds_joined = [], chosen_path._crowds_joined
+
+    def noted(rows, *others):
+        keys.append(rows.groupBy("key").count().count())
+        return crowds_joined(rows, *others)
+
+    monkeypatch.setattr(chosen_path, "_crowds_joined", noted)
+    rows = [(i, " ".join(f"w{k}" for k in range(2 * i, 2 * i + 100))) for i in range(500)]
+    rows += [(1000 + i, " ".join(f"x{i}.{k}" if k % 12 == 0 else f"w{k}" for k in range(2 * i, 2 * i + 100))) for i in range(0, 500, 7)]
+    assert result(near_duplicates(documents(rows))) == brute.components(rows)
+    assert max(keys) > 1
+
+
+def test_pairs_of_leaves_are_those_of_each_leaf():
+    rng = np.random.default_rng(7)
+    base = rng.integers(0, 9, (5, chosen_path.FUNCTIONS)).astype(np.int16)
+    sign = np.where(rng.random((90, chosen_path.FUNCTIONS)) < 0.15, rng.integers(0, 9, (90, chosen_path.FUNCTIONS)), base[rng.integers(0, 5, 90)]).astype(np.int16)
+    n, part, end = rng.integers(80, 120, 90), rng.integers(0, 30, 90), np.repeat([1, 30, 32, 90], [1, 29, 2, 58])
+    a, b, agree = chosen_path._candidate_pairs(end, sign, n, part, 80)
+    whole = np.triu(chosen_path._candidates(sign, n, part, 80)) * (end[:, None] == end)
+    assert len(a) > 100 and list(zip(a, b, agree)) == [(i, j, whole[i, j]) for i, j in zip(*np.nonzero(whole))]
+
+
 def test_sets_of_one_part_are_not_compared():
     agree = chosen_path._candidates(np.zeros((4, chosen_path.FUNCTIONS), dtype=np.int16), np.array([10, 10, 10, 1]), np.array([7, 7, 3, 4]), 80)
     assert (agree > 0).tolist() == [[False, False, True, False], [False, False, True, False], [True, True, False, False], [False] * 4]
@@ -94,3 +146,18 @@ def test_components_of_chains(spark):
     chain = [(k, k + 1) for k in range(1, 40)] + [(100, 90), (90, 95), (7, 7)]
     got = {r.node: r.part for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {k: 1 for k in range(1, 41)} | {90: 90, 95: 90, 100: 90}
+
+
+@pytest.mark.parametrize("links_per_task", [0, 1 << 20])
+def test_components_in_one_task_and_by_stars(spark, monkeypatch, links_per_task):
+    monkeypatch.setattr(chosen_path, "LINKS_PER_TASK", links_per_task)
+    rng = random.Random(11)
+    links = [(rng.randrange(700), rng.randrange(700)) for _ in range(330)] + [(k, k + 1) for k in range(1000, 1300)] + [(5000, k) for k in range(5001, 5050)]
+    root = {x: x for pair in links for x in pair}
+    for _ in range(2000):
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+        if all(root[a] == root[b] for a, b in links):
+            break
+    got = {r.node: r.part for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {k: p for k, p in root.items() if any(a != b and k in (a, b) for a, b in links)}
