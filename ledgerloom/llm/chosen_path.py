@@ -36,6 +36,8 @@ LEAF, LEVELS, BLOCK = 64, 4, 2_048
 STEP, EARLY, CROWD = 4, 3, 2 * BLOCK
 #: Rows of small tables per task.
 ROWS_PER_TASK = 20_000
+#: So many rows are broadcast to the documents that hold their texts; more meet them in a shuffle of all texts.
+ROWS_SENT = 500_000
 #: Links that one task joins.
 LINKS_PER_TASK = 1 << 20
 #: Candidate clusters of so many sets send all pairs at once.
@@ -444,6 +446,8 @@ def _tree_links(
 
     wanted = tested.select(F.explode(F.array("a", "b")).alias("node")).unionByName(crowds.select("node")).distinct()
     at = wanted.join(nodes.select("node", "at.*"), "node")
+    if wanted.count() <= ROWS_SENT:
+        at = F.broadcast(at)
     whole = documents.select("doc_id", F.xxhash64("text").alias("copy"), "text")
     same = whole["doc_id"].eqNullSafe(at["doc_id"]) & (whole["copy"] == at["copy"])
     texts = cut(whole.join(at, same).select("node", "text").dropDuplicates(["node"]), ROWS_PER_TASK)

@@ -79,7 +79,7 @@ def test_a_crowd_is_confirmed_once_and_not_in_each_branch(documents, monkeypatch
 
 
 def test_crowds_in_many_blocks(documents, monkeypatch):
-    for name, value in (("LEAF", 8), ("BLOCK", 40), ("ROOM", 3_000), ("TILE", 16), ("FEW", 2), ("MANY", 4)):
+    for name, value in (("LEAF", 8), ("BLOCK", 40), ("ROOM", 3_000), ("TILE", 16), ("FEW", 2), ("MANY", 4), ("ROWS_SENT", 0)):
         monkeypatch.setattr(chosen_path, name, value)
     rows = crowd(150)
     assert result(near_duplicates(documents(rows))) == brute.components(rows)
